@@ -1,0 +1,138 @@
+"""The whole raw -> silver -> gold pipeline as lazy DataFrames.
+
+``build`` returns every table by name without running anything; a caller
+either reads one table (Catalyst prunes the rest of the lineage away) or
+saves a layer with :func:`plantlens.sources.sinks.save_layer`.  The order of
+the returned dict is the reference's statement order.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from plantlens.plans import gold, silver
+from plantlens.sources import standins
+
+# Fixed as-of date for ages and savings (H11: the reference uses CURRENT_DATE).
+DEFAULT_AS_OF = "2025-06-30"
+# Spine range of the reference's demo.
+SPINE_START, SPINE_END = "2025-07-10", "2025-10-31"
+
+
+class Pipeline:
+    """Lazily built silver and gold tables over a dict of raw DataFrames."""
+
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF):
+        self.spark, self.raw, self.as_of = spark, raw, as_of
+        self._cache: dict[str, DataFrame] = {}
+
+    def _memo(self, name, fn):
+        if name not in self._cache:
+            self._cache[name] = fn()
+        return self._cache[name]
+
+    # ---- silver -------------------------------------------------------
+    def specs(self):
+        return self._memo("silver_product_specifications",
+                          lambda: silver.product_specs(self.raw["raw_product_specifications"]))
+
+    def costs(self):
+        return self._memo("silver_variety_costs", lambda: silver.variety_costs(self.raw["raw_variety_costs"]))
+
+    def revenue(self):
+        return self._memo("silver_revenue_by_line",
+                          lambda: silver.revenue_by_line(self.raw["raw_revenue_by_line"]))
+
+    def demand(self):
+        return self._memo("silver_product_demand", lambda: silver.product_demand(self.raw["raw_product_demand"]))
+
+    def loads(self):
+        return self._memo("silver_potato_load_quality",
+                          lambda: silver.load_quality(self.raw["raw_potato_load_quality"]))
+
+    def events(self):
+        return self._memo("silver_line_quality_events",
+                          lambda: silver.line_quality_events(self.raw["raw_line_quality_events"]))
+
+    def oee(self):
+        return self._memo("silver_oee_events", lambda: silver.oee_events(self.raw["raw_oee_events"]))
+
+    def equipment(self):
+        return self._memo("silver_line_equipment",
+                          lambda: silver.line_equipment(self.raw["raw_line_equipment"], self.as_of))
+
+    def downtime(self):
+        return self._memo("silver_downtime_events", lambda: silver.downtime_events(self.raw["raw_oee_events"]))
+
+    # ---- gold ---------------------------------------------------------
+    def spine(self):
+        return self._memo("gold_date_spine", lambda: gold.date_spine(self.spark, SPINE_START, SPINE_END))
+
+    def hourly(self):
+        return self._memo("gold_line_hourly_quality", lambda: gold.line_hourly_quality(self.events(), self.specs()))
+
+    def weekly(self):
+        return self._memo("gold_quality_weekly", lambda: gold.quality_weekly(self.hourly()))
+
+    def oee_daily(self):
+        return self._memo("gold_oee_kpis", lambda: gold.oee_kpis(self.oee()))
+
+    def exposure(self):
+        return self._memo("gold_cost_exposure",
+                          lambda: gold.cost_exposure(self.loads(), self.costs(), self.specs()))
+
+    def cumulative(self):
+        return self._memo("gold_cumulative_costs", lambda: gold.cumulative_costs(self.exposure(), self.revenue()))
+
+    def line_daily(self):
+        return self._memo("gold_line_daily_metrics", lambda: gold.line_daily_metrics(self.hourly()))
+
+    def alignment(self):
+        return self._memo("gold_change_alignment", lambda: gold.change_alignment(self.hourly(), self.oee()))
+
+    def kpi_tons(self):
+        return gold.kpi_total_tons_30d(self.oee_daily())
+
+    def kpi_spend(self):
+        return gold.kpi_raw_spend_30d(self.exposure())
+
+    def kpi_performance(self):
+        return gold.kpi_oee_performance_7d(self.oee_daily())
+
+    def kpi_downgrade(self):
+        return gold.kpi_downgrade_30d(self.exposure())
+
+    def scenarios(self):
+        return self._memo("gold_scenario_recommendations", lambda: gold.scenario_recommendations(self.equipment()))
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Every table, in the reference's statement order."""
+        return {
+            "silver_product_specifications": self.specs(),
+            "silver_variety_costs": self.costs(),
+            "silver_revenue_by_line": self.revenue(),
+            "silver_product_demand": self.demand(),
+            "silver_potato_load_quality": self.loads(),
+            "silver_line_quality_events": self.events(),
+            "silver_oee_events": self.oee(),
+            "silver_line_equipment": self.equipment(),
+            "silver_downtime_events": self.downtime(),
+            "gold_date_spine": self.spine(),
+            "gold_line_hourly_quality": self.hourly(),
+            "gold_quality_weekly": self.weekly(),
+            "gold_oee_kpis": self.oee_daily(),
+            "gold_cost_exposure": self.exposure(),
+            "gold_cumulative_costs": self.cumulative(),
+            "gold_line_daily_metrics": self.line_daily(),
+            "gold_change_alignment": self.alignment(),
+            "gold_counter_total_tons_last_30d": self.kpi_tons(),
+            "gold_counter_raw_potato_spend_last_30d": self.kpi_spend(),
+            "gold_counter_oee_performance_avg_last_7d": self.kpi_performance(),
+            "gold_counter_downgrade_rework_last_30d": self.kpi_downgrade(),
+            "gold_scenario_recommendations": self.scenarios(),
+        }
+
+
+def from_test_tables(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Pipeline:
+    """Pipeline over the raw stand-ins projected from the shared test tables."""
+    return Pipeline(spark, standins.raw_tables(spark, sf_dir), as_of)
