@@ -17,7 +17,10 @@ ALL_CTES = {**RAW_CTES, **SILVER_CTES, **GOLD_CTES}
 
 def with_ctes(body: str) -> str:
     ctes = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in ALL_CTES.items())
-    return f"WITH {ctes}\n{body.strip()}"
+    body = body.strip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
 
 
 def rounded(body: str, digits: dict[str, int]) -> str:
