@@ -79,4 +79,5 @@ def load_all() -> dict[str, Query]:
     from plantlens.plans import queries_core  # noqa: F401
     from plantlens.plans import queries_ops  # noqa: F401
     from plantlens.plans import queries_extra  # noqa: F401
+    from plantlens.plans import queries_stream  # noqa: F401
     return REGISTRY

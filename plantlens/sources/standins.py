@@ -72,7 +72,6 @@ def product_specs(spark: SparkSession) -> DataFrame:
     k = (F.col("id") % N_PRODUCTS).cast("int")
     plant_id = (F.when(line_idx < offsets[1], 1).when(line_idx < offsets[2], 2)
                 .when(line_idx < offsets[3], 3).otherwise(4))
-    offset = _case(plant_id - 1, offsets)
     return (spark.range(acc * N_PRODUCTS)
             .select(plant_id.cast("int").alias("plant_id"), line_idx.alias("li"), k.alias("k"))
             .select(
@@ -98,7 +97,12 @@ def product_specs(spark: SparkSession) -> DataFrame:
 
 def line_quality_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly quality readings: events of type view/click/signup."""
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click", "signup"))
+    return line_quality_events_from(read_table(spark, sf_dir, "events"))
+
+
+def line_quality_events_from(events: DataFrame) -> DataFrame:
+    """The reading projection over any events frame, batch or streaming."""
+    ev = events.filter(F.col("event_type").isin("view", "click", "signup"))
     eid = F.col("event_id")
     plant_id = (F.col("user_id") % 4 + 1).cast("int")
     zero = eid % 97 == 0
