@@ -20,20 +20,42 @@ def running_sums(df: DataFrame, partition: list[str], order: list[str],
     return df.withColumns({out: F.sum(src).over(w) for out, src in cols.items()})
 
 
-def trailing_window(df: DataFrame, date_col: str, days: int, inclusive: bool = True) -> DataFrame:
+def trailing_window(df: DataFrame, date_col: str, days: int, inclusive: bool = True,
+                    anchor: Column | None = None) -> DataFrame:
     """Q2 (P12/J7): rows whose date lies in ``[max(date) - days, max(date)]``.
 
     The anchor is an uncorrelated scalar subquery (``DataFrame.scalar``), run
-    once before the filter; no cross join and no driver round trip.  As in
-    the reference, ``days=30`` keeps 31 calendar days (H10);
-    ``inclusive=False`` keeps exactly ``days`` days.
+    once before the filter; no cross join and no driver round trip.  A caller
+    that knows a cheaper table with the same latest date (e.g. the source an
+    aggregate was built from) may pass that scalar as ``anchor``.  As in the
+    reference, ``days=30`` keeps 31 calendar days (H10); ``inclusive=False``
+    keeps exactly ``days`` days.
     """
-    anchor = df.select(F.max(date_col)).scalar()
+    if anchor is None:
+        anchor = df.select(F.max(date_col)).scalar()
     lo = F.date_sub(anchor, days if inclusive else days - 1)
     return df.filter(F.col(date_col).between(lo, anchor))
 
 
 def trailing_kpi(df: DataFrame, date_col: str, days: int, agg: Column,
-                 inclusive: bool = True) -> DataFrame:
-    """Q2: one-row KPI over the trailing window."""
-    return trailing_window(df, date_col, days, inclusive).agg(agg)
+                 inclusive: bool = True, anchor: Column | None = None) -> DataFrame:
+    """Q2: one-row KPI over the trailing window (any aggregate)."""
+    return trailing_window(df, date_col, days, inclusive, anchor).agg(agg)
+
+
+def trailing_sums(df: DataFrame, date_col: str, days: int, sums: dict[str, Column],
+                  inclusive: bool = True) -> DataFrame:
+    """Q2 in one pass: one row with the sum of each column over the trailing
+    window ``[max(date) - days, max(date)]``.
+
+    The input is reduced to one row per day first (partial aggregation on
+    the map side), so the latest day is found by a window over that per-day
+    table, whose size is bounded by the calendar, not by the data.  No
+    second scan for the anchor, no subquery, no cross join.  An average is
+    a ratio of two such sums.  Empty window -> NULL sums, as in SQL.
+    """
+    daily = df.groupBy(date_col).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    latest = F.max(date_col).over(Window.partitionBy())
+    lo = F.date_sub(F.col("_anchor"), days if inclusive else days - 1)
+    kept = daily.withColumn("_anchor", latest).filter(F.col(date_col).between(lo, F.col("_anchor")))
+    return kept.agg(*[F.sum(n).alias(n) for n in sums])

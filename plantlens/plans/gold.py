@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plantlens.functions import columns as C
 from plantlens.operators.joins import DEFAULT_BROADCAST_ROWS, asof_price_join, bounded_broadcast, spec_join
-from plantlens.operators.windows import running_sums, trailing_kpi
+from plantlens.operators.windows import running_sums, trailing_sums
 
 # Fixed values that must equal the reference for right results.
 # Regional cost parameters: (region, k_region USD per point-ton, downgrade loss USD per ton)
@@ -205,24 +205,28 @@ def change_alignment(hourly: DataFrame, oee: DataFrame) -> DataFrame:
 
 def kpi_total_tons_30d(oee_daily: DataFrame) -> DataFrame:
     """SUM(qty_packed_kg)/1000 over the trailing 30 days (31 inclusive)."""
-    return trailing_kpi(oee_daily, "date", 30, (F.sum("qty_packed_kg") / 1000.0).alias("total_tons_last_30d"))
+    s = trailing_sums(oee_daily, "date", 30, {"qty": F.col("qty_packed_kg")})
+    return s.select((F.col("qty") / 1000.0).alias("total_tons_last_30d"))
 
 
 def kpi_raw_spend_30d(exposure: DataFrame) -> DataFrame:
-    """G19."""
-    return trailing_kpi(exposure, "date", 30,
-                        F.sum("raw_potato_spend_usd").alias("raw_potato_spend_last_30d_usd"))
+    """Raw spend over the trailing 30 days."""
+    s = trailing_sums(exposure, "date", 30, {"raw_potato_spend_last_30d_usd": F.col("raw_potato_spend_usd")})
+    return s
 
 
 def kpi_oee_performance_7d(oee_daily: DataFrame) -> DataFrame:
-    """G20 (A13): mean of daily ratios, not ratio of sums."""
-    return trailing_kpi(oee_daily, "date", 7, F.avg("oee_performance").alias("oee_performance_avg_last_7d"))
+    """G20 (A13): mean of the daily line ratios over the trailing 7 days (8
+    inclusive): the mean of ratios, not the ratio of sums."""
+    p = F.col("oee_performance")
+    s = trailing_sums(oee_daily, "date", 7, {"s": p, "n": F.when(p.isNotNull(), F.lit(1))})
+    return s.select(C.safe_ratio("s", "n").alias("oee_performance_avg_last_7d"))
 
 
 def kpi_downgrade_30d(exposure: DataFrame) -> DataFrame:
-    """G21."""
-    return trailing_kpi(exposure, "date", 30,
-                        F.sum("downgrade_rework_exposure_usd").alias("downgrade_rework_exposure_last_30d_usd"))
+    """Downgrade exposure over the trailing 30 days."""
+    return trailing_sums(exposure, "date", 30,
+                         {"downgrade_rework_exposure_last_30d_usd": F.col("downgrade_rework_exposure_usd")})
 
 
 def scenario_recommendations(equipment: DataFrame) -> DataFrame:

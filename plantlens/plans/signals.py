@@ -214,42 +214,61 @@ def reallocation(loads: DataFrame, high_dm: float = 23.0, low_dm: float = 21.0)
     """Greedy move of high-dry-matter tons to plants short of dry matter,
     inside a region and day.
 
-    Donors (tons above ``high_dm``) and receivers (tons at or below
-    ``low_dm``) are laid on one axis each by running sums ordered by plant;
-    the tons moved between a donor and a receiver are the overlap of their
-    intervals (a window job, not a solver).  The axes are in whole kilograms,
-    so the overlap test is exact.  Pairs only form between plants of one
-    region and day, so their number is bounded by the plant list.  The
-    receiver's blended dry matter after all its moves is reported too.
+    Donors (kilograms above ``high_dm``) and receivers (kilograms at or
+    below ``low_dm``) are laid on two axes by running sums ordered by plant.
+    The tons moved between a donor and a receiver are the overlap of their
+    intervals; it is found by a sweep rather than a join: the interval ends
+    of both axes are put in one ordered list per (day, region), each gap
+    between consecutive ends belongs to the next donor end and the next
+    receiver end at or after it, and the gaps are summed per pair.  One scan,
+    one aggregate, windows over a few rows per (day, region), no self-join.
+    The axes are whole kilograms, so the sweep is exact.  The receiver's
+    blended dry matter after all its moves is reported too.
     """
     kg = F.round(F.col("tons") * 1000).cast("bigint")
     dm = F.col("dry_matter_pct")
-    l = loads.filter(F.col("region").isNotNull())
-    g = l.groupBy(F.col("arrival_date").alias("date"), "region", "plant_name").agg(
+    g = loads.filter(F.col("region").isNotNull()).groupBy(
+        F.col("arrival_date").alias("date"), "region", "plant_name").agg(
         F.sum(F.when(dm > high_dm, kg)).alias("high_kg"),
         F.sum(F.when(dm > high_dm, kg * dm)).alias("high_dm_kg"),
         F.sum(F.when(dm <= low_dm, kg)).alias("low_kg"),
         F.sum(kg).alias("kg"),
         F.sum(kg * dm).alias("dm_kg"),
     )
-    axis = Window.partitionBy("date", "region").orderBy("plant_name").rowsBetween(Window.unboundedPreceding, 0)
-    donors = (g.filter(F.col("high_kg") > 0)
-              .select("date", "region", F.col("plant_name").alias("donor_plant"),
-                      (F.col("high_dm_kg") / F.col("high_kg")).alias("donor_high_dm"),
-                      (F.sum("high_kg").over(axis) - F.col("high_kg")).alias("s_lo"),
-                      F.sum("high_kg").over(axis).alias("s_hi")))
-    receivers = (g.filter(F.col("low_kg") > 0)
-                 .select("date", "region", F.col("plant_name").alias("receiver_plant"),
-                         F.col("kg").alias("r_kg"), F.col("dm_kg").alias("r_dm_kg"),
-                         (F.sum("low_kg").over(axis) - F.col("low_kg")).alias("d_lo"),
-                         F.sum("low_kg").over(axis).alias("d_hi")))
-    pairs = donors.join(receivers, ["date", "region"]).filter(
-        (F.col("s_lo") < F.col("d_hi")) & (F.col("d_lo") < F.col("s_hi")))
-    p = pairs.withColumn("moved_kg", F.least("s_hi", "d_hi") - F.greatest("s_lo", "d_lo"))
+    day = Window.partitionBy("date", "region")
+    axis = day.orderBy("plant_name").rowsBetween(Window.unboundedPreceding, 0)
+    high, low = F.coalesce(F.col("high_kg"), F.lit(0)), F.coalesce(F.col("low_kg"), F.lit(0))
+    ends = g.withColumns({"cum_high": F.sum(high).over(axis), "cum_low": F.sum(low).over(axis)}).select(
+        "date", "region",
+        F.explode(F.array(
+            F.struct(F.col("cum_high").alias("pos"),
+                     F.when(high > 0, F.struct(F.col("plant_name").alias("plant"),
+                                               (F.col("high_dm_kg") / F.col("high_kg")).alias("high_dm")))
+                     .alias("donor"),
+                     F.lit(None).cast("struct<plant:string,kg:bigint,dm_kg:double>").alias("receiver")),
+            F.struct(F.col("cum_low").alias("pos"),
+                     F.lit(None).cast("struct<plant:string,high_dm:double>").alias("donor"),
+                     F.when(low > 0, F.struct(F.col("plant_name").alias("plant"), F.col("kg").alias("kg"),
+                                              F.col("dm_kg").alias("dm_kg"))).alias("receiver")),
+        )).alias("e"),
+    ).select("date", "region", "e.*")
+    ends = ends.filter(F.col("donor").isNotNull() | F.col("receiver").isNotNull())
+    sweep = day.orderBy("pos", F.col("donor").isNull()).rowsBetween(0, Window.unboundedFollowing)
+    order = day.orderBy("pos", F.col("donor").isNull())
+    seg = ends.select(
+        "date", "region",
+        (F.col("pos") - F.coalesce(F.lag("pos").over(order), F.lit(0))).alias("seg_kg"),
+        F.first("donor", ignorenulls=True).over(sweep).alias("d"),
+        F.first("receiver", ignorenulls=True).over(sweep).alias("r"),
+    ).filter((F.col("seg_kg") > 0) & F.col("d").isNotNull() & F.col("r").isNotNull())
+    pairs = seg.groupBy("date", "region", F.col("d.plant").alias("donor_plant"),
+                        F.col("r.plant").alias("receiver_plant")).agg(
+        F.sum("seg_kg").alias("moved_kg"), F.first("d.high_dm").alias("donor_high_dm"),
+        F.first("r.kg").alias("r_kg"), F.first("r.dm_kg").alias("r_dm_kg"))
     rw = Window.partitionBy("date", "region", "receiver_plant")
     after = ((F.col("r_dm_kg") + F.sum(F.col("moved_kg") * F.col("donor_high_dm")).over(rw))
              / (F.col("r_kg") + F.sum("moved_kg").over(rw)))
-    return p.select("date", "region", "donor_plant", "receiver_plant",
-                    (F.col("moved_kg") / 1000.0).alias("moved_tons"), "donor_high_dm",
-                    (F.col("r_dm_kg") / F.col("r_kg")).alias("receiver_dm_before"),
-                    after.alias("receiver_dm_after"))
+    return pairs.select("date", "region", "donor_plant", "receiver_plant",
+                        (F.col("moved_kg") / 1000.0).alias("moved_tons"), "donor_high_dm",
+                        (F.col("r_dm_kg") / F.col("r_kg")).alias("receiver_dm_before"),
+                        after.alias("receiver_dm_after"))
