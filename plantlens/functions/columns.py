@@ -137,12 +137,21 @@ def path_leaf_name(c: Column | str) -> Column:
     return F.translate(leaf, " .", "__")
 
 
+# Offset of the bucketing grid in stable_round: an irrational-looking fraction
+# so that short terminating decimals (x.xxxxxx5, common in averages of
+# 2-decimal data) never sit on a bucket edge.
+ROUND_OFFSET = 0.3819660112501051
+
+
 def stable_round(c: Column | str, digits: int) -> Column:
-    """floor(x * 10^d + 0.5) / 10^d: the same IEEE steps in every engine, so two
-    engines that computed the same double always agree on the rounded value
-    (ROUND itself differs between engines at binary/decimal half-way cases)."""
+    """floor(x * 10^d + 0.381966...) / 10^d: buckets of width 10^-d whose edges
+    lie off the decimal grid.  The same IEEE steps run in every engine, so two
+    engines that computed the same double always agree, and two that differ
+    by float summation order only disagree when the value lies within that
+    noise of an edge (ROUND itself differs between engines at half-way
+    cases, and half-way cases are common)."""
     scale = float(10 ** digits)
-    return F.floor(_col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.floor(_col(c) * F.lit(scale) + F.lit(ROUND_OFFSET)) / F.lit(scale)
 
 
 def _col(c: Column | str) -> Column:

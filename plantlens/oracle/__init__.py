@@ -9,6 +9,7 @@ different order still hash equal.
 
 from __future__ import annotations
 
+from plantlens.functions.columns import ROUND_OFFSET
 from plantlens.oracle.pipeline_sql import GOLD_CTES, KPI_SQL, SILVER_CTES
 from plantlens.oracle.standins_sql import RAW_CTES
 
@@ -27,7 +28,7 @@ def rounded(body: str, digits: dict[str, int]) -> str:
     """Wrap ``body`` so the named double columns are rounded like the Spark side."""
     if not digits:
         return with_ctes(body)
-    repl = ", ".join(f"floor({c} * {10 ** d}.0 + 0.5) / {10 ** d}.0 AS {c}" for c, d in digits.items())
+    repl = ", ".join(f"floor({c} * {10 ** d}.0 + {ROUND_OFFSET!r}) / {10 ** d}.0 AS {c}" for c, d in digits.items())
     return with_ctes(f"SELECT * REPLACE ({repl}) FROM (\n{body.strip()}\n) q")
 
 

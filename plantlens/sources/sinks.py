@@ -49,12 +49,13 @@ def part_plan(n_rows: int, num_files: int) -> tuple[int, int]:
 def write_parts(df: DataFrame, path: str, num_files: int = 5, mode: str = "overwrite") -> int:
     """Parquet with at most ``num_files`` part files of near-equal size.
 
-    A round-robin repartition spreads rows evenly, so every file stays under
-    the chunk size; ``maxRecordsPerFile`` guards the bound.  Returns the
-    number of files planned."""
+    One file per partition of a round-robin repartition into the planned
+    file count, so the bound on files is exact; sizes are near ceil(n / N)
+    (round robin starts each input task at a random offset, so a file may
+    hold a few rows more).  Returns the number of files planned."""
     n = df.count()
-    files, chunk = part_plan(n, num_files)
-    (df.repartition(files).write.mode(mode).option("maxRecordsPerFile", chunk).parquet(path))
+    files, _ = part_plan(n, num_files)
+    df.repartition(files).write.mode(mode).parquet(path)
     return files
 
 
