@@ -10,7 +10,7 @@ different order still hash equal.
 from __future__ import annotations
 
 from plantlens.functions.columns import ROUND_OFFSET
-from plantlens.oracle.pipeline_sql import GOLD_CTES, KPI_SQL, SILVER_CTES
+from plantlens.oracle.layers_sql import GOLD_CTES, KPI_SQL, SILVER_CTES
 from plantlens.oracle.standins_sql import RAW_CTES
 
 ALL_CTES = {**RAW_CTES, **SILVER_CTES, **GOLD_CTES}

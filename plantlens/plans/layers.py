@@ -1,9 +1,11 @@
-"""The whole raw -> silver -> gold pipeline as lazy DataFrames.
-
-``build`` returns every table by name without running anything; a caller
-either reads one table (Catalyst prunes the rest of the lineage away) or
-saves a layer with :func:`plantlens.sources.sinks.save_layer`.  The order of
-the returned dict is the reference's statement order.
+"""The raw -> silver -> gold layers as lazy DataFrames.
+
+:class:`Layers` builds every table by name without running anything; a
+caller either reads one table (Catalyst prunes the rest of the lineage away)
+or materialises the layers with :func:`materialize`, which writes silver to
+a shared folder, rebuilds gold on the written silver tables (cutting the
+lineage, so a lost executor recomputes from files, not from raw) and writes
+gold.  Table order is the reference's statement order.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ DEFAULT_AS_OF = "2025-06-30"
 SPINE_START, SPINE_END = "2025-07-10", "2025-10-31"
 
 
-class Pipeline:
+class Layers:
     """Lazily built silver and gold tables over a dict of raw DataFrames."""
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF):
@@ -105,6 +107,12 @@ class Pipeline:
     def scenarios(self):
         return self._memo("gold_scenario_recommendations", lambda: gold.scenario_recommendations(self.equipment()))
 
+    def silver_tables(self) -> dict[str, DataFrame]:
+        return {k: v for k, v in self.tables().items() if k.startswith("silver_")}
+
+    def gold_tables(self) -> dict[str, DataFrame]:
+        return {k: v for k, v in self.tables().items() if k.startswith("gold_")}
+
     def tables(self) -> dict[str, DataFrame]:
         """Every table, in the reference's statement order."""
         return {
@@ -133,6 +141,64 @@ class Pipeline:
         }
 
 
-def from_test_tables(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Pipeline:
-    """Pipeline over the raw stand-ins projected from the shared test tables."""
-    return Pipeline(spark, standins.raw_tables(spark, sf_dir), as_of)
+def from_test_tables(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Layers:
+    """Layers over the raw stand-ins projected from the shared test tables."""
+    return Layers(spark, standins.raw_tables(spark, sf_dir), as_of)
+
+
+# Table descriptions attached as table comments.
+TABLE_COMMENTS = {
+    "silver_product_specifications": "Product specs per plant, line and product: dry-matter limits, colour caps.",
+    "silver_variety_costs": "Variety price list by effective date, region, supplier and dry-matter band.",
+    "silver_revenue_by_line": "Daily revenue per line and product with region and guarded price per kg.",
+    "silver_product_demand": "Orders and forecast per day, region, channel and product.",
+    "silver_potato_load_quality": "Loads with region, variety, arrival day, tons, colour shares and band.",
+    "silver_line_quality_events": "Hourly readings with day, hour, week start and colour shares.",
+    "silver_oee_events": "Run segments and downtime in minutes with the parsed end time.",
+    "silver_line_equipment": "Machines with age and depreciated throughput as of a fixed date.",
+    "silver_downtime_events": "Downtime events for display, with key-hash ids.",
+    "gold_date_spine": "One row per day with day of week, weekend flag and week start.",
+    "gold_line_hourly_quality": "Readings per line flagged against the spec with a tolerance.",
+    "gold_quality_weekly": "Weekly plant quality: means, dominant colour class, breach hours.",
+    "gold_oee_kpis": "Daily line totals of run and downtime minutes, packed kg, kg per minute.",
+    "gold_cost_exposure": "Daily spend, over-quality waste and downgrade exposure per plant and product.",
+    "gold_cumulative_costs": "Running spend, waste and margin per region.",
+    "gold_line_daily_metrics": "Daily line and product means and flagged hours.",
+    "gold_change_alignment": "Readings aligned with the day's downtime per code on their line.",
+    "gold_counter_total_tons_last_30d": "Tons packed over the trailing 30 days.",
+    "gold_counter_raw_potato_spend_last_30d": "Raw spend over the trailing 30 days.",
+    "gold_counter_oee_performance_avg_last_7d": "Mean daily kg per minute over the trailing 7 days.",
+    "gold_counter_downgrade_rework_last_30d": "Downgrade exposure over the trailing 30 days.",
+    "gold_scenario_recommendations": "Per-machine upgrade or reallocation suggestions with savings.",
+}
+
+# Date partitioning of the large materialised tables (partition pruning for
+# day filters such as the trailing KPIs and event windows).
+PARTITION_COLUMNS = {
+    "silver_potato_load_quality": "arrival_date",
+    "silver_line_quality_events": "date",
+    "silver_oee_events": "date",
+    "gold_line_hourly_quality": "date",
+    "gold_cost_exposure": "date",
+}
+
+
+def materialize(layers: Layers, base_path: str, database: str | None = None) -> dict[str, str]:
+    """Write silver, rebuild gold on the written silver tables, write gold.
+
+    ``base_path`` is a folder every executor can read (on a cluster, the
+    shared storage the job is configured with).  Returns table -> name."""
+    from plantlens.sources.sinks import save_table
+
+    spark = layers.spark
+    names = {}
+    for name, df in layers.silver_tables().items():
+        names[name] = save_table(spark, df, name, database, f"{base_path.rstrip('/')}/{name}",
+                                 TABLE_COMMENTS.get(name), PARTITION_COLUMNS.get(name))
+    written = Layers(spark, layers.raw, layers.as_of)
+    for name in names:
+        written._cache[name] = spark.table(names[name])
+    for name, df in written.gold_tables().items():
+        names[name] = save_table(spark, df, name, database, f"{base_path.rstrip('/')}/{name}",
+                                 TABLE_COMMENTS.get(name), PARTITION_COLUMNS.get(name))
+    return names

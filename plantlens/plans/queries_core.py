@@ -1,11 +1,11 @@
-"""Registered queries for the 22 pipeline tables."""
+"""Registered queries for the 22 silver and gold tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plantlens.oracle.pipeline_sql import KPI_SQL
-from plantlens.plans.pipeline import from_test_tables
+from plantlens.oracle.layers_sql import KPI_SQL
+from plantlens.plans.layers import from_test_tables
 from plantlens.plans.registry import MONEY, RATIO, register
 
 SHARES = {f"fry_color_{i}_share": RATIO for i in range(5)}

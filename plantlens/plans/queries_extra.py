@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantlens.plans import scenario, signals, transcripts
-from plantlens.plans.pipeline import from_test_tables
+from plantlens.plans.layers import from_test_tables
 from plantlens.plans.registry import MONEY, RATIO, register
 from plantlens.sources.readers import read_table
 

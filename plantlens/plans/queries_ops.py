@@ -15,7 +15,7 @@ from plantlens.functions.timestamps import iso_utc_ms, native_ms, parse_iso_time
 from plantlens.operators.joins import price_intervals
 from plantlens.operators.windows import running_sums, trailing_window
 from plantlens.plans import gold
-from plantlens.plans.pipeline import from_test_tables
+from plantlens.plans.layers import from_test_tables
 from plantlens.plans.queries_core import LOAD_DIGITS
 from plantlens.plans.registry import MONEY, RATIO, register
 from plantlens.session import checkpoint_dir

@@ -8,7 +8,7 @@ stream over the same rows must give the same table.
 
 from __future__ import annotations
 
-from plantlens.plans.pipeline import from_test_tables
+from plantlens.plans.layers import from_test_tables
 from plantlens.plans.queries_core import HOURLY_DIGITS
 from plantlens.plans.queries_extra import EPISODES_SQL
 from plantlens.plans.registry import RATIO, register

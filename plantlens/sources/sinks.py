@@ -69,11 +69,11 @@ def save_raw(df: DataFrame, name: str, base_path: str, num_files: int = 5,
 
 
 def save_table(spark: SparkSession, df: DataFrame, name: str, database: str | None = None,
-               path: str | None = None, comment: str | None = None) -> str:
+               path: str | None = None, comment: str | None = None,
+               partition_by: str | None = None) -> str:
     """Create-or-replace a parquet table (optionally at an explicit
-    path), creating the database if missing, and attach a comment.
-
-    Returns the qualified table name."""
+    path and partitioned by a column), creating the database if missing, and
+    attach a comment.  Returns the qualified table name."""
     qualified = name
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -81,20 +81,10 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, database: str | No
     w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
+    if partition_by:
+        w = w.partitionBy(partition_by)
     w.saveAsTable(qualified)
     if comment is not None:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"ALTER TABLE {qualified} SET TBLPROPERTIES ('comment' = '{text}')")
     return qualified
-
-
-def save_layer(spark: SparkSession, tables: dict[str, DataFrame], base_path: str,
-               database: str | None = None, comments: dict[str, str] | None = None) -> dict[str, str]:
-    """Materialise a layer: every table written under ``base_path`` (a
-    shared folder on a cluster) and registered, in the given order, so later
-    layers read files instead of recomputing lineage."""
-    out = {}
-    for name, df in tables.items():
-        out[name] = save_table(spark, df, name, database, f"{base_path.rstrip('/')}/{name}",
-                               (comments or {}).get(name))
-    return out

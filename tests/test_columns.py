@@ -99,7 +99,7 @@ def test_sanitize_name_rules(spark):
 
 
 def test_path_leaf_name(spark):
-    rows = [("/Volumes/cat/sch/vol/my docs/",), ("/a/b/file.v1",), ("plain",)]
+    rows = [("/data/shared/docs/my docs/",), ("/a/b/file.v1",), ("plain",)]
     df = spark.createDataFrame(rows, "p string")
     assert _one(df.select(C.path_leaf_name("p").alias("x")), "x") == ["my_docs", "file_v1", "plain"]
 

@@ -45,7 +45,7 @@ def test_entry_smoke(spark):
 
 
 def test_colour_shares_sum_to_one(spark, small_dir):
-    from plantlens.plans.pipeline import from_test_tables
+    from plantlens.plans.layers import from_test_tables
 
     e = from_test_tables(spark, small_dir).events()
     tot = sum(F.col(f"fry_color_{i}_share") for i in range(5))
@@ -57,7 +57,7 @@ def test_colour_shares_sum_to_one(spark, small_dir):
 
 def test_price_intervals_disjoint(spark, small_dir):
     from plantlens.operators.joins import interval_days, price_intervals
-    from plantlens.plans.pipeline import from_test_tables
+    from plantlens.plans.layers import from_test_tables
 
     days = interval_days(price_intervals(from_test_tables(spark, small_dir).costs(), "2025-12-31"))
     dup = days.groupBy("region", "variety", "dm_band", "date").count().filter("count > 1").count()
