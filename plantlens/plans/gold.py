@@ -185,7 +185,7 @@ def oee_daily_by_code(oee: DataFrame) -> DataFrame:
     )
 
 
-def change_alignment(hourly: DataFrame, oee: DataFrame) -> DataFrame:
+def change_alignment(hourly: DataFrame, oee: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """G17 (J2): quality readings aligned with the day's OEE activity on their line.
 
     The reference joins every reading to every OEE row of the same day and
@@ -194,9 +194,12 @@ def change_alignment(hourly: DataFrame, oee: DataFrame) -> DataFrame:
     minutes, so a reading meets at most one row per downtime code pair, a
     number fixed by the code list rather than by the data.  Summing
     ``duration_min``/``downtime_min`` over this table gives the same totals
-    as over the reference's.
+    as over the reference's.  The reduced OEE side (days x lines x codes) is
+    broadcast behind the row check, so the readings are never shuffled; past
+    the bound it is a shuffle join on (day, plant, line), where AQE splits a
+    hot day-line.
     """
-    o = oee_daily_by_code(oee)
+    o = bounded_broadcast(oee_daily_by_code(oee), max_rows)
     return hourly.select(
         "date", "hour", "plant_name", "plant_line", "product_name", "dry_solids_pct",
         "under_quality_flag", "over_quality_flag",

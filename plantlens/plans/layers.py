@@ -141,6 +141,18 @@ class Layers:
         }
 
 
+def from_raw_folder(spark: SparkSession, base_path: str, as_of: str = DEFAULT_AS_OF) -> Layers:
+    """Layers over raw tables stored as ``{base_path}/raw_<name>/*.parquet``
+    (the raw sink's layout).  Each folder is read with its declared schema;
+    timestamps stored as ISO text are parsed back, 'NaT' becoming NULL."""
+    from plantlens.sources.readers import read_parquet_dir
+    from plantlens.sources.schemas import RAW_SCHEMAS
+
+    raw = {name: read_parquet_dir(spark, f"{base_path.rstrip('/')}/{name}", schema)
+           for name, schema in RAW_SCHEMAS.items()}
+    return Layers(spark, raw, as_of)
+
+
 def from_test_tables(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Layers:
     """Layers over the raw stand-ins projected from the shared test tables."""
     return Layers(spark, standins.raw_tables(spark, sf_dir), as_of)
