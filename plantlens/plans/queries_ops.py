@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plantlens.functions import columns as C
 from plantlens.functions.timestamps import iso_utc_ms, native_ms, parse_iso_timestamp, try_timestamp
-from plantlens.operators.joins import price_intervals
+from plantlens.operators.joins import bounded_broadcast, price_intervals
 from plantlens.operators.windows import running_sums, trailing_window
 from plantlens.plans import gold
 from plantlens.plans.layers import from_test_tables
@@ -204,7 +204,7 @@ def j4(spark, sf_dir):
     """Loads fanned out to the distinct thresholds of their plant."""
     p = _P(spark, sf_dir)
     t = gold.spec_thresholds(p.specs())
-    j = p.loads().select("plant_name", "tons").join(F.broadcast(t), "plant_name", "left")
+    j = p.loads().select("plant_name", "tons").join(bounded_broadcast(t), "plant_name", "left")
     return j.groupBy("plant_name", "product_name").agg(F.count(F.lit(1)).alias("n_rows"),
                                                        F.sum("tons").alias("tons"))
 
