@@ -62,6 +62,28 @@ def line_hourly_quality(events: DataFrame, specs: DataFrame, tolerance: float =
     )
 
 
+def reading_quality(events: DataFrame, specs: DataFrame, tolerance: float = C.FLAG_TOLERANCE_PP,
+                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """G11 at reading grain (H2 option): each reading once, flagged when any
+    line making its product would flag it.
+
+    A line flags ``under`` when dm < its min - tol, so some line does iff
+    dm < max(min) - tol over the lines; likewise ``over`` iff dm > min(max) +
+    tol.  The spec side is reduced to that envelope per (plant, product) and
+    broadcast, so readings are neither fanned out nor shuffled."""
+    env = (specs.groupBy("plant_id", "plant_name", "product_name")
+           .agg(F.max("min_dry_matter_pct").alias("min_dry_matter_pct"),
+                F.min("max_dry_matter_pct").alias("max_dry_matter_pct")))
+    j = events.join(bounded_broadcast(env, max_rows), ["plant_id", "plant_name", "product_name"], "left")
+    return j.select(
+        "datetime", "date", "hour", "week_start", "plant_id", "plant_name", "product_name", "variety",
+        "total_defect_points", "dry_solids_pct", *[f"fry_color_{i}_share" for i in range(5)],
+        "min_dry_matter_pct", "max_dry_matter_pct",
+        C.below("dry_solids_pct", "min_dry_matter_pct", tolerance).alias("under_quality_flag"),
+        C.above("dry_solids_pct", "max_dry_matter_pct", tolerance).alias("over_quality_flag"),
+    )
+
+
 def quality_weekly(hourly: DataFrame) -> DataFrame:
     """G12 (A1-A3): weekly plant aggregates, dominant colour class, breach hours."""
     avgs = [F.avg(f"fry_color_{i}_share") for i in range(5)]
@@ -110,7 +132,8 @@ def loads_priced(loads: DataFrame, costs: DataFrame, open_end: str = PRICE_OPEN_
 
 
 def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
-                  open_end: str = PRICE_OPEN_END, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  open_end: str = PRICE_OPEN_END, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                  share_by_products: bool = False) -> DataFrame:
     """G14 (W1 J3 J4 J5 A5 A6 A12 S11): daily exposure per plant and product.
 
     Same numbers as the reference's per-load sums, planned for scale:
@@ -125,11 +148,17 @@ def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
         F.sum("tons").alias("tons"),
         F.count(dm).alias("n_dm"),
     )
-    t = bounded_broadcast(spec_thresholds(specs), max_rows)
+    thresholds = spec_thresholds(specs)
+    if share_by_products:
+        # H3 option: a load's tons are split evenly over the plant's products
+        # instead of being counted once per product.
+        n = thresholds.groupBy("plant_name").agg(F.count(F.lit(1)).alias("n_products"))
+        thresholds = thresholds.join(n, "plant_name")
+    t = bounded_broadcast(thresholds, max_rows)
     j = pre.join(t, "plant_name", "left")
     k = regional_param(F.col("region"), 1)
     loss = regional_param(F.col("region"), 2)
-    tons = F.col("tons")
+    tons = F.col("tons") / F.coalesce(F.col("n_products"), F.lit(1)) if share_by_products else F.col("tons")
     spend_rate = F.coalesce(F.col("price_usd_per_ton"),
                             k * F.greatest(dm - F.lit(SPEND_FALLBACK_DM_BASE), F.lit(0.0)))
     over = F.when(dm > F.col("max_dry_matter_pct"), dm - F.col("max_dry_matter_pct")).otherwise(F.lit(0.0))
@@ -143,19 +172,21 @@ def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
     )
 
 
-def cumulative_costs(exposure: DataFrame, revenue: DataFrame) -> DataFrame:
+def cumulative_costs(exposure: DataFrame, revenue: DataFrame, all_days: bool = False) -> DataFrame:
     """G15 (A7 A8 J6 W2-W4): running spend, waste and margin per region.
 
     Both sides are reduced to (date, region) before the join and the window,
     so the window partitions hold one row per day.  Cost-first LEFT JOIN:
-    revenue on a day without cost is not counted (H14, parity).
+    revenue on a day without cost is not counted (H14, parity);
+    ``all_days=True`` keeps every day with cost or revenue.
     """
     cost_daily = (exposure.withColumn("region", C.region_of("plant_name"))
                   .groupBy("date", "region")
                   .agg(F.sum("raw_potato_spend_usd").alias("spend_usd"),
                        F.sum("over_quality_waste_usd").alias("over_quality_waste_usd")))
     rev_daily = revenue.groupBy("date", "region").agg(F.sum("net_sales_usd").alias("revenue_usd"))
-    j = cost_daily.join(rev_daily, ["date", "region"], "left")
+    # all_days (H14 option): a day with revenue but no cost is kept too.
+    j = cost_daily.join(rev_daily, ["date", "region"], "full" if all_days else "left")
     r = running_sums(j, ["region"], ["date"], {
         "cumulative_spend_usd": "spend_usd",
         "cumulative_over_quality_waste_usd": "over_quality_waste_usd",

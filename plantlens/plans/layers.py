@@ -73,6 +73,9 @@ class Layers:
     def hourly(self):
         return self._memo("gold_line_hourly_quality", lambda: gold.line_hourly_quality(self.events(), self.specs()))
 
+    def readings(self):
+        return self._memo("gold_reading_quality", lambda: gold.reading_quality(self.events(), self.specs()))
+
     def weekly(self):
         return self._memo("gold_quality_weekly", lambda: gold.quality_weekly(self.hourly()))
 
