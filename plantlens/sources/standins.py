@@ -12,6 +12,8 @@ dimension tables that are generated from ``spark.range``.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,7 +128,11 @@ def line_quality_events_from(events: DataFrame) -> DataFrame:
 
 def oee_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run segments and downtime: events of type purchase/error."""
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "error"))
+    return oee_events_from(read_table(spark, sf_dir, "events"))
+
+
+def oee_events_from(events: DataFrame) -> DataFrame:
+    ev = events.filter(F.col("event_type").isin("purchase", "error"))
     eid = F.col("event_id")
     plant_id = (F.col("user_id") % 4 + 1).cast("int")
     duration = (600 + (eid * 7919) % 17400).cast("bigint")
@@ -155,7 +161,10 @@ def oee_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One potato load per lineitem row."""
-    li = read_table(spark, sf_dir, "lineitem")
+    return load_quality_from(read_table(spark, sf_dir, "lineitem"))
+
+
+def load_quality_from(li: DataFrame) -> DataFrame:
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     plant_id = (sk % 4 + 1).cast("int")
     plant_name = plant_name_of(plant_id)
@@ -202,7 +211,10 @@ def variety_costs(spark: SparkSession) -> DataFrame:
 
 def line_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One machine per part row."""
-    p = read_table(spark, sf_dir, "part")
+    return line_equipment_from(read_table(spark, sf_dir, "part"))
+
+
+def line_equipment_from(p: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     plant_id = (pk % 4 + 1).cast("int")
     return p.select(
@@ -218,7 +230,10 @@ def line_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    return revenue_by_line_from(read_table(spark, sf_dir, "orders"))
+
+
+def revenue_by_line_from(o: DataFrame) -> DataFrame:
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     plant_id = (ck % 4 + 1).cast("int")
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
@@ -238,7 +253,10 @@ def revenue_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    return product_demand_from(read_table(spark, sf_dir, "orders"))
+
+
+def product_demand_from(o: DataFrame) -> DataFrame:
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     return o.select(
@@ -253,15 +271,46 @@ def product_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight raw stand-ins, keyed like the reference's raw tables."""
-    return {
-        "raw_product_specifications": product_specs(spark),
-        "raw_line_equipment": line_equipment(spark, sf_dir),
-        "raw_potato_load_quality": load_quality(spark, sf_dir),
-        "raw_oee_events": oee_events(spark, sf_dir),
-        "raw_line_quality_events": line_quality_events(spark, sf_dir),
-        "raw_variety_costs": variety_costs(spark),
-        "raw_revenue_by_line": revenue_by_line(spark, sf_dir),
-        "raw_product_demand": product_demand(spark, sf_dir),
+class RawTables(Mapping):
+    """The eight raw stand-ins, each built on first access.
+
+    Building a stand-in opens its source table (file listing and footer
+    read); a query that needs two raw tables should not pay for all five
+    sources, and two stand-ins over the same source share one read."""
+
+    BUILDERS = {
+        "raw_product_specifications": lambda spark, read: product_specs(spark),
+        "raw_line_equipment": lambda spark, read: line_equipment_from(read("part")),
+        "raw_potato_load_quality": lambda spark, read: load_quality_from(read("lineitem")),
+        "raw_oee_events": lambda spark, read: oee_events_from(read("events")),
+        "raw_line_quality_events": lambda spark, read: line_quality_events_from(read("events")),
+        "raw_variety_costs": lambda spark, read: variety_costs(spark),
+        "raw_revenue_by_line": lambda spark, read: revenue_by_line_from(read("orders")),
+        "raw_product_demand": lambda spark, read: product_demand_from(read("orders")),
     }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._sources: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame] = {}
+
+    def _read(self, name: str) -> DataFrame:
+        if name not in self._sources:
+            self._sources[name] = read_table(self.spark, self.sf_dir, name)
+        return self._sources[name]
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._built:
+            self._built[key] = self.BUILDERS[key](self.spark, self._read)
+        return self._built[key]
+
+    def __iter__(self):
+        return iter(self.BUILDERS)
+
+    def __len__(self) -> int:
+        return len(self.BUILDERS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    """All eight raw stand-ins, keyed like the reference's raw tables (lazy)."""
+    return RawTables(spark, sf_dir)
