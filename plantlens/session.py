@@ -60,5 +60,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/plantlens-checkpoi
     if not d:
         d = fallback
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)      # for DataFrame.checkpoint()
+    except Exception:                               # no SparkContext (e.g. a Connect session)
+        pass
     return d
