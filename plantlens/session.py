@@ -54,14 +54,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/plantlens-checkpoints") -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) is a fallback set.
-    """
+    The setting is only read, never overwritten (it cannot change at
+    runtime).  Only when it is absent (local tests) is the fallback used."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:                           # no SparkContext (e.g. a Connect session)
+            d = None
     if not d:
         d = fallback
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)      # for DataFrame.checkpoint()
-    except Exception:                               # no SparkContext (e.g. a Connect session)
-        pass
+        try:
+            spark.sparkContext.setCheckpointDir(d)  # for DataFrame.checkpoint()
+        except Exception:
+            pass
     return d
