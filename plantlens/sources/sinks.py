@@ -70,14 +70,22 @@ def save_raw(df: DataFrame, name: str, base_path: str, num_files: int = 5,
 
 def save_table(spark: SparkSession, df: DataFrame, name: str, database: str | None = None,
                path: str | None = None, comment: str | None = None,
-               partition_by: str | None = None) -> str:
-    """Create-or-replace a parquet table (optionally at an explicit
+               partition_by: str | None = None, catalog: str | None = None) -> str:
+    """Create-or-replace a parquet table (optionally at an explicit
     path and partitioned by a column), creating the database if missing, and
-    attach a comment.  Returns the qualified table name."""
-    qualified = name
+    attach a comment.  ``catalog`` gives a three-part name for a configured
+    catalog.  When a path is given the database is located beside it, so
+    nothing is written under the driver's working folder.  Returns the
+    qualified table name."""
+    qualified = f"`{name}`"
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        qualified = f"`{database}`.`{name}`"
+        db = f"`{catalog}`.`{database}`" if catalog else f"`{database}`"
+        location = ""
+        if path:
+            parent = path.rstrip("/").rsplit("/", 1)[0]
+            location = f" LOCATION '{parent}/_databases/{database}.db'"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{location}")
+        qualified = f"{db}.`{name}`"
     w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
