@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plantlens.oracle.layers_sql import KPI_SQL, OPTION_SQL
+from plantlens.oracle.layers_sql import dominant_class_sql, KPI_SQL, OPTION_SQL
 from plantlens.plans import gold
 from plantlens.plans.layers import from_test_tables
 from plantlens.plans.registry import MONEY, RATIO, register
@@ -195,12 +195,7 @@ def g11_readings(spark, sf_dir):
 @register("g12_weekly_reading_grain",
           oracle="""SELECT week_start, plant_name, AVG(dry_solids_pct) AS avg_dry_solids_pct,
   AVG(total_defect_points) AS avg_defect_points,
-  CASE
-    WHEN AVG(fry_color_0_share) >= greatest(AVG(fry_color_1_share), AVG(fry_color_2_share), AVG(fry_color_3_share), AVG(fry_color_4_share)) THEN 0
-    WHEN AVG(fry_color_1_share) >= greatest(AVG(fry_color_0_share), AVG(fry_color_2_share), AVG(fry_color_3_share), AVG(fry_color_4_share)) THEN 1
-    WHEN AVG(fry_color_2_share) >= greatest(AVG(fry_color_0_share), AVG(fry_color_1_share), AVG(fry_color_3_share), AVG(fry_color_4_share)) THEN 2
-    WHEN AVG(fry_color_3_share) >= greatest(AVG(fry_color_0_share), AVG(fry_color_1_share), AVG(fry_color_2_share), AVG(fry_color_4_share)) THEN 3
-    ELSE 4 END AS fry_color_class_mode,
+  """ + dominant_class_sql([f"AVG(fry_color_{i}_share)" for i in range(5)]) + """ AS fry_color_class_mode,
   CAST(count_if(under_quality_flag) AS BIGINT) AS hours_under_quality,
   CAST(count_if(over_quality_flag) AS BIGINT) AS hours_over_quality
 FROM (""" + OPTION_SQL["reading_quality"] + """) GROUP BY week_start, plant_name""",
