@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-
 from plantlens.plans import gold, silver, signals
 from plantlens.sources.schemas import LINE_QUALITY_EVENTS, PRODUCT_SPECS
 
