@@ -83,23 +83,38 @@ def asof_price_join(loads: DataFrame, costs: DataFrame, open_end: str,
     """LEFT join each load to the price in force on its day.
 
     Same rows as ``l.key = p.key AND l.date >= p.effective_date AND
-    l.date < p.next_effective_date``.  The day table is keyed by (key, day) and
-    bounded by keys x days, independent of the load count; it is broadcast
-    when under the row bound, otherwise joined by shuffle on the full
-    (key, day) key, where AQE can split a hot day.
+    l.date < p.next_effective_date``.  Three plans, cheapest first, chosen by
+    bounded row checks on the price side (the load side is never counted):
+
+    1. the per-day table (keys x covered days, one price per key and day)
+       fits the bound: broadcast it, equi-join on (key, day), O(1) probe;
+    2. else the non-empty intervals fit (a long price history has far fewer
+       intervals than days): broadcast them, equi-join on the key with the
+       date range as the join condition;
+    3. else shuffle-join the per-day table on the full (key, day) key, where
+       AQE can split a hot day.
+    The loads are only shuffled in case 3.
     """
-    days = interval_days(price_intervals(costs, open_end, keys), keys, out_date=load_date)
-    return loads.join(bounded_broadcast(days, max_rows), [*keys, load_date], "left")
+    intervals = price_intervals(costs, open_end, keys)
+    days = interval_days(intervals, keys, out_date=load_date)
+    if days.limit(max_rows + 1).count() <= max_rows:
+        return loads.join(F.broadcast(days), [*keys, load_date], "left")
+    non_empty = intervals.filter(F.col("next_effective_date") > F.col("effective_date"))
+    if non_empty.limit(max_rows + 1).count() <= max_rows:
+        return _range_join(loads, F.broadcast(non_empty), keys, load_date)
+    return loads.join(days, [*keys, load_date], "left")
+
+
+def _range_join(loads: DataFrame, intervals: DataFrame, keys, load_date: str) -> DataFrame:
+    p = intervals.select(*[F.col(k).alias(f"_p_{k}") for k in keys], "effective_date", "next_effective_date",
+                         "price_usd_per_ton")
+    cond = [F.col(k) == F.col(f"_p_{k}") for k in keys] + [
+        F.col(load_date) >= F.col("effective_date"), F.col(load_date) < F.col("next_effective_date")]
+    return loads.join(p, cond, "left").select(*loads.columns, "price_usd_per_ton")
 
 
 def asof_price_join_range(loads: DataFrame, costs: DataFrame, open_end: str,
                           keys=("region", "variety", "dm_band"), load_date: str = "date") -> DataFrame:
-    """J3, literal form: equi-join on the keys with the range as a residual
-    condition.  Kept for comparison; :func:`asof_price_join` is the default."""
-    p = price_intervals(costs, open_end, keys).alias("p")
-    cond = [F.col(f"l.{k}") == F.col(f"p.{k}") for k in keys] + [
-        F.col(f"l.{load_date}") >= F.col("p.effective_date"),
-        F.col(f"l.{load_date}") < F.col("p.next_effective_date"),
-    ]
-    return (loads.alias("l").join(p, cond, "left")
-            .select("l.*", F.col("p.price_usd_per_ton")))
+    """J3, literal form: equi-join on the keys with the range as the join
+    condition, no broadcast hint.  Kept as a reference plan for tests."""
+    return _range_join(loads, price_intervals(costs, open_end, keys), keys, load_date)

@@ -87,3 +87,17 @@ def test_running_sums_non_decreasing(spark):
     na = [x["cum"] for x in r if x["region"] == "NA"]
     assert na == sorted(na) and na[-1] == sum(range(1, 20))
     assert [x["cum"] for x in r if x["region"] == "EU"] == [2.0, 4.0, 6.0, 8.0]
+
+
+def test_asof_tiers_agree(spark):
+    """The three plans of asof_price_join give the same rows."""
+    loads, costs = _loads(spark), _costs(spark)
+    want = sorted(asof_price_join(loads, costs, "2025-12-31").select("id", "price_usd_per_ton").collect())
+    # bound below the day table (about 180 rows) but above the intervals: broadcast range join
+    tier2 = asof_price_join(loads, costs, "2025-12-31", max_rows=50)
+    # bound below both: shuffle join on (key, day)
+    tier3 = asof_price_join(loads, costs, "2025-12-31", max_rows=1)
+    assert sorted(tier2.select("id", "price_usd_per_ton").collect()) == want
+    assert sorted(tier3.select("id", "price_usd_per_ton").collect()) == want
+    plan2 = tier2._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan2 or "BroadcastNestedLoopJoin" in plan2
