@@ -297,24 +297,33 @@ def x3_tools(spark, sf_dir):
 
 
 X4_SQL = """
-SELECT conv_id, string_agg(text, '' ORDER BY turn) AS content,
-  arg_max(request_id, CASE WHEN request_id IS NOT NULL THEN turn END) AS request_id, COUNT(*) AS n_deltas
-FROM (SELECT *, CASE WHEN role = 'assistant' THEN 'req-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) END
-             AS request_id FROM conversations)
-GROUP BY conv_id
+SELECT conv_id, turn, string_agg(content, '' ORDER BY seq) AS content,
+  arg_max(request_id, CASE WHEN request_id IS NOT NULL THEN seq END) AS request_id, COUNT(*) AS n_deltas
+FROM (SELECT conv_id, turn, seq, CASE WHEN seq > 0 THEN ' ' || word ELSE word END AS content,
+             CASE WHEN seq % 50 = 0 THEN 'req-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)
+                                         || '-' || CAST(seq // 50 AS VARCHAR) END AS request_id
+      FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word,
+                   CAST(generate_subscripts(string_split(text, ' '), 1) - 1 AS INTEGER) AS seq
+            FROM conversations WHERE role = 'assistant'))
+GROUP BY conv_id, turn
 """
 
 
 def _deltas(spark, sf_dir):
-    c = _conversations(spark, sf_dir)
-    return c.withColumn("request_id", F.when(F.col("role") == "assistant", F.concat_ws(
-        "-", F.lit("req"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))))
+    """Completion deltas of every assistant response: its words in order; every
+    50th delta carries a request id (the stream reports ids now and then)."""
+    c = _conversations(spark, sf_dir).filter(F.col("role") == "assistant")
+    d = transcripts.word_chunks(c, keys=("conv_id", "turn"))
+    rid = F.concat_ws("-", F.lit("req"), F.col("conv_id").cast("string"), F.col("turn").cast("string"),
+                      F.floor(F.col("seq") / 50).cast("string"))
+    return d.withColumn("request_id", F.when(F.col("seq") % 50 == 0, rid))
 
 
 @register("x4_completion_fold", oracle=X4_SQL)
 def x4(spark, sf_dir):
-    """Completion deltas concatenated per stream with the last request id."""
-    return transcripts.fold_completion_deltas(_deltas(spark, sf_dir))
+    """Completion deltas concatenated per response, with the last request id seen."""
+    return transcripts.fold_completion_deltas(_deltas(spark, sf_dir), keys=("conv_id", "turn"), seq="seq",
+                                              content="content")
 
 
 X5_STREAM_SQL = """

@@ -83,10 +83,11 @@ def line_tool_chunks(messages: DataFrame) -> DataFrame:
 
 # ---- X4: completion deltas ------------------------------------------------
 
-def fold_completion_deltas(deltas: DataFrame, key: str = "conv_id", seq: str = "turn",
-                           content: str = "text", request_id: str = "request_id") -> DataFrame:
-    """Concatenated deltas per stream and the last request id seen."""
-    return deltas.groupBy(key).agg(
+def fold_completion_deltas(deltas: DataFrame, keys=("conv_id", "turn"), seq: str = "seq",
+                           content: str = "content", request_id: str = "request_id") -> DataFrame:
+    """Concatenated deltas per streamed completion and the last request id
+    seen.  The group is one completion, i.e. exactly one output text."""
+    return deltas.groupBy(*keys).agg(
         ordered_concat(seq, content).alias("content"),
         F.max_by(request_id, F.when(F.col(request_id).isNotNull(), F.col(seq))).alias("request_id"),
         F.count(F.lit(1)).alias("n_deltas"),

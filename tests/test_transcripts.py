@@ -90,9 +90,9 @@ def test_tool_call_fold(spark):
 
 
 def test_completion_fold_last_request_id(spark):
-    rows = [(1, 0, "Hel", None), (1, 1, "lo", "r1"), (1, 2, "!", "r2"), (1, 3, "", None)]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, text string, request_id string")
-    r = X.fold_completion_deltas(df).collect()[0]
+    rows = [(1, 3, 0, "Hel", None), (1, 3, 1, "lo", "r1"), (1, 3, 2, "!", "r2"), (1, 3, 3, "", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, seq int, content string, request_id string")
+    r = X.fold_completion_deltas(df.repartition(3)).collect()[0]
     assert (r.content, r.request_id) == ("Hello!", "r2")
 
 
