@@ -80,9 +80,10 @@ def initcap_trim(c: Column | str) -> Column:
 def load_arrival_date(load_number: Column | str) -> Column:
     """yyyyMMdd between dashes, else a stable pseudo-random day in a
     114-day range from Murmur3 ``hash`` (widened before ABS: ABS(INT_MIN)
-    raises under ANSI)."""
+    raises under ANSI).  Eight digits that are not a calendar day give NULL
+    instead of failing the job (TO_DATE raises under ANSI)."""
     c = _col(load_number)
-    parsed = F.to_date(F.regexp_extract(c, LOAD_DATE_PATTERN, 1), "yyyyMMdd")
+    parsed = F.try_to_timestamp(F.regexp_extract(c, LOAD_DATE_PATTERN, 1), F.lit("yyyyMMdd")).cast("date")
     fallback = F.date_add(F.lit(LOAD_DATE_FALLBACK_START).cast("date"),
                           (F.abs(F.hash(c).cast("bigint")) % LOAD_DATE_FALLBACK_DAYS).cast("int"))
     return F.when(c.rlike(LOAD_DATE_PATTERN), parsed).otherwise(fallback)

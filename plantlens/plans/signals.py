@@ -44,7 +44,7 @@ def parse_load_id(loads: DataFrame, col: str = "load_number") -> DataFrame:
     part = lambda i: F.when(ok, F.regexp_extract(c, LOAD_ID_PATTERN, i))
     return loads.withColumns({
         "id_plant": part(1),
-        "id_date": F.to_date(part(2), "yyyyMMdd"),
+        "id_date": F.try_to_timestamp(part(2), F.lit("yyyyMMdd")).cast("date"),
         "id_seq": part(3).cast("int"),
         "id_supplier": part(4),
     })

@@ -169,7 +169,9 @@ def load_quality_from(li: DataFrame) -> DataFrame:
     plant_id = (sk % 4 + 1).cast("int")
     plant_name = plant_name_of(plant_id)
     line_no = F.col("l_linenumber").cast("string")
-    well_formed = F.concat_ws("-", plant_name, F.date_format(_day(ok), "yyyyMMdd"), line_no,
+    day = _day(ok)
+    yyyymmdd = (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("string")
+    well_formed = F.concat_ws("-", plant_name, yyyymmdd, line_no,
                               F.concat(F.lit("S"), (sk % 12 + 1).cast("string")))
     return li.select(
         plant_id.alias("plant_id"),

@@ -55,7 +55,7 @@ def test_dominant_class_ties_and_nulls(spark):
 
 
 def test_load_arrival_date(spark):
-    ids = [("NA-ID-P01-20250812-3-S7",), ("EU-NL-P03-20250901-12-S2",), ("NA-P1-bad-3",)]
+    ids = [("NA-ID-P01-20250812-3-S7",), ("EU-NL-P03-20250901-12-S2",), ("NA-P1-bad-3",), ("EU-P4-20251399-1-S1",)]
     df = spark.createDataFrame(ids, "id string").select("id", C.load_arrival_date("id").alias("d"),
                                                         F.abs(F.hash("id").cast("bigint")).alias("h"))
     got = {r["id"]: (r["d"], r["h"]) for r in df.collect()}
@@ -63,6 +63,7 @@ def test_load_arrival_date(spark):
     assert got["EU-NL-P03-20250901-12-S2"][0] == dt.date(2025, 9, 1)
     d, h = got["NA-P1-bad-3"]
     assert d == dt.date(2025, 7, 10) + dt.timedelta(days=h % 114)
+    assert got["EU-P4-20251399-1-S1"][0] is None        # not a calendar day: NULL, not a failed job
 
 
 def test_try_timestamp_formats(spark):
