@@ -28,7 +28,8 @@ def read_parquet_dir(spark: SparkSession, path: str, schema: T.StructType | None
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: same names and order, declared types.
 
-    Missing columns become typed NULLs so older files still read.
+    Missing columns become typed NULLs so older files still read; values
+    that do not fit a declared type become NULL.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
     cols = []
@@ -40,5 +41,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif have[f.name] == f.dataType:
             cols.append(F.col(f.name))
         else:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            # try_cast: a value that does not fit the declared type becomes
+            # NULL instead of failing the whole read under ANSI.
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
     return df.select(*cols)
