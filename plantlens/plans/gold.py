@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,27 +20,26 @@ SCENARIO_CONFIDENCE = "0.6"          # G22: DECIMAL(2,1) constant
 UPGRADE_TYPE = "cutter"              # G22: equipment type that gets an upgrade
 
 
-def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """G10 (S12, F12, P13, F11): one row per day with day of week (Sunday=1),
-    weekend flag and Monday week start."""
+def _day_attributes(days: DataFrame) -> DataFrame:
+    """date -> date, day of week (Sunday = 1), weekend flag, Monday week start."""
     d = F.col("date")
-    return (spark.range(1)
-            .select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"),
-                                         F.expr("INTERVAL 1 DAY"))).alias("date"))
-            .select(d, F.dayofweek(d).alias("dow"),
-                    F.when(F.dayofweek(d).isin(1, 7), F.lit(True)).otherwise(F.lit(False)).alias("is_weekend"),
-                    C.week_start(d).alias("week_start")))
+    return days.select(d, F.dayofweek(d).alias("dow"),
+                       F.when(F.dayofweek(d).isin(1, 7), F.lit(True)).otherwise(F.lit(False)).alias("is_weekend"),
+                       C.week_start(d).alias("week_start"))
+
+
+def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
+    """G10 (S12, F12, P13, F11): one row per day between two fixed dates."""
+    days = spark.range(1).select(F.explode(F.sequence(
+        F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("INTERVAL 1 DAY"))).alias("date"))
+    return _day_attributes(days)
 
 
 def date_spine_between(df: DataFrame, date_col: str = "date") -> DataFrame:
     """G10 over data: spine from the first to the last date present in ``df``.
-    Bounds are scalar subqueries; the spine itself is generated, not scanned."""
+    The bounds are one aggregate; the spine itself is generated, not scanned."""
     bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    d = F.col("date")
-    return (bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
-            .select(d, F.dayofweek(d).alias("dow"),
-                    F.when(F.dayofweek(d).isin(1, 7), F.lit(True)).otherwise(F.lit(False)).alias("is_weekend"),
-                    C.week_start(d).alias("week_start")))
+    return _day_attributes(bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date")))
 
 
 def line_hourly_quality(events: DataFrame, specs: DataFrame, tolerance: float = C.FLAG_TOLERANCE_PP,
@@ -282,7 +279,3 @@ def scenario_recommendations(equipment: DataFrame) -> DataFrame:
         F.concat(F.lit("Based on equipment age and throughput vs rated for "), F.col("equipment_id"))
         .alias("rationale"),
     )
-
-
-def as_date(d) -> _dt.date:
-    return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))
