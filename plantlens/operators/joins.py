@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +17,25 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      persist: bool = False) -> DataFrame:
     """Hint ``df`` for broadcast only after proving it has at most ``max_rows``.
 
     The proof is ``limit(max_rows + 1).count()``: a bounded job that stops
     reading as soon as the bound is exceeded, so it stays cheap even when the
-    side is unexpectedly huge.
+    side is unexpectedly huge.  When ``df`` is an aggregate of a large table
+    (the count cannot stop early), ``persist=True`` keeps the counted rows so
+    the broadcast does not compute the aggregate a second time; the kept
+    copy is dropped again when the bound fails.
     """
+    if persist:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    if persist:
+        df.unpersist()
+    return df
 
 
 def spec_join(events: DataFrame, specs: DataFrame,

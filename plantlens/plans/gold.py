@@ -227,7 +227,7 @@ def change_alignment(hourly: DataFrame, oee: DataFrame, max_rows: int = DEFAULT_
     the bound it is a shuffle join on (day, plant, line), where AQE splits a
     hot day-line.
     """
-    o = bounded_broadcast(oee_daily_by_code(oee), max_rows)
+    o = bounded_broadcast(oee_daily_by_code(oee), max_rows, persist=True)
     return hourly.select(
         "date", "hour", "plant_name", "plant_line", "product_name", "dry_solids_pct",
         "under_quality_flag", "over_quality_flag",
