@@ -14,6 +14,11 @@ REGION_PREFIXES = [("NA-", "NA"), ("EU-", "EU")]        # P7: plant name prefix
 DM_BAND_LABELS = ["<=21%", "21-22%", "22-23%", ">=23%"]  # P9: band labels, edges 21 / 22 / 23
 FLAG_TOLERANCE_PP = 0.3                                  # P11: flag tolerance in points
 LOAD_DATE_PATTERN = ".*-([0-9]{8})-.*"                   # F6: yyyyMMdd between dashes
+# Same matches as LOAD_DATE_PATTERN with less backtracking: RLIKE searches,
+# so the test needs no '.*' around it, and the trailing '.*' never changes
+# group 1 (the greedy leading '.*' still picks the last date in the id).
+LOAD_DATE_TEST = "-[0-9]{8}-"
+LOAD_DATE_EXTRACT = ".*-([0-9]{8})-"
 LOAD_DATE_FALLBACK_START = "2025-07-10"                  # F9: fallback date base
 LOAD_DATE_FALLBACK_DAYS = 114                            # F9: fallback date modulus
 
@@ -83,10 +88,10 @@ def load_arrival_date(load_number: Column | str) -> Column:
     raises under ANSI).  Eight digits that are not a calendar day give NULL
     instead of failing the job (TO_DATE raises under ANSI)."""
     c = _col(load_number)
-    parsed = F.try_to_timestamp(F.regexp_extract(c, LOAD_DATE_PATTERN, 1), F.lit("yyyyMMdd")).cast("date")
+    parsed = F.try_to_timestamp(F.regexp_extract(c, LOAD_DATE_EXTRACT, 1), F.lit("yyyyMMdd")).cast("date")
     fallback = F.date_add(F.lit(LOAD_DATE_FALLBACK_START).cast("date"),
                           (F.abs(F.hash(c).cast("bigint")) % LOAD_DATE_FALLBACK_DAYS).cast("int"))
-    return F.when(c.rlike(LOAD_DATE_PATTERN), parsed).otherwise(fallback)
+    return F.when(c.rlike(LOAD_DATE_TEST), parsed).otherwise(fallback)
 
 
 def week_start(c: Column | str) -> Column:

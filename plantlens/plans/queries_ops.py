@@ -402,7 +402,7 @@ SELECT NULL, COUNT(*) FROM silver_potato_load_quality WHERE NOT regexp_matches(l
 def f6(spark, sf_dir):
     """arrival day parsed from the id; ids without a date counted apart."""
     l = _P(spark, sf_dir).loads()
-    ok = F.col("load_number").rlike(C.LOAD_DATE_PATTERN)
+    ok = F.col("load_number").rlike(C.LOAD_DATE_TEST)
     parsed = l.filter(ok).groupBy("arrival_date").agg(F.count(F.lit(1)).alias("n_loads"))
     rest = l.filter(~ok).agg(F.count(F.lit(1)).alias("n_loads")).select(
         F.lit(None).cast("date").alias("arrival_date"), "n_loads")
@@ -415,7 +415,7 @@ WHERE NOT regexp_matches(load_number, '^.*-[0-9]{8}-.*$') GROUP BY load_number,
 def f9(spark, sf_dir):
     """fallback day ABS(HASH(id)) % 114 for ids without a date."""
     l = _P(spark, sf_dir).loads()
-    return (l.filter(~F.col("load_number").rlike(C.LOAD_DATE_PATTERN))
+    return (l.filter(~F.col("load_number").rlike(C.LOAD_DATE_TEST))
             .groupBy("load_number", "arrival_date").agg(F.count(F.lit(1)).alias("n_loads")))
 
 
