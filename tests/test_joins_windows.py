@@ -101,3 +101,32 @@ def test_asof_tiers_agree(spark):
     assert sorted(tier3.select("id", "price_usd_per_ton").collect()) == want
     plan2 = tier2._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan2 or "BroadcastNestedLoopJoin" in plan2
+
+
+def test_cumulative_costs_missing_days(spark):
+    """A cost day without revenue gives a NULL margin until revenue
+    appears; a revenue day without cost is dropped (parity) or kept (all_days)."""
+    from plantlens.plans.gold import cumulative_costs
+
+    exp = spark.createDataFrame(
+        [(D(2025, 7, 10), "NA-P1", 100.0, 1.0), (D(2025, 7, 11), "NA-P1", 50.0, 2.0), (D(2025, 7, 13), "NA-P1", 10.0, 0.0)],
+        "date date, plant_name string, raw_potato_spend_usd double, over_quality_waste_usd double")
+    rev = spark.createDataFrame([(D(2025, 7, 11), "NA", 500.0), (D(2025, 7, 12), "NA", 70.0)],
+                                "date date, region string, net_sales_usd double")
+    got = {r.date: (r.cumulative_spend_usd, r.cumulative_gross_margin_usd)
+           for r in cumulative_costs(exp, rev).collect()}
+    assert got == {D(2025, 7, 10): (100.0, None), D(2025, 7, 11): (150.0, 350.0), D(2025, 7, 13): (160.0, 340.0)}
+    every = {r.date: (r.cumulative_spend_usd, r.cumulative_gross_margin_usd)
+             for r in cumulative_costs(exp, rev, all_days=True).collect()}
+    assert every[D(2025, 7, 12)] == (150.0, 420.0)
+    assert every[D(2025, 7, 13)] == (160.0, 410.0)
+
+
+def test_date_spine_week(spark):
+    """one week including a Sunday: Sunday = 1, Saturday = 7, Monday week start."""
+    from plantlens.plans.gold import date_spine
+
+    rows = date_spine(spark, "2025-07-10", "2025-07-16").orderBy("date").collect()
+    assert [r.dow for r in rows] == [5, 6, 7, 1, 2, 3, 4]
+    assert [r.is_weekend for r in rows] == [False, False, True, True, False, False, False]
+    assert rows[0].week_start == dt.datetime(2025, 7, 7) and rows[-1].week_start == dt.datetime(2025, 7, 14)
