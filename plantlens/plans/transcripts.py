@@ -9,7 +9,7 @@ of one output row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,56 +130,70 @@ def response_items(conversations: DataFrame) -> DataFrame:
 def flatten_items_streamed(items: DataFrame) -> DataFrame:
     """X5 (streamed): one row per non-empty output_text part of a message; a
     function call gives an assistant row with empty content; a call output a
-    tool row.  Unknown item types give no row."""
-    it = items.select("conv_id", "turn", F.from_json("item_json", ITEM).alias("it"))
-    msg = (it.filter(F.col("it.type") == "message")
-           .select("conv_id", "turn", F.posexplode_outer("it.content").alias("part_idx", "part"))
-           .filter((F.col("part.type") == "output_text") & (F.coalesce(F.col("part.text"), F.lit("")) != ""))
-           .select("conv_id", "turn", "part_idx", F.lit("assistant").alias("role"),
-                   F.col("part.text").alias("content"), *_no_tool()))
-    call = (it.filter(F.col("it.type") == "function_call")
-            .select("conv_id", "turn", F.lit(0).alias("part_idx"), F.lit("assistant").alias("role"),
-                    F.lit("").alias("content"), F.col("it.call_id").alias("tool_call_id"),
-                    F.col("it.name").alias("tool_name"),
-                    F.coalesce(F.col("it.arguments"), F.lit("")).alias("tool_arguments")))
-    out = (it.filter(F.col("it.type") == "function_call_output")
-           .select("conv_id", "turn", F.lit(0).alias("part_idx"), F.lit("tool").alias("role"),
-                   F.coalesce(F.col("it.output"), F.lit("")).alias("content"),
-                   F.col("it.call_id").alias("tool_call_id"), F.lit(None).cast("string").alias("tool_name"),
-                   F.lit(None).cast("string").alias("tool_arguments")))
-    return msg.unionByName(call).unionByName(out)
+    tool row.  Unknown item types give no row.
+
+    One pass: each item becomes an array of its output rows, then a single
+    explode (the JSON is parsed once)."""
+    out_t = ("struct<part_idx:int,role:string,content:string,tool_call_id:string,"
+             "tool_name:string,tool_arguments:string>")
+    none = F.lit(None).cast("string")
+    it = F.from_json("item_json", ITEM)
+    typ = it["type"]
+    parts = F.filter(
+        F.transform(F.coalesce(it["content"], F.array().cast(T.ArrayType(PART))), lambda p, i: F.struct(
+            i.alias("part_idx"), F.lit("assistant").alias("role"), p["text"].alias("content"),
+            none.alias("tool_call_id"), none.alias("tool_name"), none.alias("tool_arguments"),
+            p["type"].alias("_type"))),
+        lambda r: (r["_type"] == "output_text") & (F.coalesce(r["content"], F.lit("")) != ""))
+    parts = F.transform(parts, lambda r: F.struct(r["part_idx"], r["role"], r["content"], r["tool_call_id"],
+                                                  r["tool_name"], r["tool_arguments"]))
+    call = F.array(F.struct(F.lit(0).alias("part_idx"), F.lit("assistant").alias("role"), F.lit("").alias("content"),
+                            it["call_id"].alias("tool_call_id"), it["name"].alias("tool_name"),
+                            F.coalesce(it["arguments"], F.lit("")).alias("tool_arguments")))
+    output = F.array(F.struct(F.lit(0).alias("part_idx"), F.lit("tool").alias("role"),
+                              F.coalesce(it["output"], F.lit("")).alias("content"),
+                              it["call_id"].alias("tool_call_id"), none.alias("tool_name"), none.alias("tool_arguments")))
+    rows = (F.when(typ == "message", parts).when(typ == "function_call", call)
+            .when(typ == "function_call_output", output).otherwise(F.array().cast(f"array<{out_t}>")))
+    return items.select("conv_id", "turn", F.explode(rows).alias("r")).select("conv_id", "turn", "r.*")
 
 
 def flatten_items_joined(items: DataFrame, request_key: str = "conv_id") -> DataFrame:
     """X5 (non-streamed): a message's output_text parts joined into one row
     (dropped when empty); a request that yields no row at all gets one
-    'No response found' assistant row."""
+    'No response found' assistant row.
+
+    One pass: a window over each request's items (one response, so bounded)
+    tells whether any item was kept, and the request's first item carries
+    the placeholder when none was."""
     it = items.select(request_key, "turn", F.from_json("item_json", ITEM).alias("it"))
     texts = F.filter("it.content", lambda p: p["type"] == "output_text")
     joined = F.array_join(F.transform(texts, lambda p: F.coalesce(p["text"], F.lit(""))), "")
+    typ = F.col("it.type")
     rows = it.select(
-        request_key, "turn",
-        F.when(F.col("it.type") == "function_call_output", F.lit("tool")).otherwise(F.lit("assistant")).alias("role"),
-        F.when(F.col("it.type") == "message", joined)
-        .when(F.col("it.type") == "function_call", F.lit(""))
-        .when(F.col("it.type") == "function_call_output", F.coalesce(F.col("it.output"), F.lit("")))
-        .alias("content"),
-        F.when(F.col("it.type").isin("function_call", "function_call_output"), F.col("it.call_id"))
-        .alias("tool_call_id"),
-        F.col("it.type").alias("item_type"),
-    ).filter(F.col("item_type").isin("message", "function_call", "function_call_output")
-             & ~((F.col("item_type") == "message") & (F.col("content") == "")))
-    empty = (items.select(request_key).distinct()
-             .join(rows.select(request_key).distinct(), request_key, "left_anti")
-             .select(request_key, F.lit(None).cast(items.schema["turn"].dataType).alias("turn"),
-                     F.lit("assistant").alias("role"), F.lit(NO_RESPONSE_TEXT).alias("content"),
-                     F.lit(None).cast("string").alias("tool_call_id"), F.lit("message").alias("item_type")))
-    return rows.unionByName(empty)
-
-
-def _no_tool():
-    return [F.lit(None).cast("string").alias("tool_call_id"), F.lit(None).cast("string").alias("tool_name"),
-            F.lit(None).cast("string").alias("tool_arguments")]
+        request_key, "turn", typ.alias("item_type"),
+        F.when(typ == "function_call_output", F.lit("tool")).otherwise(F.lit("assistant")).alias("role"),
+        F.when(typ == "message", joined).when(typ == "function_call", F.lit(""))
+        .when(typ == "function_call_output", F.coalesce(F.col("it.output"), F.lit(""))).alias("content"),
+        F.when(typ.isin("function_call", "function_call_output"), F.col("it.call_id")).alias("tool_call_id"),
+    )
+    kept = (F.col("item_type").isin("message", "function_call", "function_call_output")
+            & ~((F.col("item_type") == "message") & (F.col("content") == "")))
+    req = Window.partitionBy(request_key)
+    marked = rows.withColumn("kept", F.coalesce(kept, F.lit(False))).withColumns({
+        "any_kept": F.max("kept").over(req),
+        "first": F.row_number().over(req.orderBy("turn")) == 1,
+    })
+    none = ~F.col("any_kept")
+    out = marked.filter(F.col("kept") | (none & F.col("first")))
+    return out.select(
+        request_key,
+        F.when(none, F.lit(None).cast(items.schema["turn"].dataType)).otherwise(F.col("turn")).alias("turn"),
+        F.when(none, F.lit("assistant")).otherwise(F.col("role")).alias("role"),
+        F.when(none, F.lit(NO_RESPONSE_TEXT)).otherwise(F.col("content")).alias("content"),
+        F.when(none, F.lit(None).cast("string")).otherwise(F.col("tool_call_id")).alias("tool_call_id"),
+        F.when(none, F.lit("message")).otherwise(F.col("item_type")).alias("item_type"),
+    )
 
 
 # ---- X6: chat history -> request items ------------------------------------
