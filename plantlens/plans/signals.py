@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,8 +66,9 @@ def story_signals(events: DataFrame, loads: DataFrame, oee: DataFrame,
                   w: EventWindow = EventWindow()) -> DataFrame:
     """The four QA signals as rows (signal, mean_a, mean_b, n).
 
-    One aggregate pass per source table with conditional aggregates, then a
-    union of the three one-row results (no join of single rows)."""
+    One aggregate pass per source table with conditional aggregates; each
+    one-row result is exploded into its signal rows and the three are
+    unioned (no join of single rows, no table read twice)."""
     ts = F.col("datetime")
     over = in_window(ts, w) & (F.col("plant_name") == w.over_plant) & (F.col("product_name") == w.over_product)
     under = in_window(ts, w) & (F.col("plant_name") == w.under_plant) & (F.col("product_name") == w.under_product)
@@ -85,14 +87,17 @@ def story_signals(events: DataFrame, loads: DataFrame, oee: DataFrame,
             & (F.col("downtime_cat_1") != "run"))
     oe = oee.agg(F.count_if(down).alias("d_n"))
     none = F.lit(None).cast("double")
-    return (ev.select(F.lit("over_quality_dm").alias("signal"), F.col("o_a").alias("mean_a"),
-                      none.alias("mean_b"), F.col("o_n").alias("n"))
-            .unionByName(ev.select(F.lit("under_quality_dm_defects").alias("signal"), F.col("u_a").alias("mean_a"),
-                                   F.col("u_b").alias("mean_b"), F.col("u_n").alias("n")))
-            .unionByName(ld.select(F.lit("supplier_dm_after_tranche").alias("signal"), F.col("s_a").alias("mean_a"),
-                                   none.alias("mean_b"), F.col("s_n").alias("n")))
-            .unionByName(oe.select(F.lit("downtime_events_in_window").alias("signal"), none.alias("mean_a"),
-                                   none.alias("mean_b"), F.col("d_n").alias("n"))))
+
+    def row(signal, a, b, n):
+        return F.struct(F.lit(signal).alias("signal"), a.alias("mean_a"), b.alias("mean_b"), n.alias("n"))
+
+    # Each table is aggregated once; its single row fans out to its signals.
+    ev_rows = ev.select(F.explode(F.array(
+        row("over_quality_dm", F.col("o_a"), none, F.col("o_n")),
+        row("under_quality_dm_defects", F.col("u_a"), F.col("u_b"), F.col("u_n")))).alias("r")).select("r.*")
+    ld_rows = ld.select(row("supplier_dm_after_tranche", F.col("s_a"), none, F.col("s_n")).alias("r")).select("r.*")
+    oe_rows = oe.select(row("downtime_events_in_window", none, none, F.col("d_n")).alias("r")).select("r.*")
+    return ev_rows.unionByName(ld_rows).unionByName(oe_rows)
 
 
 def signed_deviation(hourly: DataFrame, tol: float = C.FLAG_TOLERANCE_PP) -> Column:
@@ -189,25 +194,39 @@ def oee_parts(hourly: DataFrame, oee: DataFrame) -> DataFrame:
 
 
 def code_drift_correlation(hourly: DataFrame, oee: DataFrame) -> DataFrame:
-    """Per plant and downtime code, Pearson correlation over days between
-    the code's downtime minutes and the plant's flagged-reading share.
-    Days where the plant has readings but no downtime of the code count 0."""
+    """Per plant and downtime code, Pearson correlation over the plant's
+    reading days between the code's downtime minutes (0 on days without it)
+    and the day's flagged-reading share.
+
+    Computed from sufficient statistics instead of a days x codes grid: the
+    per-plant sums of y and y^2 over its days, and the per-(plant, code)
+    sums of x, x^2 and xy over the days the code occurred (zero days add
+    nothing to them).  One aggregate per source and one join of two small
+    aggregates; a constant series gives NULL rather than a divide error.
+    """
+    # One row per (day, plant): kept so both uses below share one pass over
+    # the readings (Spark does not reuse the exchange across the two uses).
     q = hourly.groupBy("date", "plant_name").agg(
         (F.count_if(F.col("under_quality_flag") | F.col("over_quality_flag")) / F.count(F.lit(1)))
-        .alias("flagged_share"))
+        .alias("y")).persist(StorageLevel.MEMORY_AND_DISK)
+    per_plant = q.groupBy("plant_name").agg(
+        F.count(F.lit(1)).alias("n_days"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"))
     codes = oee.filter(F.col("downtime_cat_1") != "run").groupBy("date", "plant_name", "downtime_cat_2").agg(
-        F.sum("downtime_min").alias("downtime_min"))
-    code_list = codes.select("plant_name", "downtime_cat_2").distinct()
-    grid = q.join(code_list, "plant_name")          # days x codes of the same plant (codes are few)
-    g = grid.join(codes, ["date", "plant_name", "downtime_cat_2"], "left").fillna({"downtime_min": 0.0})
-    x, y = F.col("downtime_min"), F.col("flagged_share")
-    return g.groupBy("plant_name", "downtime_cat_2").agg(
-        F.count(F.lit(1)).alias("n_days"),
-        # Pearson r as covar / (sd * sd); under ANSI F.corr raises on a
-        # constant series, try_divide gives NULL instead.
-        F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0),
-               F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))).alias("corr_downtime_flagged"),
-    )
+        F.sum("downtime_min").alias("x"))
+    # Left join: a code seen only on days without readings still gets a row
+    # (all its sums 0, so a NULL correlation), as in the grid formulation.
+    on_days = codes.join(q, ["date", "plant_name"], "left")
+    x_on = F.when(F.col("y").isNotNull(), F.col("x"))
+    per_code = on_days.groupBy("plant_name", "downtime_cat_2").agg(
+        F.sum(x_on).alias("sx"), F.sum(x_on * x_on).alias("sxx"), F.sum(x_on * F.col("y")).alias("sxy"))
+    j = per_code.join(per_plant, "plant_name")
+    n = F.col("n_days").cast("double")
+    sx, sxx, sxy = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("sx", "sxx", "sxy"))
+    vx = n * sxx - sx * sx
+    vy = n * F.col("syy") - F.col("sy") * F.col("sy")
+    cov = n * sxy - sx * F.col("sy")
+    return j.select("plant_name", "downtime_cat_2", "n_days",
+                    F.when((vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(vx * vy))).alias("corr_downtime_flagged"))
 
 
 def reallocation(loads: DataFrame, high_dm: float = 23.0, low_dm: float = 21.0) -> DataFrame:
