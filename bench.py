@@ -3,6 +3,8 @@
 Runs each query's whole plan into Spark's ``noop`` sink (full execution, no
 driver collect), once to warm up and once timed, on ``local[$BENCH_CPUS]``
 over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1).  Prints one JSON line.
+``$BENCH_EVENT_LOG`` (a folder) turns on Spark's event log for
+``scripts/stage_times.py``.
 """
 
 from __future__ import annotations
@@ -40,7 +42,12 @@ def main() -> None:
     import __spark_entry__ as E
     from plantlens.session import build_session
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG")      # optional: stage/task times for scripts/stage_times.py
+    if log_dir:
+        os.makedirs(log_dir, exist_ok=True)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus), extra=extra)
     qs = E.queries()
     times = {}
     for key in keys:
