@@ -12,22 +12,57 @@ import datetime as _dt
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dimension side above this many rows is never hinted for broadcast.
+# A side is hinted for broadcast only under both bounds: at most this many
+# rows, and at most DEFAULT_BROADCAST_BYTES by the schema's estimated width.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+_STRING_WIDTH = 48        # assumed average bytes of a string value (keys and labels)
+
+
+def estimated_row_bytes(dtype: T.DataType) -> int:
+    """Rough in-memory width of one value of ``dtype`` (strings assumed short)."""
+    if isinstance(dtype, T.StructType):
+        return sum(estimated_row_bytes(f.dataType) for f in dtype.fields) + 8
+    if isinstance(dtype, T.ArrayType):
+        return 4 * estimated_row_bytes(dtype.elementType) + 16
+    if isinstance(dtype, T.MapType):
+        return 4 * (estimated_row_bytes(dtype.keyType) + estimated_row_bytes(dtype.valueType)) + 16
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return _STRING_WIDTH
+    if isinstance(dtype, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dtype, (T.ShortType,)):
+        return 2
+    if isinstance(dtype, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dtype, T.DecimalType):
+        return 16
+    return 8
+
+
+def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    """Row bound for broadcasting ``df``: the row cap, lowered so that rows x
+    estimated width stays under the byte budget."""
+    width = max(estimated_row_bytes(df.schema), 1)
+    return max(1, min(max_rows, max_bytes // width))
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      persist: bool = False) -> DataFrame:
-    """Hint ``df`` for broadcast only after proving it has at most ``max_rows``.
-
-    The proof is ``limit(max_rows + 1).count()``: a bounded job that stops
-    reading as soon as the bound is exceeded, so it stays cheap even when the
-    side is unexpectedly huge.  When ``df`` is an aggregate of a large table
-    (the count cannot stop early), ``persist=True`` keeps the counted rows so
-    the broadcast does not compute the aggregate a second time; the kept
-    copy is dropped again when the bound fails.
+                      persist: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Hint ``df`` for broadcast only after proving it is small enough.
+
+    The bound is ``broadcast_row_bound`` (rows, lowered for wide rows) and the
+    proof is ``limit(bound + 1).count()``: a bounded job that stops reading
+    as soon as the bound is exceeded, so it stays cheap even when the side
+    is unexpectedly huge.  When ``df`` is an aggregate of a large table (the
+    count cannot stop early), ``persist=True`` keeps the counted rows so the
+    broadcast does not compute the aggregate a second time; the kept copy is
+    dropped again when the bound fails.
     """
+    max_rows = broadcast_row_bound(df, max_rows, max_bytes)
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(max_rows + 1).count()
@@ -108,10 +143,12 @@ def asof_price_join(loads: DataFrame, costs: DataFrame, open_end: str,
     """
     intervals = price_intervals(costs, open_end, keys)
     days = interval_days(intervals, keys, out_date=load_date)
-    if days.limit(max_rows + 1).count() <= max_rows:
+    bound = broadcast_row_bound(days, max_rows)
+    if days.limit(bound + 1).count() <= bound:
         return loads.join(F.broadcast(days), [*keys, load_date], "left")
     non_empty = intervals.filter(F.col("next_effective_date") > F.col("effective_date"))
-    if non_empty.limit(max_rows + 1).count() <= max_rows:
+    bound = broadcast_row_bound(non_empty, max_rows)
+    if non_empty.limit(bound + 1).count() <= bound:
         return _range_join(loads, F.broadcast(non_empty), keys, load_date)
     return loads.join(days, [*keys, load_date], "left")
 

@@ -130,3 +130,13 @@ def test_date_spine_week(spark):
     assert [r.dow for r in rows] == [5, 6, 7, 1, 2, 3, 4]
     assert [r.is_weekend for r in rows] == [False, False, True, True, False, False, False]
     assert rows[0].week_start == dt.datetime(2025, 7, 7) and rows[-1].week_start == dt.datetime(2025, 7, 14)
+
+
+def test_broadcast_bound_shrinks_for_wide_rows(spark):
+    from plantlens.operators.joins import broadcast_row_bound
+
+    narrow = spark.range(1).selectExpr("id", "cast(id as int) as k")
+    wide = spark.range(1).selectExpr("id", *[f"cast(id as string) as s{i}" for i in range(40)])
+    assert broadcast_row_bound(narrow) == 2_000_000
+    assert broadcast_row_bound(wide) < broadcast_row_bound(narrow)
+    assert broadcast_row_bound(wide, max_bytes=10_000) == 10_000 // (8 + 40 * 48 + 8)   # 5 rows
