@@ -121,7 +121,7 @@ FROM (SELECT plant_name, CASE WHEN arrival_date < DATE '{EW.tranche_start}' THEN
 
 
 @register("d2_supplier_mix", oracle=D2_MIX_SQL,
-          digits={"tons": RATIO, "avg_dry_matter_pct": RATIO, "tons_share": RATIO})
+          digits={"tons": MONEY, "avg_dry_matter_pct": RATIO, "tons_share": RATIO})
 def d2_mix(spark, sf_dir):
     """Supplier share of each plant's tons before/after the tranche date."""
     return signals.supplier_mix(from_test_tables(spark, sf_dir).loads(), EW.tranche_start)

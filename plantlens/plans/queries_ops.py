@@ -120,7 +120,7 @@ def s12(spark, sf_dir):
 
 @register("p7_region_prefix", oracle="""
 SELECT region, COUNT(*) AS n_loads, SUM(tons) AS tons FROM silver_potato_load_quality GROUP BY region""",
-          digits={"tons": RATIO})
+          digits={"tons": MONEY})
 def p7(spark, sf_dir):
     """Region from the plant-name prefix ('NA-'/'EU-', else NULL)."""
     return _P(spark, sf_dir).loads().groupBy("region").agg(F.count(F.lit(1)).alias("n_loads"),
@@ -173,7 +173,7 @@ def j1(spark, sf_dir):
 @register("j2_day_alignment", oracle="""
 SELECT plant_name, plant_line, COUNT(*) AS n_rows, CAST(SUM(oee_event_count) AS BIGINT) AS oee_events,
        SUM(downtime_min) AS downtime_min
-FROM gold_change_alignment GROUP BY plant_name, plant_line""", digits={"downtime_min": RATIO})
+FROM gold_change_alignment GROUP BY plant_name, plant_line""", digits={"downtime_min": MONEY})
 def j2(spark, sf_dir):
     """Readings joined to the day's OEE activity of their line."""
     a = _P(spark, sf_dir).alignment()
@@ -200,7 +200,7 @@ SELECT l.plant_name, t.product_name, COUNT(*) AS n_rows, SUM(l.tons) AS tons
 FROM silver_potato_load_quality l
 LEFT JOIN (SELECT DISTINCT plant_name, product_name, min_dry_matter_pct, max_dry_matter_pct
            FROM silver_product_specifications) t ON l.plant_name = t.plant_name
-GROUP BY l.plant_name, t.product_name""", digits={"tons": RATIO})
+GROUP BY l.plant_name, t.product_name""", digits={"tons": MONEY})
 def j4(spark, sf_dir):
     """Loads fanned out to the distinct thresholds of their plant."""
     p = _P(spark, sf_dir)
