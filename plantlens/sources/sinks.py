@@ -70,11 +70,14 @@ def save_raw(df: DataFrame, name: str, base_path: str, num_files: int = 5,
 
 def save_table(spark: SparkSession, df: DataFrame, name: str, database: str | None = None,
                path: str | None = None, comment: str | None = None,
-               partition_by: str | None = None, catalog: str | None = None) -> str:
+               partition_by: str | None = None, catalog: str | None = None,
+               bucket_by: tuple[int, list[str]] | None = None) -> str:
     """Create-or-replace a parquet table (optionally at an explicit
     path and partitioned by a column), creating the database if missing, and
-    attach a comment.  ``catalog`` gives a three-part name for a configured
-    catalog.  When a path is given the database is located beside it, so
+    attach a comment.  ``bucket_by=(n, cols)`` hash-buckets the rows on
+    ``cols`` (co-located reads: an aggregate or join on those keys over two
+    tables bucketed alike needs no shuffle).  ``catalog`` gives a three-part
+    name for a configured catalog.  When a path is given the database is located beside it, so
     nothing is written under the driver's working folder.  Returns the
     qualified table name."""
     qualified = f"`{name}`"
@@ -91,6 +94,9 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, database: str | No
         w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(partition_by)
+    if bucket_by:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     w.saveAsTable(qualified)
     if comment is not None:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")

@@ -133,3 +133,14 @@ def test_raw_sink_round_trip_gives_same_gold(spark, small_dir, tmp_dir):
     assert a == b
     assert a_layers.oee().filter("end_time_ts IS NOT NULL").count() == b_layers.oee().filter(
         "end_time_ts IS NOT NULL").count()
+
+
+def test_bucketed_tables_aggregate_without_shuffle(spark, small_dir, tmp_dir):
+    """The OEE table written bucketed on the line: the daily line aggregate
+    (G13) over it plans no Exchange."""
+    from plantlens.plans import gold
+    from plantlens.plans.layers import from_test_tables, materialize
+
+    names = materialize(from_test_tables(spark, small_dir), f"{tmp_dir}/lake", database="plantlens_bk", buckets=4)
+    plan = gold.oee_kpis(spark.table(names["silver_oee_events"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
