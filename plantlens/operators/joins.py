@@ -62,15 +62,23 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     broadcast does not compute the aggregate a second time; the kept copy is
     dropped again when the bound fails.
     """
-    max_rows = broadcast_row_bound(df, max_rows, max_bytes)
+    ok, df = fits_broadcast(df, max_rows, persist, max_bytes)
+    return F.broadcast(df) if ok else df
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, persist: bool = False,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[bool, DataFrame]:
+    """(whether ``df`` is under the broadcast bound, the frame to use): the
+    check behind :func:`bounded_broadcast`, for callers that plan a different
+    join when the side is too large."""
+    bound = broadcast_row_bound(df, max_rows, max_bytes)
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
+    if df.limit(bound + 1).count() <= bound:
+        return True, df
     if persist:
         df.unpersist()
-    return df
+    return False, df
 
 
 def spec_join(events: DataFrame, specs: DataFrame,
@@ -125,7 +133,7 @@ def interval_days(intervals: DataFrame, keys=("region", "variety", "dm_band"),
 
 def asof_price_join(loads: DataFrame, costs: DataFrame, open_end: str,
                     keys=("region", "variety", "dm_band"), load_date: str = "date",
-                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
     """LEFT join each load to the price in force on its day.
 
     Same rows as ``l.key = p.key AND l.date >= p.effective_date AND
@@ -138,7 +146,9 @@ def asof_price_join(loads: DataFrame, costs: DataFrame, open_end: str,
        intervals than days): broadcast them, equi-join on the key with the
        date range as the join condition;
     3. else shuffle-join the per-day table on the full (key, day) key, where
-       AQE can split a hot day.
+       AQE can split a hot day; ``salt_buckets > 0`` salts this join
+       explicitly (:func:`salted_join`) instead of relying on AQE's skew
+       thresholds.
     The loads are only shuffled in case 3.
     """
     intervals = price_intervals(costs, open_end, keys)
@@ -150,9 +160,31 @@ def asof_price_join(loads: DataFrame, costs: DataFrame, open_end: str,
     bound = broadcast_row_bound(non_empty, max_rows)
     if non_empty.limit(bound + 1).count() <= bound:
         return _range_join(loads, F.broadcast(non_empty), keys, load_date)
+    if salt_buckets > 0:
+        return salted_join(loads, days, [*keys, load_date], "left", salt_buckets)
     return loads.join(days, [*keys, load_date], "left")
 
 
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
+                buckets: int = 8) -> DataFrame:
+    """Equi-join that spreads each key of ``big`` over ``buckets`` tasks.
+
+    ``big`` rows get a salt from a hash of their own columns (deterministic,
+    so a retried task sees the same salt; no random numbers); ``small`` is
+    replicated once per salt.  A key holding a third of ``big`` then lands
+    in ``buckets`` shuffle partitions instead of one.  The small side grows
+    by ``buckets``, so use this for a many-to-few join whose small side is
+    too large to broadcast.  Same rows as ``big.join(small, keys, how)`` for
+    inner and left joins.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets))
+    b = big.withColumn("_salt", salt)
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    return b.join(s, [*keys, "_salt"], how).drop("_salt")
+
+
 def _range_join(loads: DataFrame, intervals: DataFrame, keys, load_date: str) -> DataFrame:
     p = intervals.select(*[F.col(k).alias(f"_p_{k}") for k in keys], "effective_date", "next_effective_date",
                          "price_usd_per_ton")

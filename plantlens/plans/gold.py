@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlens.functions import columns as C
-from plantlens.operators.joins import DEFAULT_BROADCAST_ROWS, asof_price_join, bounded_broadcast, spec_join
+from plantlens.operators.joins import (DEFAULT_BROADCAST_ROWS, asof_price_join, bounded_broadcast, fits_broadcast,
+                                       salted_join, spec_join)
 from plantlens.operators.windows import running_sums, trailing_sums
 
 # Fixed values that must equal the reference for right results.
@@ -213,7 +214,8 @@ def oee_daily_by_code(oee: DataFrame) -> DataFrame:
     )
 
 
-def change_alignment(hourly: DataFrame, oee: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def change_alignment(hourly: DataFrame, oee: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                     salt_buckets: int = 0) -> DataFrame:
     """G17 (J2): quality readings aligned with the day's OEE activity on their line.
 
     The reference joins every reading to every OEE row of the same day and
@@ -225,13 +227,17 @@ def change_alignment(hourly: DataFrame, oee: DataFrame, max_rows: int = DEFAULT_
     as over the reference's.  The reduced OEE side (days x lines x codes) is
     broadcast behind the row check, so the readings are never shuffled; past
     the bound it is a shuffle join on (day, plant, line), where AQE splits a
-    hot day-line.
+    hot day-line, or with ``salt_buckets`` an explicitly salted join.
     """
-    o = bounded_broadcast(oee_daily_by_code(oee), max_rows, persist=True)
-    return hourly.select(
-        "date", "hour", "plant_name", "plant_line", "product_name", "dry_solids_pct",
-        "under_quality_flag", "over_quality_flag",
-    ).join(o, ["date", "plant_name", "plant_line"], "left")
+    q = hourly.select("date", "hour", "plant_name", "plant_line", "product_name", "dry_solids_pct",
+                      "under_quality_flag", "over_quality_flag")
+    keys = ["date", "plant_name", "plant_line"]
+    small, o = fits_broadcast(oee_daily_by_code(oee), max_rows, persist=True)
+    if small:
+        return q.join(F.broadcast(o), keys, "left")
+    if salt_buckets > 0:
+        return salted_join(q, o, keys, "left", salt_buckets)
+    return q.join(o, keys, "left")
 
 
 def kpi_total_tons_30d(oee_daily: DataFrame) -> DataFrame:

@@ -140,3 +140,38 @@ def test_broadcast_bound_shrinks_for_wide_rows(spark):
     assert broadcast_row_bound(narrow) == 2_000_000
     assert broadcast_row_bound(wide) < broadcast_row_bound(narrow)
     assert broadcast_row_bound(wide, max_bytes=10_000) == 10_000 // (8 + 40 * 48 + 8)   # 5 rows
+
+
+def test_salted_join_equals_plain_join_on_a_hot_key(spark):
+    from plantlens.operators.joins import salted_join
+
+    big = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}") for i in range(3000)], "id int, k string")
+    small = spark.createDataFrame([("hot", 1.0), ("k1", 2.0), ("k4", 3.0)], "k string, v double")
+    for how in ("left", "inner"):
+        want = sorted(big.join(small, ["k"], how).collect())
+        got = salted_join(big, small, ["k"], how, buckets=8)
+        assert sorted(got.collect()) == want
+        assert got.columns == big.join(small, ["k"], how).columns
+    # the salt spreads the hot key: its rows use all 8 salts
+    salts = big.filter("k = 'hot'").select(F.pmod(F.xxhash64("id", "k"), F.lit(8)).alias("s")).distinct().count()
+    assert salts == 8
+
+
+def test_asof_salted_tier(spark):
+    loads, costs = _loads(spark), _costs(spark)
+    want = sorted(asof_price_join(loads, costs, "2025-12-31").select("id", "price_usd_per_ton").collect())
+    got = asof_price_join(loads, costs, "2025-12-31", max_rows=1, salt_buckets=4)
+    assert sorted(got.select("id", "price_usd_per_ton").collect()) == want
+
+
+def test_change_alignment_fallbacks_agree(spark, small_dir):
+    from plantlens.plans import gold
+    from plantlens.plans.layers import from_test_tables
+
+    p = from_test_tables(spark, small_dir)
+    cols = ["date", "hour", "plant_name", "plant_line", "product_name", "downtime_cat_1", "downtime_cat_2",
+            "oee_event_count"]
+    want = sorted(gold.change_alignment(p.hourly(), p.oee()).select(*cols).collect())
+    for kw in ({"max_rows": 1}, {"max_rows": 1, "salt_buckets": 4}):
+        got = gold.change_alignment(p.hourly(), p.oee(), **kw).select(*cols)
+        assert sorted(got.collect()) == want
