@@ -32,4 +32,44 @@ def rounded(body: str, digits: dict[str, int]) -> str:
     return with_ctes(f"SELECT * REPLACE ({repl}) FROM (\n{body.strip()}\n) q")
 
 
-__all__ = ["ALL_CTES", "KPI_SQL", "rounded", "with_ctes"]
+# Parquet files whose schemas (not data) type the oracle texts; the column
+# types of a query do not depend on the scale factor.
+SCHEMA_SOURCE = "/root/testdata/sf0.001"
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+_con = None
+
+
+def _describe(sql: str) -> list[tuple[str, str]]:
+    global _con
+    import duckdb
+
+    if _con is None:
+        _con = duckdb.connect()
+        for t in _TABLES:
+            _con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SCHEMA_SOURCE}/{t}.parquet')")
+    rel = _con.sql(f"SELECT * FROM ({sql}) LIMIT 0")
+    return list(zip(rel.columns, [str(t) for t in rel.types]))
+
+
+def as_text_dates(sql: str, date_fmt: str, ts_fmt: str) -> str:
+    """Wrap ``sql`` so DATE and TIMESTAMP columns come out as ISO text (the
+    Spark side renders them the same way).  Column types are found by
+    binding the query in DuckDB against the test tables' schemas; if that is
+    not possible the text is returned unchanged."""
+    try:
+        cols = _describe(sql)
+    except Exception:
+        return sql
+    repl = []
+    for name, typ in cols:
+        if typ == "DATE":
+            repl.append(f"strftime({name}, '{date_fmt}') AS {name}")
+        elif typ.startswith("TIMESTAMP"):
+            repl.append(f"strftime({name}, '{ts_fmt}') AS {name}")
+    if not repl:
+        return sql
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM (\n{sql}\n) dated"
+
+
+__all__ = ["ALL_CTES", "KPI_SQL", "as_text_dates", "rounded", "with_ctes"]

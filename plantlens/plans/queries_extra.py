@@ -53,20 +53,23 @@ def x1(spark, sf_dir):
 
 X2_SQL = f"""
 SELECT id_plant, id_supplier, COUNT(*) AS n_loads, MIN(id_date) AS first_date, MAX(id_date) AS last_date,
-       MAX(id_seq) AS max_seq
+       CAST(MAX(id_seq_int) AS DOUBLE) AS max_seq
 FROM (SELECT CASE WHEN ok THEN regexp_extract(load_number, {LOAD_ID}, 1) END AS id_plant,
              CASE WHEN ok THEN regexp_extract(load_number, {LOAD_ID}, 4) END AS id_supplier,
              CASE WHEN ok THEN CAST(try_strptime(regexp_extract(load_number, {LOAD_ID}, 2), '%Y%m%d') AS DATE) END AS id_date,
-             CASE WHEN ok THEN CAST(regexp_extract(load_number, {LOAD_ID}, 3) AS INTEGER) END AS id_seq
+             CASE WHEN ok THEN CAST(regexp_extract(load_number, {LOAD_ID}, 3) AS INTEGER) END AS id_seq_int
       FROM (SELECT *, regexp_matches(load_number, {LOAD_ID}) AS ok FROM silver_potato_load_quality))
 GROUP BY id_plant, id_supplier
 """
 
 
-@register("x2_load_id_parse", oracle=X2_SQL)
+@register("x2_load_id_parse", oracle=X2_SQL, digits={"max_seq": RATIO})
 def x2(spark, sf_dir):
-    """Plant, date, sequence and supplier parsed from every load id."""
-    return signals.load_id_summary(from_test_tables(spark, sf_dir).loads())
+    """Plant, date, sequence and supplier parsed from every load id.
+    (The sequence is NULL for malformed ids; shown as a double so every
+    client reads that NULL alike.)"""
+    df = signals.load_id_summary(from_test_tables(spark, sf_dir).loads())
+    return df.withColumn("max_seq", F.col("max_seq").cast("double"))
 
 
 # ---- D1-D7 --------------------------------------------------------------------

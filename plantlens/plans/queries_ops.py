@@ -236,17 +236,18 @@ def j6(spark, sf_dir):
 
 @register("a2_count_if", oracle="""
 SELECT week_start, plant_name, CAST(count_if(under_quality_flag) AS BIGINT) AS n_count_if,
-       CAST(SUM(CASE WHEN under_quality_flag THEN 1 ELSE 0 END) AS BIGINT) AS n_sum_case
+       CAST(SUM(CASE WHEN under_quality_flag THEN 1 ELSE 0 END) AS DOUBLE) AS n_sum_case
 FROM gold_line_hourly_quality GROUP BY week_start, plant_name
 UNION ALL
 SELECT NULL, NULL, CAST(COUNT(CASE WHEN under_quality_flag THEN 1 END) AS BIGINT),
-       CAST(SUM(CASE WHEN under_quality_flag THEN 1 ELSE 0 END) AS BIGINT)
-FROM gold_line_hourly_quality WHERE plant_name = 'no such plant'""")
+       CAST(SUM(CASE WHEN under_quality_flag THEN 1 ELSE 0 END) AS DOUBLE)
+FROM gold_line_hourly_quality WHERE plant_name = 'no such plant'""", digits={"n_sum_case": RATIO})
 def a2(spark, sf_dir):
-    """COUNT_IF vs SUM(CASE): equal on groups, 0 vs NULL on empty input."""
+    """COUNT_IF vs SUM(CASE): equal on groups, 0 vs NULL on empty input.
+    (The nullable sum is shown as a double so every client reads NULL alike.)"""
     h = _P(spark, sf_dir).hourly()
     cnt = F.count_if("under_quality_flag").alias("n_count_if")
-    sc = F.sum(F.when(F.col("under_quality_flag"), 1).otherwise(0)).cast("bigint").alias("n_sum_case")
+    sc = F.sum(F.when(F.col("under_quality_flag"), 1).otherwise(0)).cast("double").alias("n_sum_case")
     grouped = h.groupBy("week_start", "plant_name").agg(cnt, sc)
     empty = h.filter(F.col("plant_name") == "no such plant").agg(cnt, sc).select(
         F.lit(None).cast("timestamp").alias("week_start"), F.lit(None).cast("string").alias("plant_name"),

@@ -39,11 +39,16 @@ def register(key: str, oracle: str | None = None, digits: dict[str, int] | None
     return deco
 
 
+DATE_TEXT = ("yyyy-MM-dd", "%Y-%m-%d")                                  # (Spark, DuckDB)
+TIMESTAMP_TEXT = ("yyyy-MM-dd HH:mm:ss.SSSSSS", "%Y-%m-%d %H:%M:%S.%f")
+
+
 def finish(df: DataFrame, digits: dict[str, int]) -> DataFrame:
-    """Round double columns for an engine-independent value hash.
+    """Check projection: an engine-independent rendering of the result.
 
-    Every double column must be listed in ``digits`` so the oracle rounds
-    the very same set.
+    Double columns are bucketed (every one must be listed in ``digits`` so
+    the oracle rounds the very same set); dates and timestamps become ISO
+    text, which both engines print the same way whatever client reads them.
     """
     cols = []
     for f in df.schema.fields:
@@ -51,6 +56,10 @@ def finish(df: DataFrame, digits: dict[str, int]) -> DataFrame:
             if f.name not in digits:
                 raise KeyError(f"double column {f.name!r} has no rounding digits")
             cols.append(stable_round(F.col(f.name), digits[f.name]).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.date_format(f.name, DATE_TEXT[0]).alias(f.name))
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            cols.append(F.date_format(f.name, TIMESTAMP_TEXT[0]).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -68,10 +77,10 @@ def spark_query(key: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def oracle_text(key: str) -> str | None:
-    from plantlens.oracle import rounded
+    from plantlens.oracle import as_text_dates, rounded
 
     q = REGISTRY[key]
-    return None if q.oracle is None else rounded(q.oracle, q.digits)
+    return None if q.oracle is None else as_text_dates(rounded(q.oracle, q.digits), DATE_TEXT[1], TIMESTAMP_TEXT[1])
 
 
 def load_all() -> dict[str, Query]:
