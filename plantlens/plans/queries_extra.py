@@ -57,7 +57,7 @@ SELECT id_plant, id_supplier, COUNT(*) AS n_loads, MIN(id_date) AS first_date, M
 FROM (SELECT CASE WHEN ok THEN regexp_extract(load_number, {LOAD_ID}, 1) END AS id_plant,
              CASE WHEN ok THEN regexp_extract(load_number, {LOAD_ID}, 4) END AS id_supplier,
              CASE WHEN ok THEN CAST(try_strptime(regexp_extract(load_number, {LOAD_ID}, 2), '%Y%m%d') AS DATE) END AS id_date,
-             CASE WHEN ok THEN CAST(regexp_extract(load_number, {LOAD_ID}, 3) AS INTEGER) END AS id_seq_int
+             CASE WHEN ok THEN TRY_CAST(regexp_extract(load_number, {LOAD_ID}, 3) AS INTEGER) END AS id_seq_int
       FROM (SELECT *, regexp_matches(load_number, {LOAD_ID}) AS ok FROM silver_potato_load_quality))
 GROUP BY id_plant, id_supplier
 """

@@ -46,7 +46,7 @@ def parse_load_id(loads: DataFrame, col: str = "load_number") -> DataFrame:
     return loads.withColumns({
         "id_plant": part(1),
         "id_date": F.try_to_timestamp(part(2), F.lit("yyyyMMdd")).cast("date"),
-        "id_seq": part(3).cast("int"),
+        "id_seq": part(3).try_cast("int"),          # an over-long sequence -> NULL, not an ANSI error
         "id_supplier": part(4),
     })
 
