@@ -273,7 +273,7 @@ def scenario_recommendations(equipment: DataFrame) -> DataFrame:
                                  - F.col("effective_rated_throughput_tph"), F.lit(0.0)), F.lit(0.0))
     key = F.concat_ws("|", "plant_name", "plant_line", "equipment_id",
                       F.date_format("commission_date", "yyyy-MM-dd"),
-                      F.col("equipment_rated_throughput_tph").cast("decimal(18,6)").cast("string"))
+                      F.col("equipment_rated_throughput_tph").try_cast("decimal(18,6)").cast("string"))
     return equipment.select(
         F.concat(F.lit("REC-"), F.substring(F.md5(key), 1, 16)).alias("recommendation_id"),
         F.when(F.col("equipment_type") == UPGRADE_TYPE, F.lit("equipment_upgrade"))
