@@ -131,29 +131,36 @@ def loads_priced(loads: DataFrame, costs: DataFrame, open_end: str = PRICE_OPEN_
 
 def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
                   open_end: str = PRICE_OPEN_END, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                  share_by_products: bool = False) -> DataFrame:
+                  share_by_products: bool = False, pre_aggregate: bool = False) -> DataFrame:
     """G14 (W1 J3 J4 J5 A5 A6 A12 S11): daily exposure per plant and product.
 
-    Same numbers as the reference's per-load sums, planned for scale:
-    loads are first combined per (date, plant, region, dry matter, price),
-    the only per-load values the sums depend on, so the x products fan-out
-    (J4, H3) and the final shuffle see one row per distinct combination
-    instead of one per load.
+    Plan: loads get their price (as-of join, no load shuffle), fan out to
+    their plant's products through a broadcast of the distinct thresholds
+    (map side), and are reduced by a partial aggregate keyed by (day,
+    plant, region, product).  The only shuffle carries one partial row per
+    group and task, whatever the distribution of the loads.
+
+    ``pre_aggregate=True`` first combines loads per (day, plant, region,
+    dry matter, price) -- the only per-load values the sums depend on -- so
+    the fan-out runs on fewer rows.  That pays off when dry matter is
+    recorded to a fixed precision (few distinct values) and costs a shuffle
+    of nearly every load when it is not, hence off by default.
+    ``share_by_products=True`` (H3 option) splits a load's tons evenly over
+    the plant's products instead of counting them once per product.
     """
     lp = loads_priced(loads, costs, open_end, max_rows)
     dm = F.col("dry_matter_pct")
-    pre = lp.groupBy("date", "plant_name", "region", "dry_matter_pct", "price_usd_per_ton").agg(
-        F.sum("tons").alias("tons"),
-        F.count(dm).alias("n_dm"),
-    )
+    if pre_aggregate:
+        lp = lp.groupBy("date", "plant_name", "region", "dry_matter_pct", "price_usd_per_ton").agg(
+            F.sum("tons").alias("tons"), F.count(dm).alias("n_dm"))
+        dm_sum, dm_n = F.sum(dm * F.col("n_dm")), F.sum("n_dm")
+    else:
+        dm_sum, dm_n = F.sum(dm), F.count(dm)
     thresholds = spec_thresholds(specs)
     if share_by_products:
-        # H3 option: a load's tons are split evenly over the plant's products
-        # instead of being counted once per product.
         n = thresholds.groupBy("plant_name").agg(F.count(F.lit(1)).alias("n_products"))
         thresholds = thresholds.join(n, "plant_name")
-    t = bounded_broadcast(thresholds, max_rows)
-    j = pre.join(t, "plant_name", "left")
+    j = lp.join(bounded_broadcast(thresholds, max_rows), "plant_name", "left")
     k = regional_param(F.col("region"), 1)
     loss = regional_param(F.col("region"), 2)
     tons = F.col("tons") / F.coalesce(F.col("n_products"), F.lit(1)) if share_by_products else F.col("tons")
@@ -163,7 +170,7 @@ def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
     under = F.when(dm < F.col("min_dry_matter_pct"), F.col("min_dry_matter_pct") - dm).otherwise(F.lit(0.0))
     return j.groupBy("date", "plant_name", "region", "product_name").agg(
         F.sum(tons).alias("tons_processed"),
-        C.safe_ratio(F.sum(dm * F.col("n_dm")), F.sum("n_dm")).alias("avg_dry_matter_pct"),
+        C.safe_ratio(dm_sum, dm_n).alias("avg_dry_matter_pct"),
         F.sum(spend_rate * tons).alias("raw_potato_spend_usd"),
         F.sum(over * k * tons).alias("over_quality_waste_usd"),
         F.sum(under * loss * tons).alias("downgrade_rework_exposure_usd"),

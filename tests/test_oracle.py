@@ -75,3 +75,16 @@ def test_result_independent_of_partitioning(spark, small_dir):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
+
+
+def test_exposure_pre_aggregation_gives_the_same_table(spark, small_dir):
+    from plantlens.plans import gold
+    from plantlens.plans.layers import from_test_tables
+    from plantlens.plans.registry import finish
+
+    p = from_test_tables(spark, small_dir)
+    digits = {"tons_processed": 6, "avg_dry_matter_pct": 6, "raw_potato_spend_usd": 2,
+              "over_quality_waste_usd": 2, "downgrade_rework_exposure_usd": 2}
+    a = finish(gold.cost_exposure(p.loads(), p.costs(), p.specs()), digits)
+    b = finish(gold.cost_exposure(p.loads(), p.costs(), p.specs(), pre_aggregate=True), digits)
+    assert sorted(a.collect()) == sorted(b.collect())
