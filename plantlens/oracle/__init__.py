@@ -32,22 +32,50 @@ def rounded(body: str, digits: dict[str, int]) -> str:
     return with_ctes(f"SELECT * REPLACE ({repl}) FROM (\n{body.strip()}\n) q")
 
 
-# Parquet files whose schemas (not data) type the oracle texts; the column
+# Folders whose parquet schemas (not data) type the oracle texts; the column
 # types of a query do not depend on the scale factor.
-SCHEMA_SOURCE = "/root/testdata/sf0.001"
+SCHEMA_SOURCES = ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"]
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
            "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+# The test tables' published schemas (TESTDATA.md, FIXTURES.md), used as empty
+# tables when no parquet folder is at hand.
+_DDL = {
+    "part": "p_partkey BIGINT, p_name VARCHAR, p_brand VARCHAR, p_type VARCHAR, p_size INTEGER, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus VARCHAR, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP, o_orderpriority VARCHAR",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INTEGER, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag VARCHAR, "
+                "l_linestatus VARCHAR, l_shipdate TIMESTAMP",
+    "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR",
+    "conversations": "conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR",
+    "labels": "doc_id BIGINT, quality INTEGER, toxic INTEGER",
+    "pages": "page_id BIGINT, url VARCHAR, html VARCHAR",
+    "documents": "doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT",
+}
 _con = None
 
 
-def _describe(sql: str) -> list[tuple[str, str]]:
-    global _con
+def _schema_connection():
+    import os
+
     import duckdb
 
+    con = duckdb.connect()
+    for folder in SCHEMA_SOURCES:
+        if all(os.path.exists(f"{folder}/{t}.parquet") for t in _DDL):
+            for t in _TABLES:
+                if os.path.exists(f"{folder}/{t}.parquet"):
+                    con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
+            return con
+    for t, cols in _DDL.items():
+        con.execute(f"CREATE TABLE {t} ({cols})")
+    return con
+
+
+def _describe(sql: str) -> list[tuple[str, str]]:
+    global _con
     if _con is None:
-        _con = duckdb.connect()
-        for t in _TABLES:
-            _con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SCHEMA_SOURCE}/{t}.parquet')")
+        _con = _schema_connection()
     rel = _con.sql(f"SELECT * FROM ({sql}) LIMIT 0")
     return list(zip(rel.columns, [str(t) for t in rel.types]))
 
