@@ -144,3 +144,14 @@ def test_bucketed_tables_aggregate_without_shuffle(spark, small_dir, tmp_dir):
     names = materialize(from_test_tables(spark, small_dir), f"{tmp_dir}/lake", database="plantlens_bk", buckets=4)
     plan = gold.oee_kpis(spark.table(names["silver_oee_events"]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_cli_materialises_all_tables(spark, small_dir, tmp_dir, capsys):
+    from plantlens.__main__ import main
+
+    main(["--test-tables", small_dir, "--out", f"{tmp_dir}/lake", "--database", "plantlens_cli"])
+    printed = [line.split("\t") for line in capsys.readouterr().out.strip().splitlines()]
+    assert len(printed) == 22
+    for table, name in printed:
+        assert os.path.isdir(f"{tmp_dir}/lake/{table}")
+        assert spark.table(name).columns
