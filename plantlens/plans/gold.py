@@ -122,16 +122,17 @@ def spec_thresholds(specs: DataFrame) -> DataFrame:
 
 
 def loads_priced(loads: DataFrame, costs: DataFrame, open_end: str = PRICE_OPEN_END,
-                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
     """Loads with the price in force on their arrival date."""
     l = loads.select(F.col("arrival_date").alias("date"), "plant_name", "region", "variety",
                      "dm_band", "tons", "dry_matter_pct")
-    return asof_price_join(l, costs, open_end, load_date="date", max_rows=max_rows)
+    return asof_price_join(l, costs, open_end, load_date="date", max_rows=max_rows, salt_buckets=salt_buckets)
 
 
 def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
                   open_end: str = PRICE_OPEN_END, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                  share_by_products: bool = False, pre_aggregate: bool = False) -> DataFrame:
+                  share_by_products: bool = False, pre_aggregate: bool = False,
+                  salt_buckets: int = 0) -> DataFrame:
     """G14 (W1 J3 J4 J5 A5 A6 A12 S11): daily exposure per plant and product.
 
     Plan: loads get their price (as-of join, no load shuffle), fan out to
@@ -148,7 +149,7 @@ def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
     ``share_by_products=True`` (H3 option) splits a load's tons evenly over
     the plant's products instead of counting them once per product.
     """
-    lp = loads_priced(loads, costs, open_end, max_rows)
+    lp = loads_priced(loads, costs, open_end, max_rows, salt_buckets)
     dm = F.col("dry_matter_pct")
     if pre_aggregate:
         lp = lp.groupBy("date", "plant_name", "region", "dry_matter_pct", "price_usd_per_ton").agg(

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plantlens.operators.joins import DEFAULT_BROADCAST_ROWS
 from plantlens.plans import gold, silver
 from plantlens.sources import standins
 
@@ -22,10 +23,18 @@ SPINE_START, SPINE_END = "2025-07-10", "2025-10-31"
 
 
 class Layers:
-    """Lazily built silver and gold tables over a dict of raw DataFrames."""
+    """Lazily built silver and gold tables over a dict of raw DataFrames.
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF):
+    Plan options for large runs: ``max_rows`` bounds every hinted broadcast,
+    ``salt_buckets`` salts the joins that fall back to a shuffle past that
+    bound, ``pre_aggregate`` combines loads before the product fan-out of
+    the cost exposure (see ``gold.cost_exposure``).
+    """
+
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF,
+                 max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0, pre_aggregate: bool = False):
         self.spark, self.raw, self.as_of = spark, raw, as_of
+        self.max_rows, self.salt_buckets, self.pre_aggregate = max_rows, salt_buckets, pre_aggregate
         self._cache: dict[str, DataFrame] = {}
 
     def _memo(self, name, fn):
@@ -71,10 +80,12 @@ class Layers:
         return self._memo("gold_date_spine", lambda: gold.date_spine(self.spark, SPINE_START, SPINE_END))
 
     def hourly(self):
-        return self._memo("gold_line_hourly_quality", lambda: gold.line_hourly_quality(self.events(), self.specs()))
+        return self._memo("gold_line_hourly_quality",
+                          lambda: gold.line_hourly_quality(self.events(), self.specs(), max_rows=self.max_rows))
 
     def readings(self):
-        return self._memo("gold_reading_quality", lambda: gold.reading_quality(self.events(), self.specs()))
+        return self._memo("gold_reading_quality",
+                          lambda: gold.reading_quality(self.events(), self.specs(), max_rows=self.max_rows))
 
     def weekly(self):
         return self._memo("gold_quality_weekly", lambda: gold.quality_weekly(self.hourly()))
@@ -83,8 +94,9 @@ class Layers:
         return self._memo("gold_oee_kpis", lambda: gold.oee_kpis(self.oee()))
 
     def exposure(self):
-        return self._memo("gold_cost_exposure",
-                          lambda: gold.cost_exposure(self.loads(), self.costs(), self.specs()))
+        return self._memo("gold_cost_exposure", lambda: gold.cost_exposure(
+            self.loads(), self.costs(), self.specs(), max_rows=self.max_rows, pre_aggregate=self.pre_aggregate,
+            salt_buckets=self.salt_buckets))
 
     def cumulative(self):
         return self._memo("gold_cumulative_costs", lambda: gold.cumulative_costs(self.exposure(), self.revenue()))
@@ -93,7 +105,8 @@ class Layers:
         return self._memo("gold_line_daily_metrics", lambda: gold.line_daily_metrics(self.hourly()))
 
     def alignment(self):
-        return self._memo("gold_change_alignment", lambda: gold.change_alignment(self.hourly(), self.oee()))
+        return self._memo("gold_change_alignment", lambda: gold.change_alignment(
+            self.hourly(), self.oee(), max_rows=self.max_rows, salt_buckets=self.salt_buckets))
 
     def kpi_tons(self):
         return gold.kpi_total_tons_30d(self.oee_daily())
@@ -217,7 +230,7 @@ def materialize(layers: Layers, base_path: str, database: str | None = None,
     names = {}
     for name, df in layers.silver_tables().items():
         names[name] = _save(spark, df, name, database, base_path, buckets)
-    written = Layers(spark, layers.raw, layers.as_of)
+    written = Layers(spark, layers.raw, layers.as_of, layers.max_rows, layers.salt_buckets, layers.pre_aggregate)
     for name in names:
         written._cache[name] = spark.table(names[name])
     for name, df in written.gold_tables().items():
