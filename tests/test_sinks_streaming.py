@@ -155,3 +155,18 @@ def test_cli_materialises_all_tables(spark, small_dir, tmp_dir, capsys):
     for table, name in printed:
         assert os.path.isdir(f"{tmp_dir}/lake/{table}")
         assert spark.table(name).columns
+
+
+def test_conform_missing_and_wider_columns(spark, tmp_dir):
+    """A raw folder written without one declared column and with a wider
+    integer type reads with the declared schema: typed NULLs, narrowed values,
+    and a value that does not fit becomes NULL instead of failing."""
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(1, 5_000_000_000), (2, 7)], "plant_id bigint, effective_actual_weight bigint")
+    df.write.mode("overwrite").parquet(f"{tmp_dir}/raw_loads")
+    schema = T.StructType([T.StructField("plant_id", T.IntegerType()),
+                           T.StructField("effective_actual_weight", T.IntegerType()),
+                           T.StructField("VarietyLabel", T.StringType())])
+    rows = sorted(read_parquet_dir(spark, f"{tmp_dir}/raw_loads", schema).collect())
+    assert [tuple(r) for r in rows] == [(1, None, None), (2, 7, None)]
