@@ -64,3 +64,39 @@ def test_upgrade_ranking_per_line(spark):
     assert got["EQ-2"] == (2, 5000.0, 20.0)
     assert got["EQ-3"] == (3, 0.0, None)         # nothing lost: no payback
     assert got["EQ-4"] == (1, 0.0, None)         # missing effective value counts as no loss
+
+
+def test_oee_parts_full_join_days(spark):
+    hourly = spark.createDataFrame(
+        [(D(2025, 8, 1), "NA-P1", "L1", True, False), (D(2025, 8, 1), "NA-P1", "L1", False, False),
+         (D(2025, 8, 2), "NA-P1", "L1", False, False)],
+        "date date, plant_name string, plant_line string, under_quality_flag boolean, over_quality_flag boolean")
+    oee = spark.createDataFrame(
+        [(D(2025, 8, 1), "NA-P1", "L1", 100.0, 25.0, 500.0), (D(2025, 8, 3), "NA-P1", "L1", 60.0, 0.0, 60.0)],
+        "date date, plant_name string, plant_line string, duration_min double, downtime_min double, qty_packed double")
+    got = {r.date: (r.availability, r.performance_kg_per_min, r.quality)
+           for r in signals.oee_parts(hourly, oee).collect()}
+    assert got[D(2025, 8, 1)] == (0.75, 5.0, 0.5)
+    assert got[D(2025, 8, 2)] == (None, None, 1.0)       # readings, no OEE rows
+    assert got[D(2025, 8, 3)] == (1.0, 1.0, None)        # OEE rows, no readings
+
+
+def test_supplier_mix_shares_sum_to_one(spark):
+    rows = [("NA-P1", "NA-P1-20250801-1-S1", D(2025, 8, 1), 10.0, 22.0),
+            ("NA-P1", "NA-P1-20250801-2-S2", D(2025, 8, 1), 30.0, 23.0),
+            ("NA-P1", "NA-P1-bad-3", D(2025, 8, 1), 10.0, 21.0),
+            ("NA-P1", "NA-P1-20250820-1-S2", D(2025, 8, 20), 5.0, 24.0)]
+    loads = spark.createDataFrame(rows, "plant_name string, load_number string, arrival_date date, tons double, "
+                                        "dry_matter_pct double")
+    got = {(r.period, r.id_supplier): r.tons_share for r in signals.supplier_mix(loads, "2025-08-15").collect()}
+    assert got == {("before", "S1"): 0.2, ("before", "S2"): 0.6, ("before", None): 0.2, ("after", "S2"): 1.0}
+
+
+def test_load_id_summary_malformed_group(spark):
+    rows = [("NA-P1-20250801-1-S1",), ("NA-P1-20250803-7-S1",), ("EU-P3-bad-2",), ("NA-P1-20259999-1-S2",)]
+    loads = spark.createDataFrame(rows, "load_number string")
+    got = {(r.id_plant, r.id_supplier): (r.n_loads, r.first_date, r.last_date, r.max_seq)
+           for r in signals.load_id_summary(loads).collect()}
+    assert got[("NA-P1", "S1")] == (2, D(2025, 8, 1), D(2025, 8, 3), 7)
+    assert got[(None, None)] == (1, None, None, None)
+    assert got[("NA-P1", "S2")] == (1, None, None, 1)     # eight digits that are not a day
