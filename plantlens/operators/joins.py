@@ -1,8 +1,9 @@
 """Join operators.
 
-Every broadcast here sits behind a bounded row check; a side that turns out
-larger than the bound is joined with a shuffle join instead (and AQE may
-still convert it at runtime if its measured size is small).
+Every broadcast here sits behind a bounded check (rows, and estimated bytes
+from the schema); a side that turns out larger is joined by a shuffle join
+instead -- optionally salted for hot keys -- and AQE may still convert it
+at runtime if its measured size is small.
 """
 
 from __future__ import annotations
