@@ -103,3 +103,13 @@ def latest_rows(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     value_cols = [c for c in log.columns if c not in (*keys, "batch_id")]
     latest = log.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), "batch_id").alias("v"))
     return latest.select(*keys, "v.*")
+
+
+def compact_update_log(spark: SparkSession, out: str, keys: list[str], dest: str) -> str:
+    """Write the current state of an update log (one row per key, from the
+    newest batch) to ``dest``: readers of a long-running stream scan this
+    snapshot instead of every batch partition.  A distributed aggregate and
+    a write; nothing passes through the driver."""
+    latest_rows(spark, out, keys).write.mode("overwrite").parquet(dest)
+    return dest
+

@@ -170,3 +170,11 @@ def test_conform_missing_and_wider_columns(spark, tmp_dir):
                            T.StructField("VarietyLabel", T.StringType())])
     rows = sorted(read_parquet_dir(spark, f"{tmp_dir}/raw_loads", schema).collect())
     assert [tuple(r) for r in rows] == [(1, None, None), (2, 7, None)]
+
+
+def test_compact_update_log(spark, tmp_dir):
+    log = f"{tmp_dir}/log"
+    for batch, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 5), ("a", 3)]]):
+        spark.createDataFrame(rows, "k string, n int").write.mode("overwrite").parquet(f"{log}/batch_id={batch}")
+    snap = jobs.compact_update_log(spark, log, ["k"], f"{tmp_dir}/snap")
+    assert sorted(tuple(r) for r in spark.read.parquet(snap).collect()) == [("a", 3), ("b", 1), ("c", 5)]
