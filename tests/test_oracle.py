@@ -102,3 +102,11 @@ def test_layers_plan_options_give_the_same_tables(spark, small_dir):
     assert sorted(finish(base.exposure(), digits).collect()) == sorted(finish(alt.exposure(), digits).collect())
     cols = ["date", "hour", "plant_name", "plant_line", "downtime_cat_1", "downtime_cat_2", "oee_event_count"]
     assert sorted(base.alignment().select(*cols).collect()) == sorted(alt.alignment().select(*cols).collect())
+
+
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if not k.startswith("t")))
+def test_no_cross_or_nested_loop_joins(spark, small_dir, key):
+    """Plan lint: no registered query pairs rows without an equi-key."""
+    plan = QUERIES[key](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
