@@ -127,10 +127,17 @@ def test_raw_sink_round_trip_gives_same_gold(spark, small_dir, tmp_dir):
     for name, df in raw_tables(spark, small_dir).items():
         sinks.save_raw(df, name, f"{tmp_dir}/raw", num_files=3)
     a_layers, b_layers = from_raw_folder(spark, f"{tmp_dir}/raw"), from_test_tables(spark, small_dir)
-    digits = {"avg_dry_solids_pct": 6, "avg_defect_points": 6}
-    a = sorted(tuple(r) for r in finish(a_layers.weekly(), digits).collect())
-    b = sorted(tuple(r) for r in finish(b_layers.weekly(), digits).collect())
-    assert a == b
+    checks = [
+        ({"avg_dry_solids_pct": 6, "avg_defect_points": 6}, lambda L: L.weekly()),
+        ({"tons_processed": 6, "avg_dry_matter_pct": 6, "raw_potato_spend_usd": 2, "over_quality_waste_usd": 2,
+          "downgrade_rework_exposure_usd": 2}, lambda L: L.exposure()),
+        ({"total_downtime_min": 6, "run_duration_min": 6, "qty_packed_kg": 2, "num_totes_on": 6,
+          "oee_performance": 6}, lambda L: L.oee_daily()),
+    ]
+    for digits, table in checks:
+        a = sorted(tuple(r) for r in finish(table(a_layers), digits).collect())
+        b = sorted(tuple(r) for r in finish(table(b_layers), digits).collect())
+        assert a == b
     assert a_layers.oee().filter("end_time_ts IS NOT NULL").count() == b_layers.oee().filter(
         "end_time_ts IS NOT NULL").count()
 
