@@ -185,3 +185,10 @@ def test_compact_update_log(spark, tmp_dir):
         spark.createDataFrame(rows, "k string, n int").write.mode("overwrite").parquet(f"{log}/batch_id={batch}")
     snap = jobs.compact_update_log(spark, log, ["k"], f"{tmp_dir}/snap")
     assert sorted(tuple(r) for r in spark.read.parquet(snap).collect()) == [("a", 3), ("b", 1), ("c", 5)]
+
+
+def test_three_part_table_name(spark, tmp_dir):
+    """Catalog.database.table names (the built-in catalog is spark_catalog)."""
+    name = sinks.save_table(spark, spark.range(3), "t3", "plantlens_s10", f"{tmp_dir}/t3", catalog="spark_catalog")
+    assert name == "`spark_catalog`.`plantlens_s10`.`t3`"
+    assert spark.table("spark_catalog.plantlens_s10.t3").count() == 3
