@@ -110,3 +110,18 @@ def test_no_cross_or_nested_loop_joins(spark, small_dir, key):
     plan = QUERIES[key](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if not k.startswith("t")))
+def test_column_types_match_the_oracle(spark, con, small_dir, key):
+    """The check projection and the oracle agree on every column's type."""
+    schema = QUERIES[key](spark, small_dir).schema
+    rel = con.sql(f"SELECT * FROM ({ORACLES[key]}) LIMIT 0")
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in schema.fields:
+        s = f.dataType.simpleString()
+        assert duck.get(f.name) == SPARK_TO_DUCK.get(s, s.upper()), (f.name, s, duck.get(f.name))
