@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from plantlens.plans.registry import load_all
 from scripts.check_oracle import TABLES, canon
 
-QUERIES = E.queries()
+ALL = E.queries()
+QUERIES = {k: ALL[k] for k in load_all()}
 ORACLES = E.oracle_sql()
 
 
@@ -23,7 +25,7 @@ def con(small_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(ORACLES)
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
