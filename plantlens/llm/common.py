@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -66,3 +69,63 @@ def one_thread() -> None:
     """Numeric libraries inside a task stay on the task's own core."""
     os.environ.setdefault("OMP_NUM_THREADS", "1")
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a Spark context, so that
+    tasks import it wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_plantlens_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="plantlens-code-"), f"{root.name}.zip")      # on the driver, for Spark to send
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._plantlens_shipped = True
+
+
+# ------------------------------------------------- files in the shared folder
+def _located(uri: str):
+    from pyarrow import fs
+
+    if "://" in uri:
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), uri.removeprefix("file:")
+
+
+def open_output(uri: str):
+    """Stream into a new file of the shared store (any URI Arrow knows)."""
+    system, path = _located(uri)
+    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    return system.open_output_stream(path)
+
+
+def open_input(uri: str):
+    system, path = _located(uri)
+    return system.open_input_stream(path)
+
+
+# ------------------------------------------------------------ ranges of an id
+def id_cuts(df: DataFrame, id_col: str, parts: int) -> list[int]:
+    """At most ``parts - 1`` ascending ids of ``df`` that cut it into ranges of
+    about as many rows each.  Only the cuts, one per range, reach the driver."""
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    found = df.agg(F.percentile_approx(F.col(id_col).cast("long"), shares, max(10_000, 20 * parts)).alias("c")).first().c
+    return sorted(set(found or []))
+
+
+def range_of(id_col, cuts: list[int]):
+    """Number of cuts below the id, as a Column; null ids fall in range 0.
+    Looks through two levels of about sqrt(cuts) entries, not all cuts."""
+    if not cuts:
+        return F.lit(0)
+    step = int(len(cuts) ** 0.5) + 1
+    fine = F.lit(cuts)
+    coarse = F.lit(cuts[step - 1::step] or [cuts[-1]])
+    skipped = F.size(F.filter(coarse, lambda c: c < id_col)) * step if len(cuts) >= step else F.lit(0)
+    inside = F.size(F.filter(F.slice(fine, F.least(skipped + 1, F.lit(len(cuts) + 1)), step), lambda c: c < id_col))
+    return F.when(id_col.isNull(), 0).otherwise(F.least(skipped + inside, F.lit(len(cuts)))).cast("int")

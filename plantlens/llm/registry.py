@@ -6,25 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import simhash, toxicity
+from plantlens.llm import decontamination, digest, mixing, simhash, token_store, toxicity
 from plantlens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all documents at target source weights takes."""
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items."""
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate classes of all documents."""
     return simhash.op3(table(spark, sf_dir, "documents"))
 
 
+def op4_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartile digests of every document and of its edited text."""
+    return digest.neighbours(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every document, read back."""
+    return token_store.tokenize(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Builder] = {
+    "op1_mixing": op1_mixing,
+    "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op4_digest": op4_digest,
     "op8_toxicity": op8_toxicity,
+    "op10_tokens": op10_tokens,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_mixing": mixing.ORACLE,
+}

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import batch, one_thread, pinned
+from plantlens.llm.common import batch, pinned, ship_package
 from plantlens.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -243,7 +243,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``."""
-    one_thread()
+    ship_package(docs.sparkSession)
     fps = pinned(fingerprints(docs, id_col, text_col, shingle_words))
     classes = pinned(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     comp = connected_components(links(classes, max_bits))

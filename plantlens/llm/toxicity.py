@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plantlens.llm.common import batch, bucket_of, byte_chunks, one_thread
+from plantlens.llm.common import batch, bucket_of, byte_chunks, ship_package
 
 FOLDS, HELD_OUT = 5, 0
 MAX_TRAIN_ROWS = 1500        # labelled rows of either class that the model is fitted on
@@ -269,7 +269,7 @@ def _scored(model, rows: pa.RecordBatch | pa.Table) -> np.ndarray:
 
 def scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``."""
-    one_thread()
+    ship_package(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +285,7 @@ def scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -
 def drop_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs`` whose score is below 0.5, all columns kept; scored
     row by row in one pass, with no join back."""
-    one_thread()
+    ship_package(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
