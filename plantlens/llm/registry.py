@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontamination, digest, mixing, simhash, token_store, toxicity
+from plantlens.llm import decontamination, digest, mixing, simhash, substring_dedup, token_store, toxicity, warc
 from plantlens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +32,21 @@ def op4_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.neighbours(table(spark, sf_dir, "documents"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 35-word windows removed from every document."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web archives of all pages, written and read back."""
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of every document, read back."""
     return token_store.tokenize(table(spark, sf_dir, "documents"))
@@ -47,10 +57,13 @@ QUERIES: dict[str, Builder] = {
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
     "op4_digest": op4_digest,
+    "op7_substrings": op7_substrings,
     "op8_toxicity": op8_toxicity,
+    "op9_warc": op9_warc,
     "op10_tokens": op10_tokens,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mixing": mixing.ORACLE,
+    "op9_warc": warc.ORACLE,
 }
