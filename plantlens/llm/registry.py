@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontamination, digest, mixing, simhash, substring_dedup, token_store, toxicity, warc
+from plantlens.llm import decontamination, digest, langid, mixing, simhash, substring_dedup, token_store, toxicity, warc
 from plantlens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op4_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.neighbours(table(spark, sf_dir, "documents"))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 35-word windows removed from every document."""
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -57,6 +62,7 @@ QUERIES: dict[str, Builder] = {
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
     "op4_digest": op4_digest,
+    "op5_langid": op5_langid,
     "op7_substrings": op7_substrings,
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
