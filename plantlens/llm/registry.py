@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontamination, digest, langid, mixing, simhash, substring_dedup, token_store, toxicity, warc
+from plantlens.llm import decontamination, digest, langid, line_dedup, mixing, simhash, substring_dedup, token_store, toxicity, warc
 from plantlens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate lines taken out of every document."""
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 35-word windows removed from every document."""
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -63,6 +68,7 @@ QUERIES: dict[str, Builder] = {
     "op3_simhash": op3_simhash,
     "op4_digest": op4_digest,
     "op5_langid": op5_langid,
+    "op6_lines": op6_lines,
     "op7_substrings": op7_substrings,
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
