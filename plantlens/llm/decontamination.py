@@ -106,3 +106,11 @@ def matches(docs: DataFrame, items: DataFrame, n: int = SHINGLE_WORDS,
     return (checked.filter(F.col("n_found") >= F.ceil(F.round(F.col("n_shingles") * containment, 6)))
             .groupBy("doc_id", "item_id").agg(F.max("n_shingles").alias("n_shingles"), F.max("n_found").alias("n_found"))
             .withColumn("containment", F.col("n_found") / F.col("n_shingles")))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = SHINGLE_WORDS,
+                      containment: float = CONTAINMENT) -> DataFrame:
+    """The rows of ``docs`` that contain no item, all columns kept.  A row
+    without an id goes if any row without an id contains one."""
+    bad = matches(docs, items, n, containment).select(F.col("doc_id").alias("_bad_id")).distinct()
+    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("_bad_id")), "left_anti")
