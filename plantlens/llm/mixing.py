@@ -151,6 +151,7 @@ def _with_block(rows: DataFrame, per_source: DataFrame) -> DataFrame:
 # -------------------------------------------------------------- splitting tree
 def _ln_factorial(x: Column) -> Column:
     """Stirling's series eight steps up, brought down again."""
+    x = x.cast("double")                                 # whole numbers would overflow in the product
     y = x + 8
     series = y * F.log(y) - y + F.log(y * 6.283185307179586) / 2 + 1 / (12 * y) - 1 / (360 * y * y * y)
     down = x + 1
@@ -162,9 +163,10 @@ def _ln_factorial(x: Column) -> Column:
 def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
     """Marked items among ``drawn`` of ``total`` without replacement, by
     inversion of the distribution function at ``u``."""
-    low = F.greatest(F.lit(0), drawn + marked - total)
+    total, marked, drawn = (c.cast("double") for c in (total, marked, drawn))
+    low = F.greatest(F.lit(0.0), drawn + marked - total)
     high = F.least(drawn, marked)
-    mean = drawn * marked / F.greatest(total, F.lit(1))
+    mean = drawn * marked / F.greatest(total, F.lit(1.0))
     spread = F.sqrt(mean * (1 - marked / F.greatest(total, F.lit(1)))) * 10 + 20
     first = F.greatest(low, F.floor(mean - spread))
     last = F.least(high, F.ceil(mean + spread))
@@ -177,7 +179,7 @@ def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) ->
 
     def step(a, x):
         more = (marked - x) * (drawn - x) / ((x + 1) * (total - marked - drawn + x + 1))
-        return F.struct(F.when(a["sum"] + a["p"] < u, F.least(x + 1, last)).otherwise(a["x"]).cast("long").alias("x"),
+        return F.struct(F.when(a["sum"] + a["p"] < u, F.least((x + 1).cast("double"), last)).otherwise(a["x"]).cast("long").alias("x"),
                         (a["sum"] + a["p"]).cast("double").alias("sum"), (a["p"] * more).cast("double").alias("p"))
 
     return F.when(low >= high, low.cast("long")).otherwise(
