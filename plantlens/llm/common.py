@@ -99,12 +99,12 @@ def open_output(uri: str):
     """Stream into a new file of the shared store (any URI Arrow knows)."""
     system, path = _located(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)          # not by the name's ending
 
 
 def open_input(uri: str):
     system, path = _located(uri)
-    return system.open_input_stream(path)
+    return system.open_input_stream(path, compression=None)
 
 
 # ------------------------------------------------------------ ranges of an id
