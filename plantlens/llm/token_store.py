@@ -19,11 +19,11 @@ driver, and memory bounded by a block and the longest document.
 A file counts as written when its task's manifest row arrives; a retried task
 writes under another name, so a lost executor leaves at most unlisted files.
 
-The tokenizer drops white space and never joins across it, so blank-separated
-chunks are encoded apart and remembered by the Python worker (a bounded cache).
-Chunks of Latin letters (below U+0250, where normalisation does nothing) go to
-the library's BPE model directly, piece by piece; all others to its whole
-pipeline.  Strings of special tokens in a text are ordinary text.
+The tokenizer drops white space, never joins across it, and splits letters from
+signs, so the different blank-separated chunks of some texts are encoded once.
+Chunks of Latin letters (below U+0250, where normalisation does nothing) and
+closing signs go as two pieces to the library's model and byte alphabet; all
+others through its whole pipeline.  A Python worker remembers pieces (bounded).  Strings of special tokens in a text are ordinary text.
 
 Null texts count as empty: just the end id.  Rows with a null id come last;
 repeated ids are ordered by their ids' bytes.  An empty table gives an empty
@@ -51,89 +51,99 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 20
 CHUNK = 6 << 20              # bytes of text looked up at once
-REMEMBERED = 1_500_000       # chunks a worker keeps; only saves time
+REMEMBERED = 1_500_000       # pieces a worker keeps; only saves time
 
 MAGIC = b"RANKVB01"
 COUNTS = struct.Struct("<4Q")
 
 
 # -------------------------------------------------------------------- encoding
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"          # all letters, none changed by normalisation
+SIGNS = r"!-&(-/:-@\[-`{-~"             # ASCII signs but for the apostrophe
+SIMPLE = f"^(?P<letters>[{LETTERS}]*)(?P<signs>[{SIGNS}]*)$"
+
+
 class Encoder:
-    """Ids of many texts at once; holds one vocabulary."""
+    """Ids of many texts at once; holds one vocabulary and remembers pieces."""
 
     def __init__(self, path: str):
         one_thread()
-        import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.pieces = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-        self.simple = regex.compile("[!-&(-~¡-įı-ɏ]+")
-        self.byte_form: dict[str, str] = {}
-        self.of_piece: dict[str, list[int]] = {}
+        # the same model and byte alphabet for pieces that need no more splitting
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.clear()
 
     def clear(self) -> None:
         self.slot: dict[str, int] = {}
-        self.of_piece.clear()
         self.flat, self.starts = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.of_piece.get(piece)
-        if ids is None:
-            for c in piece:
-                if c not in self.byte_form:              # the library's own byte alphabet
-                    self.byte_form[c] = "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c))
-            ids = [t.id for t in self.model.tokenize("".join(map(self.byte_form.__getitem__, piece)))]
-            self.of_piece[piece] = ids
-        return ids
-
-    def _learn(self, chunks: list[str]) -> None:
-        ids: list[list[int]] = []
-        hard = [i for i, c in enumerate(chunks) if not self.simple.fullmatch(c)]
-        hard_ids = dict(zip(hard, (e.ids for e in self.tokenizer.encode_batch_fast(
-            [chunks[i] for i in hard], add_special_tokens=False)))) if hard else {}
-        for i, c in enumerate(chunks):
-            if i in hard_ids:
-                ids.append(hard_ids[i])
-            else:
-                found: list[int] = []
-                for p in self.pieces.findall(c.lower()):
-                    found += self._piece(p)
-                ids.append(found)
+    def _learn(self, pieces: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         n, used = len(self.slot), int(self.starts[len(self.slot)])
-        ends = used + np.cumsum([len(x) for x in ids])
-        while len(self.starts) < n + len(ids) + 1:
+        while len(self.starts) < n + len(pieces) + 1:
             self.starts = np.r_[self.starts, np.zeros_like(self.starts)]
-        while len(self.flat) < ends[-1]:
+        while len(self.flat) < used + len(ids):
             self.flat = np.r_[self.flat, np.empty_like(self.flat)]
-        self.starts[n + 1: n + 1 + len(ids)] = ends
-        self.flat[used: ends[-1]] = np.fromiter((t for x in ids for t in x), np.uint32, int(ends[-1]) - used)
-        self.slot.update(zip(chunks, range(n, n + len(ids))))
+        self.starts[n + 1: n + 1 + len(pieces)] = used + np.cumsum(sizes)
+        self.flat[used: used + len(ids)] = ids
+        self.slot.update(zip(pieces, range(n, n + len(pieces))))
+
+    def _slots(self, pieces: list[str], hard: bool) -> np.ndarray:
+        """Slots of different non-empty pieces, encoding those not yet known;
+        ``hard`` ones go through the library's whole pipeline."""
+        known = self.slot
+        fresh = [p for p in pieces if p not in known]
+        for at in range(0, len(fresh), 4096):
+            some = fresh[at: at + 4096]
+            if hard:
+                ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                sizes = np.array([len(x) for x in ids], np.int64)
+                flat = np.fromiter((t for x in ids for t in x), np.uint32, int(sizes.sum()))
+            else:
+                e = self.pieces.encode(" ".join(some), add_special_tokens=False)
+                sizes, flat = np.bincount(e.word_ids, minlength=len(some)), np.array(e.ids, np.uint32)
+            self._learn(some, sizes, flat)
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+
+    def _part(self, part: pa.Array, hard: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, size) in ``flat`` of the ids of each string; empty or null: 0."""
+        coded = pc.fill_null(part, "").dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        real = [i for i, w in enumerate(words) if w]
+        slots = self._slots([words[i] for i in real], hard)
+        begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        begin[real] = self.starts[slots]
+        size[real] = self.starts[slots + 1] - self.starts[slots]
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        return begin[index], size[index]
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text (nulls as empty), the end id last."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids in a row (nulls as empty), the end id last in each,
+        and where each text's ids end."""
+        if len(self.slot) > REMEMBERED:
+            self.clear()
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         offsets = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
-        chunks = coded.dictionary.to_pylist()
-        if len(self.slot) + len(chunks) > REMEMBERED:
-            self.clear()
-        fresh = [c for c in chunks if c and c not in self.slot]
-        if fresh:
-            self._learn(fresh)
-        slots = np.fromiter((self.slot[c] if c else -1 for c in chunks), np.int64, len(chunks))
-        begin = np.where(slots >= 0, self.starts[slots], 0)
-        size = np.where(slots >= 0, self.starts[slots + 1] - begin, 0)
-        sizes = size[index]
-        ends = np.cumsum(sizes)
+        chunks = coded.dictionary
+        split = pc.extract_regex(chunks, pattern=SIMPLE)
+        # a chunk is letters, then signs; or one hard part
+        parts = [self._part(pc.utf8_lower(pc.struct_field(split, "letters"))), self._part(pc.struct_field(split, "signs")),
+                 self._part(pc.if_else(pc.is_valid(split), "", chunks), hard=True)]
+        sizes = np.stack([n for _, n in parts], 1)[index]
+        begins = np.stack([b for b, _ in parts], 1)[index]
+        rows, cols = np.nonzero(sizes)                   # most words are one part
+        begin, size = begins[rows, cols], sizes[rows, cols]
+        ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(begin[index] - (ends - sizes), sizes)] if total else np.empty(0, np.uint32)
-        bounds = np.r_[0, ends][offsets - offsets[0]]
-        return [np.r_[ids[bounds[i]: bounds[i + 1]], np.uint32(END_ID)] for i in range(len(texts))]
+        ids = self.flat[np.arange(total) + np.repeat(begin - (ends - size), size)]
+        bounds = np.r_[0, np.cumsum(sizes.sum(1))][offsets[1:] - offsets[0]]
+        return np.insert(ids, bounds, END_ID), bounds + np.arange(1, len(texts) + 1)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -162,7 +172,7 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     at = ends - extra - 1
     data[at] = values & 255
     for k in range(1, int(extra.max(initial=0)) + 1):
-        more = extra >= k
+        more = np.flatnonzero(extra >= k)
         data[at[more] + k] = values[more] >> (8 * k) & 255
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
@@ -172,23 +182,24 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     at = np.cumsum(lengths, dtype=np.int64) - lengths
     values = data[at].astype(np.uint32)
     for k in range(1, int(lengths.max(initial=1))):
-        more = lengths > k
+        more = np.flatnonzero(lengths > k)
         values[more] |= data[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return values
 
 
 def write_block(out, doc_ids: list[int | None], docs: list[np.ndarray]) -> None:
-    ids = np.concatenate(docs)
-    known, place, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((known, -count))
-    rank = np.empty(len(order), np.uint32)
-    rank[order] = np.arange(len(order), dtype=np.uint32)
-    control, data = pack(rank[place])
+    ids = np.concatenate(docs).astype(np.int64)
+    count = np.bincount(ids)
+    known = np.flatnonzero(count)
+    table = known[np.lexsort((known, -count[known]))]
+    rank = np.zeros(len(count), np.uint32)
+    rank[table] = np.arange(len(table), dtype=np.uint32)
+    control, data = pack(rank[ids])
     out.write(COUNTS.pack(len(docs), len(ids), len(known), len(data)))
     out.write(np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes())
     out.write(np.array([d is None for d in doc_ids], np.uint8).tobytes())
     out.write(np.array([len(d) for d in docs], "<i8").tobytes())
-    out.write(known[order].astype("<u4").tobytes())
+    out.write(table.astype("<u4").tobytes())
     out.write(control)
     out.write(data)
 
@@ -225,8 +236,10 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> DataFrame:
             sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False)
             for s, e in byte_chunks(sizes, CHUNK):
                 part = b.slice(s, e - s)
-                ids = [d.astype(small).tobytes() for d in enc.encode(part.column(2))]
-                yield batch(schema, part.column(0), part.column(1), ids)
+                ids, ends = enc.encode(part.column(2))
+                offsets = np.r_[0, ends].astype(np.int32) * small.itemsize
+                raw = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(small))])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), raw], schema=schema)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
@@ -240,7 +253,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> DataFrame:
                     path = f"{folder}/part-{number:06d}-{uuid.uuid4().hex}.tok"
                     out = open_output(path)
                     out.write(MAGIC)
-                ids = np.frombuffer(b.column(2)[i].as_buffer(), small).astype(np.uint32)
+                ids = np.frombuffer(b.column(2)[i].as_buffer(), small)
                 numbers.append(b.column(1)[i].as_py())
                 held.append(ids)
                 size += len(ids)
