@@ -46,6 +46,7 @@ BLOCK_DOCS = 64
 SHARDS = 64
 ORDER_BITS = 60
 SEED = 11
+BROADCAST_SOURCES = 50_000               # rows of about 200 bytes
 
 
 def word_count(text: Column) -> Column:
@@ -125,6 +126,7 @@ def passes(sized: DataFrame, per_source: DataFrame, block_docs: int = BLOCK_DOCS
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     s = (_keyed(per_source).withColumn("bits", bits.cast("int")).withColumn("passes", whole.cast("int"))
          .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")))
+    s = pinned(s)
     part = s.filter("rest > 0").select(*SOURCE, "bits", "rest")
     blocks = pinned(_with_block(sized, part).groupBy(*SOURCE, "bits", "rest", "block").agg(F.sum("size").alias("words"))
                     .withColumn("upper", F.expr("shiftright(block, bits div 2)")))
@@ -145,45 +147,64 @@ def passes(sized: DataFrame, per_source: DataFrame, block_docs: int = BLOCK_DOCS
 
 
 def _with_block(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+    """``rows`` with their source's columns and block.  ``per_source`` is pinned,
+    so its rows can be counted: it is broadcast up to a bound."""
+    if per_source.count() <= BROADCAST_SOURCES:
+        per_source = F.broadcast(per_source)
     return rows.join(per_source, SOURCE).withColumn("block", F.expr(f"shiftright(place, {ORDER_BITS} - bits)"))
 
 
 # -------------------------------------------------------------- splitting tree
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value written into the plan once, not once a use."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _ln_factorial(x: Column) -> Column:
-    """Stirling's series eight steps up, brought down again."""
-    x = x.cast("double")                                 # whole numbers would overflow in the product
-    y = x + 8
-    series = y * F.log(y) - y + F.log(y * 6.283185307179586) / 2 + 1 / (12 * y) - 1 / (360 * y * y * y)
-    down = x + 1
-    for k in range(2, 9):
-        down = down * (x + k)
-    return series - F.log(down)
+    """Stirling's series eight steps up, brought down again (in doubles: the
+    product of whole numbers would overflow)."""
+    def series(x):
+        down = x + 1
+        for k in range(2, 9):
+            down = down * (x + k)
+        return _bound(x + 8, lambda y: y * F.log(y) - y + F.log(y * 6.283185307179586) / 2 + 1 / (12 * y)
+                      - 1 / (360 * y * y * y)) - F.log(down)
+
+    return _bound(x.cast("double"), series)
+
+
+def _ln_choose(n: Column, k: Column) -> Column:
+    terms = F.transform(F.array(n, k, n - k), _ln_factorial)
+    return _bound(terms, lambda t: F.get(t, 0) - F.get(t, 1) - F.get(t, 2))
 
 
 def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
     """Marked items among ``drawn`` of ``total`` without replacement, by
     inversion of the distribution function at ``u``."""
-    total, marked, drawn = (c.cast("double") for c in (total, marked, drawn))
-    low = F.greatest(F.lit(0.0), drawn + marked - total)
-    high = F.least(drawn, marked)
-    mean = drawn * marked / F.greatest(total, F.lit(1.0))
-    spread = F.sqrt(mean * (1 - marked / F.greatest(total, F.lit(1)))) * 10 + 20
-    first = F.greatest(low, F.floor(mean - spread))
-    last = F.least(high, F.ceil(mean + spread))
+    def limits(c):
+        t, m, d = c["t"], c["m"], c["d"]
+        mean = d * m / F.greatest(t, F.lit(1.0))
+        spread = F.sqrt(mean * (1 - m / F.greatest(t, F.lit(1.0)))) * 10 + 20
+        low, high = F.greatest(F.lit(0.0), d + m - t), F.least(d, m)
+        return F.struct(t.alias("t"), m.alias("m"), d.alias("d"), c["u"].alias("u"), low.alias("low"), high.alias("high"),
+                        F.greatest(low, F.floor(mean - spread)).cast("double").alias("first"),
+                        F.least(high, F.ceil(mean + spread)).cast("double").alias("last"))
 
-    def ln_choose(n, k):
-        return _ln_factorial(n) - _ln_factorial(k) - _ln_factorial(n - k)
+    def search(c):
+        p0 = F.exp(_ln_choose(c["m"], c["first"]) + _ln_choose(c["t"] - c["m"], c["d"] - c["first"]) - _ln_choose(c["t"], c["d"]))
+        start = F.struct(c["first"].cast("long").alias("x"), F.lit(0.0).alias("sum"), p0.cast("double").alias("p"))
 
-    p0 = F.exp(ln_choose(marked, first) + ln_choose(total - marked, drawn - first) - ln_choose(total, drawn))
-    start = F.struct(first.cast("long").alias("x"), F.lit(0.0).alias("sum"), p0.cast("double").alias("p"))
+        def step(a, x):
+            more = (c["m"] - x) * (c["d"] - x) / ((x + 1) * (c["t"] - c["m"] - c["d"] + x + 1))
+            return F.struct(F.when(a["sum"] + a["p"] < c["u"], F.least((x + 1).cast("double"), c["last"])).otherwise(a["x"]).cast("long").alias("x"),
+                            (a["sum"] + a["p"]).cast("double").alias("sum"), (a["p"] * more).cast("double").alias("p"))
 
-    def step(a, x):
-        more = (marked - x) * (drawn - x) / ((x + 1) * (total - marked - drawn + x + 1))
-        return F.struct(F.when(a["sum"] + a["p"] < u, F.least((x + 1).cast("double"), last)).otherwise(a["x"]).cast("long").alias("x"),
-                        (a["sum"] + a["p"]).cast("double").alias("sum"), (a["p"] * more).cast("double").alias("p"))
+        return F.when(c["low"] >= c["high"], c["low"].cast("long")).otherwise(F.aggregate(
+            F.sequence(c["first"].cast("long"), c["last"].cast("long")), start, step, lambda a: a["x"]))
 
-    return F.when(low >= high, low.cast("long")).otherwise(
-        F.aggregate(F.sequence(first.cast("long"), last.cast("long")), start, step, lambda a: a["x"]))
+    given = F.struct(total.cast("double").alias("t"), marked.cast("double").alias("m"), drawn.cast("double").alias("d"),
+                     u.cast("double").alias("u"))
+    return _bound(_bound(given, limits), search)
 
 
 def _left_share(quotas: Column, drawn: Column, node: Column) -> Column:
@@ -194,10 +215,8 @@ def _left_share(quotas: Column, drawn: Column, node: Column) -> Column:
     def step(a, q):
         u = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), node, F.size(a["out"])), 11) / F.lit(float(1 << 53))
         x = _hypergeometric(a["total"], q, a["drawn"], u)
-        # the draw is used three times: bind it once as the single element of an array
-        return F.element_at(F.transform(F.array(x), lambda v: F.struct(
-            (a["total"] - q).alias("total"), (a["drawn"] - v).alias("drawn"),
-            F.concat(a["out"], F.array(v)).alias("out"))), 1)
+        return _bound(x, lambda v: F.struct((a["total"] - q).alias("total"), (a["drawn"] - v).alias("drawn"),
+                                            F.concat(a["out"], F.array(v)).alias("out")))
 
     return F.aggregate(quotas, start, step, lambda a: a["out"])
 
