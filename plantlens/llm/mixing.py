@@ -136,9 +136,10 @@ def passes(sized: DataFrame, per_source: DataFrame, block_docs: int = BLOCK_DOCS
     # the documents of the one block where the part pass ends
     rows = _with_block(sized, part).join(edge, [*SOURCE, "block"]).withColumn("key", _key(F.col("place"), F.col("doc_id")))
     run = F.sum("size").over(Window.partitionBy(*SOURCE).orderBy("key"))
-    rows = rows.withColumn("run", F.col("reached") + run).withColumn("fits", F.col("run") * 2 - F.col("size") <= F.col("rest") * 2)
+    rows = pinned(rows.withColumn("run", F.col("reached") + run).withColumn(
+        "fits", F.col("run") * 2 - F.col("size") <= F.col("rest") * 2).select(*SOURCE, "key", "size", "run", "fits", "rest", "reached"))
     stop = rows.groupBy(*SOURCE).agg(F.max(F.when(F.col("fits"), F.struct("key", "run"))).alias("x"), F.max("reached").alias("reached"))
-    stop = stop.select(*SOURCE, F.col("x.key").alias("stop"), F.coalesce("x.run", "reached").alias("taken"))
+    stop = pinned(stop.select(*SOURCE, F.col("x.key").alias("stop"), F.coalesce("x.run", "reached").alias("taken")))
     left = rows.join(stop, SOURCE).filter("stop is null or key > stop").withColumn("missing", F.col("rest") - F.col("taken"))
     left = left.withColumn("off", F.abs(F.col("missing") - F.col("size"))).filter(F.col("off") < F.abs("missing"))
     spare = left.groupBy(*SOURCE).agg(F.min(F.struct("off", "key")).alias("x")).select(*SOURCE, F.col("x.key").alias("spare"))
@@ -221,26 +222,44 @@ def _left_share(quotas: Column, drawn: Column, node: Column) -> Column:
     return F.aggregate(quotas, start, step, lambda a: a["out"])
 
 
+LEVELS_A_ROW = 6                         # tree levels that one row unfolds before its nodes become rows
+
+
+def _children(node: Column) -> Column:
+    """A node's two children, or the node itself where it is a leaf."""
+    def split(n):
+        total = F.aggregate(n["quotas"], F.lit(0).cast("long"), lambda a, q: a + q)
+        lefts = F.floor(n["leaves"] / 2).cast("int")
+        drawn = F.floor((total * lefts + lefts) / n["leaves"]).cast("long")
+        return _bound(_left_share(n["quotas"], drawn, n["node"]), lambda left: F.array(
+            _node(left, n["node"] * 2, n["first"], lefts),
+            _node(F.zip_with(n["quotas"], left, lambda q, x: q - x), n["node"] * 2 + 1, n["first"] + lefts, n["leaves"] - lefts)))
+
+    return F.when(node["leaves"] > 1, split(node)).otherwise(F.array(
+        _node(node["quotas"], node["node"], node["first"], node["leaves"])))
+
+
+def _node(quotas: Column, node: Column, first: Column, leaves: Column) -> Column:
+    return F.struct(quotas.cast("array<bigint>").alias("quotas"), node.cast("long").alias("node"),
+                    first.cast("int").alias("first"), leaves.cast("int").alias("leaves"))
+
+
 def split_quotas(sources: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(name, no_name, shard, first, count): each source's draws (numbered from
     0 to its quota) dealt to the shards as runs.  ``sources`` has SOURCE and a
     quota; the tree's rows hold one number for each source."""
     listed = F.array_sort(F.collect_list(F.struct("no_name", "name", F.col("quota").cast("long").alias("quota"))))
-    node = sources.agg(listed.alias("s")).select(
-        F.col("s").alias("names"), F.transform("s", lambda x: x["quota"]).alias("quotas"),
-        F.lit(1).cast("long").alias("node"), F.lit(0).alias("first"), F.lit(shards).alias("leaves"))
-    for _ in range((shards - 1).bit_length()):
-        total = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q)
-        lefts = F.expr("leaves div 2").cast("int")
-        drawn = F.floor((total * lefts + F.expr("leaves div 2")) / F.col("leaves")).cast("long")
-        node = node.withColumn("lefts", lefts).withColumn("left", F.when(
-            F.col("leaves") > 1, _left_share(F.col("quotas"), drawn, F.col("node"))))
-        kids = F.array(
-            F.struct(F.col("left").alias("quotas"), (F.col("node") * 2).alias("node"), "first", F.col("lefts").alias("leaves")),
-            F.struct(F.zip_with("quotas", "left", lambda q, x: q - x).alias("quotas"), (F.col("node") * 2 + 1).alias("node"),
-                     (F.col("first") + F.col("lefts")).alias("first"), (F.col("leaves") - F.col("lefts")).alias("leaves")))
-        alone = F.array(F.struct("quotas", "node", "first", "leaves"))
-        node = node.select("names", F.explode(F.when(F.col("leaves") > 1, kids).otherwise(alone)).alias("kid")).select("names", "kid.*")
+    node = sources.agg(listed.alias("s")).select(F.col("s").alias("names"), _node(
+        F.transform("s", lambda x: x["quota"]), F.lit(1), F.lit(0), F.lit(shards)).alias("kid"))
+    depth = (shards - 1).bit_length()
+    for done in range(0, depth, LEVELS_A_ROW):
+        levels = min(LEVELS_A_ROW, depth - done)
+        grown = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.array("kid"),
+                            lambda nodes, _: F.flatten(F.transform(nodes, _children)))
+        node = node.select("names", F.explode(grown).alias("kid"))
+        if done + levels < depth:
+            node = node.repartition(F.col("kid.node"))
+    node = node.select("names", "kid.*")
     dealt = node.select(F.col("first").alias("shard"), F.explode(F.arrays_zip("names", F.col("quotas").alias("counts"))).alias("x"))
     dealt = pinned(dealt.select(F.col("x.names.name").alias("name"), F.col("x.names.no_name").alias("no_name"), "shard",
                                 F.col("x.counts").alias("count")))
