@@ -42,9 +42,10 @@ from pyspark.sql.window import Window
 from plantlens.llm.common import batch, bucket_of, byte_chunks, ship_package
 
 FOLDS, HELD_OUT = 5, 0
-MAX_TRAIN_ROWS = 1500        # labelled rows of either class that the model is fitted on
+MAX_TRAIN_ROWS = 1000        # labelled rows of either class that the model is fitted on
 PASSAGE_WORDS = 8
 ORDERS = (3, 4, 5)
+LEAST_GRAMS = 12 * PASSAGE_WORDS         # a shorter bag is averaged as if neutral n-grams filled it up
 BUCKETS = 1 << 18
 DIM = 16
 CHUNK = 1 << 20              # bytes of text per numpy pass
@@ -89,10 +90,12 @@ def bags(texts: list[str]) -> Bags:
     doc = np.cumsum(s == 0) - (s == 0)
     starts = np.flatnonzero(begins)
     word_doc = doc[starts]
+    kept = _unlike_the_last(s, space, starts, word, word_doc)
+    order = np.cumsum(kept)                                            # kept words up to each
     first_word = np.searchsorted(word_doc, np.arange(len(texts)))
-    in_doc = np.arange(len(starts)) - first_word[word_doc] if len(starts) else np.empty(0, np.int64)
-    fresh = in_doc % PASSAGE_WORDS == 0
-    word_passage = np.cumsum(fresh) - 1
+    before = np.r_[0, order][first_word]
+    fresh = kept & ((order - 1 - before[word_doc]) % PASSAGE_WORDS == 0)
+    word_passage = np.where(kept, np.cumsum(fresh) - 1, -1)
     # position just behind the word that a letter stands in
     gaps = np.flatnonzero(space)
     behind = gaps[np.searchsorted(gaps, np.arange(len(s)))] if len(gaps) else np.empty(0, np.int64)
@@ -109,6 +112,7 @@ def bags(texts: list[str]) -> Bags:
             # inner letters of the gram lie in one word; only its ends may be spaces
             ok = ~space[i + 1] & (behind[i + 1] >= i + n - 1) & (s[i] != 0) & (s[i + n - 1] != 0)
             at = i[ok]
+            at = at[word_passage[word[at + 1]] >= 0]
             out_b.append((h[at] >> np.uint64(7)).astype(np.int64) & (BUCKETS - 1))
             out_p.append(word_passage[word[at + 1]])
     b = np.concatenate(out_b) if out_b else np.empty(0, np.int64)
@@ -116,6 +120,21 @@ def bags(texts: list[str]) -> Bags:
     return Bags(b, p, word_doc[fresh])
 
 
+def _unlike_the_last(s, space, starts, word, word_doc) -> np.ndarray:
+    """Which words differ from the one before them in their text: a word said
+    over and over counts once."""
+    if not len(starts):
+        return np.empty(0, bool)
+    at = np.flatnonzero(~space)
+    with np.errstate(over="ignore"):
+        place = (at - starts[word[at]]).astype(np.uint64)
+        h = (s[at] + (place << np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        total = np.add.reduceat(h, np.searchsorted(at, starts))
+    same = (total[1:] == total[:-1]) & (word_doc[1:] == word_doc[:-1])
+    return np.r_[True, ~same]
+
+
 # ----------------------------------------------------------------------- model
 @dataclass
 class Model:
@@ -141,7 +160,7 @@ class Model:
 
 def _means(weights: np.ndarray, buckets: np.ndarray, passages: np.ndarray, n: int) -> np.ndarray:
     total = np.bincount(passages, weights=weights[buckets], minlength=n)
-    return total / np.maximum(np.bincount(passages, minlength=n), 1)
+    return total / np.maximum(np.bincount(passages, minlength=n), LEAST_GRAMS)
 
 
 def _joint_training(rng, table, softmax, buckets, ends, labels, weight, rounds, rate, drop):
@@ -160,7 +179,7 @@ def _joint_training(rng, table, softmax, buckets, ends, labels, weight, rounds,
             grams = buckets[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begins[rows], n)]
             kept = rng.random(len(grams)) >= drop
             owner, grams = owner[kept], grams[kept]
-            size = np.maximum(np.bincount(owner, minlength=len(rows)), 1)
+            size = np.maximum(np.bincount(owner, minlength=len(rows)), LEAST_GRAMS * (1 - drop))
             ids, local = np.unique(grams, return_inverse=True)
             vec = table[ids]
             diff = vec @ (w[1] - w[0])
@@ -192,13 +211,19 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     buckets = np.concatenate([p[0] for p in parts])
     counts, doc = np.concatenate([p[1] for p in parts]), np.concatenate(docs)
     ends = np.cumsum(counts)
-    passage_of = np.repeat(np.arange(len(counts)), counts)
+    del parts
     label = toxic[doc].astype(float)
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
     w, bias = rng.normal(0, 0.5, (2, DIM)), np.zeros(2)
 
     def logits() -> np.ndarray:
-        return _means(table @ (w[1] - w[0]), buckets, passage_of, len(counts)) + bias[1] - bias[0]
+        weights, out = table @ (w[1] - w[0]), np.empty(len(counts))
+        for s in range(0, len(counts), 1 << 13):         # a few megabytes at a time
+            n = counts[s: s + (1 << 13)]
+            owner = np.repeat(np.arange(len(n)), n)
+            first = ends[s] - n[0]
+            out[s: s + len(n)] = _means(weights, buckets[first: first + len(owner)], owner, len(n))
+        return out + bias[1] - bias[0]
 
     weight = np.ones(len(counts))
     weight[label == 1] = (label == 0).sum() / max((label == 1).sum(), 1)
@@ -214,6 +239,9 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
         weight[chosen & (label == 1)] = max((label == 0).sum() / max((chosen & (label == 1)).sum(), 1) / 4, 1)
         weight /= weight[chosen].mean()
         _joint_training(rng, table, (w, bias), buckets, ends, label, weight, 3, 0.5, 0.3)
+    seen = np.zeros(BUCKETS, bool)
+    seen[buckets] = True
+    table[~seen] = 0                                     # an n-gram never seen says nothing
     z = logits()
     top = np.full(len(texts), bias[1] - bias[0])
     first = np.full(len(texts), -np.inf)
@@ -253,9 +281,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_
     return texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "text"]).select("doc_id", "text", "toxic")
 
 
+FITTED = "weights binary, bias double, slope double, offset double, constant double"
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Model:
-    rows = sorted(training_rows(docs, labels, max_rows).collect(), key=lambda r: (r.doc_id, r.text or ""))
-    return fit([r.text or "" for r in rows], np.array([r.toxic == 1 for r in rows], bool))
+    """Fit on the bounded sample.  One Spark task does so, which is retried like
+    any other; only the fitted weights (a float a bucket) reach the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["doc_id"], r["text"] or "", r["toxic"]) for b in batches for r in b.to_pylist())
+        m = fit([t for _, t, _ in rows], np.array([x == 1 for _, _, x in rows], bool))
+        schema = pa.schema([("weights", pa.binary()), *((c, pa.float64()) for c in ("bias", "slope", "offset", "constant"))])
+        yield batch(schema, [None if m.weights is None else m.weights.tobytes()], [m.bias], [m.slope], [m.offset], [m.constant])
+
+    row = training_rows(docs, labels, max_rows).repartition(1).mapInArrow(run, FITTED).first()
+    if row is None:
+        return Model(None, 0.0, 0.0, 0.0, 0.0)
+    weights = None if row.weights is None else np.frombuffer(row.weights, np.float32)
+    return Model(weights, row.bias, row.slope, row.offset, row.constant)
 
 
 SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -270,7 +312,7 @@ def _scored(model, rows: pa.RecordBatch | pa.Table) -> np.ndarray:
 def scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``."""
     ship_package(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_rows))
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_rows))       # a megabyte
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -286,7 +328,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROW
     """The rows of ``docs`` whose score is below 0.5, all columns kept; scored
     row by row in one pass, with no join back."""
     ship_package(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_rows))
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_rows))       # a megabyte
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
