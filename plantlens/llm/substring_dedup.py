@@ -149,7 +149,8 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, short: int = ANCHOR) -
     a span packs the first window and how many follow (first << 8 | more)."""
     if not window // 2 >= short or window - short > 255:
         raise ValueError("the short window must fit twice into the long one, which has at most 255 more words")
-    found = pinned(_stretches(rows, window, short))
+    # read twice from the texts: to keep all stretches would take more disk than the texts
+    found = _stretches(rows, window, short)
     twice = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     found = pinned(found.join(twice, "anchor"))
     kinds = found.groupBy("anchor", "x", "y").agg(F.count("*").alias("n"), F.min("row").alias("witness"))
