@@ -24,6 +24,8 @@ def main(argv=None) -> None:
     ap.add_argument("--database", default=None)
     ap.add_argument("--as-of", default=DEFAULT_AS_OF)
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit when submitted to a cluster")
+    ap.add_argument("--small-dimensions", action="store_true",
+                    help="the spec table and price list are small enough to broadcast")
     ap.add_argument("--salt-buckets", type=int, default=0, help="salt joins that fall back to a shuffle")
     ap.add_argument("--pre-aggregate", action="store_true", help="combine loads before the product fan-out")
     a = ap.parse_args(argv)
@@ -31,6 +33,7 @@ def main(argv=None) -> None:
     layers = (from_raw_folder(spark, a.raw, a.as_of) if a.raw
               else from_test_tables(spark, a.test_tables, a.as_of))
     layers.salt_buckets, layers.pre_aggregate = a.salt_buckets, a.pre_aggregate
+    layers.small_dimensions = layers.small_dimensions or a.small_dimensions
     for table, name in materialize(layers, a.out, a.database).items():
         print(f"{table}\t{name}")
 

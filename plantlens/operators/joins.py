@@ -1,100 +1,37 @@
 """Join operators.
 
-Every broadcast here sits behind a bounded check (rows, and estimated bytes
-from the schema); a side that turns out larger is joined by a shuffle join
-instead -- optionally salted for hot keys -- and AQE may still convert it
-at runtime if its measured size is small.
+A side is hinted for broadcast only where the caller states that it is a small
+dimension; other joins are left to Spark's size threshold and to AQE, and may
+be salted for hot keys.  Building a plan runs no job.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A side is hinted for broadcast only under both bounds: at most this many
-# rows, and at most DEFAULT_BROADCAST_BYTES by the schema's estimated width.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
-_STRING_WIDTH = 48        # assumed average bytes of a string value (keys and labels)
-
-
-def estimated_row_bytes(dtype: T.DataType) -> int:
-    """Rough in-memory width of one value of ``dtype`` (strings assumed short)."""
-    if isinstance(dtype, T.StructType):
-        return sum(estimated_row_bytes(f.dataType) for f in dtype.fields) + 8
-    if isinstance(dtype, T.ArrayType):
-        return 4 * estimated_row_bytes(dtype.elementType) + 16
-    if isinstance(dtype, T.MapType):
-        return 4 * (estimated_row_bytes(dtype.keyType) + estimated_row_bytes(dtype.valueType)) + 16
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        return _STRING_WIDTH
-    if isinstance(dtype, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(dtype, (T.ShortType,)):
-        return 2
-    if isinstance(dtype, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dtype, T.DecimalType):
-        return 16
-    return 8
-
-
-def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
-    """Row bound for broadcasting ``df``: the row cap, lowered so that rows x
-    estimated width stays under the byte budget."""
-    width = max(estimated_row_bytes(df.schema), 1)
-    return max(1, min(max_rows, max_bytes // width))
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      persist: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Hint ``df`` for broadcast only after proving it is small enough.
-
-    The bound is ``broadcast_row_bound`` (rows, lowered for wide rows) and the
-    proof is ``limit(bound + 1).count()``: a bounded job that stops reading
-    as soon as the bound is exceeded, so it stays cheap even when the side
-    is unexpectedly huge.  When ``df`` is an aggregate of a large table (the
-    count cannot stop early), ``persist=True`` keeps the counted rows so the
-    broadcast does not compute the aggregate a second time; the kept copy is
-    dropped again when the bound fails.
-    """
-    ok, df = fits_broadcast(df, max_rows, persist, max_bytes)
-    return F.broadcast(df) if ok else df
-
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, persist: bool = False,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[bool, DataFrame]:
-    """(whether ``df`` is under the broadcast bound, the frame to use): the
-    check behind :func:`bounded_broadcast`, for callers that plan a different
-    join when the side is too large."""
-    bound = broadcast_row_bound(df, max_rows, max_bytes)
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if df.limit(bound + 1).count() <= bound:
-        return True, df
-    if persist:
-        df.unpersist()
-    return False, df
+def stated_small(df: DataFrame, small: bool) -> DataFrame:
+    """Broadcast hint for a side whose bound the caller states (``small``); any
+    other side is left to ``spark.sql.autoBroadcastJoinThreshold`` and AQE, which
+    measure its bytes.  Nothing is counted while a plan is built."""
+    return F.broadcast(df) if small else df
 
 
 def spec_join(events: DataFrame, specs: DataFrame,
               keys=("plant_id", "plant_name", "product_name"),
               spec_cols=("plant_line", "min_dry_matter_pct", "max_dry_matter_pct"),
-              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              small: bool = False) -> DataFrame:
     """LEFT join readings to the product spec.
 
     Readings carry no line, so one reading fans out to every line that makes
-    the product (parity, H2).  The spec table is a dimension (plants x lines x
-    products) and is broadcast behind a row check, so the large reading side
-    is never shuffled.
+    the product (parity, H2).  ``small`` states that the spec table is a bounded
+    dimension (plants x lines x products): it is then broadcast and the
+    readings are never shuffled.
     """
     right = specs.select(*keys, *spec_cols)
-    return events.join(bounded_broadcast(right, max_rows), list(keys), "left")
+    return events.join(stated_small(right, small), list(keys), "left")
 
 
 def price_intervals(costs: DataFrame, open_end: str,
@@ -134,36 +71,20 @@ def interval_days(intervals: DataFrame, keys=("region", "variety", "dm_band"),
 
 def asof_price_join(loads: DataFrame, costs: DataFrame, open_end: str,
                     keys=("region", "variety", "dm_band"), load_date: str = "date",
-                    max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
+                    small: bool = False, salt_buckets: int = 0) -> DataFrame:
     """LEFT join each load to the price in force on its day.
 
     Same rows as ``l.key = p.key AND l.date >= p.effective_date AND
-    l.date < p.next_effective_date``.  Three plans, cheapest first, chosen by
-    bounded row checks on the price side (the load side is never counted):
-
-    1. the per-day table (keys x covered days, one price per key and day)
-       fits the bound: broadcast it, equi-join on (key, day), O(1) probe;
-    2. else the non-empty intervals fit (a long price history has far fewer
-       intervals than days): broadcast them, equi-join on the key with the
-       date range as the join condition;
-    3. else shuffle-join the per-day table on the full (key, day) key, where
-       AQE can split a hot day; ``salt_buckets > 0`` salts this join
-       explicitly (:func:`salted_join`) instead of relying on AQE's skew
-       thresholds.
-    The loads are only shuffled in case 3.
+    l.date < p.next_effective_date``, as an equi-join of the loads with the
+    per-day price table on (key, day): no range predicate and no hot key.
+    ``small`` states that this table (keys x covered days) is bounded: it is
+    broadcast and the loads are not shuffled.  Otherwise Spark chooses;
+    ``salt_buckets > 0`` salts that join (:func:`salted_join`).
     """
-    intervals = price_intervals(costs, open_end, keys)
-    days = interval_days(intervals, keys, out_date=load_date)
-    bound = broadcast_row_bound(days, max_rows)
-    if days.limit(bound + 1).count() <= bound:
-        return loads.join(F.broadcast(days), [*keys, load_date], "left")
-    non_empty = intervals.filter(F.col("next_effective_date") > F.col("effective_date"))
-    bound = broadcast_row_bound(non_empty, max_rows)
-    if non_empty.limit(bound + 1).count() <= bound:
-        return _range_join(loads, F.broadcast(non_empty), keys, load_date)
-    if salt_buckets > 0:
-        return salted_join(loads, days, [*keys, load_date], "left", salt_buckets)
-    return loads.join(days, [*keys, load_date], "left")
+    days = interval_days(price_intervals(costs, open_end, keys), keys, out_date=load_date)
+    if small or salt_buckets < 1:
+        return loads.join(stated_small(days, small), [*keys, load_date], "left")
+    return salted_join(loads, days, [*keys, load_date], "left", salt_buckets)
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",

@@ -44,18 +44,12 @@ def trailing_kpi(df: DataFrame, date_col: str, days: int, agg: Column,
 
 
 def trailing_sums(df: DataFrame, date_col: str, days: int, sums: dict[str, Column],
-                  inclusive: bool = True) -> DataFrame:
-    """Q2 in one pass: one row with the sum of each column over the trailing
-    window ``[max(date) - days, max(date)]``.
-
-    The input is reduced to one row per day first (partial aggregation on
-    the map side), so the latest day is found by a window over that per-day
-    table, whose size is bounded by the calendar, not by the data.  No
-    second scan for the anchor, no subquery, no cross join.  An average is
-    a ratio of two such sums.  Empty window -> NULL sums, as in SQL.
-    """
-    daily = df.groupBy(date_col).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    latest = F.max(date_col).over(Window.partitionBy())
-    lo = F.date_sub(F.col("_anchor"), days if inclusive else days - 1)
-    kept = daily.withColumn("_anchor", latest).filter(F.col(date_col).between(lo, F.col("_anchor")))
-    return kept.agg(*[F.sum(n).alias(n) for n in sums])
+                  inclusive: bool = True, anchor: Column | None = None) -> DataFrame:
+    """Q2: one row with the sum of each column over the trailing window
+    ``[max(date) - days, max(date)]``.
+
+    The rows are filtered to the window first, so a table partitioned by the
+    date reads only the window's partitions.  Empty window -> NULL sums, as in
+    SQL.  An average is a ratio of two such sums."""
+    kept = trailing_window(df, date_col, days, inclusive, anchor)
+    return kept.agg(*[F.sum(c).alias(n) for n, c in sums.items()])

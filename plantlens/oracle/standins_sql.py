@@ -33,11 +33,13 @@ SELECT plant_id, {_pn('plant_id')} AS plant_name,
   ['variety 0', 'variety ' || CAST(k AS VARCHAR)] AS approved_potato_varieties
 FROM (
   SELECT li, k, CASE WHEN li < 4 THEN 1 WHEN li < 7 THEN 2 WHEN li < 12 THEN 3 ELSE 4 END AS plant_id
-  FROM (SELECT id // 3 AS li, id % 3 AS k FROM range(48) t(id))
+  FROM (SELECT DISTINCT p_partkey % 16 AS li, (p_partkey // 16) % 3 AS k FROM part)
+  WHERE NOT (li >= 12 AND k = 2)
 )""",
     "raw_line_quality_events": f"""
 SELECT ts AS datetime, pid AS plant_id, {_pn('pid')} AS plant_name,
-  CAST(event_id % 3 + 100 AS VARCHAR) AS product_id, 'PRD-' || CAST(event_id % 3 AS VARCHAR) AS product_name,
+  CASE WHEN event_id % 509 <> 0 THEN CAST(event_id % 3 + 100 AS VARCHAR) END AS product_id,
+  CASE WHEN event_id % 521 <> 0 THEN 'PRD-' || CAST(event_id % 3 AS VARCHAR) END AS product_name,
   CASE WHEN event_id % 503 = 0 THEN NULL ELSE 'variety ' || CAST(event_id % 5 AS VARCHAR) END AS variety,
   CAST(60 + event_id % 30 AS INTEGER) AS avg_length_mm,
   CASE WHEN event_id % 97 = 0 THEN 0 ELSE event_id % 5 END AS usda_color_0,
@@ -63,7 +65,7 @@ SELECT ts AS datetime, pid AS plant_id, {_pn('pid')} AS plant_name,
   CAST((duration * (user_id % 4)) // 10 AS BIGINT) AS downtime_duration,
   value * 100 AS qty_packed,
   CASE WHEN event_id % 499 = 0 THEN NULL ELSE CAST(event_id % 9 AS DOUBLE) END AS num_totes_on
-FROM (SELECT *, CAST(user_id % 4 + 1 AS INTEGER) AS pid,
+FROM (SELECT * REPLACE (ts + to_days(CAST((event_id % 3) * 20 AS INTEGER)) AS ts), CAST(user_id % 4 + 1 AS INTEGER) AS pid,
              CAST(600 + (event_id * 7919) % 17400 AS BIGINT) AS duration
       FROM events WHERE event_type IN ('purchase', 'error'))""",
     "raw_potato_load_quality": f"""
@@ -80,7 +82,7 @@ SELECT pid AS plant_id, pname AS plant_name,
   CAST(l_linenumber % 5 AS DOUBLE) AS usda_color_3_pct,
   CAST(l_orderkey % 3 AS DOUBLE) AS usda_color_4_pct,
   CAST(1000 + l_partkey % 2000 AS INTEGER) AS total_defect_points,
-  CAST(20.0 AS DOUBLE) + l_discount * 45 AS dry_matter_pct
+  CASE WHEN l_orderkey % 409 <> 0 THEN CAST(20.0 AS DOUBLE) + l_discount * 45 END AS dry_matter_pct
 FROM (SELECT *, CAST(l_suppkey % 4 + 1 AS INTEGER) AS pid, {_pn('CAST(l_suppkey % 4 + 1 AS INTEGER)')} AS pname
       FROM lineitem)""",
     "raw_variety_costs": """
@@ -92,7 +94,7 @@ SELECT DATE '2024-01-01' + CAST(7 * w AS INTEGER) AS effective_date,
   CAST(180 + (31 * w + 17 * r + 13 * s + 7 * v + 29 * b) % 180 AS DOUBLE) AS price_usd_per_ton,
   'C' || CAST(w AS VARCHAR) || '-' || CAST(s + 1 AS VARCHAR) AS contract_id
 FROM (SELECT id % 4 AS b, (id // 4) % 5 AS v, (id // 20) % 12 AS s, (id // 240) % 2 AS r, id // 480 AS w
-      FROM range(3360) t(id))""",
+      FROM (SELECT DISTINCT (l_orderkey * 7 + l_linenumber) % 3360 AS id FROM lineitem))""",
     "raw_line_equipment": f"""
 SELECT pid AS plant_id, {_pn('pid')} AS plant_name,
   'L' || CAST(p_partkey % ({_nl('pid')}) + 1 AS VARCHAR) AS plant_line,
@@ -100,7 +102,8 @@ SELECT pid AS plant_id, {_pn('pid')} AS plant_name,
   CASE p_partkey % 5 WHEN 0 THEN 'cutter' WHEN 1 THEN 'Fryer' WHEN 2 THEN 'peeler' WHEN 3 THEN 'blancher' ELSE 'packer' END AS equipment_type,
   p_name AS equipment_description,
   CAST(4.5 AS DOUBLE) + p_size / CAST(10.0 AS DOUBLE) AS equipment_rated_throughput_tph,
-  DATE '2015-01-01' + CAST((p_partkey * 37) % 3650 AS INTEGER) AS commission_date
+  CASE WHEN p_partkey % 83 = 0 THEN NULL WHEN p_partkey % 89 = 0 THEN DATE '1950-01-01'
+       ELSE DATE '2015-01-01' + CAST((p_partkey * 37) % 3650 AS INTEGER) END AS commission_date
 FROM (SELECT *, CAST(p_partkey % 4 + 1 AS INTEGER) AS pid FROM part)""",
     "raw_revenue_by_line": f"""
 SELECT {DAY.format(k='o_orderkey')} AS date, pid AS plant_id, {_pn('pid')} AS plant_name,

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantlens.functions import columns as C
-from plantlens.operators.joins import (DEFAULT_BROADCAST_ROWS, asof_price_join, bounded_broadcast, fits_broadcast,
-                                       salted_join, spec_join)
+from plantlens.operators.joins import asof_price_join, salted_join, spec_join, stated_small
 from plantlens.operators.windows import running_sums, trailing_sums
 
 # Fixed values that must equal the reference for right results.
@@ -19,6 +18,7 @@ SAVINGS_PER_TPH = 10000              # G22: USD per lost t/h
 SCENARIO_QUALITY_DELTA_PP = "0.2"    # G22: DECIMAL(2,1) constant
 SCENARIO_CONFIDENCE = "0.6"          # G22: DECIMAL(2,1) constant
 UPGRADE_TYPE = "cutter"              # G22: equipment type that gets an upgrade
+RATIONALE = "Based on equipment age and throughput vs rated for "    # G22
 
 
 def _day_attributes(days: DataFrame) -> DataFrame:
@@ -29,13 +29,6 @@ def _day_attributes(days: DataFrame) -> DataFrame:
                        C.week_start(d).alias("week_start"))
 
 
-def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """G10 (S12, F12, P13, F11): one row per day between two fixed dates."""
-    days = spark.range(1).select(F.explode(F.sequence(
-        F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("INTERVAL 1 DAY"))).alias("date"))
-    return _day_attributes(days)
-
-
 def date_spine_between(df: DataFrame, date_col: str = "date") -> DataFrame:
     """G10 over data: spine from the first to the last date present in ``df``.
     The bounds are one aggregate; the spine itself is generated, not scanned."""
@@ -44,9 +37,9 @@ def date_spine_between(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def line_hourly_quality(events: DataFrame, specs: DataFrame, tolerance: float = C.FLAG_TOLERANCE_PP,
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        small: bool = False) -> DataFrame:
     """G11 (J1, P11): readings fanned out to lines, flagged against the spec."""
-    j = spec_join(events, specs, max_rows=max_rows)
+    j = spec_join(events, specs, small=small)
     return j.select(
         "datetime", "date", "hour", "week_start", "plant_id", "plant_name",
         C.unknown("plant_line").alias("plant_line"),
@@ -61,18 +54,18 @@ def line_hourly_quality(events: DataFrame, specs: DataFrame, tolerance: float =
 
 
 def reading_quality(events: DataFrame, specs: DataFrame, tolerance: float = C.FLAG_TOLERANCE_PP,
-                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    small: bool = False) -> DataFrame:
     """G11 at reading grain (H2 option): each reading once, flagged when any
     line making its product would flag it.
 
     A line flags ``under`` when dm < its min - tol, so some line does iff
     dm < max(min) - tol over the lines; likewise ``over`` iff dm > min(max) +
-    tol.  The spec side is reduced to that envelope per (plant, product) and
-    broadcast, so readings are neither fanned out nor shuffled."""
+    tol.  The spec side is reduced to that envelope per (plant, product); where
+    the caller states it small, readings are neither fanned out nor shuffled."""
     env = (specs.groupBy("plant_id", "plant_name", "product_name")
            .agg(F.max("min_dry_matter_pct").alias("min_dry_matter_pct"),
                 F.min("max_dry_matter_pct").alias("max_dry_matter_pct")))
-    j = events.join(bounded_broadcast(env, max_rows), ["plant_id", "plant_name", "product_name"], "left")
+    j = events.join(stated_small(env, small), ["plant_id", "plant_name", "product_name"], "left")
     return j.select(
         "datetime", "date", "hour", "week_start", "plant_id", "plant_name", "product_name", "variety",
         "total_defect_points", "dry_solids_pct", *[f"fry_color_{i}_share" for i in range(5)],
@@ -122,22 +115,22 @@ def spec_thresholds(specs: DataFrame) -> DataFrame:
 
 
 def loads_priced(loads: DataFrame, costs: DataFrame, open_end: str = PRICE_OPEN_END,
-                 max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
+                 small: bool = False, salt_buckets: int = 0) -> DataFrame:
     """Loads with the price in force on their arrival date."""
     l = loads.select(F.col("arrival_date").alias("date"), "plant_name", "region", "variety",
                      "dm_band", "tons", "dry_matter_pct")
-    return asof_price_join(l, costs, open_end, load_date="date", max_rows=max_rows, salt_buckets=salt_buckets)
+    return asof_price_join(l, costs, open_end, load_date="date", small=small, salt_buckets=salt_buckets)
 
 
 def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
-                  open_end: str = PRICE_OPEN_END, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                  open_end: str = PRICE_OPEN_END, small: bool = False,
                   share_by_products: bool = False, pre_aggregate: bool = False,
-                  salt_buckets: int = 0) -> DataFrame:
+                  salt_buckets: int = 0, tolerance: float = 0.0) -> DataFrame:
     """G14 (W1 J3 J4 J5 A5 A6 A12 S11): daily exposure per plant and product.
 
     Plan: loads get their price (as-of join, no load shuffle), fan out to
-    their plant's products through a broadcast of the distinct thresholds
-    (map side), and are reduced by a partial aggregate keyed by (day,
+    their plant's products through the distinct thresholds (map side where
+    the caller states them ``small``), and are reduced by a partial aggregate keyed by (day,
     plant, region, product).  The only shuffle carries one partial row per
     group and task, whatever the distribution of the loads.
 
@@ -146,10 +139,11 @@ def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
     the fan-out runs on fewer rows.  That pays off when dry matter is
     recorded to a fixed precision (few distinct values) and costs a shuffle
     of nearly every load when it is not, hence off by default.
-    ``share_by_products=True`` (H3 option) splits a load's tons evenly over
+    ``tolerance`` (H4 option) widens the spec band on both sides, as the
+    quality flags do.  ``share_by_products=True`` (H3 option) splits a load's tons evenly over
     the plant's products instead of counting them once per product.
     """
-    lp = loads_priced(loads, costs, open_end, max_rows, salt_buckets)
+    lp = loads_priced(loads, costs, open_end, small, salt_buckets)
     dm = F.col("dry_matter_pct")
     if pre_aggregate:
         lp = lp.groupBy("date", "plant_name", "region", "dry_matter_pct", "price_usd_per_ton").agg(
@@ -161,14 +155,17 @@ def cost_exposure(loads: DataFrame, costs: DataFrame, specs: DataFrame,
     if share_by_products:
         n = thresholds.groupBy("plant_name").agg(F.count(F.lit(1)).alias("n_products"))
         thresholds = thresholds.join(n, "plant_name")
-    j = lp.join(bounded_broadcast(thresholds, max_rows), "plant_name", "left")
+    j = lp.join(stated_small(thresholds, small), "plant_name", "left")
     k = regional_param(F.col("region"), 1)
     loss = regional_param(F.col("region"), 2)
     tons = F.col("tons") / F.coalesce(F.col("n_products"), F.lit(1)) if share_by_products else F.col("tons")
     spend_rate = F.coalesce(F.col("price_usd_per_ton"),
                             k * F.greatest(dm - F.lit(SPEND_FALLBACK_DM_BASE), F.lit(0.0)))
-    over = F.when(dm > F.col("max_dry_matter_pct"), dm - F.col("max_dry_matter_pct")).otherwise(F.lit(0.0))
-    under = F.when(dm < F.col("min_dry_matter_pct"), F.col("min_dry_matter_pct") - dm).otherwise(F.lit(0.0))
+    top, bottom = F.col("max_dry_matter_pct"), F.col("min_dry_matter_pct")
+    if tolerance:
+        top, bottom = top + F.lit(tolerance), bottom - F.lit(tolerance)
+    over = F.when(dm > top, dm - top).otherwise(F.lit(0.0))
+    under = F.when(dm < bottom, bottom - dm).otherwise(F.lit(0.0))
     return j.groupBy("date", "plant_name", "region", "product_name").agg(
         F.sum(tons).alias("tons_processed"),
         C.safe_ratio(dm_sum, dm_n).alias("avg_dry_matter_pct"),
@@ -186,13 +183,13 @@ def cumulative_costs(exposure: DataFrame, revenue: DataFrame, all_days: bool = F
     revenue on a day without cost is not counted (H14, parity);
     ``all_days=True`` keeps every day with cost or revenue.
     """
-    cost_daily = (exposure.withColumn("region", C.region_of("plant_name"))
+    spend_by_day = (exposure.withColumn("region", C.region_of("plant_name"))
                   .groupBy("date", "region")
                   .agg(F.sum("raw_potato_spend_usd").alias("spend_usd"),
                        F.sum("over_quality_waste_usd").alias("over_quality_waste_usd")))
-    rev_daily = revenue.groupBy("date", "region").agg(F.sum("net_sales_usd").alias("revenue_usd"))
+    sales_by_day = revenue.groupBy("date", "region").agg(F.sum("net_sales_usd").alias("revenue_usd"))
     # all_days (H14 option): a day with revenue but no cost is kept too.
-    j = cost_daily.join(rev_daily, ["date", "region"], "full" if all_days else "left")
+    j = spend_by_day.join(sales_by_day, ["date", "region"], "full" if all_days else "left")
     r = running_sums(j, ["region"], ["date"], {
         "cumulative_spend_usd": "spend_usd",
         "cumulative_over_quality_waste_usd": "over_quality_waste_usd",
@@ -222,8 +219,7 @@ def oee_daily_by_code(oee: DataFrame) -> DataFrame:
     )
 
 
-def change_alignment(hourly: DataFrame, oee: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                     salt_buckets: int = 0) -> DataFrame:
+def change_alignment(hourly: DataFrame, oee: DataFrame, salt_buckets: int = 0) -> DataFrame:
     """G17 (J2): quality readings aligned with the day's OEE activity on their line.
 
     The reference joins every reading to every OEE row of the same day and
@@ -232,46 +228,44 @@ def change_alignment(hourly: DataFrame, oee: DataFrame, max_rows: int = DEFAULT_
     minutes, so a reading meets at most one row per downtime code pair, a
     number fixed by the code list rather than by the data.  Summing
     ``duration_min``/``downtime_min`` over this table gives the same totals
-    as over the reference's.  The reduced OEE side (days x lines x codes) is
-    broadcast behind the row check, so the readings are never shuffled; past
-    the bound it is a shuffle join on (day, plant, line), where AQE splits a
-    hot day-line, or with ``salt_buckets`` an explicitly salted join.
+    as over the reference's.  Spark broadcasts the reduced OEE side (days x lines
+    x codes) if it measures small; else it is a shuffle join on (day, plant,
+    line), where AQE splits a hot day-line, or an explicitly salted join.
     """
     q = hourly.select("date", "hour", "plant_name", "plant_line", "product_name", "dry_solids_pct",
                       "under_quality_flag", "over_quality_flag")
     keys = ["date", "plant_name", "plant_line"]
-    small, o = fits_broadcast(oee_daily_by_code(oee), max_rows, persist=True)
-    if small:
-        return q.join(F.broadcast(o), keys, "left")
+    o = oee_daily_by_code(oee)
     if salt_buckets > 0:
         return salted_join(q, o, keys, "left", salt_buckets)
     return q.join(o, keys, "left")
 
 
-def kpi_total_tons_30d(oee_daily: DataFrame) -> DataFrame:
-    """SUM(qty_packed_kg)/1000 over the trailing 30 days (31 inclusive)."""
-    s = trailing_sums(oee_daily, "date", 30, {"qty": F.col("qty_packed_kg")})
+def kpi_total_tons_30d(oee_daily: DataFrame, anchor: Column | None = None) -> DataFrame:
+    """SUM(qty_packed_kg)/1000 over the trailing 30 days (31 inclusive).
+    ``anchor`` is the latest day, where a cheaper table than this has it."""
+    s = trailing_sums(oee_daily, "date", 30, {"qty": F.col("qty_packed_kg")}, anchor=anchor)
     return s.select((F.col("qty") / 1000.0).alias("total_tons_last_30d"))
 
 
-def kpi_raw_spend_30d(exposure: DataFrame) -> DataFrame:
+def kpi_raw_spend_30d(exposure: DataFrame, anchor: Column | None = None) -> DataFrame:
     """Raw spend over the trailing 30 days."""
-    s = trailing_sums(exposure, "date", 30, {"raw_potato_spend_last_30d_usd": F.col("raw_potato_spend_usd")})
-    return s
+    return trailing_sums(exposure, "date", 30, {"raw_potato_spend_last_30d_usd": F.col("raw_potato_spend_usd")},
+                         anchor=anchor)
 
 
-def kpi_oee_performance_7d(oee_daily: DataFrame) -> DataFrame:
+def kpi_oee_performance_7d(oee_daily: DataFrame, anchor: Column | None = None) -> DataFrame:
     """G20 (A13): mean of the daily line ratios over the trailing 7 days (8
     inclusive): the mean of ratios, not the ratio of sums."""
     p = F.col("oee_performance")
-    s = trailing_sums(oee_daily, "date", 7, {"s": p, "n": F.when(p.isNotNull(), F.lit(1))})
+    s = trailing_sums(oee_daily, "date", 7, {"s": p, "n": F.when(p.isNotNull(), F.lit(1))}, anchor=anchor)
     return s.select(C.safe_ratio("s", "n").alias("oee_performance_avg_last_7d"))
 
 
-def kpi_downgrade_30d(exposure: DataFrame) -> DataFrame:
+def kpi_downgrade_30d(exposure: DataFrame, anchor: Column | None = None) -> DataFrame:
     """Downgrade exposure over the trailing 30 days."""
     return trailing_sums(exposure, "date", 30,
-                         {"downgrade_rework_exposure_last_30d_usd": F.col("downgrade_rework_exposure_usd")})
+                         {"downgrade_rework_exposure_last_30d_usd": F.col("downgrade_rework_exposure_usd")}, anchor=anchor)
 
 
 def scenario_recommendations(equipment: DataFrame) -> DataFrame:
@@ -279,17 +273,18 @@ def scenario_recommendations(equipment: DataFrame) -> DataFrame:
     savings = lost t/h x 10,000.  Ids hash the machine key (H5)."""
     lost = F.greatest(F.coalesce(F.col("equipment_rated_throughput_tph")
                                  - F.col("effective_rated_throughput_tph"), F.lit(0.0)), F.lit(0.0))
-    key = F.concat_ws("|", "plant_name", "plant_line", "equipment_id",
-                      F.date_format("commission_date", "yyyy-MM-dd"),
-                      F.col("equipment_rated_throughput_tph").try_cast("decimal(18,6)").cast("string"))
+    key = F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in (
+        F.col("plant_name"), F.col("plant_line"), F.col("equipment_id"), F.date_format("commission_date", "yyyy-MM-dd"),
+        F.expr("cast(cast(round(equipment_rated_throughput_tph * 1000) as bigint) as string)"),
+        F.col("equipment_type"), F.col("equipment_description"))])
     return equipment.select(
-        F.concat(F.lit("REC-"), F.substring(F.md5(key), 1, 16)).alias("recommendation_id"),
+        F.concat(F.lit("REC-"), F.md5(key)).alias("recommendation_id"),
         F.when(F.col("equipment_type") == UPGRADE_TYPE, F.lit("equipment_upgrade"))
         .otherwise(F.lit("load_reallocation")).alias("type"),
         "plant_name", "plant_line",
         F.round(lost * SAVINGS_PER_TPH, 0).alias("expected_savings_usd"),
         F.lit(SCENARIO_QUALITY_DELTA_PP).cast("decimal(2,1)").alias("expected_quality_delta_pp"),
         F.lit(SCENARIO_CONFIDENCE).cast("decimal(2,1)").alias("confidence"),
-        F.concat(F.lit("Based on equipment age and throughput vs rated for "), F.col("equipment_id"))
+        F.concat(F.lit(RATIONALE), F.col("equipment_id"))
         .alias("rationale"),
     )

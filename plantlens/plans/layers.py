@@ -11,31 +11,38 @@ gold.  Table order is the reference's statement order.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plantlens.operators.joins import DEFAULT_BROADCAST_ROWS
+from plantlens.operators.windows import trailing_window
 from plantlens.plans import gold, silver
 from plantlens.sources import standins
 
 # Fixed as-of date for ages and savings (H11: the reference uses CURRENT_DATE).
 DEFAULT_AS_OF = "2025-06-30"
-# Spine range of the reference's demo.
-SPINE_START, SPINE_END = "2025-07-10", "2025-10-31"
 
 
 class Layers:
     """Lazily built silver and gold tables over a dict of raw DataFrames.
 
-    Plan options for large runs: ``max_rows`` bounds every hinted broadcast,
-    ``salt_buckets`` salts the joins that fall back to a shuffle past that
-    bound, ``pre_aggregate`` combines loads before the product fan-out of
-    the cost exposure (see ``gold.cost_exposure``).
+    ``small_dimensions`` is the caller's statement that the spec table and the
+    price list are bounded (plants x lines x products; keys x days): they are
+    then broadcast.  Without it Spark's size threshold and AQE decide, and
+    ``salt_buckets`` salts the joins that shuffle.  ``pre_aggregate`` combines
+    loads before the product fan-out of the cost exposure
+    (see ``gold.cost_exposure``).
     """
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF,
-                 max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0, pre_aggregate: bool = False):
+                 small_dimensions: bool = False, salt_buckets: int = 0, pre_aggregate: bool = False):
         self.spark, self.raw, self.as_of = spark, raw, as_of
-        self.max_rows, self.salt_buckets, self.pre_aggregate = max_rows, salt_buckets, pre_aggregate
+        self.small_dimensions, self.salt_buckets, self.pre_aggregate = small_dimensions, salt_buckets, pre_aggregate
         self._cache: dict[str, DataFrame] = {}
+        self._written: set[str] = set()
+
+    def use_written(self, name: str, table: DataFrame) -> None:
+        """From now on read ``name`` from ``table`` and not from its plan."""
+        self._cache[name] = table
+        self._written.add(name)
 
     def _memo(self, name, fn):
         if name not in self._cache:
@@ -77,15 +84,15 @@ class Layers:
 
     # ---- gold ---------------------------------------------------------
     def spine(self):
-        return self._memo("gold_date_spine", lambda: gold.date_spine(self.spark, SPINE_START, SPINE_END))
+        return self._memo("gold_date_spine", lambda: gold.date_spine_between(self.loads(), "arrival_date"))
 
     def hourly(self):
         return self._memo("gold_line_hourly_quality",
-                          lambda: gold.line_hourly_quality(self.events(), self.specs(), max_rows=self.max_rows))
+                          lambda: gold.line_hourly_quality(self.events(), self.specs(), small=self.small_dimensions))
 
     def readings(self):
         return self._memo("gold_reading_quality",
-                          lambda: gold.reading_quality(self.events(), self.specs(), max_rows=self.max_rows))
+                          lambda: gold.reading_quality(self.events(), self.specs(), small=self.small_dimensions))
 
     def weekly(self):
         return self._memo("gold_quality_weekly", lambda: gold.quality_weekly(self.hourly()))
@@ -95,7 +102,7 @@ class Layers:
 
     def exposure(self):
         return self._memo("gold_cost_exposure", lambda: gold.cost_exposure(
-            self.loads(), self.costs(), self.specs(), max_rows=self.max_rows, pre_aggregate=self.pre_aggregate,
+            self.loads(), self.costs(), self.specs(), small=self.small_dimensions, pre_aggregate=self.pre_aggregate,
             salt_buckets=self.salt_buckets))
 
     def cumulative(self):
@@ -106,55 +113,78 @@ class Layers:
 
     def alignment(self):
         return self._memo("gold_change_alignment", lambda: gold.change_alignment(
-            self.hourly(), self.oee(), max_rows=self.max_rows, salt_buckets=self.salt_buckets))
+            self.hourly(), self.oee(), salt_buckets=self.salt_buckets))
+
+    # The trailing KPIs need the last days only.  Over a written table the range
+    # prunes its date partitions; before that it is pushed to the silver rows,
+    # so earlier days are neither priced nor aggregated.
+    def _recent_oee(self, days: int):
+        if "gold_oee_kpis" in self._written:
+            return self.oee_daily(), None
+        anchor = self.oee().select(F.max("date")).scalar()
+        return gold.oee_kpis(trailing_window(self.oee(), "date", days, anchor=anchor)), anchor
+
+    def _recent_exposure(self, days: int):
+        if "gold_cost_exposure" in self._written:
+            return self.exposure(), None
+        anchor = self.loads().select(F.max("arrival_date")).scalar()
+        recent = trailing_window(self.loads(), "arrival_date", days, anchor=anchor)
+        return gold.cost_exposure(recent, self.costs(), self.specs(), small=self.small_dimensions,
+                                  pre_aggregate=self.pre_aggregate, salt_buckets=self.salt_buckets), anchor
 
     def kpi_tons(self):
-        return gold.kpi_total_tons_30d(self.oee_daily())
+        return gold.kpi_total_tons_30d(*self._recent_oee(30))
 
     def kpi_spend(self):
-        return gold.kpi_raw_spend_30d(self.exposure())
+        return gold.kpi_raw_spend_30d(*self._recent_exposure(30))
 
     def kpi_performance(self):
-        return gold.kpi_oee_performance_7d(self.oee_daily())
+        return gold.kpi_oee_performance_7d(*self._recent_oee(7))
 
     def kpi_downgrade(self):
-        return gold.kpi_downgrade_30d(self.exposure())
+        return gold.kpi_downgrade_30d(*self._recent_exposure(30))
 
     def scenarios(self):
         return self._memo("gold_scenario_recommendations", lambda: gold.scenario_recommendations(self.equipment()))
 
     def silver_tables(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.tables().items() if k.startswith("silver_")}
+        return {name: getattr(self, how)() for name, how in SILVER.items()}
 
     def gold_tables(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.tables().items() if k.startswith("gold_")}
+        return {name: getattr(self, how)() for name, how in GOLD.items()}
 
     def tables(self) -> dict[str, DataFrame]:
         """Every table, in the reference's statement order."""
-        return {
-            "silver_product_specifications": self.specs(),
-            "silver_variety_costs": self.costs(),
-            "silver_revenue_by_line": self.revenue(),
-            "silver_product_demand": self.demand(),
-            "silver_potato_load_quality": self.loads(),
-            "silver_line_quality_events": self.events(),
-            "silver_oee_events": self.oee(),
-            "silver_line_equipment": self.equipment(),
-            "silver_downtime_events": self.downtime(),
-            "gold_date_spine": self.spine(),
-            "gold_line_hourly_quality": self.hourly(),
-            "gold_quality_weekly": self.weekly(),
-            "gold_oee_kpis": self.oee_daily(),
-            "gold_cost_exposure": self.exposure(),
-            "gold_cumulative_costs": self.cumulative(),
-            "gold_line_daily_metrics": self.line_daily(),
-            "gold_change_alignment": self.alignment(),
-            "gold_counter_total_tons_last_30d": self.kpi_tons(),
-            "gold_counter_raw_potato_spend_last_30d": self.kpi_spend(),
-            "gold_counter_oee_performance_avg_last_7d": self.kpi_performance(),
-            "gold_counter_downgrade_rework_last_30d": self.kpi_downgrade(),
-            "gold_scenario_recommendations": self.scenarios(),
-        }
+        return self.silver_tables() | self.gold_tables()
+
+
+# Table -> method of Layers, in statement order.
+SILVER = {
+    "silver_product_specifications": "specs",
+    "silver_variety_costs": "costs",
+    "silver_revenue_by_line": "revenue",
+    "silver_product_demand": "demand",
+    "silver_potato_load_quality": "loads",
+    "silver_line_quality_events": "events",
+    "silver_oee_events": "oee",
+    "silver_line_equipment": "equipment",
+    "silver_downtime_events": "downtime",
+}
+GOLD = {
+    "gold_date_spine": "spine",
+    "gold_line_hourly_quality": "hourly",
+    "gold_quality_weekly": "weekly",
+    "gold_oee_kpis": "oee_daily",
+    "gold_cost_exposure": "exposure",
+    "gold_cumulative_costs": "cumulative",
+    "gold_line_daily_metrics": "line_daily",
+    "gold_change_alignment": "alignment",
+    "gold_counter_total_tons_last_30d": "kpi_tons",
+    "gold_counter_raw_potato_spend_last_30d": "kpi_spend",
+    "gold_counter_oee_performance_avg_last_7d": "kpi_performance",
+    "gold_counter_downgrade_rework_last_30d": "kpi_downgrade",
+    "gold_scenario_recommendations": "scenarios",
+}
 
 
 def from_raw_folder(spark: SparkSession, base_path: str, as_of: str = DEFAULT_AS_OF) -> Layers:
@@ -170,8 +200,9 @@ def from_raw_folder(spark: SparkSession, base_path: str, as_of: str = DEFAULT_AS
 
 
 def from_test_tables(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Layers:
-    """Layers over the raw stand-ins projected from the shared test tables."""
-    return Layers(spark, standins.raw_tables(spark, sf_dir), as_of)
+    """Layers over the raw stand-ins projected from the shared test tables.  Their
+    specs and prices have at most 48 and 3,360 rows, whatever the input."""
+    return Layers(spark, standins.raw_tables(spark, sf_dir), as_of, small_dimensions=True)
 
 
 # Table descriptions attached as table comments.
@@ -208,39 +239,24 @@ PARTITION_COLUMNS = {
     "silver_oee_events": "date",
     "gold_line_hourly_quality": "date",
     "gold_cost_exposure": "date",
+    "gold_oee_kpis": "date",
 }
 
 
-# Tables read by day-and-line aggregates and joins (G13, G16, G17): bucketed on
-# the line so those plans need no shuffle over the written tables.
-BUCKET_COLUMNS = {
-    "silver_oee_events": ["plant_name", "plant_line"],
-    "gold_line_hourly_quality": ["plant_name", "plant_line"],
-}
-DEFAULT_BUCKETS = 64
-
-
-def materialize(layers: Layers, base_path: str, database: str | None = None,
-                buckets: int = DEFAULT_BUCKETS) -> dict[str, str]:
-    """Write silver, rebuild gold on the written silver tables, write gold.
+def materialize(layers: Layers, base_path: str, database: str | None = None) -> dict[str, str]:
+    """Write every table in statement order; each is read back for the tables
+    that build on it, so nothing is computed twice and a lost executor
+    recomputes one statement.
 
     ``base_path`` is a folder every executor can read (on a cluster, the
     shared storage the job is configured with).  Returns table -> name."""
+    from plantlens.sources.sinks import save_table
+
     spark = layers.spark
+    work = Layers(spark, layers.raw, layers.as_of, layers.small_dimensions, layers.salt_buckets, layers.pre_aggregate)
     names = {}
-    for name, df in layers.silver_tables().items():
-        names[name] = _save(spark, df, name, database, base_path, buckets)
-    written = Layers(spark, layers.raw, layers.as_of, layers.max_rows, layers.salt_buckets, layers.pre_aggregate)
-    for name in names:
-        written._cache[name] = spark.table(names[name])
-    for name, df in written.gold_tables().items():
-        names[name] = _save(spark, df, name, database, base_path, buckets)
+    for name, how in (SILVER | GOLD).items():
+        names[name] = save_table(spark, getattr(work, how)(), name, database, f"{base_path.rstrip('/')}/{name}",
+                                 TABLE_COMMENTS.get(name), PARTITION_COLUMNS.get(name))
+        work.use_written(name, spark.table(names[name]))
     return names
-
-
-def _save(spark, df, name, database, base_path, buckets):
-    from plantlens.sources.sinks import save_table
-
-    cols = BUCKET_COLUMNS.get(name)
-    return save_table(spark, df, name, database, f"{base_path.rstrip('/')}/{name}", TABLE_COMMENTS.get(name),
-                      PARTITION_COLUMNS.get(name), bucket_by=(buckets, cols) if cols else None)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plantlens.functions import columns as C
 from plantlens.functions.timestamps import iso_utc_ms, native_ms, parse_iso_timestamp, try_timestamp
-from plantlens.operators.joins import bounded_broadcast, price_intervals
+from plantlens.operators.joins import price_intervals, stated_small
 from plantlens.operators.windows import running_sums, trailing_window
 from plantlens.oracle.layers_sql import dominant_class_sql
 from plantlens.plans import gold
@@ -43,9 +43,9 @@ def s1(spark, sf_dir):
 
 @register("s2_part_files", oracle="SELECT * FROM silver_potato_load_quality", digits=LOAD_DIGITS)
 def s2(spark, sf_dir):
-    """Loads written as at most 6 near-equal part files and read back."""
+    """Loads written as part files of a bounded row count and read back."""
     out = f"{checkpoint_dir(spark).rstrip('/')}/plantlens-sinks/s2-{uuid.uuid4().hex}"
-    sinks.write_parts(_P(spark, sf_dir).loads(), out, num_files=6)
+    sinks.write_parts(_P(spark, sf_dir).loads(), out, rows_per_file=1_000_000)
     return spark.read.parquet(out)
 
 
@@ -79,13 +79,16 @@ def s4(spark, sf_dir):
                     native_ms(F.col("end_time_ts")).alias("end_ms"))
 
 
-@register("s8_save_table", oracle="SELECT * FROM silver_variety_costs", digits={"price_usd_per_ton": MONEY})
+@register("s8_save_table", oracle="SELECT * FROM gold_oee_kpis", digits={
+    "total_downtime_min": RATIO, "run_duration_min": RATIO, "qty_packed_kg": MONEY, "num_totes_on": RATIO,
+    "oee_performance": RATIO})
 def s8(spark, sf_dir):
-    """The price list saved as a commented table at a path and read back."""
+    """Daily line totals saved as a commented, date-partitioned table at a
+    path and read back."""
     tag = uuid.uuid4().hex[:12]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/plantlens-tables/costs_{tag}"
-    name = sinks.save_table(spark, _P(spark, sf_dir).costs(), f"silver_variety_costs_{tag}", "plantlens_check",
-                            path, "Cleaned variety price list.")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/plantlens-tables/oee_kpis_{tag}"
+    name = sinks.save_table(spark, _P(spark, sf_dir).oee_daily(), f"gold_oee_kpis_{tag}", "plantlens_check",
+                            path, "Daily line totals.", partition_by="date")
     return spark.table(name)
 
 
@@ -205,7 +208,7 @@ def j4(spark, sf_dir):
     """Loads fanned out to the distinct thresholds of their plant."""
     p = _P(spark, sf_dir)
     t = gold.spec_thresholds(p.specs())
-    j = p.loads().select("plant_name", "tons").join(bounded_broadcast(t), "plant_name", "left")
+    j = p.loads().select("plant_name", "tons").join(stated_small(t, True), "plant_name", "left")
     return j.groupBy("plant_name", "product_name").agg(F.count(F.lit(1)).alias("n_rows"),
                                                        F.sum("tons").alias("tons"))
 

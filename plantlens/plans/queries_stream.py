@@ -19,8 +19,8 @@ from plantlens.streaming import jobs
 
 def _hourly_stream(spark, sf_dir):
     schema = read_table(spark, sf_dir, "events").schema
-    raw = standins.line_quality_events_from(jobs.event_stream(spark, sf_dir, schema, glob="events.parquet"))
-    return jobs.hourly_flags_stream(raw, from_test_tables(spark, sf_dir).specs())
+    raw = standins.line_quality_events_from(jobs.table_stream(spark, sf_dir, "events", schema))
+    return jobs.hourly_flags_stream(raw, from_test_tables(spark, sf_dir).specs(), small=True)
 
 
 @register("t1_stream_hourly_flags", oracle="SELECT * FROM gold_line_hourly_quality", digits=HOURLY_DIGITS)

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -204,11 +203,10 @@ def code_drift_correlation(hourly: DataFrame, oee: DataFrame) -> DataFrame:
     nothing to them).  One aggregate per source and one join of two small
     aggregates; a constant series gives NULL rather than a divide error.
     """
-    # One row per (day, plant): kept so both uses below share one pass over
-    # the readings (Spark does not reuse the exchange across the two uses).
+    # one row per (day, plant)
     q = hourly.groupBy("date", "plant_name").agg(
         (F.count_if(F.col("under_quality_flag") | F.col("over_quality_flag")) / F.count(F.lit(1)))
-        .alias("y")).persist(StorageLevel.MEMORY_AND_DISK)
+        .alias("y"))
     per_plant = q.groupBy("plant_name").agg(
         F.count(F.lit(1)).alias("n_days"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"))
     codes = oee.filter(F.col("downtime_cat_1") != "run").groupBy("date", "plant_name", "downtime_cat_2").agg(

@@ -175,9 +175,11 @@ def downtime_events(raw: DataFrame) -> DataFrame:
     """
     key = F.concat_ws("|", F.col("plant_name"), F.col("plant_line"),
                       F.date_format("datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-                      F.col("duration").cast("string"), F.col("downtime_duration").cast("string"))
+                      F.col("duration").cast("string"), F.col("downtime_duration").cast("string"),
+                      C.unknown("downtime_cat_1", "-"), C.unknown("downtime_cat_2", "-"), C.unknown("product_name", "-"),
+                      C.unknown("end_time", "-"))
     return raw.select(
-        F.concat(F.lit("EVT-"), F.substring(F.md5(key), 1, 16)).alias("event_id"),
+        F.concat(F.lit("EVT-"), F.md5(key)).alias("event_id"),
         "plant_name", "plant_line",
         F.col("datetime").cast("timestamp").alias("event_time"),
         (F.col("duration").cast("double") / 60.0).alias("duration_min"),

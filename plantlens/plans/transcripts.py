@@ -9,7 +9,7 @@ of one output row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,9 +163,9 @@ def flatten_items_joined(items: DataFrame, request_key: str = "conv_id") -> Data
     (dropped when empty); a request that yields no row at all gets one
     'No response found' assistant row.
 
-    One pass: a window over each request's items (one response, so bounded)
-    tells whether any item was kept, and the request's first item carries
-    the placeholder when none was."""
+    The kept rows are a projection of the items.  Requests without one are the
+    ids left by an anti join of ids alone, so no request's texts are gathered
+    and a hot request is only a repeated key of a partial aggregate."""
     it = items.select(request_key, "turn", F.from_json("item_json", ITEM).alias("it"))
     texts = F.filter("it.content", lambda p: p["type"] == "output_text")
     joined = F.array_join(F.transform(texts, lambda p: F.coalesce(p["text"], F.lit(""))), "")
@@ -179,21 +179,13 @@ def flatten_items_joined(items: DataFrame, request_key: str = "conv_id") -> Data
     )
     kept = (F.col("item_type").isin("message", "function_call", "function_call_output")
             & ~((F.col("item_type") == "message") & (F.col("content") == "")))
-    req = Window.partitionBy(request_key)
-    marked = rows.withColumn("kept", F.coalesce(kept, F.lit(False))).withColumns({
-        "any_kept": F.max("kept").over(req),
-        "first": F.row_number().over(req.orderBy("turn")) == 1,
-    })
-    none = ~F.col("any_kept")
-    out = marked.filter(F.col("kept") | (none & F.col("first")))
-    return out.select(
-        request_key,
-        F.when(none, F.lit(None).cast(items.schema["turn"].dataType)).otherwise(F.col("turn")).alias("turn"),
-        F.when(none, F.lit("assistant")).otherwise(F.col("role")).alias("role"),
-        F.when(none, F.lit(NO_RESPONSE_TEXT)).otherwise(F.col("content")).alias("content"),
-        F.when(none, F.lit(None).cast("string")).otherwise(F.col("tool_call_id")).alias("tool_call_id"),
-        F.when(none, F.lit("message")).otherwise(F.col("item_type")).alias("item_type"),
-    )
+    found = rows.filter(F.coalesce(kept, F.lit(False)))
+    silent = items.select(request_key).distinct().join(found.select(request_key).distinct(), request_key, "left_anti")
+    placeholder = silent.select(
+        request_key, F.lit(None).cast(items.schema["turn"].dataType).alias("turn"), F.lit("assistant").alias("role"),
+        F.lit(NO_RESPONSE_TEXT).alias("content"), F.lit(None).cast("string").alias("tool_call_id"),
+        F.lit("message").alias("item_type"))
+    return found.select(placeholder.columns).union(placeholder)
 
 
 # ---- X6: chat history -> request items ------------------------------------

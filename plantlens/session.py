@@ -16,10 +16,15 @@ REQUIRED_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def is_local(master: str | None) -> bool:
+    return bool(master) and master.startswith("local") and not master.startswith("local-cluster")
+
+
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "plantlens", extra: dict | None = None) -> SparkSession:
-    """Local/test session.  On a cluster the submitter owns the session; call
-    :func:`configure` on it instead."""
+    """A session.  Sizes (shuffle partitions, driver memory, broadcast threshold)
+    are set for a local ``master`` only, or where given; on a cluster the
+    submitter's values stand."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -27,14 +32,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         **REQUIRED_CONF,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.driver.memory": os.environ.get("PLANTLENS_DRIVER_MEMORY", "16g"),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Broadcasts only happen behind this size check (static estimate, and
-        # again at runtime through AQE); bigger sides fall back to shuffle joins.
-        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-        **(extra or {}),
     }
+    if is_local(master):
+        conf |= {
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": os.environ.get("PLANTLENS_DRIVER_MEMORY", "16g"),
+            "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        }
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf |= extra or {}
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -47,25 +55,19 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the library depends on to an existing session."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/plantlens-checkpoints") -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    The setting is only read, never overwritten (it cannot change at
-    runtime).  Only when it is absent (local tests) is the fallback used."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:                           # no SparkContext (e.g. a Connect session)
-            d = None
-    if not d:
-        d = fallback
-        try:
-            spark.sparkContext.setCheckpointDir(d)  # for DataFrame.checkpoint()
-        except Exception:
-            pass
-    return d
+    The setting is only read, never overwritten.  ``fallback`` is a folder of
+    this machine, so it serves local masters only (tests); elsewhere a missing
+    setting is an error, as executors would write to their own disks."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    if not is_local(spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(fallback)
+    return fallback

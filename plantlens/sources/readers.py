@@ -14,7 +14,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_parquet_dir(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet_dir(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                     lenient: bool = False) -> DataFrame:
     """Read every ``*.parquet`` part under a directory.
 
     With a declared schema the columns are conformed to it: integer widths
@@ -22,26 +23,36 @@ def read_parquet_dir(spark: SparkSession, path: str, schema: T.StructType | None
     sink's default mode, missing values as ``'NaT'``) are parsed.
     """
     df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
-    return conform(df, schema) if schema is not None else df
+    return conform(df, schema, lenient) if schema is not None else df
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, lenient: bool = False) -> DataFrame:
     """Project ``df`` onto ``schema``: same names and order, declared types.
 
-    Missing columns become typed NULLs so older files still read; values
-    that do not fit a declared type become NULL.
+    Strict by default: a missing column raises at once, and a value that does
+    not fit its declared type fails the job that reads it.  ``lenient=True``
+    reads older files: missing columns and unfit values become NULL.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name not in have]
+    if missing and not lenient:
+        raise ValueError(f"columns missing: {', '.join(missing)}")
     cols = []
     for f in schema.fields:
         if f.name not in have:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif isinstance(f.dataType, T.TimestampType) and isinstance(have[f.name], T.StringType):
-            cols.append(parse_iso_timestamp(F.col(f.name)).alias(f.name))
         elif have[f.name] == f.dataType:
             cols.append(F.col(f.name))
         else:
-            # try_cast: a value that does not fit the declared type becomes
-            # NULL instead of failing the whole read under ANSI.
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            value = F.col(f.name)
+            if isinstance(f.dataType, T.TimestampType) and isinstance(have[f.name], T.StringType):
+                fit = parse_iso_timestamp(value)
+                absent = value.isNull() | (value == "NaT")
+            else:
+                fit = value.try_cast(f.dataType)
+                absent = value.isNull()
+            if not lenient:
+                wrong = F.concat(F.lit(f"{f.name}: value does not fit {f.dataType.simpleString()}: "), value.cast("string"))
+                fit = F.when(fit.isNotNull() | absent, fit).otherwise(F.raise_error(wrong).cast(f.dataType))
+            cols.append(fit.alias(f.name))
     return df.select(*cols)

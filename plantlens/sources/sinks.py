@@ -1,14 +1,12 @@
 """Sinks (S2-S9): part-file writes, timestamp encodings, table registration.
 
-No data passes through the driver: the row count used to size the part
-files is a distributed count, and the write is done by the executors.
+No data passes through the driver; every sink computes its input once.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantlens.functions.timestamps import iso_utc_ms, native_ms
@@ -37,29 +35,24 @@ def encode_timestamps(df: DataFrame, mode: str = "iso") -> DataFrame:
     return df.select(*cols)
 
 
-def part_plan(n_rows: int, num_files: int) -> tuple[int, int]:
-    """(files, max rows per file): one file below ``num_files`` rows, else
-    chunks of ceil(n / num_files) rows, as many as needed."""
-    if n_rows < num_files:
-        return 1, max(n_rows, 1)
-    chunk = math.ceil(n_rows / num_files)
-    return math.ceil(n_rows / chunk), chunk
+ROWS_PER_FILE = 2_000_000
 
 
-def write_parts(df: DataFrame, path: str, num_files: int = 5, mode: str = "overwrite") -> int:
-    """Parquet with at most ``num_files`` part files of near-equal size.
+def write_parts(df: DataFrame, path: str, num_files: int | None = None, rows_per_file: int = ROWS_PER_FILE,
+                mode: str = "overwrite") -> None:
+    """Parquet part files, in one pass over ``df``.
 
-    One file per partition of a round-robin repartition into the planned
-    file count, so the bound on files is exact; sizes are near ceil(n / N)
-    (round robin starts each input task at a random offset, so a file may
-    hold a few rows more).  Returns the number of files planned."""
-    n = df.count()
-    files, _ = part_plan(n, num_files)
-    df.repartition(files).write.mode(mode).parquet(path)
-    return files
+    By default the tasks that compute the rows write them, a new file after
+    every ``rows_per_file`` rows.  ``num_files`` (the caller's choice) deals the
+    rows round robin into exactly that many tasks, hence at most as many files."""
+    if num_files is not None:
+        df = df.repartition(num_files)
+        df.write.mode(mode).parquet(path)
+    else:
+        df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def save_raw(df: DataFrame, name: str, base_path: str, num_files: int = 5,
+def save_raw(df: DataFrame, name: str, base_path: str, num_files: int | None = None,
              timestamps: str = "iso") -> str:
     """The raw sink: encode timestamps, prefix the name, write parts
     under ``base_path``.  Returns the folder written."""
@@ -71,12 +64,12 @@ def save_raw(df: DataFrame, name: str, base_path: str, num_files: int = 5,
 def save_table(spark: SparkSession, df: DataFrame, name: str, database: str | None = None,
                path: str | None = None, comment: str | None = None,
                partition_by: str | None = None, catalog: str | None = None,
-               bucket_by: tuple[int, list[str]] | None = None) -> str:
+               files_per_partition: int = 4) -> str:
     """Create-or-replace a parquet table (optionally at an explicit
     path and partitioned by a column), creating the database if missing, and
-    attach a comment.  ``bucket_by=(n, cols)`` hash-buckets the rows on
-    ``cols`` (co-located reads: an aggregate or join on those keys over two
-    tables bucketed alike needs no shuffle).  ``catalog`` gives a three-part
+    attach a comment.  Before a partitioned write the rows are dealt by the
+    partition column and a salt (a hash of the row), so a partition gets at most
+    ``files_per_partition`` files and a hot one as many tasks.  ``catalog`` gives a three-part
     name for a configured catalog.  When a path is given the database is located beside it, so
     nothing is written under the driver's working folder.  Returns the
     qualified table name."""
@@ -89,14 +82,14 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, database: str | No
             location = f" LOCATION '{parent}/_databases/{database}.db'"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{location}")
         qualified = f"{db}.`{name}`"
+    if partition_by:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        df = df.repartition(partition_by, salt)
     w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(partition_by)
-    if bucket_by:
-        n, cols = bucket_by
-        w = w.bucketBy(n, *cols).sortBy(*cols)
     w.saveAsTable(qualified)
     if comment is not None:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")

@@ -7,7 +7,7 @@ reads data whose size grows with the inputs.  All numbers come from integer
 arithmetic on keys, so the DuckDB oracle reproduces them bit for bit.
 
 Every function here is a narrow projection (no shuffle) except the two tiny
-dimension tables that are generated from ``spark.range``.
+dimension tables, which are the distinct keys of ``part`` and ``lineitem``.
 """
 
 from __future__ import annotations
@@ -64,18 +64,20 @@ def _product_name(k: Column) -> Column:
     return F.concat(F.lit("PRD-"), k.cast("string"))
 
 
-def product_specs(spark: SparkSession) -> DataFrame:
-    """plants x lines x products (48 rows).  Generated, a dimension table."""
+def product_specs_from(parts: DataFrame) -> DataFrame:
+    """The (plant, line, product) combinations that the part keys name: at most
+    48 rows, less those of one product that its plant makes without a spec."""
     offsets, acc = [], 0
     for _, _, n in PLANTS:
         offsets.append(acc)
         acc += n
-    line_idx = F.floor(F.col("id") / N_PRODUCTS)
-    k = (F.col("id") % N_PRODUCTS).cast("int")
+    pk = F.col("p_partkey")
+    ids = parts.select((pk % acc).alias("line"), (F.floor(pk / acc) % N_PRODUCTS).alias("product")).distinct()
+    ids = ids.filter((F.col("line") < offsets[3]) | (F.col("product") != N_PRODUCTS - 1))
+    line_idx, k = F.col("line"), F.col("product").cast("int")
     plant_id = (F.when(line_idx < offsets[1], 1).when(line_idx < offsets[2], 2)
                 .when(line_idx < offsets[3], 3).otherwise(4))
-    return (spark.range(acc * N_PRODUCTS)
-            .select(plant_id.cast("int").alias("plant_id"), line_idx.alias("li"), k.alias("k"))
+    return (ids.select(plant_id.cast("int").alias("plant_id"), line_idx.alias("li"), k.alias("k"))
             .select(
                 "plant_id",
                 plant_name_of(F.col("plant_id")).alias("plant_name"),
@@ -113,8 +115,8 @@ def line_quality_events_from(events: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("datetime"),
         plant_id.alias("plant_id"),
         plant_name_of(plant_id).alias("plant_name"),
-        (eid % N_PRODUCTS + 100).cast("string").alias("product_id"),
-        _product_name(eid % N_PRODUCTS).alias("product_name"),
+        F.when(eid % 509 != 0, (eid % N_PRODUCTS + 100).cast("string")).alias("product_id"),
+        F.when(eid % 521 != 0, _product_name(eid % N_PRODUCTS)).alias("product_name"),
         F.when(eid % 503 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("variety "), (eid % 5).cast("string"))).alias("variety"),
         (60 + eid % 30).cast("int").alias("avg_length_mm"),
@@ -136,7 +138,8 @@ def oee_events_from(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     plant_id = (F.col("user_id") % 4 + 1).cast("int")
     duration = (600 + (eid * 7919) % 17400).cast("bigint")
-    ts = F.col("ts").cast("timestamp")
+    # three stretches of days, so that the trailing windows leave rows out
+    ts = F.timestamp_add("DAY", (eid % 3) * 20, F.col("ts").cast("timestamp"))
     end_ts = F.timestamp_add("SECOND", duration, ts)
     is_error = F.col("event_type") == "error"
     return ev.select(
@@ -188,19 +191,24 @@ def load_quality_from(li: DataFrame) -> DataFrame:
         (F.col("l_linenumber") % 5).cast("double").alias("usda_color_3_pct"),
         (ok % 3).cast("double").alias("usda_color_4_pct"),
         (1000 + pk % 2000).cast("int").alias("total_defect_points"),
-        (F.lit(20.0) + F.col("l_discount") * 45).alias("dry_matter_pct"),
+        F.when(ok % 409 != 0, F.lit(20.0) + F.col("l_discount") * 45).alias("dry_matter_pct"),
     )
 
 
-def variety_costs(spark: SparkSession) -> DataFrame:
-    """Weekly price list: 7 weeks x 2 regions x 12 suppliers x 5 varieties x 4 bands.
+N_PRICES = 7 * 2 * 12 * 5 * 4
+
 
-    Every (region, variety, band, week) key has 12 tied supplier rows on purpose.
+def variety_costs_from(li: DataFrame) -> DataFrame:
+    """Weekly price list of the entries that the line keys name: at most 7 weeks
+    x 2 regions x 12 suppliers x 5 varieties x 4 bands.
+
+    A (region, variety, band, week) key has up to 12 tied supplier rows on purpose.
     """
     i = F.col("id")
+    ids = li.select(((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % N_PRICES).alias("id")).distinct()
     b, v, s = i % 4, F.floor(i / 4) % 5, F.floor(i / 20) % 12
     r, w = F.floor(i / 240) % 2, F.floor(i / 480)
-    return spark.range(7 * 2 * 12 * 5 * 4).select(
+    return ids.select(
         F.date_add(F.lit(DAY0).cast("date"), (7 * w).cast("int")).alias("effective_date"),
         _case(r, COST_REGIONS).alias("region"),
         F.concat(F.lit("S"), (s + 1).cast("string")).alias("supplier_id"),
@@ -227,7 +235,8 @@ def line_equipment_from(p: DataFrame) -> DataFrame:
         _case(pk % 5, EQUIPMENT_TYPES).alias("equipment_type"),
         F.col("p_name").alias("equipment_description"),
         (F.lit(4.5) + F.col("p_size") / 10.0).alias("equipment_rated_throughput_tph"),
-        F.date_add(F.lit("2015-01-01").cast("date"), ((pk * 37) % 3650).cast("int")).alias("commission_date"),
+        F.when(pk % 83 == 0, F.lit(None).cast("date")).when(pk % 89 == 0, F.lit("1950-01-01").cast("date"))
+        .otherwise(F.date_add(F.lit("2015-01-01").cast("date"), ((pk * 37) % 3650).cast("int"))).alias("commission_date"),
     )
 
 
@@ -273,30 +282,6 @@ def product_demand_from(o: DataFrame) -> DataFrame:
     )
 
 
-# Sources whose stand-in does heavy per-row work (load ids are built as text
-# and parsed back with regular expressions); spreading lighter sources costs
-# more in the extra shuffle than it saves.
-SPREAD_SOURCES = {"lineitem", "orders"}
-
-
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Parallelism floor for a source with fewer input splits than cores.
-
-    The shared test tables are single files with one row group each, so
-    their scan is one task and all per-row work behind it (the stand-in
-    projections, silver parsing, map-side joins and partial aggregates)
-    would run in that task.  Such a source is hash-partitioned on its first
-    column (no sort, deterministic on retry) right after the scan.  An input
-    with at least as many splits as cores -- any large table -- is returned
-    unchanged, so no extra shuffle is added at scale."""
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:                    # no RDD access (e.g. a Connect session)
-        return df
-    return df.repartition(cores, df.columns[0]) if splits < cores else df
-
-
 class RawTables(Mapping):
     """The eight raw stand-ins, each built on first access.
 
@@ -305,12 +290,12 @@ class RawTables(Mapping):
     sources, and two stand-ins over the same source share one read."""
 
     BUILDERS = {
-        "raw_product_specifications": lambda spark, read: product_specs(spark),
+        "raw_product_specifications": lambda spark, read: product_specs_from(read("part")),
         "raw_line_equipment": lambda spark, read: line_equipment_from(read("part")),
         "raw_potato_load_quality": lambda spark, read: load_quality_from(read("lineitem")),
         "raw_oee_events": lambda spark, read: oee_events_from(read("events")),
         "raw_line_quality_events": lambda spark, read: line_quality_events_from(read("events")),
-        "raw_variety_costs": lambda spark, read: variety_costs(spark),
+        "raw_variety_costs": lambda spark, read: variety_costs_from(read("lineitem")),
         "raw_revenue_by_line": lambda spark, read: revenue_by_line_from(read("orders")),
         "raw_product_demand": lambda spark, read: product_demand_from(read("orders")),
     }
@@ -322,8 +307,7 @@ class RawTables(Mapping):
 
     def _read(self, name: str) -> DataFrame:
         if name not in self._sources:
-            df = read_table(self.spark, self.sf_dir, name)
-            self._sources[name] = spread(self.spark, df) if name in SPREAD_SOURCES else df
+            self._sources[name] = read_table(self.spark, self.sf_dir, name)
         return self._sources[name]
 
     def __getitem__(self, key: str) -> DataFrame:

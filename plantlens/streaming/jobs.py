@@ -31,10 +31,21 @@ def event_stream(spark: SparkSession, directory: str, schema, glob: str = "*.par
     return r.parquet(directory)
 
 
-def hourly_flags_stream(raw_events: DataFrame, specs: DataFrame) -> DataFrame:
-    """Hourly readings flagged against the (static, broadcast) spec table.
-    Stateless, so append mode emits every row once."""
-    return gold.line_hourly_quality(silver.line_quality_events(raw_events), specs)
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
+    """File stream of ``{sf_dir}/{name}.parquet``, a folder of part files or a
+    single file.  Looked up through Spark's own file system, so any store works."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(path).isDirectory():
+        return event_stream(spark, f"{sf_dir}/{name}.parquet", schema)
+    return event_stream(spark, sf_dir, schema, glob=f"{name}.parquet")
+
+
+def hourly_flags_stream(raw_events: DataFrame, specs: DataFrame, small: bool = False) -> DataFrame:
+    """Hourly readings flagged against the (static) spec table, which is
+    broadcast if stated ``small``.  Stateless, so append mode emits every row once."""
+    return gold.line_hourly_quality(silver.line_quality_events(raw_events), specs, small=small)
 
 
 def weekly_quality_stream(hourly: DataFrame, watermark: str = "1 day") -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from plantlens.operators.joins import asof_price_join, asof_price_join_range, bounded_broadcast
+from plantlens.operators.joins import asof_price_join, asof_price_join_range, stated_small
 from plantlens.operators.windows import running_sums, trailing_sums, trailing_window
 
 D = dt.date
@@ -51,10 +51,10 @@ def test_asof_day_table_equals_range_join(spark):
     assert a.count() == _loads(spark).count()      # at most one price per load
 
 
-def test_bounded_broadcast_only_below_bound(spark):
+def test_broadcast_hint_only_where_stated(spark):
     small = spark.range(10)
-    assert "broadcast" in str(bounded_broadcast(small, 100)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(bounded_broadcast(small, 5)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" in str(stated_small(small, True)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(stated_small(small, False)._jdf.queryExecution().logical()).lower()
 
 
 def _days(spark, n=40, gaps=()):
@@ -89,18 +89,13 @@ def test_running_sums_non_decreasing(spark):
     assert [x["cum"] for x in r if x["region"] == "EU"] == [2.0, 4.0, 6.0, 8.0]
 
 
-def test_asof_tiers_agree(spark):
-    """The three plans of asof_price_join give the same rows."""
+def test_asof_plans_agree(spark):
+    """Stated small, left to Spark, and salted: the same rows."""
     loads, costs = _loads(spark), _costs(spark)
-    want = sorted(asof_price_join(loads, costs, "2025-12-31").select("id", "price_usd_per_ton").collect())
-    # bound below the day table (about 180 rows) but above the intervals: broadcast range join
-    tier2 = asof_price_join(loads, costs, "2025-12-31", max_rows=50)
-    # bound below both: shuffle join on (key, day)
-    tier3 = asof_price_join(loads, costs, "2025-12-31", max_rows=1)
-    assert sorted(tier2.select("id", "price_usd_per_ton").collect()) == want
-    assert sorted(tier3.select("id", "price_usd_per_ton").collect()) == want
-    plan2 = tier2._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan2 or "BroadcastNestedLoopJoin" in plan2
+    want = sorted(asof_price_join_range(loads, costs, "2025-12-31").select("id", "price_usd_per_ton").collect())
+    for kw in ({"small": True}, {}, {"salt_buckets": 4}):
+        got = asof_price_join(loads, costs, "2025-12-31", **kw)
+        assert sorted(got.select("id", "price_usd_per_ton").collect()) == want, kw
 
 
 def test_cumulative_costs_missing_days(spark):
@@ -124,24 +119,15 @@ def test_cumulative_costs_missing_days(spark):
 
 def test_date_spine_week(spark):
     """one week including a Sunday: Sunday = 1, Saturday = 7, Monday week start."""
-    from plantlens.plans.gold import date_spine
+    from plantlens.plans.gold import date_spine_between
 
-    rows = date_spine(spark, "2025-07-10", "2025-07-16").orderBy("date").collect()
+    days = spark.createDataFrame([(D(2025, 7, 16),), (D(2025, 7, 10),)], "date date")
+    rows = date_spine_between(days).orderBy("date").collect()
     assert [r.dow for r in rows] == [5, 6, 7, 1, 2, 3, 4]
     assert [r.is_weekend for r in rows] == [False, False, True, True, False, False, False]
     assert rows[0].week_start == dt.datetime(2025, 7, 7) and rows[-1].week_start == dt.datetime(2025, 7, 14)
 
 
-def test_broadcast_bound_shrinks_for_wide_rows(spark):
-    from plantlens.operators.joins import broadcast_row_bound
-
-    narrow = spark.range(1).selectExpr("id", "cast(id as int) as k")
-    wide = spark.range(1).selectExpr("id", *[f"cast(id as string) as s{i}" for i in range(40)])
-    assert broadcast_row_bound(narrow) == 2_000_000
-    assert broadcast_row_bound(wide) < broadcast_row_bound(narrow)
-    assert broadcast_row_bound(wide, max_bytes=10_000) == 10_000 // (8 + 40 * 48 + 8)   # 5 rows
-
-
 def test_salted_join_equals_plain_join_on_a_hot_key(spark):
     from plantlens.operators.joins import salted_join
 
@@ -160,7 +146,7 @@ def test_salted_join_equals_plain_join_on_a_hot_key(spark):
 def test_asof_salted_tier(spark):
     loads, costs = _loads(spark), _costs(spark)
     want = sorted(asof_price_join(loads, costs, "2025-12-31").select("id", "price_usd_per_ton").collect())
-    got = asof_price_join(loads, costs, "2025-12-31", max_rows=1, salt_buckets=4)
+    got = asof_price_join(loads, costs, "2025-12-31", salt_buckets=4)
     assert sorted(got.select("id", "price_usd_per_ton").collect()) == want
 
 
@@ -172,6 +158,6 @@ def test_change_alignment_fallbacks_agree(spark, small_dir):
     cols = ["date", "hour", "plant_name", "plant_line", "product_name", "downtime_cat_1", "downtime_cat_2",
             "oee_event_count"]
     want = sorted(gold.change_alignment(p.hourly(), p.oee()).select(*cols).collect())
-    for kw in ({"max_rows": 1}, {"max_rows": 1, "salt_buckets": 4}):
+    for kw in ({}, {"salt_buckets": 4}):
         got = gold.change_alignment(p.hourly(), p.oee(), **kw).select(*cols)
         assert sorted(got.collect()) == want

@@ -93,12 +93,12 @@ def test_exposure_pre_aggregation_gives_the_same_table(spark, small_dir):
 
 
 def test_layers_plan_options_give_the_same_tables(spark, small_dir):
-    """Tiny broadcast bound + salting + pre-aggregation: other plans, same rows."""
+    """No broadcast hints + salting + pre-aggregation: other plans, same rows."""
     from plantlens.plans.layers import Layers, from_test_tables
     from plantlens.plans.registry import finish
 
     base = from_test_tables(spark, small_dir)
-    alt = Layers(spark, base.raw, base.as_of, max_rows=1, salt_buckets=4, pre_aggregate=True)
+    alt = Layers(spark, base.raw, base.as_of, salt_buckets=4, pre_aggregate=True)
     digits = {"tons_processed": 6, "avg_dry_matter_pct": 6, "raw_potato_spend_usd": 2,
               "over_quality_waste_usd": 2, "downgrade_rework_exposure_usd": 2}
     assert sorted(finish(base.exposure(), digits).collect()) == sorted(finish(alt.exposure(), digits).collect())

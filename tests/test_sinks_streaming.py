@@ -14,19 +14,13 @@ from plantlens.sources.schemas import OEE_EVENTS
 from plantlens.streaming import jobs
 
 
-def test_part_plan():
-    assert sinks.part_plan(3, 5) == (1, 3)
-    assert sinks.part_plan(10, 4) == (4, 3)
-    assert sinks.part_plan(9, 4) == (3, 3)
-    assert sinks.part_plan(100, 5) == (5, 20)
-
-
 def test_write_parts_file_count(spark, tmp_dir):
-    df = spark.range(1000).withColumn("x", F.col("id") * 2)
-    files = sinks.write_parts(df, f"{tmp_dir}/p", num_files=6)
-    parts = glob.glob(f"{tmp_dir}/p/*.parquet")
-    assert files == 6 and 1 <= len(parts) <= 6
-    assert spark.read.parquet(f"{tmp_dir}/p").count() == 1000
+    df = spark.range(1000, numPartitions=3)
+    sinks.write_parts(df, f"{tmp_dir}/p", num_files=6)
+    assert len(glob.glob(f"{tmp_dir}/p/*.parquet")) == 6
+    sinks.write_parts(df, f"{tmp_dir}/q", rows_per_file=100)
+    assert len(glob.glob(f"{tmp_dir}/q/*.parquet")) == 12          # 334 rows a task, 100 a file
+    assert spark.read.parquet(f"{tmp_dir}/p").count() == spark.read.parquet(f"{tmp_dir}/q").count() == 1000
 
 
 def test_raw_sink_iso_round_trip(spark, tmp_dir):
@@ -142,15 +136,87 @@ def test_raw_sink_round_trip_gives_same_gold(spark, small_dir, tmp_dir):
         "end_time_ts IS NOT NULL").count()
 
 
-def test_bucketed_tables_aggregate_without_shuffle(spark, small_dir, tmp_dir):
-    """The OEE table written bucketed on the line: the daily line aggregate
-    (G13) over it plans no Exchange."""
+def test_written_layers(spark, small_dir, tmp_dir):
+    """Gold comes from written tables; files a partition are bounded; the
+    daily line aggregate is partial, dealt out, final; KPIs prune partitions."""
     from plantlens.plans import gold
-    from plantlens.plans.layers import from_test_tables, materialize
+    from plantlens.plans.layers import Layers, from_test_tables, materialize
 
-    names = materialize(from_test_tables(spark, small_dir), f"{tmp_dir}/lake", database="plantlens_bk", buckets=4)
+    layers = from_test_tables(spark, small_dir)
+    names = materialize(layers, f"{tmp_dir}/lake", database="plantlens_wl")
+    for table in ("silver_oee_events", "gold_line_hourly_quality", "gold_cost_exposure"):
+        for day in glob.glob(f"{tmp_dir}/lake/{table}/*=*"):
+            assert len(glob.glob(f"{day}/*.parquet")) <= 4
     plan = gold.oee_kpis(spark.table(names["silver_oee_events"]))._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1 and "Bucketed: true" not in plan
+    written = Layers(spark, {}, layers.as_of)
+    for name, full in names.items():
+        written.use_written(name, spark.table(full))
+    for how in ("kpi_spend", "kpi_tons", "kpi_downgrade", "kpi_performance"):
+        kpi = getattr(written, how)()
+        text = kpi._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(date" in text, text
+        a, b = kpi.first()[0], getattr(layers, how)().first()[0]
+        assert abs(a - b) <= 1e-9 * abs(b)
+
+
+def test_building_plans_runs_no_job(spark, small_dir):
+    """Building any table opens parquet footers only: no shuffle, no cached data."""
+    from plantlens.plans.layers import from_test_tables
+
+    spark.sparkContext.setJobGroup("plans", "")
+    tables = from_test_tables(spark, small_dir).tables()
+    ids = spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tables) == 22 and len(ids) <= 4           # one footer read for each of lineitem, orders, part, events
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_trailing_windows_leave_rows_out(spark, small_dir):
+    from pyspark.sql import functions as F
+
+    from plantlens.operators.windows import trailing_window
+    from plantlens.plans.layers import from_test_tables
+
+    daily = from_test_tables(spark, small_dir).oee_daily()
+    counts = [trailing_window(daily, "date", n).agg(F.sum("event_count")).first()[0] for n in (7, 29, 30)]
+    assert counts[0] < counts[1] < counts[2] < daily.agg(F.sum("event_count")).first()[0]
+
+
+def test_streams_over_a_folder_of_parts(spark, small_dir, tmp_dir):
+    """T1-T3 read the same rows from a folder of part files as from one file."""
+    from plantlens.plans.registry import load_all
+
+    for name in ("part", "lineitem", "orders"):
+        os.symlink(f"{small_dir}/{name}.parquet", f"{tmp_dir}/{name}.parquet")
+    spark.read.parquet(f"{small_dir}/events.parquet").repartition(4).write.parquet(f"{tmp_dir}/events.parquet")
+    queries = load_all()
+    for key in ("t1_stream_hourly_flags", "t2_stream_weekly", "t3_stream_episodes"):
+        a, b = (queries[key].build(spark, d) for d in (tmp_dir, small_dir))
+        assert a.count() == b.count() > 0
+    flat = ["datetime", "plant_name", "plant_line", "product_name", "under_quality_flag"]
+    a, b = (queries["t1_stream_hourly_flags"].build(spark, d).select(flat) for d in (tmp_dir, small_dir))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_checkpoint_folder_must_be_shared():
+    import pytest
+
+    from plantlens.session import checkpoint_dir, is_local
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    assert is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local(None)
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
 
 
 def test_cli_materialises_all_tables(spark, small_dir, tmp_dir, capsys):
@@ -164,18 +230,21 @@ def test_cli_materialises_all_tables(spark, small_dir, tmp_dir, capsys):
         assert spark.table(name).columns
 
 
-def test_conform_missing_and_wider_columns(spark, tmp_dir):
-    """A raw folder written without one declared column and with a wider
-    integer type reads with the declared schema: typed NULLs, narrowed values,
-    and a value that does not fit becomes NULL instead of failing."""
+def test_conform_is_strict_unless_told(spark, tmp_dir):
+    """A missing column raises when the folder is opened, an unfit value
+    when it is read; ``lenient`` reads both as NULL."""
+    import pytest
     from pyspark.sql import types as T
 
     df = spark.createDataFrame([(1, 5_000_000_000), (2, 7)], "plant_id bigint, effective_actual_weight bigint")
     df.write.mode("overwrite").parquet(f"{tmp_dir}/raw_loads")
-    schema = T.StructType([T.StructField("plant_id", T.IntegerType()),
-                           T.StructField("effective_actual_weight", T.IntegerType()),
-                           T.StructField("VarietyLabel", T.StringType())])
-    rows = sorted(read_parquet_dir(spark, f"{tmp_dir}/raw_loads", schema).collect())
+    fields = [T.StructField("plant_id", T.IntegerType()), T.StructField("effective_actual_weight", T.IntegerType())]
+    wide = T.StructType([*fields, T.StructField("VarietyLabel", T.StringType())])
+    with pytest.raises(ValueError, match="VarietyLabel"):
+        read_parquet_dir(spark, f"{tmp_dir}/raw_loads", wide)
+    with pytest.raises(Exception, match="does not fit"):
+        read_parquet_dir(spark, f"{tmp_dir}/raw_loads", T.StructType(fields)).collect()
+    rows = sorted(read_parquet_dir(spark, f"{tmp_dir}/raw_loads", wide, lenient=True).collect())
     assert [tuple(r) for r in rows] == [(1, None, None), (2, 7, None)]
 
 
