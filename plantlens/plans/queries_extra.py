@@ -278,24 +278,24 @@ def x3(spark, sf_dir):
 
 
 X3_TOOLS_SQL = """
-SELECT call_id, 'function' AS type,
+SELECT conv_id, turn, call_id, MIN(seq) AS first_seq, 'function' AS type,
   COALESCE(arg_max(name, CASE WHEN name <> '' THEN seq END), arg_min(name, seq)) AS name,
   string_agg(arguments, '' ORDER BY seq) AS arguments, COUNT(*) AS n_chunks
-FROM (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS call_id, seq,
+FROM (SELECT conv_id, turn, 'call-' || CAST(conv_id % 7 AS VARCHAR) AS call_id, seq,
              CASE WHEN seq = 0 THEN 'lookup' WHEN seq = n - 1 THEN 'final' ELSE '' END AS name,
              CASE WHEN seq = n - 1 THEN line ELSE line || chr(10) END AS arguments
       FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
                    CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS seq,
                    len(string_split(text, chr(10))) AS n
             FROM conversations WHERE role = 'assistant'))
-GROUP BY call_id
+GROUP BY conv_id, turn, call_id
 """
 
 
 @register("x3_tool_call_fold", oracle=X3_TOOLS_SQL)
 def x3_tools(spark, sf_dir):
-    """Tool-call chunks accumulated per call id (arguments appended,
-    later non-empty name wins)."""
+    """Tool-call chunks accumulated per message and call id (arguments
+    appended, later non-empty name wins)."""
     return transcripts.fold_tool_call_chunks(transcripts.line_tool_chunks(_conversations(spark, sf_dir)))
 
 

@@ -52,11 +52,15 @@ def fold_message_chunks(chunks: DataFrame, keys=("conv_id", "turn", "role"),
     )
 
 
-def fold_tool_call_chunks(chunks: DataFrame, call_key: str = "call_id", seq: str = "seq") -> DataFrame:
-    """Tool calls per call id: arguments appended in order; the first
-    chunk sets type and name, a later non-empty name replaces it."""
+def fold_tool_call_chunks(chunks: DataFrame, message=("conv_id", "turn"), call_key: str = "call_id",
+                          seq: str = "seq") -> DataFrame:
+    """Tool calls per message and call id: arguments appended in order; the
+    first chunk sets type and name, a later non-empty name replaces it.  Chunks
+    without a call id are skipped; equal ids in two messages are two calls."""
     named_seq = F.when(F.coalesce(F.col("name"), F.lit("")) != "", F.col(seq))
-    return chunks.groupBy(call_key).agg(
+    known = chunks.filter(F.coalesce(F.col(call_key), F.lit("")) != "")
+    return known.groupBy(*message, call_key).agg(
+        F.min(seq).alias("first_seq"),
         F.min_by("type", seq).alias("type"),
         F.coalesce(F.max_by("name", named_seq), F.min_by("name", seq)).alias("name"),
         ordered_concat(seq, "arguments").alias("arguments"),
@@ -64,16 +68,30 @@ def fold_tool_call_chunks(chunks: DataFrame, call_key: str = "call_id", seq: str
     )
 
 
+def messages_with_calls(messages: DataFrame, calls: DataFrame, key=("conv_id", "turn")) -> DataFrame:
+    """A folded message with its calls in order of arrival, and the id of
+    the last; messages without a call get an empty list."""
+    one = F.struct("first_seq", "call_id", "type", "name", "arguments")
+    of = calls.groupBy(*key).agg(F.sort_array(F.collect_list(one)).alias("c"))     # the calls of one message
+    joined = messages.join(of, list(key), "left")
+    calls_of = F.transform("c", lambda x: F.struct(x["call_id"].alias("id"), x["type"].alias("type"), x["name"].alias("name"),
+                                                   x["arguments"].alias("arguments")))
+    empty = F.array().cast("array<struct<id:string,type:string,name:string,arguments:string>>")
+    return joined.select(*messages.columns, F.coalesce(calls_of, empty).alias("tool_calls"),
+                         F.element_at(F.col("c"), -1)["call_id"].alias("tool_call_id"))
+
+
 def line_tool_chunks(messages: DataFrame) -> DataFrame:
     """Tool-call chunk log from assistant messages: every line is an argument
-    fragment of call ``conv:turn``; the first chunk names the call 'lookup',
+    fragment of one call (ids repeat in other messages); the first chunk names the call 'lookup',
     the last (when there are several) renames it 'final'."""
     a = messages.filter(F.col("role") == "assistant")
     lines = a.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("seq", "line"),
                      F.size(F.split("text", "\n")).alias("n"))
     last = F.col("seq") == F.col("n") - 1
     return lines.select(
-        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("call_id"),
+        "conv_id", "turn",
+        F.concat(F.lit("call-"), (F.col("conv_id") % 7).cast("string")).alias("call_id"),
         "seq",
         F.lit("function").alias("type"),
         F.when(F.col("seq") == 0, F.lit("lookup")).when(last, F.lit("final")).otherwise(F.lit("")).alias("name"),
@@ -260,11 +278,14 @@ def alternating_parts(text: Column) -> Column:
 
 # ---- X8: feedback rows -----------------------------------------------------
 
-def feedback_rows(ratings: DataFrame, request_id: str = "request_id", rating: str = "rating") -> DataFrame:
-    """Rating 1 -> positive, any other value -> negative, NULL -> an empty
+def feedback_rows(ratings: DataFrame, request_id: str = "request_id", rating: str = "rating",
+                  source: str | None = None) -> DataFrame:
+    """``source`` names a column with who gave the rating (default: none).
+    Rating 1 -> positive, any other value -> negative, NULL -> an empty
     assessment list; assessments serialised as JSON text (nulls kept)."""
     r = F.col(rating)
     label = F.when(r == 1, F.lit(RATING_POSITIVE)).otherwise(F.lit(RATING_NEGATIVE))
+    who = F.col(source).cast("string") if source else F.lit(None).cast("string")
     one = F.array(F.struct(F.struct(F.struct(label.alias("value")).alias("answer_correct")).alias("ratings"),
                            F.lit(None).cast("string").alias("free_text_comment")))
     return ratings.select(
@@ -273,6 +294,7 @@ def feedback_rows(ratings: DataFrame, request_id: str = "request_id", rating: st
         F.when(r.isNull(), F.lit("[]")).otherwise(F.to_json(one, {"ignoreNullFields": "false"}))
         .alias("text_assessments"),
         F.lit("[]").alias("retrieval_assessments"),
+        who.alias("source"),
     )
 
 

@@ -82,11 +82,17 @@ def test_message_fold_rebuilds_text_in_order(spark):
 
 
 def test_tool_call_fold(spark):
-    rows = [("c1", 0, "function", "get", "{\"a\""), ("c1", 1, "function", "", ": 1"),
-            ("c1", 2, "function", "get_v2", "}"), ("c2", 0, "function", "", "{}")]
-    df = spark.createDataFrame(rows, "call_id string, seq int, type string, name string, arguments string")
-    got = {r.call_id: (r.name, r.arguments) for r in X.fold_tool_call_chunks(df).collect()}
-    assert got == {"c1": ("get_v2", "{\"a\": 1}"), "c2": ("", "{}")}
+    rows = [(1, 1, "c1", 0, "function", "get", "{\"a\""), (1, 1, "c1", 1, "function", "", ": 1"),
+            (1, 1, "c1", 2, "function", "get_v2", "}"), (1, 1, "c2", 3, "function", "", "{}"),
+            (2, 1, "c1", 0, "function", "other", "x"), (2, 1, None, 1, "function", "lost", "y"), (2, 1, "", 2, "function", "lost", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, seq int, type string, name string, arguments string")
+    calls = X.fold_tool_call_chunks(df.repartition(3))
+    got = {(r.conv_id, r.call_id): (r.name, r.arguments) for r in calls.collect()}
+    assert got == {(1, "c1"): ("get_v2", "{\"a\": 1}"), (1, "c2"): ("", "{}"), (2, "c1"): ("other", "x")}
+    messages = spark.createDataFrame([(1, 1, "a"), (3, 1, "b")], "conv_id long, turn long, content string")
+    out = {r.conv_id: r for r in X.messages_with_calls(messages, calls).collect()}
+    assert [c.id for c in out[1].tool_calls] == ["c1", "c2"] and out[1].tool_call_id == "c2"
+    assert out[3].tool_calls == [] and out[3].tool_call_id is None
 
 
 def test_completion_fold_last_request_id(spark):
@@ -104,6 +110,8 @@ def test_feedback_rows(spark):
     assert "free_text_comment" in got["r1"][1][0]
     assert got["r2"][0] == "negative"
     assert got["r3"] == (None, [])
+    named = X.feedback_rows(df.withColumn("by", F.lit("web")), source="by").collect()
+    assert {r.source for r in named} == {"web"}
 
 
 def test_name_collisions(spark):
