@@ -100,7 +100,7 @@ class Model:
     logs: list[np.ndarray]           # per order: log probability by gram and language
     contexts: list[np.ndarray]       # per order 2..ORDER: sorted hashes of the n - 1 symbols before
     backs: list[np.ndarray]          # per order: log weight of the lower order after a context
-    base: float                      # log probability of a symbol never seen
+    base: np.ndarray                 # per language: log probability of a symbol never seen
     temperature: float = 1.0
     limits: np.ndarray | None = None
 
@@ -213,10 +213,12 @@ def build(counts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         lower = (table, p)
         grams.append(table)
         logs.append(np.log(np.maximum(p, 1e-30)).astype(np.float32))
-        if n > 1:
+        if n == 1:
+            unseen = (base + np.log(np.maximum(share[0], 1e-30))).astype(np.float32)
+        else:
             contexts.append(ctx)
             backs.append(np.log(np.maximum(share, 1e-30)).astype(np.float32))
-    return Model(languages, grams, logs, contexts, backs, float(base))
+    return Model(languages, grams, logs, contexts, backs, unseen)
 
 
 def count_grams(texts: list[str], order: int = ORDER):
@@ -272,7 +274,7 @@ def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Model:
             .agg(F.sum("count").alias("count"), F.min("before").alias("before"), F.min("after").alias("after")).toArrow())
     languages = sorted(set(rows.column("lang").to_pylist()))
     if not languages:
-        return Model([], [], [], [], [], 0.0)
+        return Model([], [], [], [], [], np.empty(0))
     number = np.searchsorted(languages, rows.column("lang").to_pylist())
     n = rows.column("n").to_numpy()
     cols = [rows.column(c).to_numpy().view(np.uint64) for c in ("gram", "before", "after")]

@@ -189,7 +189,7 @@ def test_digest_likeness_orders_texts():
         near.append(digest.likeness(d[:1], d[1:2])[0])
         far.append(digest.likeness(d[:1], d[2:])[0])
         assert digest.likeness(d[:1], d[:1])[0] == 1.0
-    assert min(near) > np.mean(far) and np.mean(near) > 1.5 * np.mean(far)
+    assert all(n > f for n, f in zip(near, far))         # half a text in common beats none, in one language
     # a batch's digests do not depend on what stands beside a text
     alone = np.concatenate([digest.digests([t.encode()]) for t in texts])
     assert (digest.digests([t.encode() for t in texts]) == alone).all()
