@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import xxhash
 from llm_fixtures import awkward_rows, documents, plain, prose
+from pyspark.sql import functions as F
 
 from plantlens.llm import decontamination, digest, langid, line_dedup, simhash, substring_dedup, token_store, toxicity
 
@@ -132,6 +133,37 @@ def test_shared_passages_of_many_lengths(spark):
         assert got[r[0]] == sum(hit), r
 
 
+def test_lines_of_one_frequent_shingle_are_not_paired(spark, monkeypatch):
+    """Unrelated lines that share one band key: few pairs, and near ones found."""
+    rng = random.Random(12)
+    own = ["".join(rng.choices("bcdfghjk", k=4)) for _ in range(300)]
+    every = sorted({f"{w} the {rng.choice(own)}" for w in own})
+    every += [x + "q" for x in every[:20]]                # 10 of 11 shingles: near
+    keyed = line_dedup.lines_of(documents(spark, [(i, x, "en", "s", 0) for i, x in enumerate(every)]))
+    made = []
+    monkeypatch.setattr(line_dedup, "band_keys", lambda found: [F.lit(7)] + [F.lit(None).cast("long")] * (line_dedup.BANDS - 1))
+    real = line_dedup.pinned
+
+    def counted(df):
+        out = real(df)
+        if out.columns == ["x", "y"]:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "pinned", counted)
+    got = {r.a: r.root for r in line_dedup.line_components(keyed).collect()}
+    hashes = {r.line: r.a for r in keyed.select("line", "a").collect()}
+
+    def grams(x):
+        return {x[i: i + 5] for i in range(max(1, len(x) - 4))}
+
+    comp = brute_components(every, lambda x, y: len(grams(x) & grams(y)) >= 0.8 * len(grams(x) | grams(y)) - 1e-9)
+    for x in every:
+        same = {hashes[y] for y in every if comp[y] == comp[x]}
+        assert got.get(hashes[x], hashes[x]) == min(same), x
+    assert max(made) < len(every) ** 2 / 20
+
+
 def test_decontamination_matches_brute_force(spark):
     import regex
 
