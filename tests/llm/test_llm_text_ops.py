@@ -194,6 +194,19 @@ def test_decontamination_matches_brute_force(spark):
     assert kept == {r[0] for r in rows} - {e[0] for e in expected}
 
 
+def test_short_items_and_scripts_without_blanks_are_found(spark):
+    chinese = "在一个很大的城市里有许多不同的人每天都在努力工作"
+    thai = "ประเทศไทยมีจังหวัดมากมายและผู้คน"
+    items = spark.createDataFrame([(1, "Blue whale sings"), (2, chinese), (3, thai), (4, "Paris"), (5, "?!")],
+                                  "item_id long, text string")
+    rows = [(1, "we heard a blue whale, sings he", "en", "s", 0), (2, "前言" + chinese + "后记", "zh", "s", 0),
+            (3, "xx" + thai + "กก", "th", "s", 0), (4, "paris", "fr", "s", 0), (5, "blue sings whale", "en", "s", 0),
+            (6, "在大城市工作的人很多但是他们不同", "zh", "s", 0), (7, "?!", "en", "s", 0), (8, None, "en", "s", 0)]
+    docs = documents(spark, rows)
+    assert {(r.doc_id, r.item_id) for r in decontamination.matches(docs, items).collect()} == {(1, 1), (2, 2), (3, 3), (4, 4)}
+    assert {r.doc_id for r in decontamination.drop_contaminated(docs, items).collect()} == {5, 6, 7, 8}
+
+
 def test_digests_and_neighbours(spark):
     rows = awkward_rows()
     got = {(r.doc_id, r.edited_sha256): r for r in digest.neighbours(documents(spark)).collect()}
