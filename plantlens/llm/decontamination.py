@@ -22,7 +22,9 @@ own text, so hash collisions cannot add a row.
 Scripts without blanks (Han, kana, Thai, Lao, Khmer, Burmese) count each letter
 as a word.  An item with fewer than five words is one shingle, the whole run of
 its words, and documents are cut at that length as well; an item without words
-matches nothing.  Null and empty texts hold nothing.  Documents without an id are searched and reported like others; repeated rows
+matches nothing.  Null and empty texts hold nothing.  Items are told apart by id
+and text, also where they share an id or have none, and reported by id.
+Documents without an id are searched and reported like others; repeated rows
 count once.  Empty tables give an empty
 table.  All of it is DataFrame and SQL functions.
 """
@@ -94,9 +96,10 @@ def _item_shingles(items: DataFrame, n: int) -> DataFrame:
 
 
 def _with_text(items: DataFrame) -> DataFrame:
-    """(ITEM, text)"""
+    """(ITEM, text): an item is its id and its text, so items of one id or of
+    none stay apart."""
     text = F.col("text").cast("string")
-    return items.select("item_id", F.lit(0).cast("long").alias("item_key"), text.alias("text"))
+    return items.select("item_id", F.xxhash64(text).alias("item_key"), text.alias("text"))
 
 
 def sketches(items: DataFrame, n: int = SHINGLE_WORDS, containment: float = CONTAINMENT) -> DataFrame:

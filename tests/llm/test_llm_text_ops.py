@@ -207,6 +207,18 @@ def test_short_items_and_scripts_without_blanks_are_found(spark):
     assert {r.doc_id for r in decontamination.drop_contaminated(docs, items).collect()} == {5, 6, 7, 8}
 
 
+def test_items_of_one_id_or_none_stay_apart(spark):
+    rng = random.Random(8)
+    texts = [prose(rng, "en", 30 + 10 * k) for k in range(4)]
+    items = spark.createDataFrame([(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[3])], "item_id long, text string")
+    rows = [(k, prose(rng, "de", 50) + " " + x + " " + prose(rng, "de", 50), "en", "s", 0) for k, x in enumerate(texts)]
+    rows.append((9, prose(rng, "de", 80), "de", "s", 0))
+    docs = documents(spark, rows)
+    got = {(r.doc_id, r.item_id): r for r in decontamination.matches(docs, items).collect()}
+    assert set(got) == {(0, 7), (1, 7), (2, None), (3, None)}
+    assert all(r.containment == 1 and r.n_found == r.n_shingles <= 26 + 10 * r.doc_id for r in got.values())
+
+
 def test_digests_and_neighbours(spark):
     rows = awkward_rows()
     got = {(r.doc_id, r.edited_sha256): r for r in digest.neighbours(documents(spark)).collect()}
