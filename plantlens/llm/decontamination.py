@@ -158,7 +158,9 @@ def matches(docs: DataFrame, items: DataFrame, n: int = SHINGLE_WORDS,
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = SHINGLE_WORDS,
                       containment: float = CONTAINMENT) -> DataFrame:
-    """The rows of ``docs`` that contain no item, all columns kept.  A row
-    without an id goes if any row without an id contains one."""
-    bad = matches(docs, items, n, containment).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("_bad_id")), "left_anti")
+    """The rows of ``docs`` that contain no item, all columns kept.  Each row is
+    judged by its own id and text, so rows of a shared or missing id stand alone."""
+    bad = _row_matches(docs, items, n, containment).select(
+        F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
+    same = docs.doc_id.eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs.text.cast("string")) == F.col("_bad_key"))
+    return docs.join(bad, same, "left_anti")

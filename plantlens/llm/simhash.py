@@ -90,21 +90,23 @@ def majority_bits(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > n).view(">u8")[0])
 
 
-FINGERPRINT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+FINGERPRINT = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("fp", pa.int64())])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row's whole text as a signed long."""
+    """(doc_id, text_key, fp): the fingerprint of each row's whole text as a signed
+    long, and the text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([majority_bits(shingle_hashes((t.as_py() or "").encode().lower(), shingle_words))
-                            for t in b.column(1)], np.uint64)
-            yield batch(FINGERPRINT, b.column(0), fps.view(np.int64))
+                            for t in b.column(2)], np.uint64)
+            yield batch(FINGERPRINT, b.column(0), b.column(1), fps.view(np.int64))
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    text = F.col(text_col).cast("string")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+            .mapInArrow(run, "doc_id long, text_key long, fp long"))
 
 
 # ------------------------------------------------------------------ Golay keys
@@ -242,7 +244,9 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
+    """(doc_id, text_key, fp, component, component_id) for every row of ``docs``:
+    the component is named by its smallest fingerprint, its id is its smallest
+    document id."""
     ship_package(docs.sparkSession)
     fps = pinned(fingerprints(docs, id_col, text_col, shingle_words))
     classes = pinned(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -250,8 +254,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = pinned(rooted.join(least, "component").select("fp", "component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = pinned(rooted.join(least, "component").select("fp", "component", "component_id"))
+    return fps.join(named, "fp").select("doc_id", "text_key", "fp", "component", "component_id")
 
 
 def op3(docs: DataFrame) -> DataFrame:
@@ -263,9 +267,12 @@ def op3(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component stays: the row with the smallest id (of
     several rows with that id, the smallest in the order of the other columns).
-    Rows without an id stay."""
+    Rows are told apart by id and text, so rows of one id can stay for several
+    components.  Rows without an id stay."""
     found = near_duplicates(docs)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
+    keep = found.filter("doc_id = component_id").select(
+        F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key"), F.col("component").alias("_component")).distinct()
     others = [c for c in docs.columns if c != "doc_id"]
-    kept = docs.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("row"))
-    return kept.select("doc_id", "row.*").select(docs.columns).union(docs.filter("doc_id is null"))
+    same = (docs.doc_id.cast("long") == F.col("_keep_id")) & (F.xxhash64(docs.text.cast("string")) == F.col("_keep_key"))
+    kept = docs.join(keep, same).groupBy("doc_id", "_component").agg(F.min(F.struct(*others)).alias("_row"))
+    return kept.select("doc_id", "_row.*").select(docs.columns).union(docs.filter("doc_id is null"))

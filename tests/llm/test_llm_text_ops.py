@@ -219,6 +219,24 @@ def test_items_of_one_id_or_none_stay_apart(spark):
     assert all(r.containment == 1 and r.n_found == r.n_shingles <= 26 + 10 * r.doc_id for r in got.values())
 
 
+def test_rows_of_one_id_are_dropped_and_kept_by_their_text(spark):
+    rng = random.Random(6)
+    item = prose(rng, "en", 40)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = [prose(rng, "de", 60 + k) for k in range(4)]
+    rows = [(None, item + " x", "en", "s", 0), (None, clean[0], "de", "s", 0), (None, None, "de", "s", 0),
+            (5, item, "en", "s", 0), (5, clean[1], "de", "s", 0), (6, clean[2], "de", "s", 0)]
+    out = decontamination.drop_contaminated(documents(spark, rows), items)
+    assert plain(out.select("doc_id", "text")) == sorted(
+        [(None, clean[0]), (None, None), (5, clean[1]), (6, clean[2])], key=repr)
+    # two unrelated texts of id 5; one of them is a copy of id 2's
+    rows = [(2, clean[0], "de", "s", 0), (5, clean[0], "de", "s", 0), (5, clean[1], "de", "s", 0), (5, clean[2], "de", "s", 0),
+            (5, clean[2], "de", "s", 0), (8, clean[2], "de", "s", 0), (9, clean[3], "de", "s", 0)]
+    out = simhash.drop_near_duplicates(documents(spark, rows))
+    assert plain(out.select("doc_id", "text")) == sorted(
+        [(2, clean[0]), (5, clean[1]), (5, clean[2]), (9, clean[3])], key=repr)
+
+
 def test_digests_and_neighbours(spark):
     rows = awkward_rows()
     got = {(r.doc_id, r.edited_sha256): r for r in digest.neighbours(documents(spark)).collect()}
