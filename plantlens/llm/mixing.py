@@ -26,9 +26,10 @@ already and no sort of the corpus is needed.
 Only DataFrame and SQL functions are used.  All hashes are of ids and source
 names, so reruns agree, whatever the partitioning.
 
-Null texts have size 0; null sources form one source, ordered last.  Rows of
-equal id are equal in order and handled row by row; rows without an id come
-last in their source.  Documents of size 0 are taken as often as their place in
+Null texts have size 0; null sources form one source, ordered last.  Rows that
+share an id or have none get their order number from the id, a hash of the row
+and the number of the copy among equal rows, so they spread over the blocks and
+each is decided by itself.  Documents of size 0 are taken as often as their place in
 the order says, with no words.  With no words at all every target is 0 and
 nothing is taken.  An empty table gives an empty table.
 """
@@ -47,6 +48,7 @@ SHARDS = 64
 ORDER_BITS = 60
 SEED = 11
 BROADCAST_SOURCES = 50_000               # rows of about 200 bytes
+BROADCAST_IDS = 1_000_000                # ids (8 bytes) that several rows have
 
 
 def word_count(text: Column) -> Column:
@@ -55,15 +57,46 @@ def word_count(text: Column) -> Column:
 
 def _order_number(doc_id: Column) -> Column:
     """The first 15 hex digits of the id's MD5 as a long."""
-    return F.coalesce(F.conv(F.substring(F.md5(doc_id.cast("string").cast("binary")), 1, 15), 16, 10).cast("long"),
-                      F.lit((1 << ORDER_BITS) - 1))
+    return F.conv(F.substring(F.md5(doc_id.cast("string").cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, place): one row for each row of ``docs``."""
-    return docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"),
-                       word_count(F.col("text").cast("string")).alias("size"),
-                       _order_number(F.col("doc_id")).alias("place"))
+def _row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in docs.columns])
+
+
+def _shared_ids(docs: DataFrame) -> DataFrame:
+    """(shared_id): the ids that several rows have, and null if a row has none."""
+    counts = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    return pinned(counts.filter("n > 1 or doc_id is null").select(F.col("doc_id").alias("shared_id")))
+
+
+def _placed(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, hash and others) with place and copy.  A row alone with
+    its id has its place from the id, and no hash or copy.  Others have theirs
+    from id, hash and the number of the copy: equal rows are counted and
+    numbered from 1, whichever of them gets a number."""
+    none = [F.lit(None).cast("long").alias("hash"), F.lit(None).cast("long").alias("copy")]
+    others = [c for c in rows.columns if c != "hash"]
+    single = rows.select(*others, *none, _order_number(F.col("doc_id")).alias("place"))
+    n_shared = shared.count()
+    if n_shared == 0:
+        return single
+    if n_shared <= BROADCAST_IDS:
+        shared = F.broadcast(shared)
+    alone = rows.join(shared, F.col("doc_id") == F.col("shared_id"), "left_anti").filter("doc_id is not null")
+    single = alone.select(*others, *none, _order_number(F.col("doc_id")).alias("place"))
+    several = rows.filter("doc_id is null").union(rows.join(shared, F.col("doc_id") == F.col("shared_id"), "left_semi"))
+    counted = several.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    numbered = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    place = _order_number(F.concat_ws("/", F.col("doc_id").cast("string"), F.col("hash").cast("string"), F.col("copy").cast("string")))
+    return single.unionByName(numbered.select(*others, "hash", "copy", place.alias("place")))
+
+
+def sizes(docs: DataFrame, shared: DataFrame | None = None) -> DataFrame:
+    """(doc_id, source, size, hash, copy, place): one row for each row of ``docs``."""
+    rows = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"),
+                       word_count(F.col("text").cast("string")).alias("size"), _row_hash(docs).alias("hash"))
+    return _placed(rows, _shared_ids(docs) if shared is None else shared)
 
 
 # -------------------------------------------------------------------- targets
@@ -104,9 +137,10 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("name", F.coalesce("source", F.lit(""))).withColumn("no_name", F.col("source").isNull())
 
 
-def _key(place: Column, doc_id: Column) -> Column:
-    """A row's place in its source's order; rows of one id are equal."""
-    return F.struct(place.alias("place"), doc_id.isNull().alias("none"), F.coalesce(doc_id.cast("long"), F.lit(0)).alias("id"))
+def _key() -> Column:
+    """A row's place in its source's order, its own also among rows of one id."""
+    return F.struct(F.col("place"), F.col("doc_id").isNull().alias("none"), *[
+        F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in ("doc_id", "hash", "copy")])
 
 
 def _edge(rows: DataFrame, order: str) -> DataFrame:
@@ -134,7 +168,7 @@ def passes(sized: DataFrame, per_source: DataFrame, block_docs: int = BLOCK_DOCS
                 .withColumn("reached", F.lit(0)), "upper")
     edge = pinned(_edge(blocks.join(top, [*SOURCE, "upper"]), "block"))
     # the documents of the one block where the part pass ends
-    rows = _with_block(sized, part).join(edge, [*SOURCE, "block"]).withColumn("key", _key(F.col("place"), F.col("doc_id")))
+    rows = _with_block(sized, part).join(edge, [*SOURCE, "block"]).withColumn("key", _key())
     run = F.sum("size").over(Window.partitionBy(*SOURCE).orderBy("key"))
     rows = pinned(rows.withColumn("run", F.col("reached") + run).withColumn(
         "fits", F.col("run") * 2 - F.col("size") <= F.col("rest") * 2).select(*SOURCE, "key", "size", "run", "fits", "rest", "reached"))
@@ -284,10 +318,10 @@ def plan(sized: DataFrame, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
 
 
 def mix(rows: DataFrame, sources: DataFrame, draws: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, place, SOURCE and any others) with source_size, target
+    """``rows`` (doc_id, hash, copy, place, SOURCE and any others) with source_size, target
     and ``draws``: (pass, shard) of each copy that the mix takes of the row."""
     info = sources.select(*SOURCE, "bits", "passes", "rest", "edge", "stop", "spare", "source_size", "target")
-    key = _key(F.col("place"), F.col("doc_id"))
+    key = _key()
     in_part = F.coalesce((F.col("block") < F.col("edge")) | ((F.col("block") == F.col("edge")) & (
         F.coalesce(key <= F.col("stop"), F.lit(False)) | F.coalesce(key == F.col("spare"), F.lit(False)))), F.lit(False))
     rows = _with_block(rows, info).withColumn("in_part", in_part).drop("edge", "stop", "spare", "rest", "bits")
@@ -310,12 +344,14 @@ def mixed_sizes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def mixed_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The mix itself: the rows of ``docs``, repeated or left out, dealt to one
     partition a shard and shuffled in it."""
-    sized = pinned(_keyed(sizes(docs)).drop("source"))
+    shared = _shared_ids(docs)
+    sized = pinned(_keyed(sizes(docs, shared)).drop("source"))
     sources, draws = plan(sized, shards)
     whole = F.struct(*[F.col(c) for c in docs.columns])
-    rows = _keyed(docs.select("doc_id", "source", _order_number(F.col("doc_id")).alias("place"), whole.alias("row"))).drop("source")
-    out = mix(rows, sources, draws).select("doc_id", "row", F.explode("draws").alias("d"))
-    order = F.xxhash64(F.lit(SEED), "d.shard", "doc_id", "d.pass")
+    rows = docs.select("doc_id", "source", _row_hash(docs).alias("hash"), whole.alias("row"))
+    rows = _keyed(_placed(rows, shared)).drop("source")
+    out = mix(rows, sources, draws).select("doc_id", "hash", "copy", "row", F.explode("draws").alias("d"))
+    order = F.xxhash64(F.lit(SEED), "d.shard", "doc_id", "d.pass", "hash", "copy")
     out = out.select("row", F.col("d.shard").alias("shard"), order.alias("order"))
     return out.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "order").select("row.*")
 

@@ -65,6 +65,28 @@ def test_mixed_rows_are_the_taken_copies(spark):
     assert got == {k: v for k, v in copies.items() if v}
 
 
+def test_rows_without_an_id_or_of_one_id_are_decided_each(spark):
+    """Half of a source's rows have no id or one id, some are equal rows."""
+    rows = []
+    for k in range(400):
+        rows.append((k + 10, f"a{k} b c d e", "en", "p", 0))
+        rows.append((None if k % 4 else 1, f"x{k % 300} b c d e", "en", "p", 0))
+        rows += [(10_000 + 3 * k + j, f"q{k} {j} r", "en", "q", 0) for j in range(2)]
+    docs = documents(spark, rows)
+    got = mixing.mixed_sizes(docs, 4).collect()
+    assert len(got) == len(rows)
+    p = [x for x in got if x.source_size == 4000]
+    assert 0.2 < p[0].target / 4000 < 0.9
+    assert abs(sum(x.taken for x in p) - p[0].target) <= 5
+    assert 0 < sum(x.copies for x in p if x.doc_id is None) < 300
+    copies = {}
+    for x in got:
+        copies[x.doc_id] = copies.get(x.doc_id, 0) + x.copies
+    out = mixing.mixed_documents(docs, 4)
+    mixed = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert mixed == {k: v for k, v in copies.items() if v}
+
+
 def test_quotas_are_split_exactly(spark):
     quotas = {"a": 1000, "b": 37, "c": 0, "d": 1}
     df = spark.createDataFrame([(k, False, v) for k, v in quotas.items()], "name string, no_name boolean, quota long")
