@@ -48,11 +48,19 @@ NONE = np.uint64(0)
 
 
 # -------------------------------------------------------------------- symbols
-@cache
-def _letters() -> np.ndarray:
+def _kind(c: int) -> int:
+    """2 for a letter, 1 for a mark, 0 for others; the marks that only choose
+    how a sign is drawn (emoji, keycaps) are others."""
     import unicodedata
 
-    return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x10000)])
+    if 0xFE00 <= c <= 0xFE0F or 0xE0100 <= c <= 0xE01EF or c == 0x20E3:
+        return 0
+    return {"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0)
+
+
+@cache
+def _kinds() -> np.ndarray:
+    return np.array([_kind(c) for c in range(0x10000)], np.int8)
 
 
 def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,8 +71,13 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     s = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     end = s == 10
     owner = np.cumsum(end)
-    letter = np.where(s < 0x10000, _letters()[np.minimum(s, 0xFFFF)], True) & ~end
-    has = np.bincount(owner[letter], minlength=len(texts)) > 0
+    kind = _kinds()[np.minimum(s, 0xFFFF)]
+    above = np.flatnonzero(s > 0xFFFF)
+    if len(above):                                       # few: looked up by distinct value
+        found, which = np.unique(s[above], return_inverse=True)
+        kind[above] = np.array([_kind(c) for c in found.tolist()], np.int8)[which]
+    has = np.bincount(owner[kind == 2], minlength=len(texts)) > 0
+    letter = (kind > 0) & ~end & has[owner]
     # a space stays where a word begins; each text also ends in one
     begins = letter & ~np.r_[False, letter[:-1]]
     begins[1:] |= letter[1:] & (owner[1:] != owner[:-1])

@@ -237,6 +237,14 @@ def test_rows_of_one_id_are_dropped_and_kept_by_their_text(spark):
         [(2, clean[0]), (5, clean[1]), (5, clean[2]), (9, clean[3])], key=repr)
 
 
+def test_signs_above_the_first_plane_are_no_letters():
+    texts = ["\U0001f600 \U0001f680", "❤\ufe0f", "ab \U0001f600 c", "\U00010400\U00010401", "\u0301", "1\ufe0f\u20e3"]
+    s, who = langid.symbols(texts)
+    assert set(who.tolist()) == {2, 3}
+    assert "".join(map(chr, s[who == 2].tolist())) == " ab c "
+    assert len(s[who == 3]) == 4                          # two letters of the second plane
+
+
 def test_digests_and_neighbours(spark):
     rows = awkward_rows()
     got = {(r.doc_id, r.edited_sha256): r for r in digest.neighbours(documents(spark)).collect()}
