@@ -35,6 +35,30 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Scratch:
+    """Intermediate tables of one operator, written as compressed Parquet below
+    the shared folder and read again, which cuts lineage like a checkpoint.
+    A table that later steps no longer read is dropped at once, so an
+    operator's disk is its live tables and not all it ever made."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.paths = spark, shared_folder(spark, name), {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}"
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[path] = out
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that ``keep`` returned; nothing may read them any more."""
+        for path, df in self.paths.items():
+            if any(df is t for t in tables):
+                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontamination, digest, langid, line_dedup, mixing, simhash, substring_dedup, token_store, toxicity, warc
+from plantlens.llm import (decontamination, digest, exact_dedup, langid, line_dedup, mixing, simhash, substring_dedup, token_store,
+                           toxicity, warc)
 from plantlens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,11 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.tokenize(table(spark, sf_dir, "documents"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal documents, through a new digest index."""
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Builder] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -73,9 +79,11 @@ QUERIES: dict[str, Builder] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_tokens": op10_tokens,
+    "op12_exact_dedup": op12_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op12_exact_dedup": exact_dedup.ORACLE,
 }
