@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import (decontamination, digest, exact_dedup, langid, line_dedup, mixing, simhash, substring_dedup, token_store,
-                           toxicity, warc)
+from plantlens.llm import (decontamination, digest, exact_dedup, langid, line_dedup, mixing, prefix_trie, simhash,
+                           substring_dedup, token_store, toxicity, warc)
 from plantlens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,11 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Builder] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Builder] = {
     "op9_warc": op9_warc,
     "op10_tokens": op10_tokens,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
