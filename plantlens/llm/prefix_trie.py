@@ -244,7 +244,7 @@ def peel(paths: list[tuple], top: int) -> Iterator[tuple]:
 
 def prefix(depth: int) -> Column:
     """The digest of a path's first ``depth`` turns."""
-    return F.substring("path", WIDTH * (depth - 1) + 1, WIDTH) if depth else F.lit(b"")
+    return F.substring("path", WIDTH * (depth - 1) + 1, WIDTH) if depth else F.substring("path", 1, 0)
 
 
 def small_subtrees(paths: DataFrame) -> DataFrame:
