@@ -39,12 +39,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import Scratch, shared_folder, split_count
+from plantlens.llm.common import Scratch, join_groups, shared_folder, split_count
 
 BLANKS = " \t\n\x0b\x0c\r"
 BUCKET_ROWS = 2_000_000          # entries of a bucket, about 150 MB
-HEAVY_GROUPS = 10_000            # most groups that may be broadcast
-LIGHT_ROWS = 1_000               # a group up to this size is never heavy
 
 ENTRY = "digest binary, keep_id long, keep_chars long, keep_text long, batch string"
 
@@ -76,24 +74,6 @@ def groups(rows: DataFrame) -> DataFrame:
                         F.col("best.text_key").alias("keep_text"), F.col("best.ties").alias("ties"))
 
 
-def join_groups(rows: DataFrame, table: DataFrame, on: list[str], total: int) -> DataFrame:
-    """``rows`` with the columns of ``table``, which has one row for each value
-    of ``on`` (null equals null) and its number of rows in ``size``.  Heavy groups
-    are broadcast; by their share of the rows they are at most HEAVY_GROUPS."""
-    limit = max(LIGHT_ROWS, total // HEAVY_GROUPS)
-    right = table.select(*[F.col(c).alias(f"{c}_of_group") for c in on], *[c for c in table.columns if c not in on])
-    heavy, light = right.filter(F.col("size") > limit), right.filter(F.col("size") <= limit)
-
-    def same(left: DataFrame, part: DataFrame) -> Column:
-        tests = [left[c].eqNullSafe(part[f"{c}_of_group"]) for c in on]
-        return tests[0] if len(tests) == 1 else tests[0] & tests[1]
-
-    few = F.broadcast(heavy)
-    in_heavy = rows.join(few, same(rows, few))
-    rest = rows.join(few, same(rows, few), "left_anti")
-    return in_heavy.union(rest.join(light, same(rest, light))).drop(*[f"{c}_of_group" for c in on])
-
-
 class DigestIndex:
     """The entries below ``folder``.  The folder keeps its number of buckets, so
     any later session opens it as it was made."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import (decontamination, digest, exact_dedup, langid, line_dedup, mixing, prefix_trie, simhash,
+from plantlens.llm import (alignment, decontamination, digest, exact_dedup, langid, line_dedup, mixing, prefix_trie, simhash,
                            substring_dedup, token_store, toxicity, warc)
 from plantlens.llm.common import table
 
@@ -63,6 +63,11 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.tokenize(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers' tokens of every document."""
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal documents, through a new digest index."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Builder] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_tokens": op10_tokens,
+    "op11_alignment": op11_alignment,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_prefix_trie": op13_prefix_trie,
 }

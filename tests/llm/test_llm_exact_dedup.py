@@ -88,14 +88,14 @@ def test_dedup_keeps_all_columns_and_one_of_each(spark):
 
 def test_heavy_groups(spark, monkeypatch):
     """The broadcast branch and the shuffled one give the same rows."""
-    from plantlens.llm import exact_dedup
+    from plantlens.llm import common
 
     rows = rows_with_copies() + [(9000 + i, "copy of all", None, None, None) for i in range(300)]
     docs = documents(spark, rows)
     want = brute(rows, "documents", {})
     assert plain(exact_groups(docs)) == want
-    monkeypatch.setattr(exact_dedup, "LIGHT_ROWS", 2)
-    monkeypatch.setattr(exact_dedup, "HEAVY_GROUPS", 200)
+    monkeypatch.setattr(common, "LIGHT_ROWS", 2)
+    monkeypatch.setattr(common, "HEAVY_GROUPS", 200)
     assert plain(exact_groups(docs)) == want
 
 
