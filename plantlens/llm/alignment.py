@@ -214,11 +214,13 @@ class Aligner:
         and empty ones."""
         if len(self.slot) > REMEMBERED or self.held > REMEMBERED_BYTES:
             self.clear()
-        texts = pc.if_else(pc.equal(pc.fill_null(texts, ""), ""), pa.scalar(None, pa.string()), texts)
         lists = pc.split_pattern(texts, " ")
         sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         index, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+        empty = pc.fill_null(pc.equal(texts, ""), False).to_numpy(zero_copy_only=False)
+        index = index[~np.repeat(empty, sizes)]
+        sizes[empty] = 0
         ends = np.cumsum(sizes)
         void = pc.equal(words, "").to_numpy(zero_copy_only=False)
         blank = void | pc.match_substring_regex(words, BLANK_FIRST).to_numpy(zero_copy_only=False)

@@ -125,6 +125,19 @@ def test_small_steps_give_the_same(spark, tokenizers, monkeypatch):
     assert plain(aligned(documents(spark, rows))) == brute(tokenizers, rows)
 
 
+def test_slices_of_an_array(tokenizers):
+    """Texts that lie inside a larger Arrow buffer."""
+    al = Aligner(*vocabularies())
+    texts = pa.array([r[1] for r in awkward_rows(seed=4, n=40)] + ["", None, "a  b"] * 5)
+    for s in range(0, len(texts), 7):
+        part = texts.slice(s, 7)
+        slots, ends = al.units(part)
+        again, same = al.units(pa.array(part.to_pylist(), pa.string()))
+        assert (slots == again).all() and (ends == same).all()
+        raw = [b"".join(al.bytes_a[i] for i in al.ids_a.take(slots[a:b])) for a, b in zip([0, *ends], ends)]
+        assert raw == [(" " + t).encode() if t else b"" for t in part.to_pylist()]
+
+
 def test_gallop_is_a_lower_bound():
     rng = np.random.default_rng(2)
     for _ in range(200):
