@@ -48,8 +48,16 @@ def trailing_sums(df: DataFrame, date_col: str, days: int, sums: dict[str, Colum
     """Q2: one row with the sum of each column over the trailing window
     ``[max(date) - days, max(date)]``.
 
-    The rows are filtered to the window first, so a table partitioned by the
-    date reads only the window's partitions.  Empty window -> NULL sums, as in
-    SQL.  An average is a ratio of two such sums."""
-    kept = trailing_window(df, date_col, days, inclusive, anchor)
-    return kept.agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    With an ``anchor`` (the latest day, known from partition names) the rows are
+    filtered first, so a table partitioned by the date reads only the window's
+    partitions.  Without one the rows are read once: a partial aggregate keeps
+    one row a day, and the latest day is found among those.  Empty window -> NULL
+    sums, as in SQL.  An average is a ratio of two such sums."""
+    if anchor is not None:
+        kept = trailing_window(df, date_col, days, inclusive, anchor)
+        return kept.agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    daily = df.groupBy(F.col(date_col).alias("_day")).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    latest = F.max("_day").over(Window.partitionBy())                   # over one row a day
+    kept = daily.withColumn("_latest", latest).filter(
+        F.col("_day") >= F.date_sub("_latest", days if inclusive else days - 1))
+    return kept.agg(*[F.sum(n).alias(n) for n in sums])

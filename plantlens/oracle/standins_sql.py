@@ -94,7 +94,7 @@ SELECT DATE '2024-01-01' + CAST(7 * w AS INTEGER) AS effective_date,
   CAST(180 + (31 * w + 17 * r + 13 * s + 7 * v + 29 * b) % 180 AS DOUBLE) AS price_usd_per_ton,
   'C' || CAST(w AS VARCHAR) || '-' || CAST(s + 1 AS VARCHAR) AS contract_id
 FROM (SELECT id % 4 AS b, (id // 4) % 5 AS v, (id // 20) % 12 AS s, (id // 240) % 2 AS r, id // 480 AS w
-      FROM (SELECT DISTINCT (l_orderkey * 7 + l_linenumber) % 3360 AS id FROM lineitem))""",
+      FROM (SELECT DISTINCT (p_partkey * 17 + j) % 3360 AS id FROM part, (SELECT unnest(range(17)) AS j)))""",
     "raw_line_equipment": f"""
 SELECT pid AS plant_id, {_pn('pid')} AS plant_name,
   'L' || CAST(p_partkey % ({_nl('pid')}) + 1 AS VARCHAR) AS plant_line,

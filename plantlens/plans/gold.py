@@ -241,9 +241,48 @@ def change_alignment(hourly: DataFrame, oee: DataFrame, salt_buckets: int = 0) -
     return q.join(o, keys, "left")
 
 
+ALIGN_KEYS = ["date", "plant_name", "plant_line"]
+ALIGN_READING = ["hour", "product_name", "dry_solids_pct", "under_quality_flag", "over_quality_flag"]
+ALIGN_EVENT = ["downtime_cat_1", "downtime_cat_2", "duration_min", "downtime_min"]
+ALIGN_CHUNK = 1000
+
+
+def _in_chunks(df: DataFrame, fields: list[str], name: str, chunk: int) -> DataFrame:
+    """One row for each day, line and chunk: an array of about ``chunk`` different
+    rows with their number of copies.  Equal rows are counted first and chunks
+    dealt by a hash of the row, so a hot day and line has many bounded arrays."""
+    same = df.groupBy(*ALIGN_KEYS, *fields).agg(F.count(F.lit(1)).alias("copies"))
+    sizes = same.groupBy(*[F.col(k).alias(f"{k}_of") for k in ALIGN_KEYS]).agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"))
+    on = [same[k].eqNullSafe(sizes[f"{k}_of"]) for k in ALIGN_KEYS]
+    dealt = same.join(sizes, on).withColumn("chunk", F.pmod(F.xxhash64(*fields), F.col("chunks")))
+    return dealt.groupBy(*ALIGN_KEYS, "chunk").agg(F.collect_list(F.struct(*fields, "copies")).alias(name)).drop("chunk")
+
+
+def alignment_factors(hourly: DataFrame, oee: DataFrame, chunk: int = ALIGN_CHUNK) -> DataFrame:
+    """G17 (J2) at event grain, factorised: the readings and the OEE events of a
+    day and line side by side as arrays, not as all their pairs.
+
+    A row stands for the product of its two arrays, so r readings and e events
+    take r + e entries and not r x e rows; beyond ``chunk`` entries a side is cut
+    and its chunks meet each chunk of the other.  ``expand_alignment`` gives the
+    literal join's rows, in the tasks that read them, without another join."""
+    readings = _in_chunks(hourly.select(*ALIGN_KEYS, *ALIGN_READING), ALIGN_READING, "readings", chunk)
+    events = _in_chunks(oee.select(*ALIGN_KEYS, *ALIGN_EVENT), ALIGN_EVENT, "events", chunk)
+    return readings.join(events, ALIGN_KEYS, "left")
+
+
+def expand_alignment(factors: DataFrame) -> DataFrame:
+    """The rows of ``hourly LEFT JOIN oee`` on day, plant and line."""
+    rows = factors.select(*ALIGN_KEYS, F.explode("readings").alias("r"), "events").select(
+        *ALIGN_KEYS, "r", F.explode_outer("events").alias("e"))
+    copies = F.col("r.copies") * F.coalesce(F.col("e.copies"), F.lit(1))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy"))
+    return rows.select(*ALIGN_KEYS, *[F.col(f"r.{c}").alias(c) for c in ALIGN_READING], *[F.col(f"e.{c}").alias(c) for c in ALIGN_EVENT])
+
+
 def kpi_total_tons_30d(oee_daily: DataFrame, anchor: Column | None = None) -> DataFrame:
     """SUM(qty_packed_kg)/1000 over the trailing 30 days (31 inclusive).
-    ``anchor`` is the latest day, where a cheaper table than this has it."""
+    ``anchor`` is the latest day, where it is known without a scan."""
     s = trailing_sums(oee_daily, "date", 30, {"qty": F.col("qty_packed_kg")}, anchor=anchor)
     return s.select((F.col("qty") / 1000.0).alias("total_tons_last_30d"))
 

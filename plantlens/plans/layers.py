@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.operators.windows import trailing_window
 from plantlens.plans import gold, silver
 from plantlens.sources import standins
+from plantlens.sources.staging import current_version, latest_partition
 
 # Fixed as-of date for ages and savings (H11: the reference uses CURRENT_DATE).
 DEFAULT_AS_OF = "2025-06-30"
@@ -37,12 +37,14 @@ class Layers:
         self.spark, self.raw, self.as_of = spark, raw, as_of
         self.small_dimensions, self.salt_buckets, self.pre_aggregate = small_dimensions, salt_buckets, pre_aggregate
         self._cache: dict[str, DataFrame] = {}
-        self._written: set[str] = set()
+        self._folders: dict[str, str] = {}
 
-    def use_written(self, name: str, table: DataFrame) -> None:
-        """From now on read ``name`` from ``table`` and not from its plan."""
+    def use_written(self, name: str, table: DataFrame, folder: str | None = None) -> None:
+        """From now on read ``name`` from ``table`` and not from its plan.
+        ``folder`` holds its files; then the latest day is read off its partitions."""
         self._cache[name] = table
-        self._written.add(name)
+        if folder:
+            self._folders[name] = folder
 
     def _memo(self, name, fn):
         if name not in self._cache:
@@ -115,34 +117,25 @@ class Layers:
         return self._memo("gold_change_alignment", lambda: gold.change_alignment(
             self.hourly(), self.oee(), salt_buckets=self.salt_buckets))
 
-    # The trailing KPIs need the last days only.  Over a written table the range
-    # prunes its date partitions; before that it is pushed to the silver rows,
-    # so earlier days are neither priced nor aggregated.
-    def _recent_oee(self, days: int):
-        if "gold_oee_kpis" in self._written:
-            return self.oee_daily(), None
-        anchor = self.oee().select(F.max("date")).scalar()
-        return gold.oee_kpis(trailing_window(self.oee(), "date", days, anchor=anchor)), anchor
-
-    def _recent_exposure(self, days: int):
-        if "gold_cost_exposure" in self._written:
-            return self.exposure(), None
-        anchor = self.loads().select(F.max("arrival_date")).scalar()
-        recent = trailing_window(self.loads(), "arrival_date", days, anchor=anchor)
-        return gold.cost_exposure(recent, self.costs(), self.specs(), small=self.small_dimensions,
-                                  pre_aggregate=self.pre_aggregate, salt_buckets=self.salt_buckets), anchor
+    # The trailing KPIs need the last days only.  Over a written table the latest
+    # day comes from its partition names and the range prunes the partitions;
+    # before that the source is read once and reduced to one row a day.
+    def _latest_day(self, name: str):
+        folder = self._folders.get(name)
+        day = latest_partition(self.spark, folder, PARTITION_COLUMNS[name]) if folder else None
+        return None if day is None else F.lit(day).cast("date")
 
     def kpi_tons(self):
-        return gold.kpi_total_tons_30d(*self._recent_oee(30))
+        return gold.kpi_total_tons_30d(self.oee_daily(), self._latest_day("gold_oee_kpis"))
 
     def kpi_spend(self):
-        return gold.kpi_raw_spend_30d(*self._recent_exposure(30))
+        return gold.kpi_raw_spend_30d(self.exposure(), self._latest_day("gold_cost_exposure"))
 
     def kpi_performance(self):
-        return gold.kpi_oee_performance_7d(*self._recent_oee(7))
+        return gold.kpi_oee_performance_7d(self.oee_daily(), self._latest_day("gold_oee_kpis"))
 
     def kpi_downgrade(self):
-        return gold.kpi_downgrade_30d(*self._recent_exposure(30))
+        return gold.kpi_downgrade_30d(self.exposure(), self._latest_day("gold_cost_exposure"))
 
     def scenarios(self):
         return self._memo("gold_scenario_recommendations", lambda: gold.scenario_recommendations(self.equipment()))
@@ -258,5 +251,5 @@ def materialize(layers: Layers, base_path: str, database: str | None = None) ->
     for name, how in (SILVER | GOLD).items():
         names[name] = save_table(spark, getattr(work, how)(), name, database, f"{base_path.rstrip('/')}/{name}",
                                  TABLE_COMMENTS.get(name), PARTITION_COLUMNS.get(name))
-        work.use_written(name, spark.table(names[name]))
+        work.use_written(name, spark.table(names[name]), current_version(spark, f"{base_path.rstrip('/')}/{name}"))
     return names

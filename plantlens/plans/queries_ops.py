@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from plantlens.functions import columns as C
 from plantlens.functions.timestamps import iso_utc_ms, native_ms, parse_iso_timestamp, try_timestamp
 from plantlens.operators.joins import price_intervals, stated_small
+from plantlens.operators.ordered import asof_price_carry, running_sums_by_blocks
 from plantlens.operators.windows import running_sums, trailing_window
 from plantlens.oracle.layers_sql import dominant_class_sql
 from plantlens.plans import gold
@@ -21,7 +22,8 @@ from plantlens.plans.queries_core import LOAD_DIGITS
 from plantlens.plans.registry import MONEY, RATIO, register
 from plantlens.session import checkpoint_dir
 from plantlens.sources import sinks
-from plantlens.sources.readers import read_parquet_dir
+from plantlens.sources.readers import read_mixed_dir, read_parquet_dir
+from plantlens.sources.schemas import OEE_EVENTS
 
 
 def _P(spark, sf_dir):
@@ -49,6 +51,25 @@ def s2(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("s1_mixed_parts", oracle="""
+SELECT plant_name, COUNT(*) AS n, SUM(duration) AS duration, COUNT(start_time) AS n_started,
+  date_trunc('millisecond', MIN(datetime)) AS first_ms, date_trunc('millisecond', MAX(datetime)) AS last_ms
+FROM raw_oee_events GROUP BY plant_name""", digits={"duration": MONEY})
+def s1_mixed(spark, sf_dir):
+    """One raw folder whose part files have ISO text or native
+    timestamps and int or bigint numbers, read under the declared schema."""
+    raw = _P(spark, sf_dir).raw["raw_oee_events"]
+    base = f"{checkpoint_dir(spark).rstrip('/')}/plantlens-sinks/mixed-{uuid.uuid4().hex}"
+    old, new = F.col("duration") % 2 == 0, F.col("duration") % 2 == 1
+    sinks.save_raw(raw.filter(old), "oee_events", f"{base}/raw_both")
+    sinks.save_raw(raw.filter(new).withColumn("duration", F.col("duration").cast("int")), "raw_oee_events_new",
+                   f"{base}/raw_both", timestamps="native")
+    both = read_mixed_dir(spark, f"{base}/raw_both", OEE_EVENTS)
+    return both.groupBy("plant_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("duration").cast("double").alias("duration"), F.count("start_time").alias("n_started"),
+        F.min("datetime").alias("first_ms"), F.max("datetime").alias("last_ms"))
+
+
 ISO_SQL = ("COALESCE(strftime(date_trunc('millisecond', {c}), '%Y-%m-%dT%H:%M:%S.%g') || 'Z', 'NaT')")
 
 
@@ -198,6 +219,40 @@ def j3(spark, sf_dir):
         F.sum(F.col("price_usd_per_ton") * F.col("tons")).alias("priced_spend_usd"))
 
 
+@register("g17_event_alignment", oracle="""
+SELECT q.plant_name, q.plant_line, downtime_cat_1, COUNT(*) AS n_rows, SUM(duration_min) AS duration_min,
+  SUM(downtime_min) AS downtime_min, COUNT(DISTINCT duration_min) AS n_durations
+FROM gold_line_hourly_quality q LEFT JOIN silver_oee_events o
+  ON q.date = o.date AND q.plant_name = o.plant_name AND q.plant_line = o.plant_line
+GROUP BY ALL""", digits={"duration_min": MONEY, "downtime_min": MONEY})
+def g17_events(spark, sf_dir):
+    """G17/J2 at event grain: the expansion of the factorised alignment, as many
+    rows as the literal join, with each event's own durations."""
+    p = _P(spark, sf_dir)
+    a = gold.expand_alignment(gold.alignment_factors(p.hourly(), p.oee()))
+    return a.groupBy("plant_name", "plant_line", "downtime_cat_1").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("duration_min").alias("duration_min"),
+        F.sum("downtime_min").alias("downtime_min"), F.count_distinct("duration_min").alias("n_durations"))
+
+
+J3_SQL = """
+SELECT region, variety, dm_band, COUNT(*) AS n_loads, COUNT(price_usd_per_ton) AS n_priced,
+       SUM(price_usd_per_ton * tons) AS priced_spend_usd
+FROM loads_priced GROUP BY region, variety, dm_band"""
+
+
+@register("j3_asof_carry", oracle=J3_SQL, digits={"priced_spend_usd": MONEY})
+def j3_carry(spark, sf_dir):
+    """The same prices from one ordered scan of loads and prices, carried
+    across range blocks."""
+    p = _P(spark, sf_dir)
+    loads = p.loads().select(F.col("arrival_date").alias("date"), "region", "variety", "dm_band", "tons")
+    lp = asof_price_carry(loads, p.costs(), gold.PRICE_OPEN_END)
+    return lp.groupBy("region", "variety", "dm_band").agg(
+        F.count(F.lit(1)).alias("n_loads"), F.count("price_usd_per_ton").alias("n_priced"),
+        F.sum(F.col("price_usd_per_ton") * F.col("tons")).alias("priced_spend_usd"))
+
+
 @register("j4_threshold_fanout", oracle="""
 SELECT l.plant_name, t.product_name, COUNT(*) AS n_rows, SUM(l.tons) AS tons
 FROM silver_potato_load_quality l
@@ -326,6 +381,23 @@ def w1(spark, sf_dir):
     return price_intervals(_P(spark, sf_dir).costs(), gold.PRICE_OPEN_END)
 
 
+W2_SQL = """
+SELECT here.plant_name, here.date, SUM(up_to.tons) AS cumulative_tons
+FROM (SELECT DISTINCT plant_name, arrival_date AS date FROM silver_potato_load_quality) here
+JOIN (SELECT plant_name, arrival_date AS date, SUM(tons) AS tons FROM silver_potato_load_quality GROUP BY ALL) up_to
+  ON up_to.plant_name = here.plant_name AND up_to.date <= here.date
+GROUP BY here.plant_name, here.date"""
+
+
+@register("w2_running_sum_rows", oracle=W2_SQL, digits={"cumulative_tons": MONEY})
+def w2_rows(spark, sf_dir):
+    """W2-W4 over raw loads: a running sum a row, each plant spread over range
+    blocks; shown at the end of each day."""
+    loads = _P(spark, sf_dir).loads().select("plant_name", F.col("arrival_date").alias("date"), "load_number", "tons")
+    r = running_sums_by_blocks(loads, ["plant_name"], ["date", "load_number", "tons"], {"cumulative_tons": "tons"})
+    return r.groupBy("plant_name", "date").agg(F.max("cumulative_tons").alias("cumulative_tons"))
+
+
 @register("w2_running_sum", oracle="""
 SELECT plant_name, date, tons, SUM(tons) OVER (PARTITION BY plant_name ORDER BY date
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_tons

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantlens.functions.timestamps import parse_iso_timestamp
 
+FOOTER_THREADS = 16
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table: ``{sf_dir}/{name}.parquet`` (a file or a directory)."""
@@ -26,6 +31,38 @@ def read_parquet_dir(spark: SparkSession, path: str, schema: T.StructType | None
     return conform(df, schema, lenient) if schema is not None else df
 
 
+def read_mixed_dir(spark: SparkSession, path: str, schema: T.StructType, lenient: bool = False) -> DataFrame:
+    """S1 over part files of different types: integers of any width, timestamps
+    as ISO text in some files and native in others, columns in any order.
+
+    The files are grouped by the schema in their footers (read through Spark's
+    file system, many at a time), each group is one scan conformed to the
+    declared ``schema``, and the scans are united.  Only file names and schemas
+    reach the driver."""
+    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+             .load(path).select("path"))
+    files = sorted(r.path for r in names.collect())
+    if not files:
+        return spark.createDataFrame([], schema)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def written_as(file: str) -> str:
+        source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+        try:
+            return reader.getFileMetaData().getSchema().toString()
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        kinds = list(pool.map(written_as, files))
+    groups: dict[str, list[str]] = {}
+    for file, kind in zip(files, kinds):
+        groups.setdefault(kind, []).append(file)
+    scans = [conform(spark.read.parquet(*some), schema, lenient) for some in groups.values()]
+    return reduce(DataFrame.unionByName, scans)
+
+
 def conform(df: DataFrame, schema: T.StructType, lenient: bool = False) -> DataFrame:
     """Project ``df`` onto ``schema``: same names and order, declared types.
 

@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from plantlens.functions import columns as C
 from plantlens.plans import gold, silver
@@ -77,6 +78,120 @@ def episode_stream(hourly: DataFrame, gap: str = EPISODE_GAP, watermark: str = "
             .drop("s"))
 
 
+OPEN_EPISODE = ("episode_start timestamp, episode_end timestamp, n_readings long, status string, version long")
+OPEN_STATE = "starts array<long>, ends array<long>, counts array<long>, version long"
+
+
+def merge_sessions(sessions: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
+    """(start, end, readings) runs in which each begins less than ``gap`` after
+    the one before it ends, merged."""
+    out: list[tuple[int, int, int]] = []
+    for start, end, n in sorted(sessions):
+        if out and start < out[-1][1] + gap:
+            first, last, m = out[-1]
+            out[-1] = (first, max(last, end), m + n)
+        else:
+            out.append((start, end, n))
+    return out
+
+
+def open_episode_stream(hourly: DataFrame, gap_minutes: int = 120, watermark: str = "1 day",
+                        keys=("plant_name", "plant_line", "product_name")) -> DataFrame:
+    """T3 with the episodes that still last.  Each key's state holds its episodes
+    that a later reading may still extend; an event-time timer closes them once
+    the watermark is ``gap_minutes`` past their end.
+
+    Update mode: whenever a key gets readings or a timer fires, its newly closed
+    episodes and all its open ones are emitted under the key's next ``version``;
+    :func:`episodes_now` reads the log.  The state of a key is as large as its
+    open episodes, bounded by the watermark's delay over the gap."""
+    gap = gap_minutes * 60_000_000
+    kind = (F.when(F.col("under_quality_flag"), F.lit("under"))
+            .when(F.col("over_quality_flag"), F.lit("over")))
+    names = [*keys, "kind"]
+    flagged = (hourly.withColumn("kind", kind).filter(F.col("kind").isNotNull())
+               .select(*names, F.col("datetime").cast("timestamp").alias("datetime"))
+               .withWatermark("datetime", watermark).withColumn("at", F.unix_micros("datetime")))
+    fields = ", ".join(f"{n} string" for n in names)
+
+    def advance(key, frames, state):
+        import pandas as pd
+
+        starts, ends, counts, version = state.get if state.exists else ([], [], [], 0)
+        sessions = list(zip(starts, ends, counts))
+        for frame in frames:
+            sessions += [(t, t, 1) for t in frame["at"].tolist()]
+        seen = state.getCurrentWatermarkMs()
+        sessions = merge_sessions(sessions, gap)
+        closed = [s for s in sessions if s[1] + gap <= seen * 1000]
+        lasting = [s for s in sessions if s[1] + gap > seen * 1000]
+        if lasting:
+            state.update(([s[0] for s in lasting], [s[1] for s in lasting], [s[2] for s in lasting], version + 1))
+            state.setTimeoutTimestamp(max(min(s[1] for s in lasting) + gap - 1000, (seen + 1) * 1000) // 1000)
+        else:
+            state.remove()
+        rows = [(*key, s[0], s[1], s[2], status, version + 1)
+                for status, some in (("closed", closed), ("open", lasting)) for s in some]
+        out = pd.DataFrame(rows, columns=[*names, "episode_start", "episode_end", "n_readings", "status", "version"])
+        for c in ("episode_start", "episode_end"):
+            out[c] = pd.to_datetime(out[c], unit="us")
+        yield out
+
+    return flagged.groupBy(*names).applyInPandasWithState(
+        advance, f"{fields}, {OPEN_EPISODE}", OPEN_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def episodes_now(spark: SparkSession, out: str, keys=("plant_name", "plant_line", "product_name")) -> DataFrame:
+    """The log of :func:`open_episode_stream`: every closed episode, and the open
+    ones of each key's latest version."""
+    names = [*keys, "kind"]
+    log = spark.read.parquet(out).drop("batch_id")
+    latest = log.groupBy(*[F.col(n).alias(f"{n}_of") for n in names]).agg(F.max("version").alias("latest"))
+    both = log.join(latest, [log[n].eqNullSafe(latest[f"{n}_of"]) for n in names])
+    return both.filter((F.col("status") == "closed") | (F.col("version") == F.col("latest"))).select(
+        *names, "episode_start", "episode_end", "n_readings", "status")
+
+
+def run_split_late(stream: DataFrame, out: str, chk: str, event_col: str = "datetime", delay: str = "1 day") -> None:
+    """T4: a stream's rows, those behind the watermark apart and counted.
+
+    The watermark of a micro-batch is the latest event time of the batches
+    before it less ``delay``.  Each batch is written once, in two folders
+    (``late=false`` and ``late=true``) of its own ``batch_id``, and then its mark
+    (latest event time, rows of either kind).  A retried batch overwrites its
+    own folders and reads only the marks before it, so it decides alike.  Rows
+    without an event time are not late."""
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        limit = None
+        if batch_id:
+            marks = spark.read.schema(MARK).parquet(*[f"{out}/marks/batch_id={i}" for i in range(batch_id)])
+            limit = marks.agg(F.max("latest") - F.expr(f"INTERVAL {delay}")).first()[0]
+        late = F.lit(False) if limit is None else F.coalesce(F.col(event_col) < F.lit(limit), F.lit(False))
+        rows = f"{out}/rows/batch_id={batch_id}"
+        batch.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(rows)
+        done = spark.read.schema(batch.withColumn("late", late).schema).parquet(rows)
+        done.agg(F.max(event_col).cast("timestamp").alias("latest"), F.count_if(~F.col("late")).alias("n_kept"),
+                 F.count_if("late").alias("n_late")).coalesce(1).write.mode("overwrite").parquet(f"{out}/marks/batch_id={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", chk).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+MARK = "latest timestamp, n_kept long, n_late long"
+
+
+def split_rows(spark: SparkSession, out: str, late: bool) -> DataFrame:
+    """The rows that :func:`run_split_late` kept, or those it set apart."""
+    return spark.read.parquet(f"{out}/rows").filter(F.col("late") == late).drop("late", "batch_id")
+
+
+def late_counts(spark: SparkSession, out: str) -> DataFrame:
+    """(batch_id, n_kept, n_late) of every micro-batch."""
+    return spark.read.parquet(f"{out}/marks").select(F.col("batch_id").cast("long").alias("batch_id"), "n_kept", "n_late")
+
+
 def dedup_within_watermark(stream: DataFrame, keys: list[str], event_col: str = "datetime",
                            watermark: str = "1 day") -> DataFrame:
     """T4: drop repeated events (same key) that arrive within the watermark."""
