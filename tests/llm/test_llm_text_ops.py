@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from llm_fixtures import awkward_rows, documents, plain, prose
 from pyspark.sql import functions as F
@@ -109,6 +110,42 @@ def test_substring_dedup_matches_brute_force(spark):
     assert sum(e[2] for e in expected) > 500
 
 
+def brute_repeats(texts, window):
+    """(words, removed, kept text) of each text."""
+    each = [(t or "").encode().split() for t in texts]
+    count = Counter(tuple(w[i: i + window]) for w in each for i in range(len(w) - window + 1))
+    out = []
+    for w in each:
+        hit = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if count[tuple(w[i: i + window])] > 1:
+                hit[i: i + window] = [True] * window
+        out.append((len(w), sum(hit), b" ".join(x for x, h in zip(w, hit) if not h).decode()))
+    return out
+
+
+@pytest.mark.parametrize("window,shortest,block,ranges,bits", [(35, 9, 3000, 150, 6), (35, 9, 1 << 20, 4_000_000, 6), (7, 2, 500, 40, 0),
+                                                             (4, 9, 800, 1000, 6), (1, 1, 700, 30, 3), (20, 3, 1, 100, 1)])
+def test_windows_of_other_lengths_in_small_blocks(spark, window, shortest, block, ranges, bits):
+    """Many blocks, many ranges, hashes with false hits: the result is exact."""
+    rng = random.Random(window)
+    rows = awkward_rows(n=20)
+    common = [f"c{i}" for i in range(60)]
+    for i in range(30):
+        a = rng.randrange(40)
+        rows.append((7000 + i, " ".join(common[a: a + rng.randint(1, 50)] + [f"u{i}"] * rng.randint(0, 3)), "en", "s", 0))
+    got = plain(substring_dedup.deduped(documents(spark, rows), window, shortest, True, block, ranges, bits).select(
+        "doc_id", "n_words", "n_removed", "kept"))
+    assert got == sorted([(r[0], *b) for r, b in zip(rows, brute_repeats([r[1] for r in rows], window))], key=repr)
+
+
+def test_levels_double():
+    assert substring_dedup.levels_of(35) == [9, 18, 35] and substring_dedup.levels_of(4) == [4]
+    for window in range(1, 200):
+        levels = substring_dedup.levels_of(window, 5)
+        assert levels[-1] == window and all(a < b <= 2 * a for a, b in zip(levels, levels[1:])) and levels[0] <= max(5, 1)
+
+
 def test_shared_passages_of_many_lengths(spark):
     """Ends of shared passages at all offsets, also at the ends of texts."""
     rng = random.Random(9)
