@@ -1,20 +1,25 @@
 """Token ids in binary files: frequency ranks in a byte-aligned code.
 
-Every whole text is encoded with the tokenizers library and closed with an end
-id.  Documents are dealt into ranges of ascending id, one file each.  A file is
-a run of blocks of about ``BLOCK_IDS`` ids that can be read alone:
+Every whole text is encoded with the tokenizers library, as its ``encode(text,
+add_special_tokens=False)`` does (the strings of special tokens in a text become
+those tokens), and closed with an end id.  The ids are counted over all
+documents by a partial aggregate, and one table, at most the vocabulary, ranks
+them by falling frequency, ties by id.  It is written once beside the files:
+
+    ranks      magic, number of ids, the ids in the order of their ranks (uint32)
+
+Documents are dealt into ranges of ascending id, one file each, a run of blocks
+of about ``BLOCK_IDS`` ids:
 
     magic, then per block
-    n_docs, n_ids, n_ranks, n_data   four unsigned 64-bit counts
+    n_docs, n_ids, n_data            three unsigned 64-bit counts
     doc ids (int64), null flags (uint8), ids per document (int64)
-    rank table: the block's ids by falling frequency, ties by id (uint32)
     control bytes: two bits for each rank, its bytes less one, four to a byte
     data: the ranks' low bytes, one to four each
 
 Control and data bytes stand apart, so decoding is a numpy table lookup (control
-byte to four lengths), a running sum and a gather.  The table belongs to the
-block, so no counting pass over the corpus, no table of the whole corpus on the
-driver, and memory bounded by a block and the longest document.
+byte to four lengths), a running sum and a gather.  Memory is bounded by a
+block, the longest document and the vocabulary.
 
 A file counts as written when its task's manifest row arrives; a retried task
 writes under another name, so a lost executor leaves at most unlisted files.
@@ -23,11 +28,13 @@ The tokenizer drops white space, never joins across it, and splits letters from
 signs, so the different blank-separated chunks of some texts are encoded once.
 Chunks of Latin letters (below U+0250, where normalisation does nothing) and
 closing signs go as two pieces to the library's model and byte alphabet; all
-others through its whole pipeline.  A Python worker remembers pieces (bounded).  Strings of special tokens in a text are ordinary text.
+others through its whole pipeline.  A Python worker remembers pieces (bounded).
 
-Null texts count as empty: just the end id.  Rows with a null id come last;
-repeated ids are ordered by their ids' bytes.  An empty table gives an empty
-table and no file.
+Null texts count as empty: just the end id.  Rows with a null id come last, in
+the order of a hash of their text, and are dealt into as many files as their
+number asks for.  Repeated ids are ordered by their ids' bytes.  A text of any
+length is encoded whole.  An empty table gives an empty table and no file; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plantlens.llm.common import (batch, byte_chunks, id_cuts, one_thread, open_input, open_output, pinned, range_of,
+from plantlens.llm.common import (Scratch, batch, byte_chunks, id_cuts, one_thread, open_input, open_output, range_of,
                                   shared_folder, ship_package, split_count)
 
 VOCABULARY = "word_bpe_49k.json"
@@ -53,8 +60,10 @@ BLOCK_IDS = 1 << 20
 CHUNK = 6 << 20              # bytes of text looked up at once
 REMEMBERED = 1_500_000       # pieces a worker keeps; only saves time
 
-MAGIC = b"RANKVB01"
-COUNTS = struct.Struct("<4Q")
+MAGIC = b"RANKVB02"
+TABLE_MAGIC = b"RANKTB02"
+COUNTS = struct.Struct("<3Q")
+HASH_BITS = 24               # of a text's hash, for the order of rows without an id
 
 
 # -------------------------------------------------------------------- encoding
@@ -71,7 +80,6 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         # the same model and byte alphabet for pieces that need no more splitting
         self.pieces = Tokenizer(self.tokenizer.model)
         self.pieces.pre_tokenizer = pre_tokenizers.Sequence([
@@ -187,33 +195,52 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return values
 
 
-def write_block(out, doc_ids: list[int | None], docs: list[np.ndarray]) -> None:
-    ids = np.concatenate(docs).astype(np.int64)
-    count = np.bincount(ids)
-    known = np.flatnonzero(count)
-    table = known[np.lexsort((known, -count[known]))]
-    rank = np.zeros(len(count), np.uint32)
+def rank_table(counts: np.ndarray) -> np.ndarray:
+    """The ids that occur, by falling count, ties by id."""
+    known = np.flatnonzero(counts)
+    return known[np.lexsort((known, -counts[known]))].astype("<u4")
+
+
+def ranks_of(table: np.ndarray) -> np.ndarray:
+    """The rank of each id in the table."""
+    rank = np.zeros(int(table.max(initial=0)) + 1, np.uint32)
     rank[table] = np.arange(len(table), dtype=np.uint32)
+    return rank
+
+
+def write_table(path: str, table: np.ndarray) -> None:
+    with open_output(path) as out:
+        out.write(TABLE_MAGIC + struct.pack("<Q", len(table)) + table.astype("<u4").tobytes())
+
+
+def read_table(path: str) -> np.ndarray:
+    with open_input(path) as stream:
+        if stream.read(len(TABLE_MAGIC)) != TABLE_MAGIC:
+            raise ValueError("not a rank table")
+        n, = struct.unpack("<Q", stream.read(8))
+        return np.frombuffer(stream.read(4 * n), "<u4")
+
+
+def write_block(out, doc_ids: list[int | None], docs: list[np.ndarray], rank: np.ndarray) -> None:
+    ids = np.concatenate(docs)
     control, data = pack(rank[ids])
-    out.write(COUNTS.pack(len(docs), len(ids), len(known), len(data)))
+    out.write(COUNTS.pack(len(docs), len(ids), len(data)))
     out.write(np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes())
     out.write(np.array([d is None for d in doc_ids], np.uint8).tobytes())
     out.write(np.array([len(d) for d in docs], "<i8").tobytes())
-    out.write(table.astype("<u4").tobytes())
     out.write(control)
     out.write(data)
 
 
-def read_blocks(stream) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
+def read_blocks(stream, table: np.ndarray) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
     """(doc ids, ids of each) of every block of an open file."""
     if stream.read(len(MAGIC)) != MAGIC:
         raise ValueError("not a token file")
     while head := stream.read(COUNTS.size):
-        n_docs, n_ids, n_ranks, n_data = COUNTS.unpack(head)
+        n_docs, n_ids, n_data = COUNTS.unpack(head)
         numbers = np.frombuffer(stream.read(8 * n_docs), "<i8")
         nulls = np.frombuffer(stream.read(n_docs), np.uint8)
         sizes = np.frombuffer(stream.read(8 * n_docs), "<i8")
-        table = np.frombuffer(stream.read(4 * n_ranks), "<u4")
         control = np.frombuffer(stream.read(-(-n_ids // 4)), np.uint8)
         data = np.frombuffer(stream.read(n_data), np.uint8)
         ids = table[unpack(control, data, n_ids)]
@@ -222,16 +249,14 @@ def read_blocks(stream) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
 
 
 # ----------------------------------------------------------------------- Spark
-def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> DataFrame:
-    """Write the token files of ``docs`` below ``folder``; returns the manifest
-    (part, path, n_docs, n_ids), one row for each file, parts in id order."""
-    ship_package(docs.sparkSession)
-    cuts = id_cuts(docs, "doc_id", split_count(docs.sparkSession))
+def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """(doc_id, key, ids): the ids of every document in as few bytes as the
+    vocabulary needs, the end id last, and a hash of the text."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("ids", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int32()), ("ids", pa.binary())])
         enc = encoder(vocabulary)
-        small = np.dtype("<u2") if enc.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        small = id_type(enc)
         for b in batches:
             sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False)
             for s, e in byte_chunks(sizes, CHUNK):
@@ -241,42 +266,86 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> DataFrame:
                 raw = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(small))])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), raw], schema=schema)
 
+    text = docs["text"].cast("string")
+    key = F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 64 - HASH_BITS).cast("int")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), key.alias("key"), text.alias("text"))
+    return rows.mapInArrow(encoded, "doc_id long, key int, ids binary")
+
+
+def id_type(enc: Encoder) -> np.dtype:
+    return np.dtype("<u2") if enc.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+
+
+def id_counts(tokens: DataFrame, vocabulary: str) -> np.ndarray:
+    """How often each id occurs in all documents: one row a task and id."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("id", pa.int32()), ("n", pa.int64())])
+        small, total = id_type(encoder(vocabulary)), np.zeros(0, np.int64)
+        for b in batches:
+            for s in range(0, b.num_rows, 512):
+                some = np.bincount(np.frombuffer(b"".join(b.column(0).slice(s, 512).to_pylist()), small), minlength=len(total))
+                some[: len(total)] += total
+                total = some
+        known = np.flatnonzero(total)
+        yield batch(schema, known, total[known])
+
+    rows = tokens.select("ids").mapInArrow(counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()   # a vocabulary
+    counts = np.zeros(int(max(rows["id"].to_pylist(), default=0)) + 1, np.int64)
+    counts[rows["id"].to_numpy()] = rows["n"].to_numpy()
+    return counts
+
+
+def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> DataFrame:
+    """Write the token files of ``docs`` and their rank table below ``folder``;
+    returns the manifest (part, path, n_docs, n_ids), one row for each file, parts
+    in id order."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    scratch = Scratch(spark, "token-ids")
+    tokens = scratch.keep(encode_documents(docs, vocabulary))
+    cuts = id_cuts(tokens, "doc_id", split_count(spark))
+    rows = tokens.agg(F.count("*").alias("n"), F.count("doc_id").alias("named")).first()
+    named = len(cuts) + 1
+    unnamed = -(-(rows.n - rows.named) * named // max(rows.n, 1))      # files for rows without an id, by their share
+    write_table(f"{folder}/ranks", rank_table(id_counts(tokens, vocabulary)))
+
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
-        enc = encoder(vocabulary)
-        small = np.dtype("<u2") if enc.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        small, rank = id_type(encoder(vocabulary)), None
         out, number, numbers, held, n_docs, n_ids, size = None, 0, [], [], 0, 0, 0
         for b in batches:
             for i in range(b.num_rows):
                 if out is None:
-                    number = b.column(0)[i].as_py()
+                    number, rank = b.column(0)[i].as_py(), ranks_of(read_table(f"{folder}/ranks"))
                     path = f"{folder}/part-{number:06d}-{uuid.uuid4().hex}.tok"
                     out = open_output(path)
                     out.write(MAGIC)
-                ids = np.frombuffer(b.column(2)[i].as_buffer(), small)
+                ids = np.frombuffer(b.column(3)[i].as_buffer(), small)
                 numbers.append(b.column(1)[i].as_py())
                 held.append(ids)
                 size += len(ids)
                 if size >= BLOCK_IDS:
-                    write_block(out, numbers, held)
+                    write_block(out, numbers, held, rank)
                     n_docs, n_ids, numbers, held, size = n_docs + len(held), n_ids + size, [], [], 0
         if out is not None:
             if held:
-                write_block(out, numbers, held)
+                write_block(out, numbers, held, rank)
             out.close()
             yield batch(schema, [number], [path], [n_docs + len(held)], [n_ids + size])
 
-    doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(F.when(doc_id.isNull(), len(cuts)).otherwise(range_of(doc_id, cuts)).cast("int").alias("part"),
-                       doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tokens = rows.mapInArrow(encoded, "part int, doc_id long, ids binary")
-    files = (tokens.repartitionById(len(cuts) + 1, F.col("part"))
-             .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "ids")
+    last = named + F.floor(F.col("key") * F.lit(unnamed).cast("long") / (1 << HASH_BITS))
+    part = F.when(F.col("doc_id").isNull(), last).otherwise(range_of(F.col("doc_id"), cuts)).cast("int")
+    order = F.when(F.col("doc_id").isNull(), F.col("key"))
+    files = (tokens.select(part.alias("part"), "doc_id", "key", "ids").repartitionById(named + unnamed, F.col("part"))
+             .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), order, "ids")
              .mapInArrow(written, "part int, path string, n_docs long, n_ids long"))
-    return pinned(files)
+    manifest = scratch.keep(files)
+    scratch.drop(tokens)
+    return manifest
 
 
-def read_tokens(manifest: DataFrame) -> DataFrame:
+def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files."""
     # one row for each file
     before = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -286,9 +355,10 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                             ("ids_crc32", pa.int64())])
         for b in batches:
+            table = read_table(f"{folder}/ranks")
             for path, base in zip(b.column("path").to_pylist(), b.column("base").to_pylist()):
                 with open_input(path) as stream:
-                    for numbers, docs in read_blocks(stream):
+                    for numbers, docs in read_blocks(stream, table):
                         sizes = np.array([len(d) for d in docs], np.int64)
                         starts = base + np.cumsum(sizes) - sizes
                         base += int(sizes.sum())
@@ -309,4 +379,4 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def tokenize(docs: DataFrame, vocabulary: str | None = None, folder: str | None = None) -> DataFrame:
     """Write ``docs`` as token files in the shared folder and read them back."""
     folder = folder or shared_folder(docs.sparkSession, "tokens")
-    return read_tokens(write_tokens(docs, folder, vocabulary or vocabulary_path()))
+    return read_tokens(write_tokens(docs, folder, vocabulary or vocabulary_path()), folder)

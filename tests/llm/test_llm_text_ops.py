@@ -453,10 +453,13 @@ def test_tokens_match_whole_text_encoding(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     odd = ["It's we'll DON'T x'S", "ÀÉÎ ïñ İi ſs ǅ", "áé ẛ̣", "日本語 テキスト 12３", "<|endoftext|> <|startoftext|>x",
-           "a b c d", "…—“q”", "ΑΣ ὈΔΥΣΣΕΎΣ", "x​y\x00z", "'s 's't", "ab12cd3.4,e!f"]
-    rows = [*awkward_rows(), *[(7000 + i, t, "en", "s", 0) for i, t in enumerate(odd)]]
+           "a b c d", "…—“q”", "ΑΣ ὈΔΥΣΣΕΎΣ", "x​y\x00z", "'s 's't", "ab12cd3.4,e!f",
+           "a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|startoftext|>.", "x <|ENDOFTEXT|> y", "(<|startoftext|>)", "<|endoftext|"]
+    rng = random.Random(6)
+    bits = ["<|endoftext|>", "<|startoftext|>", "a", "B", " ", "\n", "é", "'s", "<|", "|>", "42", "日本", "."]
+    odd += ["".join(rng.choices(bits, k=rng.randint(1, 12))) for _ in range(300)]
+    rows = [*awkward_rows(), *[(None, f"no id {i % 30}", None, None, None) for i in range(200)], *[(7000 + i, t, "en", "s", 0) for i, t in enumerate(odd)]]
     got = token_store.tokenize(documents(spark, rows)).orderBy("start").collect()
     ids = {}
     for r in rows:
@@ -472,6 +475,26 @@ def test_tokens_match_whole_text_encoding(spark):
     assert len(got) == len(rows)
 
 
+def test_ranks_are_corpus_wide(spark):
+    """One table by falling frequency over all documents; common ids take a byte."""
+    from plantlens.llm.common import shared_folder
+
+    docs = documents(spark)
+    folder = shared_folder(spark, "test-tokens")
+    vocabulary = token_store.vocabulary_path()
+    manifest = token_store.write_tokens(docs, folder, vocabulary).collect()
+    table = token_store.read_table(f"{folder}/ranks")
+    enc = token_store.Encoder(vocabulary)
+    count = Counter(t for r in awkward_rows() for t in enc.tokenizer.encode(r[1] or "", add_special_tokens=False).ids)
+    count[2] += len(awkward_rows())
+    assert table.tolist() == sorted(count, key=lambda t: (-count[t], t))
+    ids = []
+    for f in sorted(manifest, key=lambda r: r.part):
+        with token_store.open_input(f.path) as stream:
+            ids += [t for _, some in token_store.read_blocks(stream, table) for d in some for t in d.tolist()]
+    assert Counter(ids) == count
+
+
 def test_rank_code_round_trip():
     rng = np.random.default_rng(0)
     for n in (0, 1, 3, 4, 5, 1000):
