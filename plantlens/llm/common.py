@@ -110,6 +110,17 @@ def bucket_of(text_of_id: str, modulus: int):
     return F.crc32(F.col(text_of_id).cast("string").cast("binary")) % modulus
 
 
+def hash_sample(df: DataFrame, key: str, kind: str, rows: int) -> DataFrame:
+    """About ``rows`` rows of each value of ``kind`` (all, where it has fewer): those
+    whose hash of ``key`` lies below the share that makes so many.  The kinds are
+    counted first by a partial aggregate; no kind's rows meet in one task, and
+    the same keys are drawn again in any partitioning."""
+    sizes = df.groupBy(F.col(kind).alias("_kind")).agg(F.count("*").alias("_size"))
+    drawn = df.join(sizes, df[kind] == sizes["_kind"])
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(11), F.col(key)), 24) / float(1 << 40)
+    return drawn.filter(place * F.col("_size") < rows).select(*[df[c] for c in df.columns])
+
+
 def one_thread() -> None:
     """Numeric libraries inside a task stay on the task's own core."""
     os.environ.setdefault("OMP_NUM_THREADS", "1")

@@ -1,23 +1,27 @@
 """Toxicity: averaged subword embeddings into a linear softmax.
 
-A document is cut into passages of ``PASSAGE_WORDS`` words.  A passage is the
-bag of the hashed character n-grams (3 to 5 letters, word ends marked) of its
-words; the bag's embeddings are averaged and go into a two-class softmax.
-Embeddings and softmax are trained jointly in numpy, with n-grams dropped at
-random, so that a misspelling that still shares some n-grams with a word seen
-in training stays close to it.  A document's raw score is that of its highest
-passage: a few words decide, whatever the length of the rest.
+A document is read as its passages, all runs of ``PASSAGE_WORDS`` consecutive
+words (a shorter text is one passage; a word said over and over counts once).
+A passage is the bag of the hashed character n-grams (3 to 5 letters, word ends
+marked) of its words; the bag's embeddings are averaged and go into a two-class
+softmax.  Embeddings and softmax are trained jointly in numpy, with n-grams
+dropped at random, so that a misspelling that still shares some n-grams with a
+word seen in training stays close to it.  A document's raw score is that of its
+highest passage: a few words decide, whatever the length of the rest and
+wherever they stand.
 
 Only documents carry labels, so training alternates: first every passage of a
 toxic document counts as toxic; then only its highest passages do (the others
-are left out), while all passages of clean documents count as clean.  A
-logistic curve fitted on the training documents' highest passages turns the
-raw score into a probability.
+are left out), while all passages of clean documents count as clean.  Training
+takes every ``TRAIN_STEP``-th passage and the last of each document.  A logistic
+curve fitted on the training documents' highest passages turns the raw score
+into a probability.
 
-The model is fitted on a bounded sample (``MAX_TRAIN_ROWS`` labelled rows of
-either class, those with the smallest hash of their id) from rows outside the
-held-out fold; every document is then scored over its whole text, by Spark
-tasks.  Labels, language, source and id are never inputs of a score.
+The model is fitted on a bounded sample from rows outside the held-out fold:
+about ``MAX_TRAIN_ROWS`` labelled rows of either class, those whose id's hash lies
+below the share that makes so many, with texts of up to ``MAX_TRAIN_CHARS``
+characters.  Every document is then scored over its whole text, by Spark tasks.
+Labels, language, source and id are never inputs of a score.
 
 A null or empty text, or one without letters or digits, is an empty bag: it
 gets the score of the softmax bias alone, which the curve puts on the clean
@@ -37,13 +41,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from plantlens.llm.common import batch, bucket_of, byte_chunks, ship_package
+from plantlens.llm.common import batch, bucket_of, byte_chunks, hash_sample, ship_package
 
 FOLDS, HELD_OUT = 5, 0
-MAX_TRAIN_ROWS = 1000        # labelled rows of either class that the model is fitted on
+MAX_TRAIN_ROWS = 1500        # labelled rows of either class that the model is fitted on
+MAX_TRAIN_CHARS = 200_000    # a longer text is not learned from
 PASSAGE_WORDS = 8
+TRAIN_STEP = 4
 ORDERS = (3, 4, 5)
 LEAST_GRAMS = 12 * PASSAGE_WORDS         # a shorter bag is averaged as if neutral n-grams filled it up
 BUCKETS = 1 << 18
@@ -74,11 +79,26 @@ def symbols(text: str) -> np.ndarray:
 
 @dataclass
 class Bags:
-    """N-gram buckets by passage; passage_doc names each passage's document."""
-
-    buckets: np.ndarray          # int64, grouped by passage
-    passages: np.ndarray         # passage of each bucket
-    passage_doc: np.ndarray
+    """N-gram buckets in the order of their words."""
+
+    buckets: np.ndarray          # int64
+    ends: np.ndarray             # where each word's buckets end
+    word_doc: np.ndarray         # the document of each word
+
+    def passages(self, step: int) -> tuple[np.ndarray, ...]:
+        """(first bucket, end, document) of every ``step``-th passage of each
+        document and its last one."""
+        n_docs = int(self.word_doc[-1]) + 1 if len(self.word_doc) else 0
+        size = np.bincount(self.word_doc, minlength=n_docs)
+        first = np.cumsum(size) - size
+        last = np.maximum(size - PASSAGE_WORDS, 0)                     # start of the last passage
+        count = np.where(size > 0, -(-last // step) + 1, 0)
+        doc = np.repeat(np.arange(n_docs), count)
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        start = first[doc] + np.minimum(nth * step, last[doc])
+        stop = np.minimum(start + PASSAGE_WORDS, first[doc] + size[doc])
+        edge = np.r_[0, self.ends]
+        return edge[start], edge[stop], doc
 
 
 def bags(texts: list[str]) -> Bags:
@@ -91,15 +111,11 @@ def bags(texts: list[str]) -> Bags:
     starts = np.flatnonzero(begins)
     word_doc = doc[starts]
     kept = _unlike_the_last(s, space, starts, word, word_doc)
-    order = np.cumsum(kept)                                            # kept words up to each
-    first_word = np.searchsorted(word_doc, np.arange(len(texts)))
-    before = np.r_[0, order][first_word]
-    fresh = kept & ((order - 1 - before[word_doc]) % PASSAGE_WORDS == 0)
-    word_passage = np.where(kept, np.cumsum(fresh) - 1, -1)
+    place = np.where(kept, np.cumsum(kept) - 1, -1)                    # of each word among the kept
     # position just behind the word that a letter stands in
     gaps = np.flatnonzero(space)
     behind = gaps[np.searchsorted(gaps, np.arange(len(s)))] if len(gaps) else np.empty(0, np.int64)
-    out_b, out_p = [], []
+    out_b, out_w = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     with np.errstate(over="ignore"):
         for n in ORDERS:
             if len(s) < n:
@@ -112,12 +128,12 @@ def bags(texts: list[str]) -> Bags:
             # inner letters of the gram lie in one word; only its ends may be spaces
             ok = ~space[i + 1] & (behind[i + 1] >= i + n - 1) & (s[i] != 0) & (s[i + n - 1] != 0)
             at = i[ok]
-            at = at[word_passage[word[at + 1]] >= 0]
+            at = at[place[word[at + 1]] >= 0]
             out_b.append((h[at] >> np.uint64(7)).astype(np.int64) & (BUCKETS - 1))
-            out_p.append(word_passage[word[at + 1]])
-    b = np.concatenate(out_b) if out_b else np.empty(0, np.int64)
-    p = np.concatenate(out_p) if out_p else np.empty(0, np.int64)
-    return Bags(b, p, word_doc[fresh])
+            out_w.append(place[word[at + 1]])
+    b, w = np.concatenate(out_b), np.concatenate(out_w)
+    order = np.argsort(w, kind="stable")
+    return Bags(b[order], np.cumsum(np.bincount(w, minlength=int(kept.sum()))), word_doc[kept])
 
 
 def _unlike_the_last(s, space, starts, word, word_doc) -> np.ndarray:
@@ -147,10 +163,8 @@ class Model:
     def raw(self, texts: list[str]) -> np.ndarray:
         """The highest passage's softmax difference of each text."""
         found = bags(texts)
-        logit = _means(self.weights, found.buckets, found.passages, len(found.passage_doc)) + self.bias
-        top = np.full(len(texts), -np.inf)
-        np.maximum.at(top, found.passage_doc, logit)
-        return np.where(np.isneginf(top), self.bias, top)
+        begin, end, doc = found.passages(1)
+        return _highest(_means(self.weights[found.buckets], begin, end) + self.bias, doc, len(texts), self.bias)
 
     def score(self, texts: list[str]) -> np.ndarray:
         if self.weights is None:
@@ -158,16 +172,23 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.raw(texts) + self.offset, -40, 40)))
 
 
-def _means(weights: np.ndarray, buckets: np.ndarray, passages: np.ndarray, n: int) -> np.ndarray:
-    total = np.bincount(passages, weights=weights[buckets], minlength=n)
-    return total / np.maximum(np.bincount(passages, minlength=n), LEAST_GRAMS)
+def _means(weights: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Mean weight of each passage's buckets; passages may overlap."""
+    total = np.r_[0.0, np.cumsum(weights, dtype=np.float64)]
+    return (total[end] - total[begin]) / np.maximum(end - begin, LEAST_GRAMS)
+
+
+def _highest(logit: np.ndarray, doc: np.ndarray, n: int, empty: float) -> np.ndarray:
+    """The highest passage of each of n documents; ``empty`` without any."""
+    top = np.full(n, -np.inf)
+    np.maximum.at(top, doc, logit)
+    return np.where(np.isneginf(top), empty, top)
 
 
-def _joint_training(rng, table, softmax, buckets, ends, labels, weight, rounds, rate, drop):
+def _joint_training(rng, table, softmax, buckets, begins, ends, labels, weight, rounds, rate, drop):
     """Plain gradient steps on embeddings ``table`` and ``softmax`` (2 x DIM
     and a bias each), ``labels`` and ``weight`` by passage."""
     w, bias = softmax
-    begins = np.r_[0, ends[:-1]]
     used = np.flatnonzero(weight > 0)
     for turn in range(rounds):
         step = rate * (1 - turn / rounds)
@@ -200,53 +221,46 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     if len(texts) == 0 or toxic.all() or not toxic.any():
         return Model(None, 0.0, 0.0, 0.0, float(len(texts) > 0 and bool(toxic.all())))
     rng = np.random.default_rng(seed)
-    parts, base = [], 0
-    docs = []
+    parts, words, base, size = [], [], 0, 0
     for s, e in byte_chunks(np.array([len(t) for t in texts]), CHUNK):
         found = bags(texts[s:e])
-        order = np.argsort(found.passages, kind="stable")
-        parts.append((found.buckets[order].astype(np.int32), np.bincount(found.passages, minlength=len(found.passage_doc))))
-        docs.append(found.passage_doc + base)
-        base += e - s
-    buckets = np.concatenate([p[0] for p in parts])
-    counts, doc = np.concatenate([p[1] for p in parts]), np.concatenate(docs)
-    ends = np.cumsum(counts)
-    del parts
+        parts.append(found.buckets.astype(np.int32))
+        words.append((found.ends + size, found.word_doc + base))
+        base, size = base + e - s, size + len(found.buckets)
+    every = Bags(np.concatenate(parts), *(np.concatenate(x) for x in zip(*words)))
+    del parts, words
+    buckets = every.buckets
+    begins, ends, doc = every.passages(TRAIN_STEP)
     label = toxic[doc].astype(float)
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
     w, bias = rng.normal(0, 0.5, (2, DIM)), np.zeros(2)
 
-    def logits() -> np.ndarray:
-        weights, out = table @ (w[1] - w[0]), np.empty(len(counts))
-        for s in range(0, len(counts), 1 << 13):         # a few megabytes at a time
-            n = counts[s: s + (1 << 13)]
-            owner = np.repeat(np.arange(len(n)), n)
-            first = ends[s] - n[0]
-            out[s: s + len(n)] = _means(weights, buckets[first: first + len(owner)], owner, len(n))
+    def logits(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        weights, out = table @ (w[1] - w[0]), np.empty(len(begin))
+        for s in range(0, len(begin), 1 << 14):          # a few megabytes at a time
+            some = slice(s, s + (1 << 14))
+            first = begin[s]
+            out[some] = _means(weights[buckets[first: end[some].max()]], begin[some] - first, end[some] - first)
         return out + bias[1] - bias[0]
 
-    weight = np.ones(len(counts))
+    weight = np.ones(len(doc))
     weight[label == 1] = (label == 0).sum() / max((label == 1).sum(), 1)
     weight /= weight.mean()
-    _joint_training(rng, table, (w, bias), buckets, ends, label, weight, 3, 0.5, 0.3)
+    _joint_training(rng, table, (w, bias), buckets, begins, ends, label, weight, 3, 0.5, 0.3)
     for _ in range(3):
-        z = logits()
-        top = np.full(len(texts), -np.inf)
-        np.maximum.at(top, doc, z)
+        z = logits(begins, ends)
+        top = _highest(z, doc, len(texts), -np.inf)
         chosen = (label == 0) | (z >= top[doc] - 0.25 * np.abs(top[doc] - np.median(z)))
         weight = np.where(chosen, 1.0, 0.0)
         # clean passages far outnumber the chosen toxic ones
         weight[chosen & (label == 1)] = max((label == 0).sum() / max((chosen & (label == 1)).sum(), 1) / 4, 1)
         weight /= weight[chosen].mean()
-        _joint_training(rng, table, (w, bias), buckets, ends, label, weight, 3, 0.5, 0.3)
+        _joint_training(rng, table, (w, bias), buckets, begins, ends, label, weight, 3, 0.5, 0.3)
     seen = np.zeros(BUCKETS, bool)
     seen[buckets] = True
     table[~seen] = 0                                     # an n-gram never seen says nothing
-    z = logits()
-    top = np.full(len(texts), bias[1] - bias[0])
-    first = np.full(len(texts), -np.inf)
-    np.maximum.at(first, doc, z)
-    top = np.where(np.isneginf(first), top, first)
+    begins, ends, doc = every.passages(1)                # as documents are scored
+    top = _highest(logits(begins, ends), doc, len(texts), bias[1] - bias[0])
     slope, offset = _curve(top, toxic)
     return Model((table @ (w[1] - w[0])).astype(np.float32), float(bias[1] - bias[0]), slope, offset)
 
@@ -272,12 +286,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id")
            .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most").drop("most")
-           .filter(bucket_of("doc_id", FOLDS) != HELD_OUT)
-           .withColumn("order", F.xxhash64("doc_id")))
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy("order", "doc_id"))
-    ids = ids.withColumn("rank", rank).filter(F.col("rank") <= max_rows).select("doc_id", "toxic")
+           .filter(bucket_of("doc_id", FOLDS) != HELD_OUT))
+    ids = hash_sample(ids, "doc_id", "toxic", max_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # at most 2 * max_rows ids: a proven bound, so the texts are not shuffled
+    texts = texts.filter(F.coalesce(F.length("text"), F.lit(0)) <= MAX_TRAIN_CHARS)
+    # about 2 * max_rows ids: a known bound, so the texts are not shuffled
     return texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "text"]).select("doc_id", "text", "toxic")
 
 

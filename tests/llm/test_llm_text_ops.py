@@ -442,6 +442,55 @@ def test_toxicity_learns_words_and_their_misspellings(spark):
     assert kept == {i for i, r in got.items() if r.predicted == 0}
 
 
+def toxic_sample(n=400, seed=10):
+    rng = random.Random(seed)
+    bad = ["blorgwit", "snarfdung", "grumblefex", "wutzkrell"]
+    texts, toxic = [], []
+    for i in range(n):
+        words = prose(rng, "en", rng.randint(40, 150)).split(" ")
+        if i % 2:
+            for _ in range(3):
+                words[rng.randrange(len(words))] = rng.choice(bad)
+        texts.append(" ".join(words))
+        toxic.append(i % 2 == 1)
+    return texts, np.array(toxic), bad, rng
+
+
+def test_a_score_does_not_depend_on_where_the_words_stand():
+    texts, toxic, bad, rng = toxic_sample()
+    model = toxicity.fit(texts, toxic)
+    for trial in range(5):
+        plain_words = [w.strip(".").lower() for w in prose(rng, "en", 20).split()][:18]
+        found = model.score([" ".join([*plain_words[:k], bad[0], bad[trial % 4], *plain_words[k:]]) for k in range(19)])
+        assert found.min() > 0.5 and found.max() - found.min() <= 0.05, found
+    # the words by themselves, short texts and none
+    assert (model.score(bad) > 0.5).all()
+    clean = [w.strip(".") for w in prose(rng, "en", 200).split()]
+    assert (model.score(clean) < 0.5).mean() > 0.99
+    assert (model.score(["", "?!", " \n", "12"]) < 0.5).all()
+
+
+def test_passages_are_all_runs_of_words():
+    found = toxicity.bags(["one two three four five six seven eight nine ten", "", "aa bb", "same same same word"])
+    begin, end, doc = found.passages(1)
+    assert doc.tolist() == [0, 0, 0, 2, 3] and (end > begin).all()
+    words = np.r_[0, found.ends]
+    assert [(words.searchsorted(b), words.searchsorted(e)) for b, e in zip(begin, end)] == [(0, 8), (1, 9), (2, 10), (10, 12), (12, 14)]
+    assert found.passages(4)[2].tolist() == [0, 0, 2, 3]                 # the last passage is always one of them
+
+
+def test_training_sample_is_drawn_by_hash(spark):
+    from plantlens.llm.common import hash_sample
+
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 10 == 0, "few").otherwise("many").alias("kind"))
+    got = {r.kind: r["count"] for r in hash_sample(df, "id", "kind", 3000).groupBy("kind").count().collect()}
+    assert got["few"] == 3000 and 2700 < got["many"] < 3300
+    again = hash_sample(df.repartition(7), "id", "kind", 3000)
+    assert plain(again) == plain(hash_sample(df, "id", "kind", 3000))
+    plan = hash_sample(df, "id", "kind", 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort [" not in plan
+
+
 def test_toxicity_with_one_class_or_no_label(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
