@@ -6,16 +6,25 @@ Text is lower-cased and every run of non-letters becomes one space, so the
 models see letters and word ends.  All languages share one table an order:
 sorted 64-bit n-gram hashes, and beside each the log probability that every
 language gives it, already interpolated.  A language's cross-entropy of a text is
-the mean over its characters; the lowest wins.  ``score`` is the probability of
-that choice under a softmax of the cross-entropies whose temperature is fitted
-on a part of the training rows the models have not seen; the same rows give each
-language the cross-entropy above which a text is ``rejected`` as unlike anything
-learned (the choice still stands: the flag is an extra column).
-
-The models are fitted on a bounded sample: of each language's training rows the
-``MAX_TRAIN_ROWS`` with the smallest hash of their id.  N-grams are counted by
-Spark tasks; only the counts reach the driver.  Every document is scored over
-its whole text.  Language, source and id are never inputs of a prediction.
+the mean over its characters; the lowest wins.
+
+Calibration uses training rows the models have not seen, whole and as excerpts
+of 1 to 32 words.  They give each language the mean and spread of its texts'
+cross-entropy by length, and one cut, in spreads above the mean, that
+``REJECT_SHARE`` of the whole texts exceed.  A text above its language's cut is
+``rejected`` as unlike anything learned (the choice still stands: the flag is an
+extra column).  ``score`` is the probability of the choice under a softmax of the
+cross-entropies in which the cut takes part as "none of them", so a text at the
+cut has at most 0.5 and junk next to 0.  The softmax's temperature, and the power
+of the length that sharpens it, have the highest likelihood on those rows.
+
+The models are fitted on a bounded sample of each language's training rows: about
+``MAX_TRAIN_ROWS`` to count and half as many to calibrate, drawn by the hash of
+their id, with texts of up to ``MAX_TRAIN_CHARS`` characters.  N-grams are counted
+by Spark tasks, one task builds the tables, and tasks measure the calibration
+rows: the driver gets the fitted tables and a few numbers a row, no text and no
+count.  Every document is scored over its whole text.  Language, source and id
+are never inputs of a prediction.
 
 A null text, or one without a letter, is ``und`` with score 0, and so is every
 text if nothing can be learned.  Equal cross-entropies go to the language first
@@ -25,6 +34,8 @@ gives an empty table.
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -33,12 +44,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from plantlens.llm.common import batch, bucket_of, byte_chunks, ship_package
+from plantlens.llm.common import Scratch, batch, bucket_of, byte_chunks, hash_sample, ship_package
 
 FOLDS, HELD_OUT = 4, 2
-MAX_TRAIN_ROWS = 1000        # documents of each language that its model is fitted on
+MAX_TRAIN_ROWS = 1000        # documents of each language that its model is fitted on, and half as many to calibrate
+MAX_TRAIN_CHARS = 200_000    # a longer text is not learned from
+EXCERPTS = (1, 2, 4, 8, 16, 32)          # words
 ORDER = 4
 UNKNOWN = "und"
 REJECT_SHARE = 0.005         # of unseen training rows may lie above their language's limit
@@ -115,10 +127,16 @@ class Model:
     backs: list[np.ndarray]          # per order: log weight of the lower order after a context
     base: np.ndarray                 # per language: log probability of a symbol never seen
     temperature: float = 1.0
-    limits: np.ndarray | None = None
+    power: float = 0.0
+    usual: np.ndarray | None = None  # per language: mean (2) and variance (2) of the cross-entropy, by 1 and 1 / length
+    cut: float = np.inf
 
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Mean cross-entropy by text and language; infinite without letters."""
+        return self.measure(texts)[0]
+
+    def measure(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(mean cross-entropies, symbols) of each text."""
         s, who = symbols(texts)
         sums = np.zeros((len(texts), len(self.languages)))
         counts = np.zeros(len(texts))
@@ -133,7 +151,24 @@ class Model:
             counts = np.bincount(who[at], minlength=len(texts))
         out = -sums / np.maximum(counts, 1)[:, None]
         out[counts == 0] = np.inf
-        return out
+        return out, counts
+
+    def limits(self, n: np.ndarray) -> np.ndarray:
+        """The cross-entropy above which a text of n symbols is unlike each language."""
+        if self.usual is None:
+            return np.full((len(n), len(self.languages)), np.inf)
+        short = 1 / np.maximum(n, 1)[:, None]
+        mean, spread = self.usual[:, 0] + self.usual[:, 1] * short, np.sqrt(self.usual[:, 2] + self.usual[:, 3] * short)
+        return mean + self.cut * spread
+
+    def shares(self, h: np.ndarray, n: np.ndarray, temperature: float, power: float) -> np.ndarray:
+        """Probability of each language, next to "none of them" at the cut."""
+        low = h.min(1)
+        none = self.limits(n)[np.arange(len(h)), h.argmin(1)]
+        sharp = (np.maximum(n, 1) ** power / temperature)[:, None]
+        z = np.clip(np.c_[low[:, None] - h, low - none] * sharp, -700, 700)
+        z = np.exp(z - z.max(1, keepdims=True))
+        return z[:, :-1] / z.sum(1, keepdims=True)
 
     def _logs(self, s: np.ndarray, order: np.ndarray) -> np.ndarray:
         """Log probability of each symbol given up to ORDER - 1 before it, using
@@ -163,13 +198,13 @@ class Model:
         """(language number or -1, score, rejected) of each text."""
         if not self.languages:
             return np.full(len(texts), -1), np.zeros(len(texts)), np.ones(len(texts), bool)
-        h = self.entropies(texts)
+        h, n = self.measure(texts)
         none = np.isinf(h[:, 0])
         h = np.where(none[:, None], 0, h)
         best = h.argmin(1)
-        low = h[np.arange(len(h)), best]
-        share = 1 / np.exp(-(h - low[:, None]) / self.temperature).sum(1)
-        over = low > self.limits[best] if self.limits is not None else np.zeros(len(h), bool)
+        each = np.arange(len(h))
+        share = self.shares(h, n, self.temperature, self.power)[each, best]
+        over = h[each, best] > self.limits(n)[each, best]
         return np.where(none, -1, best), np.where(none, 0.0, share), none | over
 
 
@@ -254,28 +289,41 @@ def count_grams(texts: list[str], order: int = ORDER):
 
 # ----------------------------------------------------------------------- Spark
 def _sample(docs: DataFrame, max_rows: int) -> DataFrame:
-    """(lang, text, tune) of the bounded training sample; every eighth row (by
-    hash) is for calibration and not counted."""
+    """(doc_id, lang, text, tune) of the bounded training sample; every third
+    row (by hash) is for calibration and not counted."""
     ids = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
            .filter("lang is not null and doc_id is not null").filter(bucket_of("doc_id", FOLDS) != HELD_OUT).distinct())
-    ids = ids.withColumn("order", F.xxhash64("doc_id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    ids = ids.withColumn("rank", rank).filter(F.col("rank") <= max_rows).select("doc_id", "lang", (F.col("rank") % 8 == 0).alias("tune"))
+    ids = hash_sample(ids, "doc_id", "lang", max_rows * 3 // 2).withColumn("tune", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(3)) == 0)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                        F.col("lang").cast("string").alias("lang")).filter("text is not null")
-    # at most max_rows ids a language
-    return texts.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text", "tune")
+                        F.col("lang").cast("string").alias("lang")).filter("text is not null").filter(F.length("text") <= MAX_TRAIN_CHARS)
+    # about 1.5 * max_rows ids a language
+    return texts.join(F.broadcast(ids), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang", "text"])
 
 
 COUNTS = "lang string, n int, gram long, before long, after long, count long"
 
 
+MEASURED = "lang string, whole boolean, n double, h array<double>"
+
+
+def excerpts(text: str) -> Iterator[tuple[bool, str]]:
+    """The whole text, and one run of words of each length of EXCERPTS from
+    a place that its own words choose."""
+    yield True, text
+    words = text.split()
+    for n in EXCERPTS:
+        if len(words) > n:
+            at = zlib.crc32(f"{n} {text}".encode("utf-8", "replace")) % (len(words) - n + 1)
+            yield False, " ".join(words[at: at + n])
+
+
 def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Model:
-    sample = _sample(docs, max_rows)
+    scratch = Scratch(docs.sparkSession, "langid")
+    sample = scratch.keep(_sample(docs, max_rows))       # read once; bounded
     schema = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("gram", pa.int64()), ("before", pa.int64()),
                         ("after", pa.int64()), ("count", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lang, texts = np.array(b.column("lang").to_pylist(), object), np.array(b.column("text").to_pylist(), object)
             for one in sorted(set(lang)):
@@ -283,11 +331,42 @@ def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Model:
                     yield batch(schema, [one] * len(gram), [n] * len(gram), gram.view(np.int64), before.view(np.int64),
                                 after.view(np.int64), count)
 
-    rows = (sample.filter("not tune").select("lang", "text").mapInArrow(run, COUNTS).groupBy("lang", "n", "gram")
-            .agg(F.sum("count").alias("count"), F.min("before").alias("before"), F.min("after").alias("after")).toArrow())
-    languages = sorted(set(rows.column("lang").to_pylist()))
-    if not languages:
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, schema)
+        if rows.num_rows:
+            yield batch(pa.schema([("model", pa.binary())]), [pickle.dumps(from_counts(rows))])
+
+    counts = (sample.filter("not tune").select("lang", "text").mapInArrow(count, COUNTS).groupBy("lang", "n", "gram")
+              .agg(F.sum("count").alias("count"), F.min("before").alias("before"), F.min("after").alias("after"))
+              .select("lang", "n", "gram", "before", "after", "count"))
+    row = counts.repartition(1).mapInArrow(fit, "model binary").first()
+    if row is None:
+        scratch.drop(sample)
         return Model([], [], [], [], [], np.empty(0))
+    model = pickle.loads(row.model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    measured_schema = pa.schema([("lang", pa.string()), ("whole", pa.bool_()), ("n", pa.float64()), ("h", pa.list_(pa.float64()))])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                whole, texts = zip(*excerpts(text))
+                h, n = shared.value.measure(list(texts))
+                ok = n > 0
+                yield batch(measured_schema, [lang] * int(ok.sum()), np.array(whole)[ok], n[ok], h[ok].tolist())
+
+    found = sample.filter("tune").select("lang", "text").mapInArrow(measure, MEASURED).toArrow()     # numbers of a bounded sample
+    scratch.drop(sample)
+    rows = sorted((r for r in found.to_pylist() if r["lang"] in model.languages), key=lambda r: (r["lang"], r["n"], r["h"]))
+    if not rows:
+        return model
+    return calibrate(model, np.array([r["h"] for r in rows]), np.array([r["n"] for r in rows]),
+                     np.array([model.languages.index(r["lang"]) for r in rows]), np.array([r["whole"] for r in rows]))
+
+
+def from_counts(rows: pa.Table) -> Model:
+    """The tables of all languages from their n-gram counts."""
+    languages = sorted(set(rows.column("lang").to_pylist()))
     number = np.searchsorted(languages, rows.column("lang").to_pylist())
     n = rows.column("n").to_numpy()
     cols = [rows.column(c).to_numpy().view(np.uint64) for c in ("gram", "before", "after")]
@@ -297,34 +376,35 @@ def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Model:
         at = np.flatnonzero(n == order)
         at = at[np.lexsort((number[at], cols[0][at]))]
         counts[order] = (cols[0][at], cols[1][at], cols[2][at], number[at], count[at])
-    model = build(counts, languages)
-    tune = sorted((r.doc_id, r.lang, r.text) for r in sample.filter("tune").select("doc_id", "lang", "text").collect())
-    return calibrate(model, [t for _, _, t in tune], [x for _, x, _ in tune])
-
-
-def calibrate(model: Model, texts: list[str], langs: list[str]) -> Model:
-    """Temperature of the score and limit of each language, on unseen rows."""
-    model.limits = np.full(len(model.languages), np.inf)
-    known = [(t, model.languages.index(x)) for t, x in zip(texts, langs) if x in model.languages]
-    if not known:
-        return model
-    parts = [model.entropies([t for t, _ in known[s:e]]) for s, e in byte_chunks(np.array([len(t) for t, _ in known]), CHUNK)]
-    h, y = np.concatenate(parts), np.array([k for _, k in known])
-    ok = ~np.isinf(h[:, 0])
-    h, y = h[ok], y[ok]
-    if not len(h):
-        return model
-    gap = h - h.min(1, keepdims=True)
+    return build(counts, languages)
 
-    def loss(t: float) -> float:
-        z = -gap / t
-        return float(-np.mean(np.maximum(z[np.arange(len(z)), y] - np.log(np.exp(z).sum(1)), -20)))
 
-    model.temperature = min((float(t) for t in np.geomspace(0.01, 2, 40)), key=loss)
+def calibrate(model: Model, h: np.ndarray, n: np.ndarray, y: np.ndarray, whole: np.ndarray) -> Model:
+    """The usual cross-entropies, the cut, temperature and power from unseen
+    rows: their cross-entropies, lengths, languages, and which are whole texts."""
+    own, short = h[np.arange(len(h)), y], 1 / n
+    model.usual = np.zeros((len(model.languages), 4))
     for k in range(len(model.languages)):
-        own = h[y == k, k]
-        if len(own):
-            model.limits[k] = np.quantile(own, 1 - REJECT_SHARE)
+        at = y == k
+        if not at.any():
+            at = np.ones(len(y), bool)                   # a language without unseen rows: as the others
+        x = np.c_[np.ones(int(at.sum())), short[at]]
+        # long texts vary less, so they count more
+        weight = np.sqrt(np.minimum(n[at], 1000))[:, None]
+        mean = np.linalg.lstsq(x * weight, own[at] * weight[:, 0], rcond=None)[0]
+        off = (own[at] - x @ mean) ** 2
+        spread = np.linalg.lstsq(x * weight, off * weight[:, 0], rcond=None)[0]
+        model.usual[k] = [*mean, max(spread[0], 1e-4), max(spread[1], 0.0)]
+    mean = model.usual[y, 0] + model.usual[y, 1] * short
+    spread = np.sqrt(model.usual[y, 2] + model.usual[y, 3] * short)
+    model.cut = float(np.quantile(((own - mean) / spread)[whole if whole.any() else slice(None)], 1 - REJECT_SHARE))
+
+    def loss(t: float, p: float) -> float:
+        share = model.shares(h, n, t, p)[np.arange(len(h)), y]
+        return float(-np.mean(np.log(np.maximum(share, 1e-9))))
+
+    tried = [(float(t), p) for p in (0.0, 0.25, 0.5, 0.75, 1.0) for t in np.geomspace(0.002, 20, 60)]
+    model.temperature, model.power = min(tried, key=lambda x: loss(*x))
     return model
 
 

@@ -351,6 +351,38 @@ def test_langid_on_held_out_rows(spark):
     assert {got[i].lang_pred for i in (9000, 9001, 9002)} == {"und"}
 
 
+def test_langid_score_and_rejection_are_calibrated(spark):
+    """The share of rejected held-out texts is near REJECT_SHARE; junk and other
+    scripts are rejected with a low score; short texts are less sure than long."""
+    rng = random.Random(16)
+    rows = [(i, prose(rng, lang, rng.choice([5, 20, 60, 150])), lang, "s", 0) for i, lang in enumerate(rng.choices(list(langid_langs()), k=1500))]
+    junk = ["xqzv kjwq", "zzzz zzzz zzzz zz", "Привет как дела сегодня", "日本語の文章です"]
+    rows += [(100_000 + i, t, None, "s", 0) for i, t in enumerate(junk)]
+    rows += [(200_000 + i, prose(rng, lang, n), None, "s", 0) for i, (lang, n) in enumerate([(x, n) for x in langid_langs() for n in (1,) * 40 + (60,) * 40])]
+    got = {r.doc_id: r for r in langid.identify(documents(spark, rows)).collect()}
+    held = [got[r[0]] for r in rows if r[0] < 100_000 and got[r[0]].held_out]
+    assert len(held) > 300 and sum(r.rejected for r in held) <= 0.02 * len(held)
+    for i, _ in enumerate(junk):
+        assert got[100_000 + i].rejected and got[100_000 + i].score < 0.5
+    n = len(rows) - 1500 - len(junk)
+    short, long = ([got[200_000 + i].score for i in range(n) if i % 80 // 40 == k] for k in (0, 1))
+    assert np.mean(short) < np.mean(long) and np.mean(long) > 0.9
+
+
+def test_langid_brings_no_text_to_the_driver(spark, monkeypatch):
+    """What is collected while fitting has no text column."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen = []
+    for name in ("collect", "toArrow", "first"):
+        def watched(self, *a, plain_call=getattr(DataFrame, name), **k):
+            seen.append(self.columns)
+            return plain_call(self, *a, **k)
+        monkeypatch.setattr(DataFrame, name, watched)
+    langid.train(documents(spark), 20)
+    assert seen and not any("text" in columns for columns in seen)
+
+
 def langid_langs():
     from llm_fixtures import SYLLABLES
 
