@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import pinned
+from plantlens.llm.common import Scratch
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -38,10 +38,12 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     a, b = links.columns
     links = (links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"), F.col(a).alias("_a"), F.col(b).alias("_b"))
              .filter("_a is not null and _b is not null and hi > lo").select("hi", "lo").distinct())
-    links = pinned(links)
+    scratch = Scratch(links.sparkSession, "components")
+    links = scratch.keep(links)
     before = None
     for _ in range(max_rounds):
-        links = pinned(_small_star(_large_star(links)))
+        last, links = links, scratch.keep(_small_star(_large_star(links)))
+        scratch.drop(last)
         # star shape reached when no row changes; the digest is order-free
         state = links.agg(F.count("*"), F.sum(F.hash("hi", "lo").cast("long")), F.bit_xor(F.xxhash64("hi", "lo"))).first()
         if state == before:
