@@ -51,9 +51,12 @@ def _bound(value: Column, use) -> Column:
 
 
 def _words(text: Column) -> Column:
-    """The words of a text; signs of scripts without blanks are words alone."""
-    apart = F.regexp_replace(F.lower(text), UNSPACED, " $1 ")
-    return F.filter(F.split(apart, r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """The words of a text; signs of scripts without blanks are words alone.
+    Texts of ASCII need neither that nor the Unicode classes."""
+    low = F.lower(text)
+    apart = F.when(low.rlike(UNSPACED), F.regexp_replace(low, UNSPACED, " $1 ")).otherwise(low)
+    words = F.when(F.octet_length(text) == F.length(text), F.split(low, "[^a-z0-9]+")).otherwise(F.split(apart, r"[^\p{L}\p{N}]+"))
+    return F.array_remove(words, "")
 
 
 def _windows(w: Column, lengths: list[int], one) -> Column:
@@ -72,13 +75,18 @@ def _shingles(text: Column, lengths: list[int]) -> Column:
         w, lengths, lambda w, i, n: F.array_join(F.slice(w, i + 1, n), " ")))
 
 
-def _hash(w: Column, i, n: int) -> Column:
-    return F.xxhash64(*[F.get(w, i + k) for k in range(n)])
+def _hash(h: Column, i, n: int) -> Column:
+    """The hash of n words from i on, of their words' hashes ``h``."""
+    return F.xxhash64(*[F.get(h, i + k) for k in range(n)])
+
+
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(x))
 
 
 def _keys(text: Column, lengths: list[int]) -> Column:
-    """The hashes of all shingles of a text."""
-    return _bound(_words(text), lambda w: _windows(w, lengths, _hash))
+    """The hashes of all shingles of a text: each word is hashed once."""
+    return _bound(_word_hashes(_words(text)), lambda h: _windows(h, lengths, _hash))
 
 
 def _item_shingles(items: DataFrame, n: int) -> DataFrame:
@@ -90,7 +98,8 @@ def _item_shingles(items: DataFrame, n: int) -> DataFrame:
             F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.slice(w, i, n)))
 
     each = items.select(*ITEM, F.explode(_bound(_words(F.col("text")), cut)).alias("words"))
-    key = F.coalesce(*[F.when(F.size("words") == k, _hash(F.col("words"), F.lit(0), k)) for k in range(1, n + 1)])
+    hashes = _word_hashes(F.col("words"))
+    key = F.coalesce(*[F.when(F.size("words") == k, _hash(hashes, F.lit(0), k)) for k in range(1, n + 1)])
     return each.select(*ITEM, F.size("words").alias("length"), F.array_join("words", " ").alias("shingle"),
                        key.alias("key")).distinct()
 
@@ -161,6 +170,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = SHINGLE_WORDS,
     """The rows of ``docs`` that contain no item, all columns kept.  Each row is
     judged by its own id and text, so rows of a shared or missing id stand alone."""
     bad = _row_matches(docs, items, n, containment).select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
-    same = docs.doc_id.eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs.text.cast("string")) == F.col("_bad_key"))
-    return docs.join(bad, same, "left_anti")
+        F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
+    rows = docs.select(docs["doc_id"].alias("id"), F.xxhash64(docs["text"].cast("string")).alias("key"),
+                       F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return rows.join(bad, rows["id"].eqNullSafe(bad["bad_id"]) & (rows["key"] == bad["bad_key"]), "left_anti").select("row.*")
