@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantlens.session import checkpoint_dir
 
@@ -38,6 +39,54 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# ------------------------------------------------------- rows with any columns
+def without_maps(value: Column, kind: T.DataType) -> Column:
+    """``value`` with every map in it as an array of its entries, sorted by key:
+    maps cannot be hashed, grouped or ordered."""
+    if isinstance(kind, T.MapType):
+        entries = F.array_sort(F.map_entries(value)) if _ordered(kind.valueType) else F.map_entries(value)
+        return F.transform(entries, lambda e: F.struct(
+            e["key"].alias("key"), without_maps(e["value"], kind.valueType).alias("value")))
+    if isinstance(kind, T.StructType) and not _ordered(kind):
+        inner = F.struct(*[without_maps(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(value.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType) and not _ordered(kind):
+        return F.transform(value, lambda x: without_maps(x, kind.elementType))
+    return value
+
+
+def with_maps(value: Column, kind: T.DataType) -> Column:
+    """The value that :func:`without_maps` took apart."""
+    if isinstance(kind, T.MapType):
+        return F.map_from_entries(F.transform(value, lambda e: F.struct(
+            e["key"].alias("key"), with_maps(e["value"], kind.valueType).alias("value"))))
+    if isinstance(kind, T.StructType) and not _ordered(kind):
+        inner = F.struct(*[with_maps(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(value.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType) and not _ordered(kind):
+        return F.transform(value, lambda x: with_maps(x, kind.elementType))
+    return value
+
+
+def _ordered(kind: T.DataType) -> bool:
+    """Has the type no map in it?"""
+    if isinstance(kind, T.StructType):
+        return all(_ordered(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    return not isinstance(kind, T.MapType)
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct without maps, whatever their names."""
+    return F.struct(*[without_maps(docs[f.name], f.dataType).alias(f.name) for f in docs.schema.fields])
+
+
+def row_columns(docs: DataFrame, row: str = "row") -> list[Column]:
+    """The columns of ``docs`` back out of its :func:`whole_row`."""
+    return [with_maps(F.col(row)[f.name], f.dataType).alias(f.name) for f in docs.schema.fields]
+
+
 class Scratch:
     """Intermediate tables of one operator, written as compressed Parquet below
     the shared folder and read again, which cuts lineage like a checkpoint.

@@ -15,7 +15,8 @@ already and no sort of the corpus is needed.
    document that fits by at least half, the one document of that block that best
    fits the words still missing (or none) joins.
 3. The block quotas (blocks that a source gives in all, repeats counted) are
-   split among ``shards`` outputs by a binary tree: a node gives its left child
+   split among ``shards`` outputs (as many as keep each to about ``SHARD_WORDS``
+   words, 64 at least) by a binary tree: a node gives its left child
    half of its draws, divided among sources by a multivariate hypergeometric
    draw (one univariate draw per source, conditional on those before), and the
    rest to its right child.  Leaves hold exact quotas; a source's draws go to
@@ -36,15 +37,18 @@ nothing is taken.  An empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plantlens.llm.common import WORD, pinned
+from plantlens.llm.common import WORD, pinned, row_columns, whole_row
 
 MAX_REPEATS = 3
 BLOCK_DOCS = 64
-SHARDS = 64
+SHARDS = 64                              # at least
+SHARD_WORDS = 20_000_000                 # words of a shard, about 130 MB of text
 ORDER_BITS = 60
 SEED = 11
 BROADCAST_SOURCES = 50_000               # rows of about 200 bytes
@@ -61,7 +65,7 @@ def _order_number(doc_id: Column) -> Column:
 
 
 def _row_hash(docs: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(c) for c in docs.columns])
+    return F.xxhash64(whole_row(docs))
 
 
 def _shared_ids(docs: DataFrame) -> DataFrame:
@@ -331,29 +335,35 @@ def mix(rows: DataFrame, sources: DataFrame, draws: DataFrame) -> DataFrame:
         "in_part", "passes", "block", *SOURCE)
 
 
-def mixed_sizes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def shards_for(sized: DataFrame) -> int:
+    """Shards of about SHARD_WORDS words; the mix has as many words as its input."""
+    words = sized.agg(F.sum("size")).first()[0] or 0
+    return max(SHARDS, math.ceil(words / SHARD_WORDS))
+
+
+def mixed_sizes(docs: DataFrame, shards: int | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies: what the mix takes."""
     sized = pinned(_keyed(sizes(docs)).drop("source"))
-    sources, draws = plan(sized, shards)
+    sources, draws = plan(sized, shards or shards_for(sized))
     m = mix(sized, sources, draws)
     copies = F.size("draws")
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"),
                     copies.alias("copies"))
 
 
-def mixed_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def mixed_documents(docs: DataFrame, shards: int | None = None) -> DataFrame:
     """The mix itself: the rows of ``docs``, repeated or left out, dealt to one
     partition a shard and shuffled in it."""
     shared = _shared_ids(docs)
     sized = pinned(_keyed(sizes(docs, shared)).drop("source"))
+    shards = shards or shards_for(sized)
     sources, draws = plan(sized, shards)
-    whole = F.struct(*[F.col(c) for c in docs.columns])
-    rows = docs.select("doc_id", "source", _row_hash(docs).alias("hash"), whole.alias("row"))
+    rows = docs.select("doc_id", "source", _row_hash(docs).alias("hash"), whole_row(docs).alias("row"))
     rows = _keyed(_placed(rows, shared)).drop("source")
     out = mix(rows, sources, draws).select("doc_id", "hash", "copy", "row", F.explode("draws").alias("d"))
     order = F.xxhash64(F.lit(SEED), "d.shard", "doc_id", "d.pass", "hash", "copy")
     out = out.select("row", F.col("d.shard").alias("shard"), order.alias("order"))
-    return out.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "order").select("row.*")
+    return out.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "order").select(row_columns(docs))
 
 
 ORACLE = """
@@ -401,8 +411,8 @@ fit AS (
     AND abs(p.rest - r.taken - p.size) < abs(p.rest - r.taken)
   GROUP BY p.source)
 SELECT p.doc_id, p.size, p.source_size, p.target,
-       (p.size * (p.passes + (p.place <= r.stop OR p.doc_id = f.spare IS TRUE)::INT))::BIGINT AS taken,
-       (p.passes + (p.place <= r.stop OR p.doc_id = f.spare IS TRUE)::INT)::INT AS copies
+       (p.size * (p.passes + (coalesce(p.place <= r.stop, FALSE) OR coalesce(p.doc_id = f.spare, FALSE))::INT))::BIGINT AS taken,
+       (p.passes + (coalesce(p.place <= r.stop, FALSE) OR coalesce(p.doc_id = f.spare, FALSE))::INT)::INT AS copies
 FROM prefix p JOIN reach r ON p.source IS NOT DISTINCT FROM r.source
 LEFT JOIN fit f ON p.source IS NOT DISTINCT FROM f.source
 """

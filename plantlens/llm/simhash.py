@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import batch, pinned, ship_package
+from plantlens.llm.common import batch, pinned, ship_package, row_columns, whole_row
 from plantlens.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -266,13 +266,15 @@ def op3(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component stays: the row with the smallest id (of
-    several rows with that id, the smallest in the order of the other columns).
+    several rows with that id, the smallest in the order of the columns, maps as
+    their sorted entries).
     Rows are told apart by id and text, so rows of one id can stay for several
     components.  Rows without an id stay."""
     found = near_duplicates(docs)
     keep = found.filter("doc_id = component_id").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key"), F.col("component").alias("_component")).distinct()
-    others = [c for c in docs.columns if c != "doc_id"]
-    same = (docs.doc_id.cast("long") == F.col("_keep_id")) & (F.xxhash64(docs.text.cast("string")) == F.col("_keep_key"))
-    kept = docs.join(keep, same).groupBy("doc_id", "_component").agg(F.min(F.struct(*others)).alias("_row"))
-    return kept.select("doc_id", "_row.*").select(docs.columns).union(docs.filter("doc_id is null"))
+        F.col("doc_id").alias("keep_id"), F.col("text_key").alias("keep_key"), "component").distinct()
+    rows = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(docs["text"].cast("string")).alias("key"),
+                       whole_row(docs).alias("row"))
+    kept = rows.join(keep, (rows["id"] == keep["keep_id"]) & (rows["key"] == keep["keep_key"])).groupBy("keep_id", "component").agg(
+        F.min("row").alias("row"))
+    return kept.select(row_columns(docs)).union(docs.filter(docs["doc_id"].isNull()))

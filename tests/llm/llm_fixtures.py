@@ -6,7 +6,9 @@ import random
 
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: names that operators use inside; they must not clash
-EXTRA = "key string, fp long, part int, place long, draws long, size long, row string, name string, a long, component long"
+EXTRA = ("key string, fp long, part int, place long, draws long, size long, row string, name string, a long, component long, "
+         "_keep_id long, _component long, _gone string, _bad_id long, _bad_key long, id string, text_key string, keep_id int, block long, "
+         "digest string, hash long, m map<string,int>, nested struct<x:array<map<int,string>>,y:int>")
 
 SYLLABLES = {
     "en": ["the", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it"],
@@ -60,6 +62,15 @@ def with_extra(df):
     return df
 
 
+def with_filled_maps(df):
+    """The same with maps in the map columns."""
+    from pyspark.sql import functions as F
+
+    some = F.create_map(F.lit("b"), F.lit(2), F.lit("a"), F.lit(1))
+    return with_extra(df).withColumn("m", some).withColumn(
+        "nested", F.struct(F.array(F.create_map(F.lit(1), F.lit("x"))).alias("x"), F.lit(3).alias("y")))
+
+
 def plain(df):
     """Sorted rows, for comparison."""
     return sorted((tuple(r) for r in df.collect()), key=repr)

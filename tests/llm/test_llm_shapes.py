@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pytest
-from llm_fixtures import DOC_SCHEMA, documents, plain, with_extra
+from llm_fixtures import DOC_SCHEMA, documents, plain, with_extra, with_filled_maps
 
-from plantlens.llm import (decontamination, digest, langid, line_dedup, mixing, simhash, substring_dedup, token_store,
-                           toxicity, warc)
+from plantlens.llm import (alignment, decontamination, digest, exact_dedup, langid, line_dedup, mixing, simhash, substring_dedup,
+                           token_store, toxicity, warc)
+from plantlens.llm.common import row_columns, whole_row
 
 
 def labels(spark):
@@ -34,6 +35,8 @@ OPERATORS = {
     "toxicity": lambda s, d: toxicity.scores(d, labels(s), 10),
     "mild rows": lambda s, d: toxicity.drop_toxic(d, labels(s), 10),
     "tokens": lambda s, d: token_store.tokenize(d),
+    "alignment": lambda s, d: alignment.aligned(d),
+    "exact": lambda s, d: exact_dedup.exact_groups(d),
 }
 
 
@@ -49,6 +52,26 @@ def test_empty_table_and_clashing_columns(spark, name):
     assert plain(wide) == plain(expected)
 
 
+def test_rows_are_taken_apart_and_put_together(spark):
+    """Maps, also inside structs and arrays, null or not, come back as they were."""
+    from pyspark.sql import functions as F
+
+    wide = with_filled_maps(documents(spark)).withColumn("m", F.when(F.col("doc_id") % 2 == 0, F.col("m"))).withColumn(
+        "nested", F.when(F.col("doc_id") % 3 == 0, F.col("nested")))
+    back = wide.select(whole_row(wide).alias("row")).select(row_columns(wide))
+    assert back.dtypes == wide.dtypes
+    assert plain(back) == plain(wide)
+
+
+@pytest.mark.parametrize("name", ["mixed rows", "clean rows", "kept rows", "deduped lines", "mild rows"])
+def test_stages_keep_all_columns(spark, name):
+    wide = with_filled_maps(documents(spark))
+    out = OPERATORS[name](spark, wide)
+    assert out.columns == wide.columns
+    got = out.select("m", "nested").filter("m['a'] = 1 and m['b'] = 2 and nested.y = 3 and nested.x[0][1] = 'x'")
+    assert got.count() == out.count() > 0
+
+
 def test_pages_empty_and_clashing(spark):
     schema = "page_id long, url string, html string"
     pages = spark.createDataFrame([(1, "u", "x" * 200), (2, None, "x" * 200), (3, "v", None), (None, "w", "y")], schema)
