@@ -189,7 +189,9 @@ def test_lines_of_one_frequent_shingle_are_not_paired(spark, monkeypatch):
     own = ["".join(rng.choices("bcdfghjk", k=4)) for _ in range(300)]
     every = sorted({f"{w} the {rng.choice(own)}" for w in own})
     every += [x + "q" for x in every[:20]]                # 10 of 11 shingles: near
-    texts = spark.createDataFrame([(i, x, [7]) for i, x in enumerate(every)], "a long, line string, keys array<long>")
+    sketches = line_dedup.signature(every)[1]
+    texts = spark.createDataFrame([(i, x, [7], sketches[i].tobytes()) for i, x in enumerate(every)],
+                                  "a long, line string, keys array<long>, sketch binary")
     made = []
     real = line_dedup.verified
 
@@ -210,7 +212,7 @@ def test_short_lines_with_a_common_shingle_share_no_band():
     """Bands take one value of each mixing, so a common shingle is no key."""
     rng = random.Random(5)
     lines = sorted({"".join(rng.choices("abcdefgh", k=4)) + " the " + "".join(rng.choices("abcdefgh", k=4)) for _ in range(400)})
-    keys = line_dedup.signature(lines)
+    keys, sketches = line_dedup.signature(lines)
     shared = Counter(k for row in keys.tolist() for k in row)
     assert max(shared.values()) <= 8 and sum(n > 1 for n in shared.values()) < len(lines) * line_dedup.BANDS / 20
 
@@ -234,9 +236,11 @@ def test_band_recall_at_the_limit():
                 lines += [x, y]
                 total += 1
                 break
-    keys = line_dedup.signature(lines)
+    keys, sketches = line_dedup.signature(lines)
     found = sum(bool(set(a) & set(b)) for a, b in zip(keys[::2].tolist(), keys[1::2].tolist()))
     assert found >= 0.985 * total, found / total
+    agree = (sketches[::2] == sketches[1::2]).mean(1)
+    assert (agree >= line_dedup.SKETCH_SHARE).mean() >= 0.998
 
 
 @pytest.mark.parametrize("block,ranges", [(12 << 20, 4_000_000), (2000, 50)])
