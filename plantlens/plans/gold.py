@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plantlens.functions import columns as C
 from plantlens.operators.joins import asof_price_join, salted_join, spec_join, stated_small
 from plantlens.operators.windows import running_sums, trailing_sums
+from plantlens.plans.silver import copy_key, numbered_copies
 
 # Fixed values that must equal the reference for right results.
 # Regional cost parameters: (region, k_region USD per point-ton, downgrade loss USD per ton)
@@ -87,6 +88,34 @@ def quality_weekly(hourly: DataFrame) -> DataFrame:
     )
 
 
+def quality_weekly_of_readings(events: DataFrame, specs: DataFrame, tolerance: float = C.FLAG_TOLERANCE_PP,
+                               small: bool = False) -> DataFrame:
+    """G12 straight from the readings: the rows of ``quality_weekly`` over the
+    fanned-out table, without fanning out.
+
+    Each reading meets its product's lines as one array of limits.  It counts once a line (once, where no
+    line makes the product): means are weighted by that number, and breach
+    hours are the number of limits it breaks."""
+    lines = specs.groupBy("plant_id", "plant_name", "product_name").agg(
+        F.collect_list(F.struct(F.col("min_dry_matter_pct").alias("lo"), F.col("max_dry_matter_pct").alias("hi"))).alias("lines"))
+    j = events.join(stated_small(lines, small), ["plant_id", "plant_name", "product_name"], "left")
+    dm = F.col("dry_solids_pct")
+    under = F.size(F.filter("lines", lambda x: F.coalesce(dm < x["lo"] - F.lit(tolerance), F.lit(False))))
+    over = F.size(F.filter("lines", lambda x: F.coalesce(dm > x["hi"] + F.lit(tolerance), F.lit(False))))
+    j = j.select("week_start", "plant_name", dm, "total_defect_points", *[f"fry_color_{i}_share" for i in range(5)],
+                 F.coalesce(F.nullif(F.size("lines"), F.lit(-1)), F.lit(1)).alias("n"),
+                 F.greatest(under, F.lit(0)).alias("under"), F.greatest(over, F.lit(0)).alias("over"))
+
+    def mean(name: str) -> Column:
+        c = F.col(name)
+        return F.sum(c * F.col("n")) / F.sum(F.when(c.isNotNull(), F.col("n")))
+
+    return j.groupBy("week_start", "plant_name").agg(
+        mean("dry_solids_pct").alias("avg_dry_solids_pct"), mean("total_defect_points").alias("avg_defect_points"),
+        C.dominant_class([mean(f"fry_color_{i}_share") for i in range(5)]).alias("fry_color_class_mode"),
+        F.sum("under").alias("hours_under_quality"), F.sum("over").alias("hours_over_quality"))
+
+
 def oee_kpis(oee: DataFrame) -> DataFrame:
     """G13 (A4, P10): daily OEE aggregates per line with the kg/min proxy."""
     agg = oee.groupBy("date", "plant_name", "plant_line").agg(
@@ -309,7 +338,11 @@ def kpi_downgrade_30d(exposure: DataFrame, anchor: Column | None = None) -> Data
 
 def scenario_recommendations(equipment: DataFrame) -> DataFrame:
     """One suggestion per machine: cutters -> upgrade, others -> reallocation;
-    savings = lost t/h x 10,000.  Ids hash the machine key (H5)."""
+    savings = lost t/h x 10,000.  Ids hash the machine key (H5), with a number
+    from the second of equal machines on."""
+    columns = ["plant_name", "plant_line", "equipment_id", "commission_date", "equipment_rated_throughput_tph", "equipment_type",
+               "equipment_description", "effective_rated_throughput_tph"]
+    equipment = numbered_copies(equipment.select(columns))
     lost = F.greatest(F.coalesce(F.col("equipment_rated_throughput_tph")
                                  - F.col("effective_rated_throughput_tph"), F.lit(0.0)), F.lit(0.0))
     key = F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in (
@@ -317,7 +350,7 @@ def scenario_recommendations(equipment: DataFrame) -> DataFrame:
         F.expr("cast(cast(round(equipment_rated_throughput_tph * 1000) as bigint) as string)"),
         F.col("equipment_type"), F.col("equipment_description"))])
     return equipment.select(
-        F.concat(F.lit("REC-"), F.md5(key)).alias("recommendation_id"),
+        F.concat(F.lit("REC-"), F.md5(copy_key(key))).alias("recommendation_id"),
         F.when(F.col("equipment_type") == UPGRADE_TYPE, F.lit("equipment_upgrade"))
         .otherwise(F.lit("load_reallocation")).alias("type"),
         "plant_name", "plant_line",

@@ -97,7 +97,9 @@ class Layers:
                           lambda: gold.reading_quality(self.events(), self.specs(), small=self.small_dimensions))
 
     def weekly(self):
-        return self._memo("gold_quality_weekly", lambda: gold.quality_weekly(self.hourly()))
+        """From the written hourly table where there is one, else from the readings."""
+        return self._memo("gold_quality_weekly", lambda: gold.quality_weekly(self.hourly()) if "gold_line_hourly_quality" in self._folders
+                          else gold.quality_weekly_of_readings(self.events(), self.specs(), small=self.small_dimensions))
 
     def oee_daily(self):
         return self._memo("gold_oee_kpis", lambda: gold.oee_kpis(self.oee()))

@@ -375,34 +375,38 @@ def x5_joined(spark, sf_dir):
 
 X6_SQL = """
 WITH h AS (
-  SELECT conv_id, turn, role, string_split(text, chr(10)) AS lines, text FROM conversations),
-calls AS (
-  SELECT conv_id, turn, CAST(k - 1 AS INTEGER) AS item_seq, 'function_call' AS type, CAST(NULL AS VARCHAR) AS role,
-    CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) || ':' || CAST(k AS VARCHAR) AS item_id,
-    CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) || ':' || CAST(k AS VARCHAR) AS call_id,
-    'tool' AS name, line AS arguments, CAST(NULL AS VARCHAR) AS content
-  FROM (SELECT conv_id, turn, unnest(lines[2:]) AS line, generate_subscripts(lines[2:], 1) AS k
-        FROM h WHERE role = 'assistant' AND len(lines) > 1)),
-msgs AS (
-  SELECT conv_id, turn, CAST(len(lines) - 1 AS INTEGER) AS item_seq, 'message' AS type, 'assistant' AS role,
-    'msg-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS item_id, CAST(NULL AS VARCHAR) AS call_id,
-    CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS arguments, lines[1] AS content
-  FROM h WHERE role = 'assistant' AND (len(lines) = 1 OR COALESCE(lines[1], '') <> '')),
-users AS (
-  SELECT conv_id, turn, 0 AS item_seq, 'message', 'user', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
-    CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), text FROM h WHERE role = 'user'),
-tools AS (
-  SELECT conv_id, turn, 0 AS item_seq, 'function_call_output', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
-    'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), text
+  SELECT conv_id, turn, role, string_split(text, chr(10)) AS lines, text, conv_id || ':' || turn AS place,
+    CASE WHEN (conv_id + turn) % 3 = 0 THEN 'm' || conv_id || '.' || turn ELSE 'msg-' || conv_id || '-' || turn END AS message_id
+  FROM conversations),
+items AS (
+  SELECT conv_id, turn, (k - 1)::INTEGER AS item_seq, {'type': 'function_call', 'role': NULL::VARCHAR, 'id': place || ':' || k,
+      'call_id': place || ':' || k, 'name': 'tool', 'arguments': line, 'content': NULL::VARCHAR, 'output': NULL::VARCHAR} AS i,
+    json_object('type', 'function_call', 'id', place || ':' || k, 'call_id', place || ':' || k, 'name', 'tool', 'arguments', line) AS item
+  FROM (SELECT *, unnest(lines[2:]) AS line, generate_subscripts(lines[2:], 1) AS k FROM h WHERE role = 'assistant')
+  UNION ALL
+  SELECT conv_id, turn, (len(lines) - 1)::INTEGER, {'type': 'message', 'role': 'assistant', 'id': message_id, 'call_id': NULL, 'name': NULL,
+      'arguments': NULL, 'content': NULL, 'output': NULL},
+    json_object('type', 'message', 'id', message_id, 'content', json_array(json_object('type', 'output_text', 'text', lines[1])),
+                'role', 'assistant')
+  FROM h WHERE role = 'assistant' AND (len(lines) = 1 OR lines[1] <> '')
+  UNION ALL
+  SELECT conv_id, turn, 0, {'type': NULL, 'role': 'user', 'id': NULL, 'call_id': NULL, 'name': NULL, 'arguments': NULL,
+      'content': text, 'output': NULL}, json_object('role', 'user', 'content', text)
+  FROM h WHERE role = 'user'
+  UNION ALL
+  SELECT conv_id, turn, 0, {'type': 'function_call_output', 'role': NULL, 'id': NULL, 'call_id': 'c' || conv_id || '-' || turn, 'name': NULL,
+      'arguments': NULL, 'content': NULL, 'output': text},
+    json_object('type', 'function_call_output', 'call_id', 'c' || conv_id || '-' || turn, 'output', text)
   FROM h WHERE role = 'system')
-SELECT * FROM calls UNION ALL SELECT * FROM msgs UNION ALL SELECT * FROM users UNION ALL SELECT * FROM tools
+SELECT conv_id, turn, item_seq, unnest(i), item::VARCHAR AS item FROM items
 """
 
 
 @register("x6_history_items", oracle=X6_SQL)
 def x6(spark, sf_dir):
     """Chat history rows turned into request items (calls, then text)."""
-    return transcripts.history_items(transcripts.history_from_conversations(_conversations(spark, sf_dir)))
+    items = transcripts.history_items(transcripts.history_from_conversations(_conversations(spark, sf_dir)))
+    return items.withColumn("item", transcripts.item_json()).drop("parts")
 
 
 X7_SQL = """

@@ -269,12 +269,12 @@ def j4(spark, sf_dir):
 
 
 J6_SQL = f"""
-SELECT c.date, c.region, c.spend_usd, c.over_quality_waste_usd, r.revenue_usd
-FROM (SELECT date, {REGION_SQL} AS region, SUM(raw_potato_spend_usd) AS spend_usd,
-             SUM(over_quality_waste_usd) AS over_quality_waste_usd
-      FROM gold_cost_exposure GROUP BY date, {REGION_SQL}) c
-LEFT JOIN (SELECT date, region, SUM(net_sales_usd) AS revenue_usd FROM silver_revenue_by_line GROUP BY date, region) r
-  ON c.date = r.date AND c.region = r.region"""
+SELECT date, region, sum(spend) AS spend_usd, sum(waste) AS over_quality_waste_usd, sum(sales) AS revenue_usd
+FROM (SELECT date, {REGION_SQL} AS region, raw_potato_spend_usd AS spend, over_quality_waste_usd AS waste, NULL AS sales, TRUE AS cost
+      FROM gold_cost_exposure
+      UNION ALL
+      SELECT date, region, NULL, NULL, net_sales_usd, FALSE FROM silver_revenue_by_line WHERE region IS NOT NULL)
+GROUP BY date, region HAVING bool_or(cost)"""
 
 
 @register("j6_cost_revenue", oracle=J6_SQL,
@@ -372,10 +372,13 @@ def a13(spark, sf_dir):
 
 
 @register("w1_lead_default", oracle="""
-SELECT region, variety, dm_band, effective_date, supplier_id, contract_id, price_usd_per_ton,
-  LEAD(effective_date, 1, DATE '2025-12-31') OVER (PARTITION BY region, variety, dm_band
-       ORDER BY effective_date, supplier_id, contract_id, price_usd_per_ton) AS next_effective_date
-FROM silver_variety_costs""", digits={"price_usd_per_ton": MONEY})
+SELECT price.*, ifnull(min(later.effective_date), DATE '2025-12-31') AS next_effective_date
+FROM (SELECT region, variety, dm_band, effective_date, supplier_id, contract_id, price_usd_per_ton FROM silver_variety_costs) price
+LEFT JOIN silver_variety_costs later
+  ON (price.region, price.variety, price.dm_band) = (later.region, later.variety, later.dm_band)
+ AND (later.effective_date, later.supplier_id, later.contract_id, later.price_usd_per_ton)
+   > (price.effective_date, price.supplier_id, price.contract_id, price.price_usd_per_ton)
+GROUP BY ALL""", digits={"price_usd_per_ton": MONEY})
 def w1(spark, sf_dir):
     """LEAD with a default date and a total-order tie-break (H1)."""
     return price_intervals(_P(spark, sf_dir).costs(), gold.PRICE_OPEN_END)
@@ -411,10 +414,10 @@ def w2(spark, sf_dir):
 
 
 @register("w4_running_margin", oracle=f"""
-SELECT date, region, SUM(revenue_usd) OVER w AS cumulative_revenue_usd,
-       SUM(revenue_usd) OVER w - SUM(spend_usd) OVER w AS cumulative_gross_margin_usd
-FROM ({J6_SQL}) WINDOW w AS (PARTITION BY region ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-          digits={"cumulative_revenue_usd": MONEY, "cumulative_gross_margin_usd": MONEY})
+SELECT here.date, here.region, sum(up_to.revenue_usd) AS cumulative_revenue_usd,
+  sum(up_to.revenue_usd) - sum(up_to.spend_usd) AS cumulative_gross_margin_usd
+FROM ({J6_SQL}) here JOIN ({J6_SQL}) up_to ON up_to.region IS NOT DISTINCT FROM here.region AND up_to.date <= here.date
+GROUP BY here.date, here.region""", digits={"cumulative_revenue_usd": MONEY, "cumulative_gross_margin_usd": MONEY})
 def w4(spark, sf_dir):
     """Running revenue minus running spend (NULL until the first revenue day)."""
     j = j6(spark, sf_dir)

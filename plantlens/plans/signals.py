@@ -65,13 +65,14 @@ def story_signals(events: DataFrame, loads: DataFrame, oee: DataFrame,
                   w: EventWindow = EventWindow()) -> DataFrame:
     """The four QA signals as rows (signal, mean_a, mean_b, n).
 
-    One aggregate pass per source table with conditional aggregates; each
-    one-row result is exploded into its signal rows and the three are
+    Each source table is filtered to the rows that any of its signals counts (the
+    window reaches the scan) and aggregated once with conditional aggregates;
+    each one-row result is exploded into its signal rows and the three are
     unioned (no join of single rows, no table read twice)."""
     ts = F.col("datetime")
     over = in_window(ts, w) & (F.col("plant_name") == w.over_plant) & (F.col("product_name") == w.over_product)
     under = in_window(ts, w) & (F.col("plant_name") == w.under_plant) & (F.col("product_name") == w.under_product)
-    ev = events.agg(
+    ev = events.filter(in_window(ts, w)).filter(over | under).agg(
         F.avg(F.when(over, F.col("dry_solids_pct"))).alias("o_a"),
         F.count_if(over).alias("o_n"),
         F.avg(F.when(under, F.col("dry_solids_pct"))).alias("u_a"),
@@ -81,10 +82,10 @@ def story_signals(events: DataFrame, loads: DataFrame, oee: DataFrame,
     p = parse_load_id(loads)
     sup = ((F.col("plant_name") == w.supplier_plant) & (F.col("id_supplier") == w.supplier)
            & (F.col("id_date") >= F.lit(w.tranche_start).cast("date")))
-    ld = p.agg(F.avg(F.when(sup, F.col("dry_matter_pct"))).alias("s_a"), F.count_if(sup).alias("s_n"))
+    ld = p.filter(sup).agg(F.avg(F.when(sup, F.col("dry_matter_pct"))).alias("s_a"), F.count_if(sup).alias("s_n"))
     down = (in_window(ts, w) & (F.col("plant_name") == w.oee_plant) & (F.col("plant_line") == w.oee_line)
             & (F.col("downtime_cat_1") != "run"))
-    oe = oee.agg(F.count_if(down).alias("d_n"))
+    oe = oee.filter(in_window(ts, w)).filter(down).agg(F.count_if(down).alias("d_n"))
     none = F.lit(None).cast("double")
 
     def row(signal, a, b, n):

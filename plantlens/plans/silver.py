@@ -166,20 +166,37 @@ def line_equipment(raw: DataFrame, as_of: str | _dt.date) -> DataFrame:
     )
 
 
-def downtime_events(raw: DataFrame) -> DataFrame:
+def numbered_copies(df: DataFrame) -> DataFrame:
+    """``df`` with ``copy``: 1, 2, ... among rows that are equal in all columns.
+    Equal rows are counted by a partial aggregate and unfolded again, so a row
+    that a third of the table repeats is one row a task in the shuffle."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
+
+
+def copy_key(key: Column) -> Column:
+    """A row's key with the number of its copy from the second on."""
+    return F.concat(key, F.when(F.col("copy") > 1, F.concat(F.lit("|"), F.col("copy").cast("string"))).otherwise(F.lit("")))
+
+
+def downtime_events(raw: DataFrame, distinct_rows: bool = False) -> DataFrame:
     """Display table of downtime events.
 
-    The id is a hash of the row's natural key rather than a layout-dependent
-    monotonically increasing id (H5), so a re-run or a retried task gives the
-    same id.  Identical raw rows share an id.
+    The id is a hash of the row's natural key, missing parts as '-', rather than
+    a layout-dependent monotonically increasing id (H5), so a re-run or a retried
+    task gives the same id.  Equal raw rows are numbered, so ids are unique; a
+    caller who states that there are none (``distinct_rows``) saves that shuffle.
     """
-    key = F.concat_ws("|", F.col("plant_name"), F.col("plant_line"),
-                      F.date_format("datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-                      F.col("duration").cast("string"), F.col("downtime_duration").cast("string"),
+    used = raw.select("plant_name", "plant_line", "datetime", "duration", "downtime_duration", "downtime_cat_1", "downtime_cat_2",
+                      "product_name", "end_time")
+    rows = used.withColumn("copy", F.lit(1).cast("long")) if distinct_rows else numbered_copies(used)
+    key = F.concat_ws("|", C.unknown("plant_name", "-"), C.unknown("plant_line", "-"),
+                      F.coalesce(F.date_format("datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("-")),
+                      F.coalesce(F.col("duration").cast("string"), F.lit("-")), F.coalesce(F.col("downtime_duration").cast("string"), F.lit("-")),
                       C.unknown("downtime_cat_1", "-"), C.unknown("downtime_cat_2", "-"), C.unknown("product_name", "-"),
                       C.unknown("end_time", "-"))
-    return raw.select(
-        F.concat(F.lit("EVT-"), F.md5(key)).alias("event_id"),
+    return rows.select(
+        F.concat(F.lit("EVT-"), F.md5(copy_key(key))).alias("event_id"),
         "plant_name", "plant_line",
         F.col("datetime").cast("timestamp").alias("event_time"),
         (F.col("duration").cast("double") / 60.0).alias("duration_min"),

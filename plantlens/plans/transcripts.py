@@ -208,41 +208,55 @@ def flatten_items_joined(items: DataFrame, request_key: str = "conv_id") -> Data
 
 # ---- X6: chat history -> request items ------------------------------------
 
+PARTS = "array<struct<type:string,text:string>>"
+ITEM_FIELDS = ["type", "role", "id", "call_id", "name", "arguments", "content", "parts", "output"]
+
+
+def _item(**given: Column) -> Column:
+    """One request item; fields that are not given are absent (null)."""
+    kinds = {"parts": PARTS}
+    return F.struct(*[given.get(c, F.lit(None)).cast(kinds.get(c, "string")).alias(c) for c in ITEM_FIELDS])
+
+
 def history_items(history: DataFrame) -> DataFrame:
     """Chat rows to request items.  An assistant row with tool calls gives
     one function_call item per call, then one message item if its text is
-    non-empty; an assistant row without calls always gives a message item;
-    tool rows give function_call_output items.  Ids derive from
-    (conv_id, turn) instead of random UUIDs, so re-runs agree.
+    non-empty; an assistant row without calls always gives a message item; a
+    message's text is one ``output_text`` part.  Tool rows give
+    function_call_output items with ``output``; user items have a role and plain
+    ``content`` and no type.  A message keeps the id it has; one without gets an
+    id from (conv_id, turn) instead of a random UUID, so re-runs agree.
 
     ``history``: conv_id, turn, role, content, tool_calls
-    array<struct<id,name,arguments>>, tool_call_id.
+    array<struct<id,name,arguments>>, tool_call_id, message_id.
     """
-    msg_id = F.concat(F.lit("msg-"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
-    item_t = "struct<type:string,role:string,item_id:string,call_id:string,name:string,arguments:string,content:string>"
-    none = F.lit(None).cast("string")
+    made_id = F.concat(F.lit("msg-"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
     calls = F.transform(F.coalesce(F.col("tool_calls"), F.array().cast("array<struct<id:string,name:string,arguments:string>>")),
-                        lambda c: F.struct(F.lit("function_call").alias("type"), none.alias("role"), c["id"].alias("item_id"),
-                                           c["id"].alias("call_id"), c["name"].alias("name"),
-                                           c["arguments"].alias("arguments"), none.alias("content")))
-    msg = F.array(F.struct(F.lit("message").alias("type"), F.lit("assistant").alias("role"), msg_id.alias("item_id"),
-                           none.alias("call_id"), none.alias("name"), none.alias("arguments"),
-                           F.col("content").alias("content")))
+                        lambda c: _item(type=F.lit("function_call"), id=c["id"], call_id=c["id"], name=c["name"], arguments=c["arguments"]))
+    part = F.array(F.struct(F.lit("output_text").alias("type"), F.col("content").alias("text")))
+    msg = F.array(_item(type=F.lit("message"), role=F.lit("assistant"), id=F.coalesce(F.col("message_id"), made_id), parts=part))
     has_calls = F.size(F.coalesce(F.col("tool_calls"), F.array())) > 0
     assistant = (F.when(has_calls & (F.coalesce(F.col("content"), F.lit("")) != ""), F.concat(calls, msg))
                  .when(has_calls, calls).otherwise(msg))
-    user = F.array(F.struct(F.lit("message").alias("type"), F.lit("user").alias("role"), none.alias("item_id"),
-                            none.alias("call_id"), none.alias("name"), none.alias("arguments"),
-                            F.col("content").alias("content")))
-    tool = F.array(F.struct(F.lit("function_call_output").alias("type"), none.alias("role"), none.alias("item_id"),
-                            F.col("tool_call_id").alias("call_id"), none.alias("name"), none.alias("arguments"),
-                            F.col("content").alias("content")))
-    items = (F.when(F.col("role") == "user", user).when(F.col("role") == "assistant", assistant)
-             .when(F.col("role") == "tool", tool).otherwise(F.array().cast(f"array<{item_t}>")))
+    user = F.array(_item(role=F.lit("user"), content=F.col("content")))
+    tool = F.array(_item(type=F.lit("function_call_output"), call_id=F.col("tool_call_id"), output=F.col("content")))
+    none = F.filter(user, lambda x: F.lit(False))
+    items = F.when(F.col("role") == "user", user).when(F.col("role") == "assistant", assistant).when(F.col("role") == "tool", tool).otherwise(none)
     return (history.select("conv_id", "turn", F.posexplode(items).alias("item_seq", "item"))
             .select("conv_id", "turn", "item_seq", "item.*"))
 
 
+def item_json() -> Column:
+    """The request item as JSON text, its fields in the order they are sent."""
+    def fields(*names):
+        return F.to_json(F.struct(*[F.col(n).alias("content" if n == "parts" else n) for n in names]))
+
+    return (F.when(F.col("type") == "function_call", fields("type", "id", "call_id", "name", "arguments"))
+            .when(F.col("type") == "message", fields("type", "id", "parts", "role"))
+            .when(F.col("type") == "function_call_output", fields("type", "call_id", "output"))
+            .otherwise(fields("role", "content")))
+
+
 def history_from_conversations(conversations: DataFrame) -> DataFrame:
     """Chat history rows from logged turns: the first line of an assistant
     turn is its text, further lines are tool calls; system turns are tool
@@ -259,6 +273,9 @@ def history_from_conversations(conversations: DataFrame) -> DataFrame:
         F.when(F.col("role") == "system",
                F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")))
         .alias("tool_call_id"),
+        # some messages were logged with an id
+        F.when((F.col("conv_id") + F.col("turn")) % 3 == 0, F.concat(F.lit("m"), F.col("conv_id").cast("string"), F.lit("."),
+                                                                    F.col("turn").cast("string"))).alias("message_id"),
     )
 
 

@@ -13,6 +13,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # timestamps of files without a zone are instants in the session's zone (UTC),
+    # as every job casts them; read so, their filters reach the scan
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
 }
 
 
@@ -69,5 +72,4 @@ def checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/plantlens-checkpoi
         return d
     if not is_local(spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(fallback)
     return fallback

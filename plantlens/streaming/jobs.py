@@ -135,7 +135,8 @@ def open_episode_stream(hourly: DataFrame, gap_minutes: int = 120, watermark: st
         out = pd.DataFrame(rows, columns=[*names, "episode_start", "episode_end", "n_readings", "status", "version"])
         for c in ("episode_start", "episode_end"):
             out[c] = pd.to_datetime(out[c], unit="us")
-        yield out
+        if rows:
+            yield out
 
     return flagged.groupBy(*names).applyInPandasWithState(
         advance, f"{fields}, {OPEN_EPISODE}", OPEN_STATE, "update", GroupStateTimeout.EventTimeTimeout)

@@ -47,24 +47,34 @@ def test_flatten_joined_and_empty_request(spark):
 
 def test_history_items(spark):
     calls = [("c:1", "tool", "a1"), ("c:2", "tool", "a2")]
-    rows = [(1, 0, "user", "hi", None, None),
-            (1, 1, "assistant", "text only", None, None),
-            (1, 2, "assistant", "and calls", calls, None),
-            (1, 3, "assistant", "", calls[:1], None),
-            (1, 4, "tool", "result", None, "c:1")]
+    rows = [(1, 0, "user", "hi", None, None, None),
+            (1, 1, "assistant", "text only", None, None, None),
+            (1, 2, "assistant", "and calls", calls, None, "kept"),
+            (1, 3, "assistant", "", calls[:1], None, None),
+            (1, 4, "tool", "result", None, "c:1", None),
+            (1, 5, "other", "x", None, None, None)]
     h = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string, "
                                     "tool_calls array<struct<id:string,name:string,arguments:string>>, "
-                                    "tool_call_id string")
-    out = X.history_items(h).orderBy("turn", "item_seq").collect()
-    got = [(r.turn, r.type, r.call_id, r.content) for r in out]
+                                    "tool_call_id string, message_id string")
+    out = X.history_items(h).withColumn("item", X.item_json()).orderBy("turn", "item_seq").collect()
+    got = [(r.turn, r.type, r.call_id, r.content, [p.text for p in r.parts or ()], r.output) for r in out]
     assert got == [
-        (0, "message", None, "hi"),
-        (1, "message", None, "text only"),
-        (2, "function_call", "c:1", None), (2, "function_call", "c:2", None), (2, "message", None, "and calls"),
-        (3, "function_call", "c:1", None),                       # empty text: no message item
-        (4, "function_call_output", "c:1", "result"),
+        (0, None, None, "hi", [], None),                          # a user item has no type
+        (1, "message", None, None, ["text only"], None),
+        (2, "function_call", "c:1", None, [], None), (2, "function_call", "c:2", None, [], None),
+        (2, "message", None, None, ["and calls"], None),
+        (3, "function_call", "c:1", None, [], None),              # empty text: no message item
+        (4, "function_call_output", "c:1", None, [], "result"),
     ]
-    assert out[1].item_id == "msg-1-1"                            # ids from (conv, turn), repeatable
+    assert out[1].id == "msg-1-1" and out[4].id == "kept"         # ids from (conv, turn), repeatable; a logged one stays
+    assert [json.loads(r.item) for r in out] == [
+        {"role": "user", "content": "hi"},
+        {"type": "message", "id": "msg-1-1", "content": [{"type": "output_text", "text": "text only"}], "role": "assistant"},
+        {"type": "function_call", "id": "c:1", "call_id": "c:1", "name": "tool", "arguments": "a1"},
+        {"type": "function_call", "id": "c:2", "call_id": "c:2", "name": "tool", "arguments": "a2"},
+        {"type": "message", "id": "kept", "content": [{"type": "output_text", "text": "and calls"}], "role": "assistant"},
+        {"type": "function_call", "id": "c:1", "call_id": "c:1", "name": "tool", "arguments": "a1"},
+        {"type": "function_call_output", "call_id": "c:1", "output": "result"}]
 
 
 def test_text_parts_only(spark):
