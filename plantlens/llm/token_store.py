@@ -58,7 +58,7 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 20
 CHUNK = 6 << 20              # bytes of text looked up at once
-REMEMBERED = 1_500_000       # pieces a worker keeps; only saves time
+REMEMBERED = 1_000_000       # pieces a worker keeps; only saves time
 
 MAGIC = b"RANKVB02"
 TABLE_MAGIC = b"RANKTB02"

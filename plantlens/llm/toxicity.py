@@ -259,6 +259,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     seen = np.zeros(BUCKETS, bool)
     seen[buckets] = True
     table[~seen] = 0                                     # an n-gram never seen says nothing
+    del begins, ends, doc, weight, label
     begins, ends, doc = every.passages(1)                # as documents are scored
     top = _highest(logits(begins, ends), doc, len(texts), bias[1] - bias[0])
     slope, offset = _curve(top, toxic)
