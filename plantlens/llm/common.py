@@ -96,9 +96,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self.paths = spark, shared_folder(spark, name), {}
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, dictionary: bool = True) -> DataFrame:
+        """``dictionary=False`` for long values that never repeat: no attempt is
+        made to code them."""
         path = f"{self.folder}/{len(self.paths)}"
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[path] = out
         return out

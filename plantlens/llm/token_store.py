@@ -284,7 +284,10 @@ def id_counts(tokens: DataFrame, vocabulary: str) -> np.ndarray:
         small, total = id_type(encoder(vocabulary)), np.zeros(0, np.int64)
         for b in batches:
             for s in range(0, b.num_rows, 512):
-                some = np.bincount(np.frombuffer(b"".join(b.column(0).slice(s, 512).to_pylist()), small), minlength=len(total))
+                column = b.column(0).slice(s, 512)       # its values lie side by side in one buffer
+                _, offsets, data = column.buffers()
+                ends = np.frombuffer(offsets, np.int32)[[column.offset, column.offset + len(column)]].tolist()
+                some = np.bincount(np.frombuffer(data, np.uint8)[ends[0]: ends[1]].view(small), minlength=len(total))
                 some[: len(total)] += total
                 total = some
         known = np.flatnonzero(total)
@@ -303,7 +306,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     scratch = Scratch(spark, "token-ids")
-    tokens = scratch.keep(encode_documents(docs, vocabulary))
+    tokens = scratch.keep(encode_documents(docs, vocabulary), dictionary=False)
     cuts = id_cuts(tokens, "doc_id", split_count(spark))
     rows = tokens.agg(F.count("*").alias("n"), F.count("doc_id").alias("named")).first()
     named = len(cuts) + 1
