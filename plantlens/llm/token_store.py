@@ -286,7 +286,8 @@ def id_counts(tokens: DataFrame, vocabulary: str) -> np.ndarray:
             for s in range(0, b.num_rows, 512):
                 column = b.column(0).slice(s, 512)       # its values lie side by side in one buffer
                 _, offsets, data = column.buffers()
-                ends = np.frombuffer(offsets, np.int32)[[column.offset, column.offset + len(column)]].tolist()
+                wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+                ends = np.frombuffer(offsets, wide)[[column.offset, column.offset + len(column)]].tolist()
                 some = np.bincount(np.frombuffer(data, np.uint8)[ends[0]: ends[1]].view(small), minlength=len(total))
                 some[: len(total)] += total
                 total = some
