@@ -300,8 +300,15 @@ def alignment_factors(hourly: DataFrame, oee: DataFrame, chunk: int = ALIGN_CHUN
     return readings.join(events, ALIGN_KEYS, "left")
 
 
-def expand_alignment(factors: DataFrame) -> DataFrame:
-    """The rows of ``hourly LEFT JOIN oee`` on day, plant and line."""
+def expand_alignment(factors: DataFrame, counted: list[str] | None = None) -> DataFrame:
+    """The rows of ``hourly LEFT JOIN oee`` on day, plant and line.
+
+    ``counted`` names the reading and event columns that the caller reads.  The same
+    rows then come with only these (and the keys), and equal ones are not repeated but
+    counted in ``copies`` (possibly in several parts): a side none of whose columns is
+    read is its number of rows, so nothing grows with readings times events."""
+    if counted is not None:
+        return _counted_alignment(factors, counted)
     rows = factors.select(*ALIGN_KEYS, F.explode("readings").alias("r"), "events").select(
         *ALIGN_KEYS, "r", F.explode_outer("events").alias("e"))
     copies = F.col("r.copies") * F.coalesce(F.col("e.copies"), F.lit(1))
@@ -309,6 +316,23 @@ def expand_alignment(factors: DataFrame) -> DataFrame:
     return rows.select(*ALIGN_KEYS, *[F.col(f"r.{c}").alias(c) for c in ALIGN_READING], *[F.col(f"e.{c}").alias(c) for c in ALIGN_EVENT])
 
 
+def _counted_alignment(factors: DataFrame, counted: list[str]) -> DataFrame:
+    unknown = [c for c in counted if c not in ALIGN_READING + ALIGN_EVENT]
+    if unknown:
+        raise ValueError(f"not columns of the alignment: {unknown}")
+
+    def rows_of(side: str) -> Column:
+        return F.aggregate(side, F.lit(0).cast("long"), lambda n, x: n + x["copies"])
+
+    reading, event = [c for c in ALIGN_READING if c in counted], [c for c in ALIGN_EVENT if c in counted]
+    r = F.explode("readings") if reading else F.struct(rows_of("readings").alias("copies"))
+    e = F.explode_outer("events") if event else F.struct(rows_of("events").alias("copies"))
+    rows = factors.select(*ALIGN_KEYS, r.alias("r"), "events").select(*ALIGN_KEYS, "r", e.alias("e"))
+    copies = F.col("r.copies") * F.coalesce(F.col("e.copies"), F.lit(1))
+    return rows.select(*ALIGN_KEYS, *[F.col(f"r.{c}").alias(c) for c in reading], *[F.col(f"e.{c}").alias(c) for c in event],
+                       copies.alias("copies"))
+
+
 def kpi_total_tons_30d(oee_daily: DataFrame, anchor: Column | None = None) -> DataFrame:
     """SUM(qty_packed_kg)/1000 over the trailing 30 days (31 inclusive).
     ``anchor`` is the latest day, where it is known without a scan."""

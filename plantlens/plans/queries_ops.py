@@ -227,12 +227,15 @@ FROM gold_line_hourly_quality q LEFT JOIN silver_oee_events o
 GROUP BY ALL""", digits={"duration_min": MONEY, "downtime_min": MONEY})
 def g17_events(spark, sf_dir):
     """G17/J2 at event grain: the expansion of the factorised alignment, as many
-    rows as the literal join, with each event's own durations."""
+    rows as the literal join, with each event's own durations.  Equal rows of the
+    columns read here are counted, not repeated."""
     p = _P(spark, sf_dir)
-    a = gold.expand_alignment(gold.alignment_factors(p.hourly(), p.oee()))
+    a = gold.expand_alignment(gold.alignment_factors(p.hourly(), p.oee()),
+                              counted=["downtime_cat_1", "duration_min", "downtime_min"])
     return a.groupBy("plant_name", "plant_line", "downtime_cat_1").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("duration_min").alias("duration_min"),
-        F.sum("downtime_min").alias("downtime_min"), F.count_distinct("duration_min").alias("n_durations"))
+        F.sum("copies").alias("n_rows"), F.sum(F.col("duration_min") * F.col("copies")).alias("duration_min"),
+        F.sum(F.col("downtime_min") * F.col("copies")).alias("downtime_min"),
+        F.count_distinct("duration_min").alias("n_durations"))
 
 
 J3_SQL = """

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantlens.operators.windows import trailing_sums
-from plantlens.plans import gold
+from plantlens.plans import gold, queries_ops
 from plantlens.sources import sinks, staging
 from plantlens.sources.readers import read_mixed_dir
 from plantlens.streaming import jobs
@@ -161,6 +161,39 @@ def test_factorised_alignment_expands_to_the_literal_join(spark, chunk):
     assert factors.agg(F.max(F.size("readings"))).first()[0] <= max(chunk * 4, 10)
 
 
+@pytest.mark.parametrize("columns", [["downtime_cat_1", "duration_min", "downtime_min"], ["product_name", "dry_solids_pct"],
+                                     ["hour", "downtime_cat_2"], []])
+@pytest.mark.parametrize("chunk", [1000, 4])
+def test_counted_alignment_is_the_literal_join_with_equal_rows_counted(spark, columns, chunk):
+    hourly, oee = _alignment_inputs(spark)
+    want = hourly.join(oee, gold.ALIGN_KEYS, "left").groupBy(*gold.ALIGN_KEYS, *columns).agg(F.count(F.lit(1)).alias("copies"))
+    got = gold.expand_alignment(gold.alignment_factors(hourly, oee, chunk), counted=columns)
+    assert plain(got.groupBy(*gold.ALIGN_KEYS, *columns).agg(F.sum("copies").alias("copies"))) == plain(want)
+    with pytest.raises(ValueError, match="nothing"):
+        gold.expand_alignment(got, counted=["nothing"])
+
+
+def test_counted_alignment_makes_no_row_for_each_pair(spark):
+    """A hot day and line: rows follow the events, whatever the number of readings."""
+    day = dt.date(2025, 1, 1)
+    hourly, oee = _alignment_inputs(spark)
+    readings = spark.range(3000).select(F.lit(day).alias("date"), F.lit("P").alias("plant_name"), F.lit("L1").alias("plant_line"),
+                                        (F.col("id") % 24).cast("int").alias("hour"), F.lit("A").alias("product_name"),
+                                        F.col("id").cast("double").alias("dry_solids_pct"), F.lit(True).alias("under_quality_flag"),
+                                        F.lit(False).alias("over_quality_flag"))
+    events = spark.range(700).select(F.lit(day).alias("date"), F.lit("P").alias("plant_name"), F.lit("L1").alias("plant_line"),
+                                     F.lit("run").alias("downtime_cat_1"), F.lit(None).cast("string").alias("downtime_cat_2"),
+                                     F.col("id").cast("double").alias("duration_min"), F.lit(1.0).alias("downtime_min"))
+    got = gold.expand_alignment(gold.alignment_factors(readings, events), counted=["duration_min"])
+    n = got.agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("pairs")).first()
+    assert n.pairs == 3000 * 700 and n.rows <= 700 * 10
+
+
+def test_event_alignment_query_repeats_no_row_by_its_copies(spark, small_dir):
+    plan = queries_ops.g17_events(spark, small_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in plan and "sequence(" not in plan
+
+
 def _hourly(spark, folder, name, stamps):
     rows = [("P", "L", "A", s, True, False) for s in stamps]
     spark.createDataFrame(rows, "plant_name string, plant_line string, product_name string, datetime timestamp, "
