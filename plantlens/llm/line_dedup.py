@@ -21,13 +21,14 @@ structure: they always stay and take no part.
 5. A key's lines are first compared with one of them only (its head, chosen by
    one of ``ORDERS`` hashes), and the verified links clustered.  A key whose lines
    are then in several clusters is opened: up to ``OPEN_LINES`` lines are compared
-   across clusters; lines of larger keys get the keys of an independent signature,
-   and step 5 runs again on those, up to ``LEVELS`` times.  So no key costs the
-   square of its lines, and a pair in a large key is found with probability 0.99
-   a level.
+   across clusters.  The lines of larger keys go to ``rest_links``, an exact join with
+   no cap: their shingles are ordered by rarity among them, and two near lines of n
+   and m shingles share one of their rarest ``n - ceil(0.8 n) + 1`` and ``m - ceil(0.8 m)
+   + 1``.  Lines of such a shingle are first compared with a head too, then with
+   all lines of other clusters and fitting length, in pieces of ``PIECE`` x ``PIECE``.
 6. A pair whose sketches (a byte of each of the 60 smallest hashes) agree in less
-   than ``SKETCH_SHARE`` is dropped (at similarity 0.8, 1 in 20,000 is); every other
-   one is verified on the two lines' shingle sets.  Clusters come from a
+   than ``SKETCH_SHARE`` is dropped (at similarity 0.8, 1 in 20,000 is; not in
+   ``rest_links``); every other one is verified on the two lines' shingle sets.  Clusters come from a
    distributed union-find.
 
 Steps 1 to 4 and the verification run numpy and Python sets inside tasks: as
@@ -47,6 +48,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +65,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 5, 12
 OPEN_LINES = 32                  # lines of a key that may be compared pair by pair
-LEVELS = 3                       # signatures a line may get
+PIECE = 256                      # lines of a rare shingle that meet as many others in a task
+TILE = 100                       # lines on each side of a tile of pairs
+SHORT = 2000                     # characters of a line whose shingles are kept for its next pairs
 ORDERS = 4                       # hashes that choose heads
 SKETCH_SHARE = 0.6               # of a sketch's bytes that two near lines agree in
 BLOCK_BYTES = 12 << 20
@@ -94,8 +98,8 @@ def _mixed(h: np.ndarray, seed: int) -> np.ndarray:
     return h
 
 
-def _minima(lines: list[str], level: int) -> np.ndarray:
-    """(lines, ROWS, BANDS) smallest hashes, empty parts filled."""
+def _shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, number of its line) of every shingle, repeats included."""
     text = "".join(x.ljust(SHINGLE, "\U0010ffff") + "\n" for x in lines)
     s = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     end = s == 10
@@ -107,10 +111,16 @@ def _minima(lines: list[str], level: int) -> np.ndarray:
         for k in range(SHINGLE):
             h = (h ^ s[k: n + k]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(32)
-    h, base = h[inside], line[inside] * BANDS
+    return h[inside], line[inside]
+
+
+def _minima(lines: list[str]) -> np.ndarray:
+    """(lines, ROWS, BANDS) smallest hashes, empty parts filled."""
+    h, line = _shingle_hashes(lines)
+    base = line * BANDS
     out = np.full((ROWS, len(lines) * BANDS), NOTHING)
     for row in range(ROWS):
-        v = _mixed(h, 1 + row + ROWS * level)
+        v = _mixed(h, 1 + row)
         np.minimum.at(out[row], base + ((v >> np.uint64(32)) * np.uint64(BANDS) >> np.uint64(32)).astype(np.int64), v)
     out = out.reshape(ROWS, len(lines), BANDS)
     for _ in range(BANDS):
@@ -121,11 +131,11 @@ def _minima(lines: list[str], level: int) -> np.ndarray:
     return out
 
 
-def signature(lines: list[str], level: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def signature(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(lines, BANDS) band keys, and the sketches: a byte of every smallest hash."""
     keys, sketches = [np.zeros((0, BANDS), np.uint64)], [np.zeros((0, ROWS * BANDS), np.uint8)]
     for s, e in byte_chunks(np.array([len(x) + 1 for x in lines], np.int64), STEP):
-        low = _minima(lines[s:e], level)
+        low = _minima(lines[s:e])
         key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), low.shape[1:])
         for row in range(ROWS):
             key = _mixed(key ^ low[row], 77 + row)
@@ -396,63 +406,128 @@ def promising(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "x long, y long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (x, y) of lines whose shingle sets are similar enough."""
-    both = (promising(pairs, texts).join(texts.select(F.col("a").alias("x"), F.col("line").alias("line_x")), "x")
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float, tiles: int = 0) -> DataFrame:
+    """The pairs (x, y) of lines whose shingle sets are similar enough.  With ``tiles``
+    none is dropped by its sketches before: the pairs (few bytes of ids, but much
+    work) are dealt in ``tiles`` x ``tiles`` parts, whose lines' sets are made once."""
+    if tiles:
+        part = [F.pmod(F.xxhash64(c), F.lit(tiles)) for c in ("x", "y")]
+        pairs = pairs.repartition(split_count(pairs.sparkSession), *part).sortWithinPartitions(*part, "y", "x")
+    else:
+        pairs = promising(pairs, texts)
+    both = (pairs.join(texts.select(F.col("a").alias("x"), F.col("line").alias("line_x")), "x")
             .join(texts.select(F.col("a").alias("y"), F.col("line").alias("line_y")), "y").select("x", "y", "line_x", "line_y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = lru_cache(256)(shingles)                  # two sides of a tile; the pairs of a line follow each other
+
+        def of(line: str) -> set[str]:
+            return held(line) if len(line) <= SHORT else shingles(line)
+
         for b in batches:
-            keep = [near(shingles(p), shingles(q), similarity) for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            keep = [near(of(p), of(q), similarity) for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield b.filter(pa.array(keep, pa.bool_())).select(["x", "y"])
 
     return both.mapInArrow(run, "x long, y long")
 
 
-def _new_keys(lines: DataFrame, level: int) -> DataFrame:
-    """(a, key): the band keys of another signature."""
-    schema = pa.schema([("a", pa.int64()), ("bands", pa.list_(pa.int64()))])
+def _different_shingles(lines: DataFrame) -> DataFrame:
+    """(a, n, key): the different shingle hashes of each line, and their number."""
+    schema = pa.schema([("a", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in range(0, b.num_rows, 2048):
-                some = b.slice(s, 2048)
-                keys, _ = signature(some.column(1).to_pylist(), level)
-                yield batch(schema, some.column(0), list(keys.view(np.int64)))
-
-    return lines.select("a", "line").mapInArrow(run, "a long, bands array<long>").select("a", F.explode("bands").alias("key"))
+            texts = b.column(1).to_pylist()
+            for s, e in byte_chunks(np.array([len(x) + 1 for x in texts], np.int64), STEP):
+                h, line = _shingle_hashes(texts[s:e])
+                order = np.lexsort((h, line))
+                h, line = h[order], line[order]
+                new = np.r_[True, (h[1:] != h[:-1]) | (line[1:] != line[:-1])]
+                h, n = h[new].view(np.int64), np.bincount(line[new], minlength=e - s)
+                yield batch(schema, b.column(0).slice(s, e - s), n, np.split(h, np.cumsum(n)[:-1]))
+
+    return lines.select("a", "line").mapInArrow(run, "a long, n int, shingles array<long>").select("a", "n", F.explode("shingles").alias("key"))
+
+
+def rare_shingles(lines: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(key, a, n): the rarest of each line's ``n`` shingles, by their number of lines;
+    so many that any two near lines have one in common.  Shingles of one line alone
+    count among them, but join nothing and are left out."""
+    every = scratch.keep(_different_shingles(lines))
+    often = every.groupBy("key").agg(F.count("*").alias("often")).filter("often > 1")
+    of_line = Window.partitionBy("a")
+    rows = (every.join(often, "key").withColumn("place", F.row_number().over(of_line.orderBy("often", "key")))
+            .withColumn("shared", F.count("*").over(of_line)))
+    least = F.ceil(F.col("n") * similarity - 1e-9)                     # shingles in common with any near line
+    out = scratch.keep(rows.filter(F.col("place") <= F.col("shared") - least + 1).select("key", "a", "n"))
+    scratch.drop(every)
+    return out
 
 
-def line_links(texts: DataFrame, scratch: Scratch, similarity: float = SIMILARITY, open_lines: int = OPEN_LINES,
-               levels: int = LEVELS) -> DataFrame:
+def _split(keys: DataFrame, cluster: DataFrame) -> DataFrame:
+    """``keys`` (key, a, n) with each line's cluster ``c``, the number of lines of
+    its key and a head: only keys whose lines are in several clusters."""
+    placed = keys.join(cluster, "a", "left").select("key", "a", "n", F.coalesce("c", "a").alias("c"))
+    first = F.min(F.struct(F.xxhash64(F.pmod("key", F.lit(ORDERS)), "a").alias("by"), "a", "n", "c"))
+    of_key = placed.groupBy("key").agg(first.alias("first"), F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size"))
+    return placed.join(of_key.filter("low <> high").select("key", "first", "size"), "key")
+
+
+def _fits(n: str, m: str, similarity: float) -> Column:
+    return F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9
+
+
+def rest_links(lines: DataFrame, links: DataFrame, cluster: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(x, y): links that with ``links`` join all near lines of ``lines`` (a, line);
+    ``cluster`` (a, c) are components of ``links``.  Exact, and nothing is capped."""
+    keys, tiles = rare_shingles(lines, scratch, similarity), math.ceil(lines.count() / TILE)
+    star = (_split(keys, cluster).filter((F.col("c") != F.col("first.c")) & _fits("n", "first.n", similarity))
+            .select(F.col("first.a").alias("x"), F.col("a").alias("y")).distinct())
+    more = scratch.keep(verified(star, lines, similarity, tiles))
+    cluster = scratch.keep(connected_components(links.union(more)).toDF("a", "c"))
+    # what is still in several clusters: all pairs across them, a large key dealt in pieces
+    pieces = F.ceil(F.col("size") / PIECE).cast("int")
+    still = scratch.keep(_split(keys, cluster).select(
+        "key", "a", "n", "c", pieces.alias("pieces"), F.pmod(F.xxhash64("a"), pieces).cast("int").alias("piece")))
+    scratch.drop(keys, cluster)
+    each = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+    p = still.select("key", F.col("piece").alias("i"), each.alias("j"), F.col("a").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
+    q = still.select("key", each.alias("i"), F.col("piece").alias("j"), F.col("a").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"))
+    across = p.join(q, ["key", "i", "j"]).filter((F.col("cx") < F.col("cy")) & _fits("nx", "ny", similarity)).select("x", "y").distinct()
+    last = scratch.keep(verified(across, lines, similarity, tiles))
+    scratch.drop(still)
+    return more.union(last)
+
+
+def line_links(texts: DataFrame, scratch: Scratch, similarity: float = SIMILARITY, open_lines: int = OPEN_LINES) -> DataFrame:
     """(x, y): verified links that join every component of the lines ``texts``
     (a, line, keys, sketch), found as the module text says."""
-    links, keys = None, texts.select("a", F.explode("keys").alias("key"))
-    for level in range(1, levels + 1):
-        keys = scratch.keep(keys.distinct())
-        first = F.min(F.struct(F.xxhash64(F.pmod("key", F.lit(ORDERS)), "a").alias("by"), "a"))
-        heads = scratch.keep(keys.groupBy("key").agg(first["a"].alias("head"), F.count("*").alias("size")).filter("size > 1"))
-        total = heads.agg(F.sum("size")).first()[0] or 0
-        shared = scratch.keep(join_groups(keys, heads, ["key"], total))
-        scratch.drop(keys, heads)
-        star = shared.filter("a <> head").select(F.col("head").alias("x"), F.col("a").alias("y")).distinct()
-        more = verified(star, texts, similarity)
-        links = scratch.keep(more if links is None else links.union(more))
-        cluster = scratch.keep(connected_components(links).toDF("a", "c"))
-        placed = shared.join(cluster, "a", "left").select("key", "a", "size", F.coalesce("c", "a").alias("c"))
-        split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max("size").alias("size")).filter("low <> high")
-        split = scratch.keep(split.select("key", "size"))
-        opened = scratch.keep(join_groups(placed.drop("size"), split, ["key"], total))       # only split keys go on
-        scratch.drop(shared, cluster, split)
-        # at most open_lines lines a key: each with those of other clusters
-        few = opened.filter(F.col("size") <= open_lines)
-        p, q = few.select("key", F.col("a").alias("x"), F.col("c").alias("cx")), few.select("key", F.col("a").alias("y"), F.col("c").alias("cy"))
-        across = p.join(q, "key").filter("cx < cy").select("x", "y").distinct()
-        links = scratch.keep(links.union(verified(across, texts, similarity)))
-        large = opened.filter(F.col("size") > open_lines).select("a").distinct()
-        if level == levels or large.isEmpty():
-            return links
-        keys = _new_keys(texts.join(large, "a", "left_semi"), level)
+    keys = scratch.keep(texts.select("a", F.explode("keys").alias("key")).distinct())
+    first = F.min(F.struct(F.xxhash64(F.pmod("key", F.lit(ORDERS)), "a").alias("by"), "a"))
+    heads = scratch.keep(keys.groupBy("key").agg(first["a"].alias("head"), F.count("*").alias("size")).filter("size > 1"))
+    total = heads.agg(F.sum("size")).first()[0] or 0
+    shared = scratch.keep(join_groups(keys, heads, ["key"], total))
+    scratch.drop(keys, heads)
+    star = shared.filter("a <> head").select(F.col("head").alias("x"), F.col("a").alias("y")).distinct()
+    links = scratch.keep(verified(star, texts, similarity))
+    cluster = scratch.keep(connected_components(links).toDF("a", "c"))
+    placed = shared.join(cluster, "a", "left").select("key", "a", "size", F.coalesce("c", "a").alias("c"))
+    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max("size").alias("size")).filter("low <> high")
+    split = scratch.keep(split.select("key", "size"))
+    opened = scratch.keep(join_groups(placed.drop("size"), split, ["key"], total))           # only split keys go on
+    scratch.drop(shared, split)
+    # at most open_lines lines a key: each with those of other clusters
+    few = opened.filter(F.col("size") <= open_lines)
+    p, q = few.select("key", F.col("a").alias("x"), F.col("c").alias("cx")), few.select("key", F.col("a").alias("y"), F.col("c").alias("cy"))
+    across = p.join(q, "key").filter("cx < cy").select("x", "y").distinct()
+    links = scratch.keep(links.union(verified(across, texts, similarity)))
+    # the lines of larger keys: an exact join among them
+    large = opened.filter(F.col("size") > open_lines).select("a").distinct()
+    large = scratch.keep(texts.select("a", "line").join(large, "a", "left_semi"))
+    scratch.drop(opened)
+    if not large.isEmpty():
+        links = links.union(rest_links(large, links, cluster, scratch, similarity))
+    scratch.drop(large, cluster)
     return links
 
 
@@ -461,7 +536,7 @@ class Removal:
     """The lines of ``docs`` that go: ``removed`` has (block, doc, doc_id,
     text_key, line_no), ``blocks`` the texts."""
 
-    def __init__(self, docs: DataFrame, similarity: float = SIMILARITY, open_lines: int = OPEN_LINES, levels: int = LEVELS,
+    def __init__(self, docs: DataFrame, similarity: float = SIMILARITY, open_lines: int = OPEN_LINES,
                  block_size: int = BLOCK_BYTES, range_keys: int = RANGE_KEYS):
         spark = docs.sparkSession
         scratch = Scratch(spark, "lines")
@@ -481,7 +556,7 @@ class Removal:
         found = scratch.keep(candidates(_each_block(self.blocks, self.tasks, told=told, made=made, answers=answers), ranges, band_ranges))
         scratch.drop(asked, told, answers)
         texts = found.filter("candidate").select("a", "line", "keys", "sketch")
-        links = line_links(texts, scratch, similarity, open_lines, levels)
+        links = line_links(texts, scratch, similarity, open_lines)
         near_lines = scratch.keep(connected_components(links).toDF("a", "root"))
         self.removed = scratch.keep(_later_places(found.filter("not candidate"), near_lines))
         scratch.drop(found, near_lines)

@@ -208,6 +208,58 @@ def test_lines_of_one_frequent_shingle_are_not_paired(spark, monkeypatch):
     assert len(made) >= 3 and max(made) < len(every) ** 2 / 20
 
 
+def line_roots(spark, lines, keys, open_lines):
+    """The component of each line as ``line_links`` finds it."""
+    from plantlens.llm.common import Scratch
+    from plantlens.llm.components import connected_components
+
+    sketches = line_dedup.signature(lines)[1]
+    texts = spark.createDataFrame([(i, x, keys, sketches[i].tobytes()) for i, x in enumerate(lines)],
+                                  "a long, line string, keys array<long>, sketch binary")
+    links = line_dedup.line_links(texts, Scratch(spark, "test"), 0.8, open_lines)
+    root = {r.node: r.component for r in connected_components(links).collect()}
+    return [root.get(i, i) for i in range(len(lines))]
+
+
+def test_a_large_key_loses_no_pair_at_the_limit(spark):
+    """600 pairs at similarity 0.8 to 0.81 in one key: another signature misses some."""
+    rng = random.Random(8)
+    lines = []
+    while len(lines) < 1200:
+        x = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=rng.choice([60, 120])))
+        y = x
+        for _ in range(40):
+            at = rng.randrange(len(y))
+            y = y[:at] + rng.choice("abcdefghijklmnopqrstuvwxyz") + y[at + 1:]
+            a, b = line_grams(x), line_grams(y)
+            j = len(a & b) / len(a | b)
+            if j <= 0.81:
+                lines += [x, y] if j >= 0.8 else []
+                break
+    assert line_roots(spark, lines, [7], 32) == [i - i % 2 for i in range(len(lines))]
+
+
+@pytest.mark.parametrize("piece", [256, 7])
+def test_a_large_dense_key_equals_brute_force(spark, monkeypatch, piece):
+    """Edited copies of a few texts, short ones among them, some near only by others."""
+    monkeypatch.setattr(line_dedup, "PIECE", piece)
+    rng = random.Random(9)
+    lines = {"a", "ab", "abcd", "abcde", "abcdef"}
+    for base in [prose(rng, "en", n).replace("\n", " ") for n in (4, 10, 25, 40)]:
+        for _ in range(45):
+            x = base
+            for _ in range(rng.randint(1, max(len(base) // 30, 2))):
+                at = rng.randrange(len(x))
+                x = x[:at] + rng.choice("xyz") + x[at + rng.randint(0, 2):]
+            lines.add(x)
+    lines = sorted(lines)
+    comp = line_groups(lines)
+    first = {}
+    want = [first.setdefault(comp[x], i) for i, x in enumerate(lines)]
+    assert len(set(want)) > 20 and max(Counter(want).values()) > 20
+    assert line_roots(spark, lines, [1, 2, 3], 5) == want
+
+
 def test_short_lines_with_a_common_shingle_share_no_band():
     """Bands take one value of each mixing, so a common shingle is no key."""
     rng = random.Random(5)
