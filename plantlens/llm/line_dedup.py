@@ -48,7 +48,6 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +66,6 @@ ROWS, BANDS = 5, 12
 OPEN_LINES = 32                  # lines of a key that may be compared pair by pair
 PIECE = 256                      # lines of a rare shingle that meet as many others in a task
 TILE = 100                       # lines on each side of a tile of pairs
-SHORT = 2000                     # characters of a line whose shingles are kept for its next pairs
 ORDERS = 4                       # hashes that choose heads
 SKETCH_SHARE = 0.6               # of a sketch's bytes that two near lines agree in
 BLOCK_BYTES = 12 << 20
@@ -409,7 +407,8 @@ def promising(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float, tiles: int = 0) -> DataFrame:
     """The pairs (x, y) of lines whose shingle sets are similar enough.  With ``tiles``
     none is dropped by its sketches before: the pairs (few bytes of ids, but much
-    work) are dealt in ``tiles`` x ``tiles`` parts, whose lines' sets are made once."""
+    work) are dealt in ``tiles`` x ``tiles`` parts, whose lines are hashed once, and
+    shared hashes counted; then only pairs with enough of them are compared."""
     if tiles:
         part = [F.pmod(F.xxhash64(c), F.lit(tiles)) for c in ("x", "y")]
         pairs = pairs.repartition(split_count(pairs.sparkSession), *part).sortWithinPartitions(*part, "y", "x")
@@ -419,18 +418,55 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float, tiles: int =
             .join(texts.select(F.col("a").alias("y"), F.col("line").alias("line_y")), "y").select("x", "y", "line_x", "line_y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = lru_cache(256)(shingles)                  # two sides of a tile; the pairs of a line follow each other
-
-        def of(line: str) -> set[str]:
-            return held(line) if len(line) <= SHORT else shingles(line)
-
         for b in batches:
-            keep = [near(of(p), of(q), similarity) for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            p, q = b.column(2).to_pylist(), b.column(3).to_pylist()
+            may = _enough_in_common(p, q, similarity) if tiles else [True] * len(p)
+            keep = [m and near(shingles(x), shingles(y), similarity) for m, x, y in zip(may, p, q)]
             yield b.filter(pa.array(keep, pa.bool_())).select(["x", "y"])
 
     return both.mapInArrow(run, "x long, y long")
 
 
+def _enough_in_common(p: list[str], q: list[str], similarity: float) -> list[bool]:
+    """Whether p[i] and q[i] have as many shingle hashes in common as near lines have."""
+    out, seen, start, size = [], {}, 0, 0
+    for i, pair in enumerate(zip(p, q)):
+        for line in pair:
+            if line not in seen:
+                seen[line] = len(seen)
+                size += len(line) + 1
+        if size > STEP or i == len(p) - 1:                                # about STEP characters at once
+            out += _common_test([seen[x] for x in p[start: i + 1]], [seen[y] for y in q[start: i + 1]], list(seen), similarity)
+            seen, start, size = {}, i + 1, 0
+    return out
+
+
+def _common_test(x: list[int], y: list[int], lines: list[str], similarity: float) -> list[bool]:
+    h, n = different_hashes(lines)
+    h = np.unique(h, return_inverse=True)[1]
+    of_line = np.split(h, np.cumsum(n)[:-1])
+    x, y, held = np.array(x), np.array(y), np.zeros(h.max() + 1, bool)
+    order = np.argsort(y, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, y[order][1:] != y[order][:-1]])
+    common = np.zeros(len(x), np.int64)
+    for some in np.split(order, cuts[1:]):                                # the pairs of one y
+        mine, others = of_line[y[some[0]]], x[some]
+        held[mine] = True
+        common[some] = np.add.reduceat(held[np.concatenate([of_line[k] for k in others])].astype(np.int64),
+                                       np.r_[0, np.cumsum(n[others])[:-1]])
+        held[mine] = False
+    return (common >= similarity * (n[x] + n[y] - common) - 1e-9).tolist()
+
+
+def different_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingle hashes of each line, one line after the other, and how many."""
+    h, line = _shingle_hashes(lines)
+    order = np.lexsort((h, line))
+    h, line = h[order], line[order]
+    new = np.r_[True, (h[1:] != h[:-1]) | (line[1:] != line[:-1])]
+    return h[new], np.bincount(line[new], minlength=len(lines))
+
+
 def _different_shingles(lines: DataFrame) -> DataFrame:
     """(a, n, key): the different shingle hashes of each line, and their number."""
     schema = pa.schema([("a", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))])
@@ -439,12 +475,8 @@ def _different_shingles(lines: DataFrame) -> DataFrame:
         for b in batches:
             texts = b.column(1).to_pylist()
             for s, e in byte_chunks(np.array([len(x) + 1 for x in texts], np.int64), STEP):
-                h, line = _shingle_hashes(texts[s:e])
-                order = np.lexsort((h, line))
-                h, line = h[order], line[order]
-                new = np.r_[True, (h[1:] != h[:-1]) | (line[1:] != line[:-1])]
-                h, n = h[new].view(np.int64), np.bincount(line[new], minlength=e - s)
-                yield batch(schema, b.column(0).slice(s, e - s), n, np.split(h, np.cumsum(n)[:-1]))
+                h, n = different_hashes(texts[s:e])
+                yield batch(schema, b.column(0).slice(s, e - s), n, np.split(h.view(np.int64), np.cumsum(n)[:-1]))
 
     return lines.select("a", "line").mapInArrow(run, "a long, n int, shingles array<long>").select("a", "n", F.explode("shingles").alias("key"))
 
