@@ -26,6 +26,8 @@ structure: they always stay and take no part.
    and m shingles share one of their rarest ``n - ceil(0.8 n) + 1`` and ``m - ceil(0.8 m)
    + 1``.  Lines of such a shingle are first compared with a head too, then with
    all lines of other clusters and fitting length, in pieces of ``PIECE`` x ``PIECE``.
+   Two tests that no near pair fails come before the texts: the shared shingles that
+   follow a pair's rarest one must suffice, and so must their marks (``alike``).
 6. A pair whose sketches (a byte of each of the 60 smallest hashes) agree in less
    than ``SKETCH_SHARE`` is dropped (at similarity 0.8, 1 in 20,000 is; not in
    ``rest_links``); every other one is verified on the two lines' shingle sets.  Clusters come from a
@@ -67,6 +69,7 @@ OPEN_LINES = 32                  # lines of a key that may be compared pair by p
 PIECE = 256                      # lines of a rare shingle that meet as many others in a task
 TILE = 100                       # lines on each side of a tile of pairs
 ORDERS = 4                       # hashes that choose heads
+MARKS = 16                       # words of 64 bits that mark a line's shingles
 SKETCH_SHARE = 0.6               # of a sketch's bytes that two near lines agree in
 BLOCK_BYTES = 12 << 20
 RANGE_KEYS = 4_000_000
@@ -420,8 +423,11 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float, tiles: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p, q = b.column(2).to_pylist(), b.column(3).to_pylist()
-            may = _enough_in_common(p, q, similarity) if tiles else [True] * len(p)
-            keep = [m and near(shingles(x), shingles(y), similarity) for m, x, y in zip(may, p, q)]
+            may, keep, last, of_last = _enough_in_common(p, q, similarity) if tiles else [True] * len(p), [], None, None
+            for m, x, y in zip(may, p, q):
+                if m and y != last:                                       # the join leaves the pairs of one y together
+                    last, of_last = y, shingles(y)
+                keep.append(m and near(shingles(x), of_last, similarity))
             yield b.filter(pa.array(keep, pa.bool_())).select(["x", "y"])
 
     return both.mapInArrow(run, "x long, y long")
@@ -467,39 +473,64 @@ def different_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return h[new], np.bincount(line[new], minlength=len(lines))
 
 
+def marks(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """(MARKS, lines) words: a bit is 1 if an odd number of the line's different
+    hashes falls on it.  So two lines differ in no more bits than shingles."""
+    out = np.zeros(len(n) * MARKS, np.uint64)
+    word = np.repeat(np.arange(len(n)), n) * MARKS + (h >> np.uint64(6)).astype(np.int64) % MARKS
+    np.bitwise_xor.at(out, word, np.uint64(1) << (h & np.uint64(63)))
+    return out.reshape(-1, MARKS).T
+
+
 def _different_shingles(lines: DataFrame) -> DataFrame:
-    """(a, n, key): the different shingle hashes of each line, and their number."""
-    schema = pa.schema([("a", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))])
+    """(a, n, shingles, m0, m1, ...): the different shingle hashes of each line, their
+    number and their marks."""
+    words = [f"m{i}" for i in range(MARKS)]
+    schema = pa.schema([("a", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64())), *[(m, pa.int64()) for m in words]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).to_pylist()
             for s, e in byte_chunks(np.array([len(x) + 1 for x in texts], np.int64), STEP):
                 h, n = different_hashes(texts[s:e])
-                yield batch(schema, b.column(0).slice(s, e - s), n, np.split(h.view(np.int64), np.cumsum(n)[:-1]))
+                yield batch(schema, b.column(0).slice(s, e - s), n, np.split(h.view(np.int64), np.cumsum(n)[:-1]),
+                            *np.ascontiguousarray(marks(h, n)).view(np.int64))
+
+    return lines.select("a", "line").mapInArrow(run, f"a long, n int, shingles array<long>, {', '.join(f'{m} long' for m in words)}")
+
 
-    return lines.select("a", "line").mapInArrow(run, "a long, n int, shingles array<long>").select("a", "n", F.explode("shingles").alias("key"))
+def alike(pairs: DataFrame, marked: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (x, y) whose marks leave it open that they are near: near lines of
+    n and m shingles differ in at most ``(1 - s) / (1 + s) * (n + m)`` of them, and
+    their marks in no more bits.  ``marked`` has (a, n, m0, m1, ...)."""
+    def of(c: str) -> DataFrame:
+        return marked.select(*[F.col(k).alias(c if k == "a" else f"{c}_{k}") for k in marked.columns])
 
+    words = [k for k in marked.columns if k not in ("a", "n")]
+    bits = sum((F.bit_count(F.col(f"x_{m}").bitwiseXOR(F.col(f"y_{m}"))) for m in words), F.lit(0))
+    most = (F.col("x_n") + F.col("y_n")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    return pairs.join(of("x"), "x").join(of("y"), "y").filter(bits <= most).select("x", "y")
 
-def rare_shingles(lines: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
-    """(key, a, n): the rarest of each line's ``n`` shingles, by their number of lines;
-    so many that any two near lines have one in common.  Shingles of one line alone
-    count among them, but join nothing and are left out."""
-    every = scratch.keep(_different_shingles(lines))
+
+def rare_shingles(every: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(key, a, n, after): the rarest of each line's ``n`` shingles, by their number of
+    lines; so many that any two near lines have one in common.  Shingles of one line
+    alone count among them, but join nothing and are left out; ``after`` is how many
+    of the others come after the key."""
+    every = every.select("a", "n", F.explode("shingles").alias("key"))
     often = every.groupBy("key").agg(F.count("*").alias("often")).filter("often > 1")
     of_line = Window.partitionBy("a")
     rows = (every.join(often, "key").withColumn("place", F.row_number().over(of_line.orderBy("often", "key")))
             .withColumn("shared", F.count("*").over(of_line)))
     least = F.ceil(F.col("n") * similarity - 1e-9)                     # shingles in common with any near line
-    out = scratch.keep(rows.filter(F.col("place") <= F.col("shared") - least + 1).select("key", "a", "n"))
-    scratch.drop(every)
-    return out
+    after = F.col("shared") - F.col("place")
+    return scratch.keep(rows.filter(after >= least - 1).select("key", "a", "n", after.cast("int").alias("after")))
 
 
 def _split(keys: DataFrame, cluster: DataFrame) -> DataFrame:
-    """``keys`` (key, a, n) with each line's cluster ``c``, the number of lines of
+    """``keys`` (key, a, n, after) with each line's cluster ``c``, the number of lines of
     its key and a head: only keys whose lines are in several clusters."""
-    placed = keys.join(cluster, "a", "left").select("key", "a", "n", F.coalesce("c", "a").alias("c"))
+    placed = keys.join(cluster, "a", "left").select("key", "a", "n", "after", F.coalesce("c", "a").alias("c"))
     first = F.min(F.struct(F.xxhash64(F.pmod("key", F.lit(ORDERS)), "a").alias("by"), "a", "n", "c"))
     of_key = placed.groupBy("key").agg(first.alias("first"), F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size"))
     return placed.join(of_key.filter("low <> high").select("key", "first", "size"), "key")
@@ -512,22 +543,27 @@ def _fits(n: str, m: str, similarity: float) -> Column:
 def rest_links(lines: DataFrame, links: DataFrame, cluster: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
     """(x, y): links that with ``links`` join all near lines of ``lines`` (a, line);
     ``cluster`` (a, c) are components of ``links``.  Exact, and nothing is capped."""
-    keys, tiles = rare_shingles(lines, scratch, similarity), math.ceil(lines.count() / TILE)
+    every, tiles = scratch.keep(_different_shingles(lines)), math.ceil(lines.count() / TILE)
+    keys = rare_shingles(every, scratch, similarity)
+    marked = scratch.keep(every.drop("shingles"), dictionary=False)
+    scratch.drop(every)
     star = (_split(keys, cluster).filter((F.col("c") != F.col("first.c")) & _fits("n", "first.n", similarity))
             .select(F.col("first.a").alias("x"), F.col("a").alias("y")).distinct())
-    more = scratch.keep(verified(star, lines, similarity, tiles))
+    more = scratch.keep(verified(alike(star, marked, similarity), lines, similarity, tiles))
     cluster = scratch.keep(connected_components(links.union(more)).toDF("a", "c"))
     # what is still in several clusters: all pairs across them, a large key dealt in pieces
     pieces = F.ceil(F.col("size") / PIECE).cast("int")
     still = scratch.keep(_split(keys, cluster).select(
-        "key", "a", "n", "c", pieces.alias("pieces"), F.pmod(F.xxhash64("a"), pieces).cast("int").alias("piece")))
+        "key", "a", "n", "after", "c", pieces.alias("pieces"), F.pmod(F.xxhash64("a"), pieces).cast("int").alias("piece")))
     scratch.drop(keys, cluster)
     each = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    p = still.select("key", F.col("piece").alias("i"), each.alias("j"), F.col("a").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
-    q = still.select("key", each.alias("i"), F.col("piece").alias("j"), F.col("a").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"))
-    across = p.join(q, ["key", "i", "j"]).filter((F.col("cx") < F.col("cy")) & _fits("nx", "ny", similarity)).select("x", "y").distinct()
-    last = scratch.keep(verified(across, lines, similarity, tiles))
-    scratch.drop(still)
+    p, q = (still.select("key", *at, F.col("a").alias(s), *[F.col(k).alias(f"{k}_{s}") for k in ("n", "after", "c")])
+            for s, at in (("x", [F.col("piece").alias("i"), each.alias("j")]), ("y", [each.alias("i"), F.col("piece").alias("j")])))
+    # a pair's first common shingle and those after it are all that it can share
+    shares = F.least("after_x", "after_y") + 1 >= (F.col("n_x") + F.col("n_y")) * (similarity / (1 + similarity)) - 1e-6
+    across = p.join(q, ["key", "i", "j"]).filter((F.col("c_x") < F.col("c_y")) & _fits("n_x", "n_y", similarity) & shares)
+    last = scratch.keep(verified(alike(across.select("x", "y").distinct(), marked, similarity), lines, similarity, tiles))
+    scratch.drop(still, marked)
     return more.union(last)
 
 

@@ -260,6 +260,40 @@ def test_a_large_dense_key_equals_brute_force(spark, monkeypatch, piece):
     assert line_roots(spark, lines, [1, 2, 3], 5) == want
 
 
+def test_a_large_key_compares_few_texts(spark, monkeypatch):
+    """Lines of few syllables share their rarest shingles with many that are not near."""
+    rng = random.Random(21)
+    parts = [prose(rng, "en", 3).replace("\n", " ") for _ in range(60)]
+    lines = [" ".join(rng.choices(parts, k=rng.randint(6, 12))) for _ in range(150)]
+    lines = sorted({*lines, *[x[:-3] + "xyz" for x in lines[:25]]})
+    compared = []
+    real = line_dedup.verified
+
+    def counted(pairs, texts, similarity, tiles=0):
+        compared.append(pairs.count() if tiles else 0)
+        return real(pairs, texts, similarity, tiles)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    comp, first = line_groups(lines), {}
+    assert line_roots(spark, lines, [7], 5) == [first.setdefault(comp[x], i) for i, x in enumerate(lines)]
+    assert 20 <= sum(compared) <= 200                      # of 15,000
+
+
+def test_marks_differ_in_no_more_bits_than_shingles():
+    rng = random.Random(23)
+    lines = ["", "a", "abcde"] + ["".join(rng.choices("abcdefgh ", k=rng.choice([8, 60, 700, 3000]))) for _ in range(30)]
+    lines += [x[: len(x) // 2] + "q" + x[len(x) // 2:] for x in lines]
+    sets = [line_grams(x) for x in lines]
+    h, n = line_dedup.different_hashes(lines)
+    bits = np.ascontiguousarray(line_dedup.marks(h, n).T).view(np.uint8)
+    bits = np.unpackbits(bits.reshape(len(lines), -1), axis=1)
+    assert n.tolist() == list(map(len, sets)) and bits.shape[1] == 64 * line_dedup.MARKS
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert (bits[i] != bits[j]).sum() <= len(a ^ b), (lines[i], lines[j])
+    assert (bits.sum(1) > 0)[n % 2 == 1].all()
+
+
 def test_short_lines_with_a_common_shingle_share_no_band():
     """Bands take one value of each mixing, so a common shingle is no key."""
     rng = random.Random(5)
