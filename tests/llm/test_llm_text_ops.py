@@ -279,6 +279,51 @@ def test_a_large_key_compares_few_texts(spark, monkeypatch):
     assert 20 <= sum(compared) <= 200                      # of 15,000
 
 
+def test_unlike_lines_of_a_large_key_make_few_rows(spark, monkeypatch):
+    """Lines of one key that share many shingles: 80,000 pairs, but no rows of them,
+    and no rows of their shingles."""
+    from plantlens.llm.common import Scratch
+
+    rng = random.Random(31)
+    lines = sorted({prose(rng, "en", 24).replace("\n", " ") for _ in range(400)})
+    lines += [x[:-2] + "q" for x in lines[:20]]
+    made, real = [], Scratch.keep
+
+    def counted(self, df, *rest, **named):
+        out = real(self, df, *rest, **named)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    roots = line_roots(spark, lines, [7], 32)
+    assert roots[-20:] == list(range(20)) and roots[:-20] == list(range(len(lines) - 20))
+    assert max(made) <= len(lines)
+
+
+def test_no_near_pair_is_refuted_by_its_marks():
+    rng = random.Random(37)
+    lines = ["", "a", "abcde", "abcdef"]
+    for k in (6, 30, 200, 1500, 6000):
+        for _ in range(6):
+            x = "".join(rng.choices("abcdefghijkl ", k=k))
+            lines.append(x)
+            for _ in range(3):
+                for _ in range(rng.randint(1, max(k // 60, 1))):
+                    at = rng.randrange(len(x))
+                    x = x[:at] + rng.choice("xyz") + x[at + 1:]
+                lines.append(x)
+    h, n = line_dedup.different_hashes(lines)
+    rows = np.zeros(len(lines), line_dedup.ROW)
+    rows["n"], rows["marks"] = n, line_dedup.marks(h, n).T
+    x, y = (v.ravel() for v in np.meshgrid(np.arange(len(lines)), np.arange(len(lines))))
+    kept = line_dedup.alike(rows, x, y, 0.8)
+    sets = [line_grams(v) for v in lines]
+    near = np.array([line_dedup.near(sets[i], sets[j]) for i, j in zip(x, y)])
+    assert kept[near].all() and near.sum() > 2 * len(lines)
+    usual = (n[x] > 20) & (n[x] < 1600) & (n[y] > 20)      # the marks of longer lines are full
+    assert (kept & usual).sum() < 2 * (near & usual).sum()
+
+
 def test_marks_differ_in_no_more_bits_than_shingles():
     rng = random.Random(23)
     lines = ["", "a", "abcde"] + ["".join(rng.choices("abcdefgh ", k=rng.choice([8, 60, 700, 3000]))) for _ in range(30)]
